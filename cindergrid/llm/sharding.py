@@ -60,7 +60,7 @@ def _histogram(keys: DataFrame, edges: list[int]) -> dict[int, int]:
     return {r.cell: r.n for r in parts.groupBy("cell").agg(F.sum("n").alias("n")).collect()}
 
 
-def splitters(keys: DataFrame, targets: list[float], slack: float, probes: int = 64, max_rounds: int = 12) -> list[int]:
+def splitters(keys: DataFrame, targets: list[float], slack: float, probes: int = 64, max_rounds: int = 14) -> list[int]:
     """For each target the key such that the bytes below it are within slack of the target, or nearest to it. keys has
     (key, size)."""
     open_: dict[int, tuple[int, int, int]] = {i: (0, TOP, 0) for i in range(len(targets))}  # key range, bytes below it
@@ -100,7 +100,7 @@ def shard(docs: DataFrame, shards: int = 24, tolerance: float = 0.01, parts: int
     pieces = shards * parts
     cut = splitters(keys, [total * i / shards for i in range(1, shards)], tolerance * total / shards / 2)
     # pieces inside a shard need no exactness: keys are hashed bits, but copies pile up, so they are found by counts too
-    loose = splitters(keys, [total * i / pieces for i in range(1, pieces)], 0.25 * total / pieces, probes=8, max_rounds=6)
+    loose = splitters(keys, [total * i / pieces for i in range(1, pieces)], 0.25 * total / pieces, probes=16, max_rounds=14)
     edges = sorted({*cut, *loose} - {0})
     piece = _cells(edges)
     counts = {r.piece: r.n for r in keys.groupBy(piece("key").alias("piece")).agg(F.count(F.lit(1)).alias("n")).collect()}
