@@ -2,5 +2,8 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from . import bookkeeping, danger, verification, weather
+
+PARTS = (danger, verification, weather, bookkeeping)
+QUERIES = {k: f for part in PARTS for k, f in part.QUERIES.items()}
+ORACLES = {k: sql for part in PARTS for k, sql in part.ORACLES.items()}
