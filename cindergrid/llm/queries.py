@@ -84,7 +84,7 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    back = spm.decode(spm.encode(docs, PIECES), PIECES)
+    back = spm.round_trip(docs, PIECES)
     ids = F.array_join(F.transform("ids", lambda i: i.cast("string")), ",")
     return back.select(
         "doc_id", F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_ids"), F.sha2(ids.cast("binary"), 256).alias("ids_sha256"),

@@ -16,16 +16,20 @@ no ids. Rows with a repeated id stay separate; an empty table gives no rows; ext
 from __future__ import annotations
 
 import re
+from array import array
 from collections import deque
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import slices
+
 MARK = "▁"
 PART = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
-MEMO = 200_000
+MEMO = 100_000
 
 
 class Pieces:
@@ -44,11 +48,18 @@ class Pieces:
             elif not (sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i)):
                 self.ids[piece] = i
                 self.rank[piece] = -sp.get_score(i)
-        self.byte_of = {i: b for b, i in self.bytes.items()}
+        # BPE never makes a piece that it would not make of the piece's own characters
+        self.ids = {p: i for p, i in self.ids.items() if len(self.merge(p)) == 1}
         self.longest = max(map(len, self.ids))
-        self.merged: dict[str, list[str]] = {}
+        byte_of = {i: bytes([b]) for b, i in self.bytes.items()}
+        self.raw = [byte_of.get(i) or p.replace(MARK, " ").encode() for i, p in enumerate(self.text)]
         self.apart: dict[tuple[str, str], bool] = {}
-        self.memo: dict[str, list[int]] = {}
+        self.memo: dict[str, array] = {}
+        self.tails: dict[str, str] = {}
+        self.reach: dict[str, int] = {}  # the longest piece that ends with these two characters
+        for p in self.ids:
+            if len(p) > 1:
+                self.reach[p[-2:]] = max(len(p), self.reach.get(p[-2:], 1))
 
     def merge(self, text: str) -> list[str]:
         """BPE by its definition, for at most two pieces' length."""
@@ -64,25 +75,52 @@ class Pieces:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def own(self, piece: str) -> bool:
-        """Whether BPE makes this piece of its characters."""
-        if piece not in self.merged:
-            if len(self.merged) > MEMO:
-                self.merged.clear()
-            self.merged[piece] = self.merge(piece)
-        return len(self.merged[piece]) == 1
-
     def stay_apart(self, a: str, b: str) -> bool:
-        key = (a, b)
-        if key not in self.apart:
-            if len(self.apart) > MEMO:
+        known = self.apart.get((a, b))
+        if known is None:
+            if len(self.apart) >= MEMO:
                 self.apart.clear()
-            self.apart[key] = self.merge(a + b) == [a, b]
-        return self.apart[key]
+            known = self.apart[a, b] = self.merge(a + b) == [a, b]
+        return known
 
     def fallback(self, char: str) -> list[int]:
         return [self.bytes[b] for b in (MARK if char == MARK else char).encode("utf-8", "surrogatepass")]
 
+    def last(self, run: str) -> str:
+        """The surviving piece at the boundary after run; earlier boundaries are settled only where a path asks for
+        them, and remembered, as many words begin alike."""
+        piece = self.tails.get(run)
+        if piece is None:
+            n, ids, apart = len(run), self.ids, self.apart
+            for begin in range(max(0, n - self.reach.get(run[-2:], 1)), n):
+                piece = run[begin:]
+                if piece in ids or begin == n - 1:
+                    if not begin:
+                        break
+                    key = (self.last(run[:begin]), piece)
+                    if apart[key] if key in apart else self.stay_apart(*key):
+                        break
+            if len(self.tails) >= MEMO:
+                self.tails.clear()
+            self.tails[run] = piece
+        return piece
+
+    def short(self, part: str) -> list[int]:
+        """The lattice over a part that fits in memory as a whole: no commits before its end."""
+        pieces = []
+        while part:
+            piece = self.last(part)
+            pieces.append(piece)
+            part = part[: -len(piece)]
+        found: list[int] = []
+        for p in reversed(pieces):
+            i = self.ids.get(p)
+            if i is None:
+                found += self.fallback(p)
+            else:
+                found.append(i)
+        return found
+
     def stream(self, chars: Iterator[str]) -> Iterator[int]:
         """Ids of a run of characters, committed while it streams by."""
         window: deque[str] = deque(maxlen=self.longest)
@@ -110,7 +148,7 @@ class Pieces:
                     continue
                 begin = n - size
                 before = ends[begin - base - 1][0] if begin > base else last if base else None
-                if (size == 1 or self.own(piece)) and (before is None or self.stay_apart(before, piece)):
+                if before is None or self.stay_apart(before, piece):
                     break
             ends.append((piece, begin))
             # a backpointer of the next boundary may reach back `longest` boundaries; the paths to those must meet
@@ -130,43 +168,38 @@ class Pieces:
                     base = to
         yield from ids(path(n))
 
-    def encode(self, text: str | None) -> list[int] | None:
-        if text is None:
-            return None
-        out: list[int] = []
-        if not text:
-            return out
-        for own, plain in enumerate(text.split(MARK)):  # a mark of the text's own never meets those of spaces
+    def encode(self, text: str) -> array:
+        out = array("i")
+        memo = self.memo
+        for own, plain in enumerate(text.split(MARK) if text else ()):  # a mark of the text's own never meets those of spaces
             if own:
-                out += self.fallback(MARK)
+                out.extend(self.fallback(MARK))
             plain = plain.replace(" ", MARK)
             for part in PART.findall(plain if own else MARK + plain):
-                ids = self.memo.get(part)
+                ids = memo.get(part)
                 if ids is None:
-                    ids = list(self.stream(iter(part)))
-                    if len(part) <= 64:
-                        if len(self.memo) >= MEMO:
-                            self.memo.clear()
-                        self.memo[part] = ids
-                out += ids
+                    if len(part) > 64:
+                        out.extend(self.stream(iter(part)))
+                        continue
+                    if len(memo) >= MEMO:
+                        memo.clear()
+                    ids = memo[part] = array("i", self.short(part))
+                out.extend(ids)
         return out
 
-    def decode(self, ids: list[int] | None) -> str | None:
-        if ids is None:
-            return None
-        out: list[str] = []
-        held = bytearray()
-        for i in ids:
-            if i in self.byte_of:
-                held.append(self.byte_of[i])
-                continue
-            if held:
-                out.append(held.decode("utf-8", "surrogatepass"))
-                held.clear()
-            out.append(self.text[i].replace(MARK, " "))
-        if held:
-            out.append(held.decode("utf-8", "surrogatepass"))
-        return "".join(out)[1:]
+    def decode(self, ids: list[int]) -> str:
+        return b"".join(map(self.raw.__getitem__, ids)).decode("utf-8", "surrogatepass")[1:]
+
+
+def _lists(rows: list[array | None]) -> pa.Array:
+    offsets = np.cumsum([0, *(len(r) if r is not None else 0 for r in rows)]).astype(np.int32)
+    values = pa.array(np.concatenate([np.frombuffer(r, np.int32) for r in rows if r]) if offsets[-1] else np.zeros(0, np.int32))
+    return pa.ListArray.from_arrays(pa.array(offsets), values, mask=pa.array([r is None for r in rows]))
+
+
+def _texts(column: pa.Array, pieces: Pieces) -> pa.Array:
+    offsets, values, known = column.offsets.to_numpy(), column.values.to_numpy(), column.is_valid().to_pylist()
+    return pa.array([pieces.decode(values[a:b].tolist()) if ok else None for a, b, ok in zip(offsets, offsets[1:], known)], pa.string())
 
 
 def encode(docs: DataFrame, model_file: str) -> DataFrame:
@@ -175,11 +208,8 @@ def encode(docs: DataFrame, model_file: str) -> DataFrame:
 
     def encoded(batches):
         pieces = shared.value
-        for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for a in range(0, len(texts), 1000):
-                some = texts[a : a + 1000]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, 1000), pa.array([pieces.encode(t) for t in some], pa.list_(pa.int32()))], ["doc_id", "ids"])
+        for batch in slices(batches, 500):
+            yield pa.RecordBatch.from_arrays([batch.column(0), _lists([None if t is None else pieces.encode(t) for t in batch.column(1).to_pylist()])], ["doc_id", "ids"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(encoded, "doc_id long, ids array<int>")
 
@@ -189,8 +219,20 @@ def decode(encoded: DataFrame, model_file: str) -> DataFrame:
     shared = encoded.sparkSession.sparkContext.broadcast(Pieces(model_file))
 
     def decoded(batches):
-        pieces = shared.value
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([pieces.decode(i) for i in batch.column(1).to_pylist()], pa.string())], ["doc_id", "ids", "text"])
+        for batch in slices(batches, 500):
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), _texts(batch.column(1), shared.value)], ["doc_id", "ids", "text"])
 
     return encoded.select("doc_id", "ids").mapInArrow(decoded, "doc_id long, ids array<int>, text string")
+
+
+def round_trip(docs: DataFrame, model_file: str) -> DataFrame:
+    """(doc_id, ids, text): decode(encode(docs)) in one pass over the texts."""
+    shared = docs.sparkSession.sparkContext.broadcast(Pieces(model_file))
+
+    def both(batches):
+        pieces = shared.value
+        for batch in slices(batches, 500):
+            ids = _lists([None if t is None else pieces.encode(t) for t in batch.column(1).to_pylist()])
+            yield pa.RecordBatch.from_arrays([batch.column(0), ids, _texts(ids, pieces)], ["doc_id", "ids", "text"])
+
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(both, "doc_id long, ids array<int>, text string")
