@@ -46,6 +46,13 @@ def utf8_size(col: Column) -> Column:
     return F.octet_length(F.coalesce(col, F.lit(""))).cast("long")
 
 
+def slices(batches, rows: int = 1000):
+    """Arrow batches cut to at most so many rows, so that a task holds few texts as Python objects at once."""
+    for batch in batches:
+        for a in range(0, batch.num_rows, rows):
+            yield batch.slice(a, rows)
+
+
 def bind(value: Column, body) -> Column:
     """body(value) with value evaluated once, even where body uses it inside another lambda."""
     return F.element_at(F.transform(F.array(value), body), 1)

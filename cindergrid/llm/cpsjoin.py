@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ASCII_LOWER, stash
+from .common import ASCII_LOWER, slices, stash
 
 K = 128
 _RNG = np.random.Generator(np.random.PCG64(20240229))
@@ -39,7 +39,7 @@ _MULTIPLY = _RNG.integers(0, 1 << 31, K, dtype=np.uint32) * np.uint32(2) + np.ui
 _FLIP = _RNG.integers(0, 1 << 32, K, dtype=np.uint32)
 _P = np.uint64(0x9E3779B97F4A7C15)
 _Q = np.uint64(0xBF58476D1CE4E5B9)
-MEMO = 300_000
+MEMO = 150_000
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -83,25 +83,19 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return out
 
 
-def _pieces(batch: pa.RecordBatch, rows: int = 2000) -> Iterator[pa.RecordBatch]:
-    for a in range(0, batch.num_rows, rows):
-        yield batch.slice(a, rows)
-
-
 def profiles(docs: DataFrame, width: int) -> DataFrame:
     """(doc_id, n_shingles, set_key, signature) of docs (doc_id, text); key and signature are null for empty sets."""
 
     def made(batches):
         shingles = Shingles(width)
-        for whole in batches:
-            for batch in _pieces(whole):
-                n, keys, signatures = [], [], []
-                for text in batch.column(1).to_pylist():
-                    s = shingles(text)
-                    n.append(len(s))
-                    keys.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
-                    signatures.append(signature(s).tobytes() if len(s) else None)
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(signatures, pa.binary())], ["doc_id", "n_shingles", "set_key", "signature"])
+        for batch in slices(batches):
+            n, keys, signatures = [], [], []
+            for text in batch.column(1).to_pylist():
+                s = shingles(text)
+                n.append(len(s))
+                keys.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
+                signatures.append(signature(s).tobytes() if len(s) else None)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(signatures, pa.binary())], ["doc_id", "n_shingles", "set_key", "signature"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(made, "doc_id long, n_shingles long, set_key binary, signature binary")
 
@@ -127,19 +121,16 @@ def _branch(rows: DataFrame, trees: int | None = None) -> DataFrame:
     """(path, rep) of the children of rows (path, rep, signature), or of the roots of `trees` trees for rows (rep, signature)."""
 
     def made(batches):
-        for whole in batches:
-            for batch in _pieces(whole):
-                sig = _matrix(batch.column("signature"), np.uint32)
-                rep = batch.column("rep").to_numpy(zero_copy_only=False)
-                if not len(rep):
-                    continue
-                if trees is None:
-                    starts = [batch.column("path").to_numpy(zero_copy_only=False).view(np.uint64)]
-                else:
-                    starts = [np.full(len(rep), t * 1_000_003 + 17, np.uint64) for t in range(trees)]
-                for start in starts:
-                    path, own = _children(start, rep, sig)
-                    yield pa.RecordBatch.from_arrays([pa.array(path.view(np.int64)), pa.array(own)], ["path", "rep"])
+        for batch in slices(batches, 2000):
+            sig = _matrix(batch.column("signature"), np.uint32)
+            rep = batch.column("rep").to_numpy(zero_copy_only=False)
+            if trees is None:
+                starts = [batch.column("path").to_numpy(zero_copy_only=False).view(np.uint64)]
+            else:
+                starts = [np.full(len(rep), t * 1_000_003 + 17, np.uint64) for t in range(trees)]
+            for start in starts:
+                path, own = _children(start, rep, sig)
+                yield pa.RecordBatch.from_arrays([pa.array(path.view(np.int64)), pa.array(own)], ["path", "rep"])
 
     return rows.mapInArrow(made, "path long, rep long")
 

@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import slices
+
 #: Bytes that are no part of a word become spaces, ASCII upper case becomes lower case.
 NORMAL = bytes(
     c + 32 if 0x41 <= c <= 0x5A else c if 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c >= 0x80 else 0x20 for c in range(256)
@@ -190,7 +192,7 @@ def spans(docs: DataFrame, benchmark: DataFrame, window: int = 13, coverage: flo
     schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_hit", pa.int64()), ("spans", pa.list_(pa.list_(pa.int64()))), ("items", pa.list_(pa.string())), ("contaminated", pa.bool_())])
 
     def judged(batches):
-        for batch in batches:
+        for batch in slices(batches):
             got = [judge(t) for t in batch.column(1).to_pylist()]
             columns = [batch.column(0), [n for n, *_ in got], [sum(b - a for a, b in s) for _, s, *_ in got], [[list(x) for x in s] for _, s, *_ in got], [sorted(i, key=lambda x: x.encode()) for _, _, i, _ in got], [bool(c) for *_, c in got]]
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
@@ -204,7 +206,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, window: int = 13, coverage: flo
     judge, at, schema = Judge(docs, automata(benchmark, window), coverage), docs.columns.index("text"), docs.schema
 
     def kept(batches):
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column(at).to_pylist()
             got = [judge(t) for t in texts]
             if cut_words is not None:

@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import slices
+
 FEATURES = (
     "log_words", "word_length", "symbols", "upper", "exclamations", "bars", "digits", "repeated_lines", "different_words",
     "stopped_lines", "short_words", "punctuation", "beyond_ascii", "log_line", "odd_words", "long_words",
@@ -153,7 +155,7 @@ def learn(docs: DataFrame, labels: DataFrame, max_labels: int = 20_000, **settin
     known = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")  # at most max_labels rows of two numbers
 
     def made(batches):
-        for batch in batches:
+        for batch in slices(batches):
             x = _features_of(batch.column(0).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(list(x), pa.list_(pa.float64()))], ["label", "x"])
 
@@ -169,7 +171,7 @@ def score(docs: DataFrame, model: Gam) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)  # its size follows from bins and features alone
 
     def scored(batches):
-        for batch in batches:
+        for batch in slices(batches):
             s = shared.value.score(_features_of(batch.column(1).to_pylist()))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(s, pa.float64())], ["doc_id", "score"])
 
@@ -181,7 +183,7 @@ def keep_good(docs: DataFrame, model: Gam, least: float = 0.7) -> DataFrame:
     shared, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index("text")
 
     def kept(batches):
-        for batch in batches:
+        for batch in slices(batches):
             yield batch.filter(pa.array(shared.value.score(_features_of(batch.column(at).to_pylist())) >= least))
 
     return docs.mapInArrow(kept, docs.schema)
