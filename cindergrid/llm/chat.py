@@ -52,10 +52,12 @@ def chosen_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
     while True:
         now = jumps[-1]
         far = now.select("conv", F.col("node").alias("up"), F.col("up").alias("up2"), F.col("depth").alias("depth2"), F.col("score").alias("score2"))
-        nxt = now.join(far, ["conv", "up"], "left").select(
-            "conv", "node", F.col("up2").alias("up"), (F.col("depth") + F.coalesce("depth2", F.lit(0))).alias("depth"), (F.col("score") + F.coalesce("score2", F.lit(0.0))).alias("score"),
+        active = now.filter("up is not null")
+        moved = active.join(far, ["conv", "up"]).select(
+            "conv", "node", F.col("up2").alias("up"), (F.col("depth") + F.col("depth2")).alias("depth"), (F.col("score") + F.col("score2")).alias("score"),
         )
-        if not now.filter("up is not null").head(1):
+        nxt = moved.unionByName(now.filter("up is null").select(moved.columns))
+        if not active.head(1):
             break
         nodes_n = messages.count() if nodes_n is None else nodes_n
         if 1 << len(jumps) > 2 * nodes_n:  # only cycles are left
