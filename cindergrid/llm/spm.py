@@ -29,7 +29,7 @@ from .common import slices
 
 MARK = "▁"
 PART = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
-MEMO = 100_000
+MEMO = 300_000
 
 
 class Pieces:
@@ -54,7 +54,7 @@ class Pieces:
         byte_of = {i: bytes([b]) for b, i in self.bytes.items()}
         self.raw = [byte_of.get(i) or p.replace(MARK, " ").encode() for i, p in enumerate(self.text)]
         self.apart: dict[tuple[str, str], bool] = {}
-        self.memo: dict[str, array] = {}
+        self.memo: dict[str, bytes] = {}
         self.tails: dict[str, str] = {}
         self.reach: dict[str, int] = {}  # the longest piece that ends with these two characters
         for p in self.ids:
@@ -168,32 +168,31 @@ class Pieces:
                     base = to
         yield from ids(path(n))
 
-    def encode(self, text: str) -> array:
-        out = array("i")
-        memo = self.memo
+    def part(self, part: str) -> bytes:
+        """Ids of a part as little-endian 32-bit numbers."""
+        if len(part) > 64:
+            return array("i", self.stream(iter(part))).tobytes()
+        if len(self.memo) >= MEMO:
+            self.memo.clear()
+        found = self.memo[part] = array("i", self.short(part)).tobytes()
+        return found
+
+    def encode(self, text: str) -> bytes:
+        get, part, out = self.memo.get, self.part, []
         for own, plain in enumerate(text.split(MARK) if text else ()):  # a mark of the text's own never meets those of spaces
             if own:
-                out.extend(self.fallback(MARK))
+                out.append(array("i", self.fallback(MARK)).tobytes())
             plain = plain.replace(" ", MARK)
-            for part in PART.findall(plain if own else MARK + plain):
-                ids = memo.get(part)
-                if ids is None:
-                    if len(part) > 64:
-                        out.extend(self.stream(iter(part)))
-                        continue
-                    if len(memo) >= MEMO:
-                        memo.clear()
-                    ids = memo[part] = array("i", self.short(part))
-                out.extend(ids)
-        return out
+            out += [get(p) or part(p) for p in PART.findall(plain if own else MARK + plain)]
+        return b"".join(out)
 
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.raw.__getitem__, ids)).decode("utf-8", "surrogatepass")[1:]
 
 
-def _lists(rows: list[array | None]) -> pa.Array:
-    offsets = np.cumsum([0, *(len(r) if r is not None else 0 for r in rows)]).astype(np.int32)
-    values = pa.array(np.concatenate([np.frombuffer(r, np.int32) for r in rows if r]) if offsets[-1] else np.zeros(0, np.int32))
+def _lists(rows: list[bytes | None]) -> pa.Array:
+    offsets = np.cumsum([0, *(len(r) // 4 if r else 0 for r in rows)]).astype(np.int32)
+    values = pa.array(np.frombuffer(b"".join(r for r in rows if r), np.int32))
     return pa.ListArray.from_arrays(pa.array(offsets), values, mask=pa.array([r is None for r in rows]))
 
 
