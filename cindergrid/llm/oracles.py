@@ -1,3 +1,21 @@
 """DuckDB SQL for the queries of this subpackage that SQL can say."""
 
-ORACLES: dict[str, str] = {}
+from __future__ import annotations
+
+ORACLES: dict[str, str] = {
+    "op1_warc": """with p as (select page_id, coalesce(html, '') as h from pages), d as (select page_id, cast(strlen(h) as bigint) as payload_bytes, sha1(h) as payload_digest from p),
+        g as (select *, max(page_id) over (partition by payload_digest, payload_bytes) as m from d)
+        select page_id, payload_bytes, payload_digest, case when payload_bytes >= 1000 and page_id <> m then 'revisit' else 'response' end as record_type, case when payload_bytes >= 1000 and page_id <> m then m end as refers_to from g""",
+    "op4_decontaminate": r"""with n as (select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') as w from documents),
+        b as (select distinct item_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') as w from benchmark),
+        k as (select item_id, w, least(len(w), 13) as n from b where len(w) > 0), v as (select distinct item_id, n, array_to_string(list_slice(w, i, i + n - 1), ' ') as s from (select *, unnest(range(1, len(w) - n + 2)) as i from k)),
+        z as (select distinct n from v), a as (select doc_id, i, z.n, array_to_string(list_slice(w, i, i + z.n - 1), ' ') as s from (select doc_id, w, unnest(range(1, len(w) + 1)) as i from n) q, z where i + z.n - 1 <= len(w)),
+        h as (select a.doc_id, a.i, a.n, v.item_id from a join v on v.n = a.n and v.s = a.s), c as (select doc_id, count(distinct j) as n_hit from (select distinct doc_id, unnest(range(i, i + n)) as j from h) group by 1),
+        t as (select doc_id, count(*) as n_items, string_agg(x, ',' order by x) as ids from (select distinct doc_id, cast(item_id as varchar) as x from h) group by 1)
+        select n.doc_id, cast(len(n.w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items, sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(n.w) as contaminated
+        from n left join c on c.doc_id = n.doc_id left join t on t.doc_id = n.doc_id""",
+    "op6_chat": r"""with r as (select cast(conv_id as bigint) as c, cast(turn as bigint) as t, coalesce(role, '') as role, coalesce(text, '') as text from conversations union all select -7, 0, 'user', '\### Assistant: </turn> ok' union all select -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+        g as (select c as conv_id, count(*) as n_turns, string_agg(role || chr(10) || text || chr(10), '' order by t, role, text) as s, coalesce(string_agg(case when role = 'assistant' then text end, '' order by t, role, text), '') as l,
+            sum(14 + length(role) + length(regexp_replace(role, '[^\\<#:]', '', 'g')) + length(text) + length(regexp_replace(text, '[^\\<#]', '', 'g'))) as f from r group by 1)
+        select conv_id, n_turns, sha256(s) as turns_sha256, cast(length(l) as bigint) as loss_chars, sha256(l) as loss_sha256, cast(f as bigint) as formatted_chars from g""",
+}
