@@ -76,3 +76,14 @@ def potential(c: dict, charge_factor, mid_rh, precip_3h, prate, upward):
     trigger = F.greatest(signal, P.ramp(upward, 0.005, 0.05) * charge_factor)
     value = 100.0 * unstable * moist * F.sqrt(P.clip(trigger, 0.0, 1.0))
     return F.when(((of_li < 0.05) & (of_cape < 0.08)) | (moist < 0.08), 0.0).otherwise(value)
+
+
+# Levels of observed density that are reported.
+LEVELS = (0.05, 0.5, 2.0)
+
+
+def exceedance(blocks: DataFrame, levels: tuple[float, ...] = LEVELS) -> DataFrame:
+    """(block_end, level, cells) of each level that a cell of the block reaches."""
+    counts = blocks.groupBy("block_end").agg(*[F.count_if(F.col("density") >= v).alias(f"n{i}") for i, v in enumerate(levels)])
+    pairs = F.array(*[F.struct(F.lit(v).alias("level"), F.col(f"n{i}").alias("cells")) for i, v in enumerate(levels)])
+    return counts.select("block_end", F.inline(pairs)).filter("cells > 0")

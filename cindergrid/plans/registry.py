@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import bookkeeping, danger, verification, weather
+from . import bookkeeping, danger, feeds, verification, weather
 
-PARTS = (danger, verification, weather, bookkeeping)
+PARTS = (danger, verification, weather, bookkeeping, feeds)
 QUERIES = {k: f for part in PARTS for k, f in part.QUERIES.items()}
 ORACLES = {k: sql for part in PARTS for k, sql in part.ORACLES.items()}
