@@ -6,7 +6,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from cindergrid.operators import steps
+from cindergrid.operators import catalog, steps
 from cindergrid.sources import feeds, store
 from cindergrid.streaming import blocks
 
@@ -82,3 +82,17 @@ def test_streamed_blocks_route_partial_ones(spark, tmp_path):
     blocks.route_blocks(stream, str(tmp_path / "out"), str(tmp_path / "ckpt")).awaitTermination()
     got = spark.read.parquet(str(tmp_path / "out")).orderBy("cell").collect()
     assert [(r.cell, r.block_end.hour, round(r.total, 6), r.state) for r in got] == [(1, 3, 18.0, "whole"), (2, 3, 1.0, "partial")]
+
+
+def test_a_tree_of_samples_is_one_table(spark, tmp_path):
+    for model, day in (("west", 1), ("continental", 2)):
+        (tmp_path / model / "run").mkdir(parents=True)
+        (tmp_path / model / "run" / f"2026-07-0{day}.csv").write_text(f"station_code,lead_hours\n00{day},{day}.5\n")
+    got = feeds.forecast_samples(spark, str(tmp_path), "station_code string, lead_hours double").orderBy("station_code").collect()
+    assert [tuple(r) for r in got] == [("001", 1.5), ("002", 2.5)]
+
+
+def test_upsert_keeps_the_newest_row(spark):
+    rows = lambda *r: spark.createDataFrame(list(r), "key string, at int, v int")
+    got = catalog.upsert(rows(("a", 1, 1), ("b", 5, 2)), rows(("a", 2, 3), ("b", 4, 4), ("c", 1, 5)), "key", "at")
+    assert sorted(tuple(r) for r in got.collect()) == [("a", 2, 3), ("b", 5, 2), ("c", 1, 5)]
