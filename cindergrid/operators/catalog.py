@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import clock
+
 
 def missing_fields(required: DataFrame, listing: DataFrame) -> DataFrame:
     """(run, fhour, field) that are required (fhour, field) and not listed (run, fhour, field), for every listed run."""
@@ -71,3 +73,30 @@ def droppable_runs(runs: DataFrame, archived: DataFrame, keep: str) -> DataFrame
 
 def links(pages: DataFrame, html: str = "html") -> DataFrame:
     return pages.select("page_id", F.explode(F.regexp_extract_all(F.coalesce(html, F.lit("")), F.lit('href="([^"]+)"'), F.lit(1))).alias("link"))
+
+
+# Fixed value: the twelve bytes that end a whole image of the PNG kind.
+IMAGE_END = "0000000049454E44AE426082"
+
+
+def whole_images(files: DataFrame, content: str = "content") -> DataFrame:
+    """Rows whose bytes end with the image's end marker."""
+    return files.filter(F.substring(F.col(content), -12, 12) == F.unhex(F.lit(IMAGE_END)))
+
+
+def superseded(frames: DataFrame, hours: Column, init: str = "init") -> DataFrame:
+    """Frames (run, init, fhour) of runs that have a whole 12Z window, but for the frame of the window's end."""
+    end = F.element_at(clock.first_12z_hours(F.col(init), hours), -1)
+    return frames.withColumn("_end", end).filter("_end is not null and fhour <> _end").drop("_end")
+
+
+def first_messages(messages: DataFrame, wanted: DataFrame, keys: list[str], order: str, fields: list[str]) -> DataFrame:
+    """wanted (short_name, level_type, level, step) with the fields of each file's (keys) first message that fits, the name
+    in any case. A file that lacks one stays, with found false."""
+    on = ["short_name", "level_type", "level", "step"]
+    want = wanted.withColumn("short_name", F.lower("short_name")).distinct()
+    got = messages.withColumn("short_name", F.lower("short_name")).join(want, on, "left_semi")
+    first = got.groupBy(*keys, *on).agg(F.min_by(F.struct(*fields), order).alias("_m"))
+    listed = want.agg(F.collect_list(F.struct(*on)).alias("_w"))  # a product's own list of fields: tens
+    every = messages.select(*keys).distinct().withColumn("_one", F.lit(1)).join(F.broadcast(listed.withColumn("_one", F.lit(1))), "_one").select(*keys, F.inline("_w"))
+    return every.join(first, [*keys, *on], "left").select(*keys, *on, F.col("_m").isNotNull().alias("found"), *[F.col(f"_m.{f}").alias(f) for f in fields])

@@ -47,3 +47,35 @@ def half_points(potential: Column) -> Column:
     """0 to 100 in steps of a half."""
     inside = F.when(potential < 0, 0.0).when(potential > 100, 100.0).otherwise(potential)
     return F.rint(inside * 2) / 2
+
+
+def grid_fingerprint(cells: DataFrame, by: list[str], order: list[str], fields: list[str]) -> DataFrame:
+    """(by, fingerprint) of a grid: digests of its rows, in blocks of the first order column, then of the blocks, so that no
+    task holds a whole grid's text."""
+    line = F.sha2(F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in [*order, *fields]]), 256)
+    joined = lambda c: F.sha2(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(*(order if c == "_l" else order[:1]), c))), lambda x: x[c]), ""), 256)
+    blocks = cells.withColumn("_l", line).groupBy(*by, order[0]).agg(joined("_l").alias("_b"))
+    return blocks.groupBy(*by).agg(joined("_b").alias("fingerprint"))
+
+
+def save_peaks(days: DataFrame, path: str, allow_partial: bool = False) -> None:
+    """Days (model_key, fire_date, run_stamp, run_init, complete, cutoff_reached, danger, ...): a missing class is stored as
+    0. Days that are neither complete nor (with allow_partial) past the guidance hour are an error."""
+    reached = F.col("complete") | F.col("cutoff_reached")
+    wrong = F.when(~F.col("complete") & F.lit(not allow_partial), "only complete days may be stored").when(~reached, "a partial day must reach the guidance hour")
+    checked = F.when(wrong.isNotNull(), F.raise_error(wrong).cast("byte")).otherwise(F.coalesce("danger", F.lit(0)).cast("byte"))
+    write_hours(days.withColumns({"danger": checked, "cutoff_reached": reached}), path, ["model_key", "fire_date", "run_stamp"])
+
+
+def load_peaks(spark: SparkSession, path: str, as_of: Column) -> DataFrame:
+    """The newest run's rows of each model and day that began at or before as_of."""
+    rows = spark.read.parquet(path).filter((F.col("run_init") <= as_of) & (F.col("complete") | F.col("cutoff_reached")))
+    newest = rows.groupBy("model_key", "fire_date").agg(F.max("run_init").alias("run_init"))
+    rows = rows.join(newest, ["model_key", "fire_date", "run_init"], "left_semi")
+    return rows.withColumn("danger", F.nullif("danger", F.lit(0).cast("byte")))
+
+
+def write_report(df: DataFrame, path: str, order: list[Column], limit: int | None = None) -> None:
+    """One sorted table of text with a header; limit is that of a report."""
+    rows = df.orderBy(*order)
+    (rows if limit is None else rows.limit(limit)).write.mode("overwrite").option("header", True).csv(path)
