@@ -1,10 +1,13 @@
 """Language identification by known words first and shorter character n-grams for the rest.
 
-Learning counts words per language over all labelled rows (partial counts in each task, then a sum by word) and
-n-grams over the counted words. The model keeps at most ``max_languages`` languages, ``max_words`` words a language
-and ``max_grams`` n-grams a language and order, so its size has a bound whatever the corpus; a word beyond the bound
-is scored as any unseen word. Scoring adds, for each word, its log frequency per language; an unseen word takes the
-mean log frequency of its 4-grams, or of its 3-, 2- or 1-grams, whichever order first has a known one.
+Learning counts words per language over all labelled rows (partial counts in each task, then a sum by word) and n-grams
+of whole words over the counted words. Nothing is dropped: every language, word and n-gram keeps its count, in tables
+that grow with the input. Scoring adds, for each word, its log frequency per language; an unseen word takes the mean log
+frequency of its 4-grams, or of its 3-, 2- or 1-grams, whichever order first has a known one.
+
+The most frequent words are scored inside the tasks from a broadcast of at most ``hot`` counts. That is a cache alone:
+all other words of the texts meet the tables in joins by word, so the cache's size changes no result. The languages and
+their totals are the only other thing on the driver.
 
 Nulls and edges: a null text, or one without letters, is ``und`` with score 0; so is every text when nothing can be
 learned. A text with letters that no table knows gets equal scores, and the first language in alphabetical order.
@@ -15,17 +18,21 @@ from __future__ import annotations
 
 import re
 from collections import Counter, defaultdict
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .common import slices, stash
 
 WORD = re.compile(r"[^\W\d_]+")
 ORDERS = (4, 3, 2, 1)
-FLUSH, MEMO = 200_000, 100_000
+FLUSH, HOT = 200_000, 500_000
+HALF = float(np.log(0.5))
 
 
 def words_of(text: str) -> list[str]:
@@ -67,126 +74,156 @@ def _count_grams(batches):
         for lang, word, n in zip(*(c.to_pylist() for c in batch.columns)):
             c = counts[lang]
             for order in ORDERS:
-                for g in grams_of(word[:64], order):
+                for g in grams_of(word, order):
                     c[g] += n
 
     return _counted(batches, of)
 
 
-def _largest(counts: DataFrame, keys: list[str], most: int) -> DataFrame:
-    """The most frequent items of each key: first within 32 hashed parts of it, then among what those leave, so that no
-    task gets all items of a language."""
-    part = F.pmod(F.xxhash64("item"), F.lit(32))
-    order = [F.desc("n"), F.asc("item")]
-    first = Window.partitionBy(*keys, "part").orderBy(*order)
-    last = Window.partitionBy(*keys).orderBy(*order)
-    kept = counts.withColumn("part", part).withColumn("r", F.row_number().over(first)).filter(F.col("r") <= most)
-    return kept.withColumn("r", F.row_number().over(last)).filter(F.col("r") <= most).drop("part", "r")
+def _tabled(counts: DataFrame, langs: list[str], name: str) -> DataFrame:
+    """(item, n, scores array of (lang, gain)) of partial counts (lang, item, n). A language's number stands for it, gain
+    is how far the log of its count lies above that of no count."""
+    at = F.create_map(*(F.lit(x) for pair in zip(langs, range(len(langs))) for x in pair))
+    summed = counts.repartition("item").groupBy("item", "lang").agg(F.sum("n").alias("n"))
+    score = F.struct(at[F.col("lang")].alias("lang"), (F.log(F.col("n") + 0.5) - F.lit(HALF)).alias("gain"))
+    return stash(summed.groupBy("item").agg(F.sum("n").alias("n"), F.collect_list(score).alias("scores")), name)
 
 
+@dataclass
 class Model:
-    """Log frequencies: a row of a matrix for each known word or n-gram, a column for each language."""
-
-    def __init__(self, langs: list[str], words: list[tuple], grams: list[tuple], totals: dict[str, int]):
-        self.langs, at = langs, {x: i for i, x in enumerate(langs)}
-        self.words, self.word_log = self._table(words, at, totals)
-        gram_totals: Counter = Counter()
-        for lang, gram, n in grams:
-            gram_totals[lang, len(gram)] += n
-        self.grams, self.gram_log = self._table(grams, at, gram_totals, by_length=True)
-
-    @staticmethod
-    def _table(rows, at, totals, by_length=False):
-        index = {x: i for i, x in enumerate(dict.fromkeys(item for _, item, _ in rows))}
-        counts = np.zeros((len(index), len(at)))
-        total = np.ones_like(counts)
-        orders: dict = {}
-        for lang, item, n in rows:
-            counts[index[item], at[lang]] = n
-        for item, i in index.items():
-            key = len(item) if by_length else 0
-            if key not in orders:
-                orders[key] = [float(totals.get((x, key) if key else x, 0)) + 1.0 for x in at]
-            total[i] = orders[key]
-        return index, np.log((counts + 0.5) / total).astype(np.float32)
-
-    def backoff(self, word: str) -> list[int]:
-        """Known n-grams of the longest order that has any."""
-        get = self.grams.get
-        for order in ORDERS:
-            known = [i for g in grams_of(word[:64], order) if (i := get(g)) is not None]
-            if known:
-                return known
-        return []
-
-    def predict(self, text: str | None, memo: dict) -> tuple[str, float]:
-        counts = Counter(words_of(text)) if text else None
-        if not counts or not self.langs:
-            return "und", 0.0
-        known, weights, grams, shares, n = [], [], [], [], 0
-        get = self.words.get
-        for word, k in counts.items():
-            n += k
-            i = get(word)
-            if i is not None:
-                known.append(i)
-                weights.append(k)
-                continue
-            g = memo.get(word)
-            if g is None:
-                if len(memo) >= MEMO:
-                    memo.clear()
-                g = memo[word] = self.backoff(word)
-            if g:
-                grams += g
-                shares += [k / len(g)] * len(g)
-        total = np.zeros(len(self.langs))
-        if known:
-            total += np.asarray(weights, np.float32) @ self.word_log[known]
-        if grams:
-            total += np.asarray(shares, np.float32) @ self.gram_log[grams]
-        e = np.exp((total - total.max()) * (min(n, 64) / n))
-        best = int(np.argmax(total))
-        return self.langs[best], float(e[best] / e.sum())
-
-
-def learn(docs: DataFrame, max_languages: int = 64, max_words: int = 30_000, max_grams: int = 20_000) -> Model:
+    """Languages, the log frequency of an item without count (a row for words, then one for n-grams of each length), and
+    the tables of all words and n-grams."""
+
+    langs: list[str]
+    bases: np.ndarray
+    words: DataFrame | None
+    grams: DataFrame | None
+
+
+def learn(docs: DataFrame) -> Model:
     """Learns from text and non-null lang of docs (text, lang)."""
     rows = docs.select("text", "lang").filter("text is not null and lang is not null")
     words = rows.mapInArrow(_count_words, "lang string, item string, n long").groupBy("lang", "item").agg(F.sum("n").alias("n"))
     words = stash(words, "lang-words")
-    totals = {r.lang: r.n for r in words.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(max_languages).collect()}
+    totals = {r.lang: r.n for r in words.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     langs = sorted(totals)
     if not langs:
-        return Model([], [], [], {})
-    words = words.filter(F.col("lang").isin(langs))
-    grams = words.mapInArrow(_count_grams, "lang string, item string, n long").groupBy("lang", "item").agg(F.sum("n").alias("n"))
-    kept = _largest(words.filter("n > 1"), ["lang"], max_words).collect()
-    kept_grams = _largest(grams.withColumn("o", F.length("item")), ["lang", "o"], max_grams).drop("o").collect()
-    return Model(langs, [tuple(r) for r in kept], [(r.lang, r.item, r.n) for r in kept_grams], totals)
+        return Model([], np.zeros((0, 0)), None, None)
+    grams = stash(words.mapInArrow(_count_grams, "lang string, item string, n long").groupBy("lang", "item").agg(F.sum("n").alias("n")), "lang-grams")
+    gram_totals = {(r.lang, r.o): r.n for r in grams.groupBy("lang", F.length("item").alias("o")).agg(F.sum("n").alias("n")).collect()}
+    seen = [[totals[x] for x in langs], *([gram_totals.get((x, o), 0) for x in langs] for o in range(1, max(ORDERS) + 1))]
+    return Model(langs, HALF - np.log(np.array(seen, float) + 1.0), _tabled(words, langs, "word-scores"), _tabled(grams, langs, "gram-scores"))
 
 
-def predict(docs: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, held over as it is; lang_pred; score) for every row of docs (doc_id, text)."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by max_languages, max_words and max_grams
-
-    def scored(batches):
-        memo: dict = {}
+def _word_grams(order: int):
+    def made(batches):
         for batch in slices(batches):
-            got = [shared.value.predict(t, memo) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x for x, _ in got], pa.string()), pa.array([s for _, s in got], pa.float64())], ["doc_id", "lang_pred", "score"])
-
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(scored, "doc_id long, lang_pred string, score double")
+            rows = [(w, g, k) for w in batch.column(0).to_pylist() for g, k in Counter(grams_of(w, order)).items()]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.string(), pa.string(), pa.int64()))], ["word", "item", "k"])
+
+    return made
+
+
+def _backed_off(unseen: DataFrame, model: Model) -> DataFrame:
+    """(item, scores) of the unseen words (item) that have a known n-gram: the mean gain of those of the longest order
+    that has any. The score of number -1 - order is 1."""
+    unseen, found = stash(unseen, "unseen-words"), None
+    for order in ORDERS:
+        rows = unseen.mapInArrow(_word_grams(order), "word string, item string, k long").join(model.grams.select("item", "scores"), "item")
+        each = F.explode(F.concat(F.array(F.struct(F.lit(-1 - order).alias("lang"), F.lit(1.0).alias("gain"))), "scores")).alias("s")
+        sums = rows.select("word", "k", each).groupBy("word", "s.lang").agg(F.sum(F.col("k") * F.col("s.gain")).alias("gain"))
+        sums = sums.groupBy("word").agg(F.collect_list(F.struct("lang", "gain")).alias("scores"))
+        known = F.element_at(F.filter("scores", lambda s: s["lang"] < 0), 1)["gain"]
+        sums = sums.select(F.col("word").alias("item"), F.transform("scores", lambda s: F.struct(s["lang"].alias("lang"), (s["gain"] / known).alias("gain"))).alias("scores"))
+        sums = stash(sums, "backed-off")
+        found = sums if found is None else found.unionByName(sums)
+        unseen = stash(unseen.join(sums, "item", "left_anti"), "unseen-words")
+        if not unseen.head(1):
+            break
+    return found
+
+
+def _scored(docs: DataFrame, keep: list[str], model: Model, hot: int) -> tuple[DataFrame, DataFrame]:
+    """These columns of docs with a number of each row (_rid), and (_rid, lang_pred, score) of all rows."""
+    spark, at, langs, bases = docs.sparkSession, docs.columns.index("text"), model.langs, model.bases
+    index: dict[str, int] = {}
+    gains = np.zeros((0, len(langs)))
+    if langs:
+        top = model.words.orderBy(F.desc("n"), "item").limit(hot // len(langs)).select("item", "scores").collect()
+        index = {r.item: i for i, r in enumerate(top)}
+        gains = np.tile(bases[0], (len(top), 1)).astype(np.float64)
+        for i, r in enumerate(top):
+            for lang, gain in r.scores:
+                gains[i, lang] += gain
+    shared = spark.sparkContext.broadcast((index, gains))  # at most `hot` numbers, whatever the input
+    extra = pa.schema([("_rid", pa.int64()), ("_n", pa.int64()), ("_sum", pa.list_(pa.float64())), ("_items", pa.list_(pa.string())), ("_ks", pa.list_(pa.int64()))])
+
+    def begun(batches):
+        (index, gains), rid = shared.value, TaskContext.get().partitionId() << 40
+        for batch in slices(batches):
+            rows = []
+            for text in batch.column(at).to_pylist():
+                counts = Counter(words_of(text)) if text else {}
+                known, weights, items, ks = [], [], [], []
+                for word, k in counts.items():
+                    i = index.get(word)
+                    if i is None:
+                        items.append(word)
+                        ks.append(k)
+                    else:
+                        known.append(i)
+                        weights.append(k)
+                total = np.asarray(weights, np.float64) @ gains[known] if known else np.zeros(len(langs))
+                rows.append((rid, sum(weights) + sum(ks), total, items, ks))
+                rid += 1
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in held), *(pa.array(c, f.type) for c, f in zip(zip(*rows), extra))], names=[*(batch.schema.names[i] for i in held), *extra.names])
+
+    held = [i for i, c in enumerate(docs.columns) if c in keep]
+    more = StructType.fromDDL("_rid long, _n long, _sum array<double>, _items array<string>, _ks array<long>")
+    schema = StructType([*(docs.schema[i] for i in held), *more])
+    rows = stash(docs.mapInArrow(begun, schema), "lang-rows")
+    done = rows.select("_rid", "_n", "_sum")
+    if langs:
+        rest = rows.select("_rid", F.explode(F.arrays_zip("_items", "_ks")).alias("w")).select("_rid", F.col("w._items").alias("item"), F.col("w._ks").alias("k"))
+        items = stash(rest.select("item").distinct().join(model.words.select("item", "scores"), "item", "left"), "text-words")
+        one = F.array(F.struct(F.lit(-1).alias("lang"), F.lit(1.0).alias("gain")))
+        looked_up = items.filter("scores is not null").select("item", F.concat(one, "scores").alias("scores"))
+        looked_up = looked_up.unionByName(_backed_off(items.filter("scores is null").select("item"), model))
+        more = rest.join(looked_up, "item").select("_rid", "k", F.explode("scores").alias("s")).groupBy("_rid", "s.lang").agg(F.sum(F.col("k") * F.col("s.gain")).alias("gain"))
+        more = more.groupBy("_rid").agg(F.collect_list("lang").alias("_langs"), F.collect_list("gain").alias("_gains"))
+        done = done.join(more, "_rid", "left")
+    else:
+        done = done.withColumns({"_langs": F.lit(None).cast("array<int>"), "_gains": F.lit(None).cast("array<double>")})
+
+    def ended(batches):
+        for batch in slices(batches):
+            told = []
+            for n, total, numbers, values in zip(*(c.to_pylist() for c in batch.columns[1:])):
+                if not n or not langs:
+                    told.append(("und", 0.0))
+                    continue
+                total = np.asarray(total, np.float64)
+                for i, v in zip(numbers or (), values or ()):
+                    if i < 0:
+                        total += v * bases[-1 - i]
+                    else:
+                        total[i] += v
+                e = np.exp((total - total.max()) * (min(n, 64) / n))
+                best = int(np.argmax(total))
+                told.append((langs[best], float(e[best] / e.sum())))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x for x, _ in told], pa.string()), pa.array([s for _, s in told], pa.float64())], ["_rid", "lang_pred", "score"])
+
+    return rows, done.select("_rid", "_n", "_sum", "_langs", "_gains").mapInArrow(ended, "_rid long, lang_pred string, score double")
+
+
+def predict(docs: DataFrame, model: Model, hot: int = HOT) -> DataFrame:
+    """(doc_id, held over as it is; lang_pred; score) for every row of docs (doc_id, text)."""
+    rows, told = _scored(docs.select(F.col("doc_id").cast("long"), "text"), ["doc_id"], model, hot)
+    return rows.select("_rid", "doc_id").join(told, "_rid").drop("_rid")
 
 
-def keep_known(docs: DataFrame, model: Model, min_score: float = 0.5) -> DataFrame:
+def keep_known(docs: DataFrame, model: Model, min_score: float = 0.5, hot: int = HOT) -> DataFrame:
     """The rows of docs, with all their columns, whose language is predicted with min_score at least."""
-    shared, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index("text")
-
-    def kept(batches):
-        memo: dict = {}
-        for batch in slices(batches):
-            got = (shared.value.predict(t, memo) for t in batch.column(at).to_pylist())
-            yield batch.filter(pa.array([x != "und" and s >= min_score for x, s in got], pa.bool_()))
-
-    return docs.mapInArrow(kept, docs.schema)
+    rows, told = _scored(docs, docs.columns, model, hot)
+    good = told.filter((F.col("lang_pred") != "und") & (F.col("score") >= min_score)).select("_rid")
+    return rows.select("_rid", *docs.columns).join(good, "_rid", "left_semi").select(*docs.columns)

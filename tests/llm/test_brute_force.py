@@ -63,6 +63,52 @@ def test_language(spark):
     assert kept.columns == docs(spark).columns
 
 
+def test_language_keeps_every_count(spark):
+    """More languages than 64, words seen once, words that differ after 64 letters, and any size of the cache."""
+    import math
+    import random
+
+    rng = random.Random(3)
+    vocabulary = ["".join(rng.choice("abcdefgh") for _ in range(rng.randrange(1, 7))) for _ in range(300)] + ["q" * 70 + x for x in "uvw"]
+    train = [(i, " ".join(rng.choice(vocabulary) for _ in range(12)), f"l{i % 70:02}") for i in range(280)]
+    tests = [(i, " ".join([*(rng.choice(vocabulary) for _ in range(6)), *(rng.choice(["abcq", "zzhgz", "ÿ", "zh", "q" * 70 + "uz"]) for _ in range(3))])) for i in range(60)]
+    total, grams, known = defaultdict(Counter), defaultdict(Counter), set()
+    for _, text, lang in train:
+        total[lang].update(text.split())
+    for lang, c in total.items():
+        for w, n in c.items():
+            for o in (1, 2, 3, 4):
+                for g in langid.grams_of(w, o):
+                    grams[lang, o][g] += n
+                    known.add(g)
+    words_known, langs = {w for c in total.values() for w in c}, sorted(total)
+    sums = {x: (sum(total[x].values()), *(sum(grams[x, o].values()) for o in (1, 2, 3, 4))) for x in langs}
+    want = {}
+    for i, text in tests:
+        logs = []
+        for x in langs:
+            s = 0.0
+            for w in text.split():
+                if w in words_known:
+                    s += math.log((total[x][w] + 0.5) / (sums[x][0] + 1))
+                    continue
+                for o in (4, 3, 2, 1):
+                    g = [y for y in langid.grams_of(w, o) if y in known]
+                    if g:
+                        s += sum(math.log((grams[x, o][y] + 0.5) / (sums[x][o] + 1)) for y in g) / len(g)
+                        break
+            logs.append(s)
+        e = [math.exp(s - max(logs)) for s in logs]
+        want[i] = (langs[logs.index(max(logs))], max(e) / sum(e))
+    model = langid.learn(spark.createDataFrame(train, "doc_id long, text string, lang string"))
+    for hot in (70, 7000, langid.HOT):
+        got = {r.doc_id: r for r in langid.predict(docs(spark, tests), model, hot=hot).collect()}
+        assert len(got) == len(tests) and {i: r.lang_pred for i, r in got.items()} == {i: x for i, (x, _) in want.items()}
+        assert all(abs(r.score - want[i][1]) < 1e-9 for i, r in got.items())
+    kept = langid.keep_known(docs(spark, tests), model, min_score=0.3, hot=70)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(i for i, (_, s) in want.items() if s >= 0.3)
+
+
 def test_held_out_language(spark):
     d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang")
     got = QUERIES["op2_language"](spark, "/root/testdata/sf0.01").join(d, "doc_id").filter("held_out and lang is not null")
