@@ -159,6 +159,24 @@ def test_decontamination(spark):
     assert decontam.without("One, two three. Four!", [(1, 3)]) == "One, . Four!"
 
 
+def test_spans_are_cut(spark):
+    """clean(cut_words=13): texts over the limit go, hit runs of 13 words and more go from those that stay."""
+    passage = [f"p{i}" for i in range(30)]
+    bench = spark.createDataFrame([(1, " ".join(passage)), (2, "one two")], "item_id long, text string")
+    fill = lambda k, n: [f"f{k}_{i}" for i in range(n)]
+    rows = [(1, fill(1, 500) + passage[:15] + fill(2, 400)), (2, fill(1, 50) + passage), (3, passage[3:17] + fill(3, 600) + ["one", "two"] + passage[:12]), (4, fill(4, 9))]
+    got = {r.doc_id: r.text for r in decontam.clean(docs(spark, [(i, " ".join(w)) for i, w in rows]), bench, cut_words=13).collect()}
+    windows = {tuple(passage[a : a + 13]) for a in range(18)} | {("one", "two")}
+    want = {}
+    for i, w in rows:
+        hit = {j for x in windows for a in range(len(w)) if tuple(w[a : a + len(x)]) == x for j in range(a, a + len(x))}
+        if not hit or 20 * len(hit) < len(w):
+            runs = [[j for j in range(a, len(w))][: next((k for k in range(len(w) - a) if a + k not in hit), len(w) - a)] for a in sorted(hit) if a - 1 not in hit]
+            gone = {j for r in runs if len(r) >= 13 for j in r}
+            want[i] = [x for j, x in enumerate(w) if j not in gone]
+    assert set(want) == {1, 3, 4} and {i: t.split() for i, t in got.items()} == want
+
+
 def test_automaton_blocks_agree(spark):
     bench = spark.createDataFrame([(i, f"w{i} " * 3 + "common phrase of five words here") for i in range(20)], "item_id long, text string")
     one, many = decontam.automata(bench), decontam.automata(bench, block_words=15)
