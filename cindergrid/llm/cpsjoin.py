@@ -6,10 +6,11 @@
    one in a quarter of cases, so 1 / 0.8 on average), and each class goes to the child named by its own minimum there.
    Nodes with one class end; nodes of at most ``limit`` classes are compared exhaustively; larger ones branch again.
    What is still larger after ``depth`` levels is compared exhaustively too, by pairs of blocks, so nothing is capped.
+   The classes of nodes that branch again get further trees, until a pair of similarity 0.8 shares no compared node with
+   a chance of ``miss`` at most at the deepest level reached (8 trees at level 1, 11 at level 2, 22 at level 6).
 3. Comparing inside a node uses the signatures and keeps pairs whose estimate is 0.62 or more, of which it gives a
    spanning forest. These links join classes to candidate groups. (A pair of similarity 0.8 falls short of that
-   estimate with a chance below one in 100,000, and shares no node of any tree with a far smaller one for groups that
-   are compared at the first level.)
+   estimate with a chance below one in 100,000; that of sharing no compared node comes on top.)
 4. Within each candidate group all pairs are confirmed on the full sets, in blocks, and again a spanning forest of the
    confirmed links is given. Components of those links are the result.
 
@@ -117,8 +118,8 @@ def _children(path: np.ndarray, rep: np.ndarray, sig: np.ndarray) -> tuple[np.nd
     return np.concatenate(out_path), np.concatenate(out_rep)
 
 
-def _branch(rows: DataFrame, trees: int | None = None) -> DataFrame:
-    """(path, rep) of the children of rows (path, rep, signature), or of the roots of `trees` trees for rows (rep, signature)."""
+def _branch(rows: DataFrame, trees: range | None = None) -> DataFrame:
+    """(path, rep) of the children of rows (path, rep, signature), or of the roots of these trees for rows (rep, signature)."""
 
     def made(batches):
         for batch in slices(batches, 2000):
@@ -127,7 +128,7 @@ def _branch(rows: DataFrame, trees: int | None = None) -> DataFrame:
             if trees is None:
                 starts = [batch.column("path").to_numpy(zero_copy_only=False).view(np.uint64)]
             else:
-                starts = [np.full(len(rep), t * 1_000_003 + 17, np.uint64) for t in range(trees)]
+                starts = [np.full(len(rep), t * 1_000_003 + 17, np.uint64) for t in trees]
             for start in starts:
                 path, own = _children(start, rep, sig)
                 yield pa.RecordBatch.from_arrays([pa.array(path.view(np.int64)), pa.array(own)], ["path", "rep"])
@@ -247,14 +248,19 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, trees: int = 8, limit: int = 512, depth: int = 6) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every row of docs (doc_id, text)."""
-    profile = stash(profiles(docs, width), "profiles")
-    some = profile.filter("n_shingles > 0 and doc_id is not null")
-    classes = stash(some.groupBy("set_key").agg(F.min(F.struct("doc_id", "signature")).alias("m")).select("set_key", F.col("m.doc_id").alias("rep"), "m.signature"), "classes")
-    reps = classes.select("rep", "signature")
+def trees_needed(level: int, miss: float, similarity: float = 0.8) -> int:
+    """Trees after which a pair of this similarity has met in no node of this level with a chance of miss at most. A root
+    is taken to have one coordinate; below it a node has one, in a quarter of cases two."""
+    apart = 1 - similarity
+    for _ in range(level - 1):
+        apart = 1 - similarity + similarity * (0.75 * apart + 0.25 * apart * apart)
+    return int(np.ceil(np.log(miss) / np.log(apart)))
+
 
-    nodes, leaves = _branch(reps, trees), []
+def _nodes(reps: DataFrame, trees: range, limit: int, depth: int) -> tuple[list[DataFrame], DataFrame | None, int]:
+    """(path, rep, n) of the nodes of these trees that are compared, the classes of nodes that branched at the first
+    level (None without any), and the deepest level."""
+    nodes, leaves, branched = _branch(reps, trees), [], None
     for level in range(1, depth + 1):
         rows = stash(nodes, "nodes")
         sizes = rows.groupBy("path").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
@@ -262,8 +268,26 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, trees: i
         leaves.append(rows.filter(F.col("n") <= limit) if level < depth else rows)
         heavy = rows.filter(F.col("n") > limit)
         if level == depth or not heavy.head(1):
-            break
+            return leaves, branched, level
+        if level == 1:
+            branched = heavy.select("rep").distinct()
         nodes = _branch(heavy.join(reps, "rep").select("path", "rep", "signature"))
+    return leaves, branched, depth
+
+
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, trees: int = 8, limit: int = 512, depth: int = 6, miss: float = 1e-5) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) of every row of docs (doc_id, text)."""
+    profile = stash(profiles(docs, width), "profiles")
+    some = profile.filter("n_shingles > 0 and doc_id is not null")
+    classes = stash(some.groupBy("set_key").agg(F.min(F.struct("doc_id", "signature")).alias("m")).select("set_key", F.col("m.doc_id").alias("rep"), "m.signature"), "classes")
+    reps = classes.select("rep", "signature")
+
+    leaves, crowded, deepest = _nodes(reps, range(trees), limit, depth)
+    grown = trees
+    while crowded is not None and (needed := trees_needed(deepest, miss)) > grown:
+        again = stash(reps.join(crowded, "rep", "left_semi"), "crowded")
+        more, _, level = _nodes(again, range(grown, needed), limit, depth)
+        leaves, grown, deepest = leaves + more, needed, max(deepest, level)
     leaf = leaves[0]
     for more in leaves[1:]:
         leaf = leaf.unionByName(more)

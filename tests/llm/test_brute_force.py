@@ -304,6 +304,24 @@ def test_near_duplicates(spark, settings):
     assert all(r.kept == (r.doc_id == r.component_id) and r.n_shingles == len(shingles(dict(rows)[r.doc_id], 4)) for r in got)
 
 
+def test_trees_follow_the_depth(spark):
+    assert [cpsjoin.trees_needed(level, 1e-5) for level in (1, 2, 6)] == [8, 11, 22]
+    shared = " ".join(f"s{i}" for i in range(120))
+    rows = [(i, shared + " " + " ".join(f"u{i}x{j}" for j in range(40))) for i in range(600)]
+    rows += [(1000 + i, t.rsplit(" ", 4)[0] + f" v{i} v v v") for i, (_, t) in enumerate(rows[:40])]
+    reps = spark.createDataFrame([(i, bytearray(cpsjoin.signature(cpsjoin.Shingles(4)(t)).tobytes())) for i, t in rows], "rep long, signature binary")
+    leaves, crowded, deepest = cpsjoin._nodes(reps, range(8), 64, 4)
+    assert crowded.count() == len(rows) and deepest == 4
+    grown, real = [], cpsjoin._branch
+    try:
+        cpsjoin._branch = lambda d, trees=None: (grown.extend(trees or ()), real(d, trees))[1]
+        got = {r.doc_id: r.component_id for r in cpsjoin.near_duplicates(docs(spark, rows), width=4, limit=64, depth=4).collect()}
+    finally:
+        cpsjoin._branch = real
+    assert grown == list(range(cpsjoin.trees_needed(4, 1e-5)))
+    assert got == components({i: shingles(t, 4) for i, t in rows})
+
+
 def test_near_duplicates_edges(spark):
     got = cpsjoin.near_duplicates(docs(spark), width=4).collect()
     assert len(got) == len(TEXTS)
