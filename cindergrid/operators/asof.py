@@ -2,21 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def newest_before(wanted: DataFrame, products: DataFrame, on: list[str], as_of: str, init: str, fields: list[str]) -> DataFrame:
     """wanted with the fields of the newest product with equal `on` and init <= as_of; null where there is none."""
     ids = wanted.columns
-    pairs = wanted.join(products.select(*on, F.col(init).alias("_init"), F.struct(init, *fields).alias("_p")), on).filter(F.col("_init") <= F.col(as_of))
-    best = pairs.groupBy(*ids).agg(F.max_by("_p", F.struct("_init", "_p")).alias("_p"))
-    same = [F.col(f"w.{c}").eqNullSafe(F.col(f"b.{c}")) for c in ids]
-    cond = same[0]
-    for c in same[1:]:
-        cond = cond & c
-    got = wanted.alias("w").join(best.alias("b"), cond, "left")
-    return got.select(*[f"w.{c}" for c in ids], *[F.col(f"b._p.{f}").alias(f"found_{f}") for f in [init, *fields]])
+    some = F.col(init).isNotNull()
+    for c in on:
+        some = some & F.col(c).isNotNull()
+    w = wanted.select(*[F.col(c).alias(f"_k_{c}") for c in on], F.col(as_of).alias("_t"), F.lit(1).alias("_asks"), F.struct(*ids).alias("_w"))
+    p = products.filter(some).select(*[F.col(c).alias(f"_k_{c}") for c in on], F.col(init).alias("_t"), F.lit(0).alias("_asks"), F.struct(init, *fields).alias("_p"))
+    order = Window.partitionBy(*[f"_k_{c}" for c in on]).orderBy("_t", "_asks", "_p").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    got = w.unionByName(p, allowMissingColumns=True).withColumn("_p", F.last("_p", ignorenulls=True).over(order)).filter("_asks = 1")
+    return got.select(*[F.col(f"_w.{c}").alias(c) for c in ids], *[F.col(f"_p.{f}").alias(f"found_{f}") for f in [init, *fields]])
 
 
 def newest_with_days_back(wanted: DataFrame, products: DataFrame, on: list[str], day: str, as_of: str, init: str, back: int = 1) -> DataFrame:
@@ -36,9 +36,8 @@ def anchor_days(runs: DataFrame, init: str, local_date: str, count: int = 4, hou
 
 def bridge_run(wanted: DataFrame, runs: DataFrame, on: list[str], anchor: str, target: str, init: str, reach_hours: int = 48) -> DataFrame:
     """(on, anchor, target, bridge): the newest run with init <= anchor that reaches target."""
-    pairs = wanted.join(runs.select(*on, F.col(init).alias("_i")), on)
-    ok = (F.col("_i") <= F.col(anchor)) & (F.col("_i") + F.make_dt_interval(hours=F.lit(reach_hours)) >= F.col(target))
-    return pairs.filter(ok).groupBy(*on, anchor, target).agg(F.max("_i").alias("bridge"))
+    found = newest_before(wanted.select(*on, anchor, target).distinct(), runs, on, anchor, init, []).withColumnRenamed(f"found_{init}", "bridge")
+    return found.filter(F.col("bridge") + F.make_dt_interval(hours=F.lit(reach_hours)) >= F.col(target))
 
 
 def previous_state(wanted: DataFrame, states: DataFrame, on: list[str], hour: str, lags: tuple[int, ...] = (6, 12, 18, 24)) -> DataFrame:
