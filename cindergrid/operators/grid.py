@@ -119,22 +119,27 @@ def downslope_gust(grid: DataFrame, keys: list[str], spacing: float, radius_km:
     return g.withColumns({"slope_index": across, "mask": mask, "gust": F.when(mask, F.greatest("regular", candidate)).otherwise(F.col("regular"))}).drop("_over")
 
 
-def fill_nearest(grid: DataFrame, keys: list[str], value: str, first_radius: int = 4, rounds: int = 3) -> DataFrame:
+def fill_nearest(grid: DataFrame, keys: list[str], value: str, first_radius: int = 4) -> DataFrame:
     """Missing cells take the value of the nearest cell that has one (ties: smaller iy, then ix). Buckets of growing
-    size make it an equi-join; a cell found within a bucket's side is settled, the rest go on. Cells farther than the
-    last radius (first_radius * 4 ** (rounds - 1)) stay missing."""
+    size make it an equi-join; a cell found within a bucket's side is settled, the rest go on until none is left. Only
+    the known cells with an unknown one beside them can be nearest. A grid (keys) without any known cell stays missing."""
     known = grid.filter(F.col(value).isNotNull()).select(*keys, "iy", "ix", F.col(value).alias("_v"))
+    beside = F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in ((-1, 0), (1, 0), (0, -1), (0, 1))]))
+    around = known.select(*keys, "iy", "ix", beside.alias("_o")).select(*keys, (F.col("iy") + F.col("_o.a")).alias("iy"), (F.col("ix") + F.col("_o.b")).alias("ix"))
+    inner = around.groupBy(*keys, "iy", "ix").agg(F.count(F.lit(1)).alias("_n")).filter("_n >= 4").drop("_n")
+    edge = known.join(inner, [*keys, "iy", "ix"], "left_anti").persist()
     todo = grid.filter(F.col(value).isNull()).select(*keys, "iy", "ix")
+    todo = (todo.join(known.select(*keys).distinct(), keys, "left_semi") if keys else todo if known.head(1) else todo.limit(0)).persist()
     found, side = None, first_radius
-    for _ in range(rounds):
-        cells = known.select(*keys, F.floor(F.col("iy") / side).alias("_by"), F.floor(F.col("ix") / side).alias("_bx"), F.col("iy").alias("_y"), F.col("ix").alias("_x"), "_v")
+    while found is None or todo.head(1):
+        cells = edge.select(*keys, F.floor(F.col("iy") / side).alias("_by"), F.floor(F.col("ix") / side).alias("_bx"), F.col("iy").alias("_y"), F.col("ix").alias("_x"), "_v")
         near = todo.select("*", F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in (-1, 0, 1) for b in (-1, 0, 1)])).alias("_o"))
         near = near.withColumns({"_by": F.floor(F.col("iy") / side) + F.col("_o.a"), "_bx": F.floor(F.col("ix") / side) + F.col("_o.b")}).drop("_o")
         d2 = (F.col("iy") - F.col("_y")) * (F.col("iy") - F.col("_y")) + (F.col("ix") - F.col("_x")) * (F.col("ix") - F.col("_x"))
         got = near.join(cells, [*keys, "_by", "_bx"]).withColumn("_d2", d2).filter(F.col("_d2") <= side * side)
-        got = got.groupBy(*keys, "iy", "ix").agg(F.min_by("_v", F.struct("_d2", "_y", "_x")).alias("_v"))
+        got = got.groupBy(*keys, "iy", "ix").agg(F.min_by("_v", F.struct("_d2", "_y", "_x")).alias("_v")).persist()
         found = got if found is None else found.unionByName(got)
-        todo = todo.join(got.select(*keys, "iy", "ix"), [*keys, "iy", "ix"], "left_anti")
+        todo = todo.join(got.select(*keys, "iy", "ix"), [*keys, "iy", "ix"], "left_anti").persist()
         side *= 4
     return grid.join(found, [*keys, "iy", "ix"], "left").withColumn(value, F.coalesce(F.col(value), F.col("_v"))).drop("_v")
 
