@@ -3,7 +3,8 @@
 Learning counts words per language over all labelled rows (partial counts in each task, then a sum by word) and n-grams
 of whole words over the counted words. Nothing is dropped: every language, word and n-gram keeps its count, in tables
 that grow with the input. Scoring adds, for each word, its log frequency per language; an unseen word takes the mean log
-frequency of its 4-grams, or of its 3-, 2- or 1-grams, whichever order first has a known one.
+frequency of its 4-grams, or of its 3-, 2- or 1-grams, whichever order first has a known one. The score is the share of
+the best language in the exponentials of the sums, at every length of text.
 
 The most frequent words are scored inside the tasks from a broadcast of at most ``hot`` counts. That is a cache alone:
 all other words of the texts meet the tables in joins by word, so the cache's size changes no result. The languages and
@@ -17,6 +18,7 @@ Rows with a null lang teach nothing. Ties go to the first language. Other column
 from __future__ import annotations
 
 import re
+import sys
 from collections import Counter, defaultdict
 from dataclasses import dataclass
 
@@ -29,14 +31,17 @@ from pyspark.sql.types import StructType
 
 from .common import slices, stash
 
-WORD = re.compile(r"[^\W\d_]+")
+#: Numbers that are neither letters nor decimal digits (fractions, superscripts, Roman numerals) are in no word.
+NUMBERS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
+WORD, NO_NUMBER = re.compile(r"[^\W\d_]+"), re.compile(rf"[^{NUMBERS}]+")
 ORDERS = (4, 3, 2, 1)
 FLUSH, HOT = 200_000, 500_000
 HALF = float(np.log(0.5))
 
 
 def words_of(text: str) -> list[str]:
-    return WORD.findall(text.lower())
+    found = WORD.findall(text.lower())
+    return found if all(map(str.isalpha, found)) else [part for word in found for part in NO_NUMBER.findall(word)]
 
 
 def grams_of(word: str, n: int) -> list[str]:
@@ -51,7 +56,8 @@ def _counted(batches, of):
     def out():
         rows = [(a, b, n) for a, c in counts.items() for b, n in c.items()]
         counts.clear()
-        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), (pa.string(), pa.string(), pa.int64()))], ["lang", "item", "n"])
+        columns = zip(*rows) if rows else ((), (), ())
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, (pa.string(), pa.string(), pa.int64()))], ["lang", "item", "n"])
 
     for batch in slices(batches):
         of(counts, batch)
@@ -208,7 +214,7 @@ def _scored(docs: DataFrame, keep: list[str], model: Model, hot: int) -> tuple[D
                         total += v * bases[-1 - i]
                     else:
                         total[i] += v
-                e = np.exp((total - total.max()) * (min(n, 64) / n))
+                e = np.exp(total - total.max())
                 best = int(np.argmax(total))
                 told.append((langs[best], float(e[best] / e.sum())))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x for x, _ in told], pa.string()), pa.array([s for _, s in told], pa.float64())], ["_rid", "lang_pred", "score"])

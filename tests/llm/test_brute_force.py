@@ -63,6 +63,20 @@ def test_language(spark):
     assert kept.columns == docs(spark).columns
 
 
+def test_language_words_are_letters(spark):
+    """Fractions, superscripts and Roman numerals are no letters; a word counts whole, whatever its length; ties go to the first language."""
+    assert langid.words_of("½ ² Ⅷ x²y 12a ÜNÏ漢字_q") == ["x", "y", "a", "ünï漢字", "q"]
+    long = "ab" * 5000
+    train = [(i, f"{long}{x} {x}", lang) for i, (x, lang) in enumerate([("c", "en"), ("d", "de")])]
+    model = langid.learn(spark.createDataFrame([*train, (7, "½ ²", "fr"), (8, None, "fr"), (9, "x", None)], "doc_id long, text string, lang string"))
+    assert model.langs == ["de", "en"]
+    tests = [(1, "½ ²"), (2, f"{long}c"), (3, f"{long}d"), (4, "漢字"), (5, "c d"), (5, "c d"), (None, "c")]
+    got = langid.predict(docs(spark, tests), model).collect()
+    want = {1: "und", 2: "en", 3: "de", 4: "de", 5: "de", None: "en"}
+    assert len(got) == len(tests) and all(r.lang_pred == want[r.doc_id] for r in got)
+    assert all(abs(r.score - 0.5) < 1e-9 for r in got if r.doc_id in (4, 5))
+
+
 def test_language_keeps_every_count(spark):
     """More languages than 64, words seen once, words that differ after 64 letters, and any size of the cache."""
     import math
