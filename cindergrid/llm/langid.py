@@ -35,7 +35,7 @@ from .common import slices, stash
 NUMBERS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
 WORD, NO_NUMBER = re.compile(r"[^\W\d_]+"), re.compile(rf"[^{NUMBERS}]+")
 ORDERS = (4, 3, 2, 1)
-FLUSH, HOT = 200_000, 500_000
+FLUSH, HOT = 200_000, 2_000_000
 HALF = float(np.log(0.5))
 
 
@@ -149,18 +149,31 @@ def _backed_off(unseen: DataFrame, model: Model) -> DataFrame:
     return found
 
 
+def _frequent(words: DataFrame, most: int) -> DataFrame:
+    """The words (item, n, scores) with the largest counts, at most so many: those above the least count, of a fixed
+    ladder of counts, that no more words reach."""
+    step = F.floor(F.log2("n") * 8)
+    held, least = 0, None
+    for r in words.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("step")).collect():
+        held += r.n
+        if held > most:
+            break
+        least = r.step
+    return words.filter(step >= least if least is not None else F.lit(False))
+
+
 def _scored(docs: DataFrame, keep: list[str], model: Model, hot: int) -> tuple[DataFrame, DataFrame]:
     """These columns of docs with a number of each row (_rid), and (_rid, lang_pred, score) of all rows."""
     spark, at, langs, bases = docs.sparkSession, docs.columns.index("text"), model.langs, model.bases
     index: dict[str, int] = {}
     gains = np.zeros((0, len(langs)))
     if langs:
-        top = model.words.orderBy(F.desc("n"), "item").limit(hot // len(langs)).select("item", "scores").collect()
-        index = {r.item: i for i, r in enumerate(top)}
-        gains = np.tile(bases[0], (len(top), 1)).astype(np.float64)
-        for i, r in enumerate(top):
-            for lang, gain in r.scores:
-                gains[i, lang] += gain
+        top = _frequent(model.words, hot // len(langs)).select("item", "scores.lang", "scores.gain").toArrow().combine_chunks()
+        index = {x: i for i, x in enumerate(top.column("item").to_pylist())}
+        gains = np.tile(bases[0], (len(index), 1))
+        if index:
+            number, gain = (top.column(c).combine_chunks() for c in ("lang", "gain"))
+            gains[np.repeat(np.arange(len(index)), np.diff(number.offsets.to_numpy())), number.flatten().to_numpy()] += gain.flatten().to_numpy()
     shared = spark.sparkContext.broadcast((index, gains))  # at most `hot` numbers, whatever the input
     extra = pa.schema([("_rid", pa.int64()), ("_n", pa.int64()), ("_sum", pa.list_(pa.float64())), ("_items", pa.list_(pa.string())), ("_ks", pa.list_(pa.int64()))])
 
