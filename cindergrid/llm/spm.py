@@ -5,8 +5,9 @@ Viterbi pass with BPE's own rule in place of the sum: a path may go from one pie
 the two apart, and then every boundary has exactly one surviving piece (a sequence of pieces is BPE's encoding just
 when each adjacent pair is). A window of the last ``longest piece`` boundaries holds the surviving backpointers; as soon
 as all of them lead back to one boundary, the ids up to it are committed, so memory is bounded whatever the text's
-length. No piece has a space mark after another character, so boundaries before such marks always commit; the parts
-between them are looked up in a bounded memo.
+length. No piece has a space mark after another character, nor a letter beside a full stop and so on (the sets are read
+off the vocabulary), so boundaries there always commit; what the lattice found for a part between two of them is
+remembered in a bounded memo.
 
 Characters that no piece has become UTF-8 byte pieces. A text's own U+2581 (the space mark) is written as bytes too, so
 decoding gives every text back exactly. Nulls and edges: a null text has null ids and decodes to null; an empty one has
@@ -17,8 +18,8 @@ from __future__ import annotations
 
 import re
 from array import array
-from collections import deque
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +29,9 @@ from pyspark.sql import functions as F
 from .common import slices
 
 MARK = "▁"
-PART = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 MEMO = 300_000
+#: No piece; a character without a piece; the beginning.
+NONE, UNKNOWN, START = -1, -2, -3
 
 
 class Pieces:
@@ -49,141 +51,159 @@ class Pieces:
                 self.ids[piece] = i
                 self.rank[piece] = -sp.get_score(i)
         # BPE never makes a piece that it would not make of the piece's own characters
-        self.ids = {p: i for p, i in self.ids.items() if len(self.merge(p)) == 1}
+        self.ids = {p: i for p, i in self.ids.items() if self.merge(p) == 1}
         self.longest = max(map(len, self.ids))
         byte_of = {i: bytes([b]) for b, i in self.bytes.items()}
         self.raw = [byte_of.get(i) or p.replace(MARK, " ").encode() for i, p in enumerate(self.text)]
-        self.apart: dict[tuple[str, str], bool] = {}
+        self.parts = re.compile("|".join(f"{MARK}*[{re.escape(''.join(sorted(x)))}]+" for x in self._joined()) + f"|{MARK}*[^{MARK}]|{MARK}+", re.DOTALL)
+        self.apart: list[dict[int, bool]] = [{} for _ in self.text]
+        self.pairs = 0
         self.memo: dict[str, bytes] = {}
-        self.tails: dict[str, str] = {}
-        self.reach: dict[str, int] = {}  # the longest piece that ends with these two characters
-        for p in self.ids:
-            if len(p) > 1:
-                self.reach[p[-2:]] = max(len(p), self.reach.get(p[-2:], 1))
-
-    def merge(self, text: str) -> list[str]:
-        """BPE by its definition, for at most two pieces' length."""
-        parts = list(text)
-        while len(parts) > 1:
-            best, at = None, -1
-            for i in range(len(parts) - 1):
-                r = self.rank.get(parts[i] + parts[i + 1])
-                if r is not None and (best is None or r < best):
-                    best, at = r, i
-            if best is None:
+        # By characters from the last one back; under "" all (length, id) of pieces on the way, the longest first.
+        self.ends: dict = {}
+        for p, i in self.ids.items():
+            node = self.ends
+            for char in reversed(p):
+                node = node.setdefault(char, {})
+            node[""] = ((len(p), i),)
+        open_ = [(self.ends, ())]
+        while open_:
+            node, above = open_.pop()
+            own = node[""] = node.get("", ()) + above
+            open_ += [(below, own) for char, below in node.items() if char]
+
+    def _joined(self) -> list[set[str]]:
+        """Sets of characters, the largest first, such that no piece has characters of two sets or of none beside each
+        other. A space mark is in no set: it only ever comes before."""
+        found: dict[str, set[str]] = {}
+        for piece in self.ids:
+            for x, y in zip(piece, piece[1:]):
+                if MARK not in (x, y):
+                    a, b = found.setdefault(x, {x}), found.setdefault(y, {y})
+                    if a is not b:
+                        a |= b
+                        for char in b:
+                            found[char] = a
+        return sorted({id(x): x for x in found.values()}.values(), key=lambda x: (-len(x), min(x)))
+
+    def merge(self, text: str, kept: int = 0) -> int:
+        """How many pieces BPE, by its definition, leaves of a text; 0 as soon as it merges across the boundary after
+        `kept` characters. For texts of at most two pieces' length."""
+        parts, rank, none = list(text), self.rank.get, float("inf")
+        ranks = [rank(a + b, none) for a, b in zip(parts, parts[1:])]
+        while ranks:
+            best = min(ranks)
+            if best == none:
                 break
+            at = ranks.index(best)
+            if at + 1 == kept:
+                return 0
+            if at + 1 < kept:
+                kept -= 1
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        return parts
-
-    def stay_apart(self, a: str, b: str) -> bool:
-        known = self.apart.get((a, b))
-        if known is None:
-            if len(self.apart) >= MEMO:
-                self.apart.clear()
-            known = self.apart[a, b] = self.merge(a + b) == [a, b]
+            del ranks[at]
+            if at < len(ranks):
+                ranks[at] = rank(parts[at] + parts[at + 1], none)
+            if at:
+                ranks[at - 1] = rank(parts[at - 1] + parts[at], none)
+        return len(parts)
+
+    def stay_apart(self, a: int, b: int) -> bool:
+        """Whether BPE keeps piece a before piece b as they are."""
+        if self.pairs >= MEMO:
+            self.apart = [{} for _ in self.text]
+            self.pairs = 0
+        self.pairs += 1
+        known = self.apart[a][b] = self.merge(self.text[a] + self.text[b], len(self.text[a])) > 0
         return known
 
     def fallback(self, char: str) -> list[int]:
         return [self.bytes[b] for b in (MARK if char == MARK else char).encode("utf-8", "surrogatepass")]
 
-    def last(self, run: str) -> str:
-        """The surviving piece at the boundary after run; earlier boundaries are settled only where a path asks for
-        them, and remembered, as many words begin alike."""
-        piece = self.tails.get(run)
-        if piece is None:
-            n, ids, apart = len(run), self.ids, self.apart
-            for begin in range(max(0, n - self.reach.get(run[-2:], 1)), n):
-                piece = run[begin:]
-                if piece in ids or begin == n - 1:
-                    if not begin:
-                        break
-                    key = (self.last(run[:begin]), piece)
-                    if apart[key] if key in apart else self.stay_apart(*key):
-                        break
-            if len(self.tails) >= MEMO:
-                self.tails.clear()
-            self.tails[run] = piece
+    def _settle(self, text: str, own: list, back: list[int], at: int) -> int:
+        """Finds the surviving piece at a boundary, and at those before it that this depends on."""
+        node, begin = self.ends, at
+        while begin:
+            step = node.get(text[begin - 1])
+            if step is None:
+                break
+            node = step
+            begin -= 1
+        for size, piece in node[""]:
+            begin = at - size
+            before = own[begin]
+            if before is None:
+                before = self._settle(text, own, back, begin)
+            if before < 0:  # nothing merges with the beginning, or with a character without a piece
+                break
+            fits = self.apart[before].get(piece)
+            if self.stay_apart(before, piece) if fits is None else fits:
+                break
+        else:
+            piece, begin = self.ids.get(text[at - 1], UNKNOWN), at - 1
+            if own[begin] is None:
+                self._settle(text, own, back, begin)
+        own[at], back[at] = piece, begin
         return piece
 
-    def short(self, part: str) -> list[int]:
-        """The lattice over a part that fits in memory as a whole: no commits before its end."""
-        pieces = []
-        while part:
-            piece = self.last(part)
-            pieces.append(piece)
-            part = part[: -len(piece)]
+    def stream(self, chars: Iterable[str]) -> Iterator[int]:
+        """Ids of a run of characters, committed while it streams by. Boundaries count from the committed one: own has
+        the surviving piece that ends there (None: not asked for yet), back where it begins."""
+        block, chars, text, own, back = 2 * self.longest, iter(chars), "", [START], [0]
+        while True:
+            got = "".join(islice(chars, block))
+            text += got
+            own += [None] * len(got)
+            back += [0] * len(got)
+            n = len(text)
+            if len(got) < block:
+                break
+            # later boundaries lead back to one of the last `longest`: do the paths of all these meet?
+            meet = set(range(n - self.longest + 1, n + 1))
+            for at in meet:
+                if own[at] is None:
+                    self._settle(text, own, back, at)
+            while len(meet) > 1:
+                far = max(meet)
+                meet.discard(far)
+                meet.add(back[far])
+            to = meet.pop()
+            if to:
+                yield from self._path(text, own, back, to)
+                text, own, back = text[to:], own[to:], [b - to for b in back[to:]]
+        if n:
+            if own[n] is None:
+                self._settle(text, own, back, n)
+            yield from self._path(text, own, back, n)
+
+    def _path(self, text: str, own: list[int], back: list[int], to: int) -> list[int]:
+        """Ids of the surviving path to a boundary."""
         found: list[int] = []
-        for p in reversed(pieces):
-            i = self.ids.get(p)
-            if i is None:
-                found += self.fallback(p)
+        while to:
+            begin = back[to]
+            if own[to] >= 0:
+                found.append(own[to])
             else:
-                found.append(i)
-        return found
-
-    def stream(self, chars: Iterator[str]) -> Iterator[int]:
-        """Ids of a run of characters, committed while it streams by."""
-        window: deque[str] = deque(maxlen=self.longest)
-        ends: deque[tuple[str, int]] = deque()  # surviving piece at each boundary after the committed one, and where it began
-        base = n = 0  # boundaries committed and read
-
-        def path(to: int) -> list[str]:
-            out = []
-            while to > base:
-                piece, to = ends[to - base - 1]
-                out.append(piece)
-            return out[::-1]
-
-        def ids(pieces: list[str]) -> Iterator[int]:
-            for p in pieces:
-                yield from [self.ids[p]] if p in self.ids else self.fallback(p)
-
-        for char in chars:
-            window.append(char)
-            n += 1
-            held = "".join(window)
-            for size in range(min(len(held), n - base), 0, -1):
-                piece = held[-size:]
-                if size > 1 and piece not in self.ids:
-                    continue
-                begin = n - size
-                before = ends[begin - base - 1][0] if begin > base else last if base else None
-                if before is None or self.stay_apart(before, piece):
-                    break
-            ends.append((piece, begin))
-            # a backpointer of the next boundary may reach back `longest` boundaries; the paths to those must meet
-            if n - base >= 2 * self.longest:
-                meet = {n - k for k in range(self.longest)}
-                while len(meet) > 1:
-                    far = max(meet)
-                    meet.discard(far)
-                    meet.add(ends[far - base - 1][1] if far > base else base)
-                to = meet.pop()
-                if to > base:
-                    done = path(to)
-                    yield from ids(done)
-                    last = done[-1]
-                    for _ in range(to - base):
-                        ends.popleft()
-                    base = to
-        yield from ids(path(n))
+                found += self.fallback(text[begin:to])[::-1]
+            to = begin
+        return found[::-1]
 
     def part(self, part: str) -> bytes:
-        """Ids of a part as little-endian 32-bit numbers."""
-        if len(part) > 64:
-            return array("i", self.stream(iter(part))).tobytes()
+        """Ids of a part as little-endian 32-bit numbers. Parts that fit the window are remembered."""
         if len(self.memo) >= MEMO:
             self.memo.clear()
-        found = self.memo[part] = array("i", self.short(part)).tobytes()
+        found = array("i", self.stream(part)).tobytes()
+        if len(part) < 2 * self.longest:
+            self.memo[part] = found
         return found
 
     def encode(self, text: str) -> bytes:
-        get, part, out = self.memo.get, self.part, []
+        get, part, find, out = self.memo.get, self.part, self.parts.findall, []
         for own, plain in enumerate(text.split(MARK) if text else ()):  # a mark of the text's own never meets those of spaces
             if own:
                 out.append(array("i", self.fallback(MARK)).tobytes())
             plain = plain.replace(" ", MARK)
-            out += [get(p) or part(p) for p in PART.findall(plain if own else MARK + plain)]
+            out += [get(p) or part(p) for p in find(plain if own else MARK + plain)]
         return b"".join(out)
 
     def decode(self, ids: list[int]) -> str:

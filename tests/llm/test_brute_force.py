@@ -275,6 +275,39 @@ def test_pieces(spark):
     assert list(pieces.stream(iter("▁" + long.replace(" ", "▁")))) == sp.encode(long)
 
 
+def test_pieces_of_the_table_equal_the_library(spark):
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    texts = {r.doc_id: r.text for r in table.collect()}
+    got = {r.doc_id: r for r in spm.round_trip(table, PIECES).collect()}
+    assert set(got) == set(texts) and all(got[i].text == t for i, t in texts.items())
+    assert all(list(got[i].ids) == sp.encode(t) for i, t in texts.items() if t and "▁" not in t)
+    assert spm.round_trip(table.limit(0), PIECES).count() == 0
+
+
+def test_pieces_stream_in_a_window(spark):
+    """A run of a million characters without spaces, given one by one: ids come long before its end."""
+    import sentencepiece
+
+    sp, pieces, seen = sentencepiece.SentencePieceProcessor(model_file=PIECES), spm.Pieces(PIECES), 0
+    run = "abcabdthe漢😀" * 100_000
+
+    def chars():
+        nonlocal seen
+        for c in "▁" + run:
+            seen += 1
+            yield c
+
+    ids = []
+    for i in pieces.stream(chars()):
+        ids.append(i)
+        if len(ids) == 1:
+            assert seen < 200
+    assert ids == sp.encode(run)
+
+
 def components(sets, percent=80):
     ids, parent = list(sets), {i: i for i in sets}
 
