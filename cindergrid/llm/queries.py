@@ -16,7 +16,7 @@ PIECES = os.environ.get("PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_path(spark, "warc")
     warc.write_archives(table(spark, sf_dir, "pages"), folder)
-    found = warc.records(warc.read_chunks(spark, folder, with_data=False))
+    found = warc.records(warc.read_chunks(spark, folder))
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 

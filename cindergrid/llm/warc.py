@@ -1,9 +1,11 @@
-"""WARC archives written and read by Spark as tables of lines and chunks.
+"""WARC archives written and read by Spark as tables of bounded rows.
 
-Writing: a page becomes one WARC/1.0 record. Its header lines and the lines of its payload leave as rows of a text
-table with the line separator ``\\n``, so each gzip part file is a valid ``.warc.gz``; only the cell that the row of
-pages has anyway is in memory, cut into lines. Reading: gzip files are not split, so a task sees the lines of a file in order; a record streams through as
-rows (record identifier, chunk number), each with the digest so far, and never stands in memory as a whole.
+Writing: a page becomes one WARC/1.0 record whose HTTP body has the chunked transfer coding, WIRE bytes a chunk, so no
+line of an archive is longer than that, whatever the page is like. Head, chunks and end of a record leave as rows of a
+text table with the line separator ``\\n``, and each gzip part file is a valid ``.warc.gz``. Beyond the cell that the
+row of pages is anyway, one chunk is in memory. Reading: gzip files are not split, so a task sees the lines of a file in
+order; a record streams through as rows (record identifier, chunk number), each with the digest so far, and never stands
+in memory as a whole. Bodies without the transfer coding are read too, line by line.
 
 Nulls and edges: a null payload is empty; a null url is ``urn:unknown``; white space and control characters of a url
 are percent-encoded; a null page_id is written as an empty id and read back as null. Rows that repeat a page_id stay
@@ -20,6 +22,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import slices, stash
+
+WIRE = 4096
+HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
+END = "0\r\n\r\n"
+
 CHUNK_SCHEMA = (
     "page_id long, url string, record_type string, refers_to long, chunk_no int, data binary, chunk_bytes long, "
     "digest_so_far string, is_last boolean, payload_bytes long, payload_digest string"
@@ -28,8 +36,8 @@ CHUNK_SCHEMA = (
 
 def deduplicated(pages: DataFrame, min_bytes: int = 1000) -> DataFrame:
     """(page_id, url, payload, digest, bytes, refers_to): refers_to is the largest page_id with an equal payload of at
-    least min_bytes, where that is another page. Copies are counted before the join, with map-side sums; the join is
-    an ordinary shuffled one on the digest, whose hot keys Spark's adaptive skew join splits."""
+    least min_bytes, where that is another page. Copies are counted before the join, with map-side sums, and kept as a
+    table; the join is an ordinary shuffled one on the digest, whose hot keys Spark's adaptive skew join splits."""
     payload = F.coalesce("html", F.lit(""))
     rows = pages.select(
         "page_id", F.col("url").cast("string").alias("url"), payload.alias("payload"),
@@ -42,6 +50,7 @@ def deduplicated(pages: DataFrame, min_bytes: int = 1000) -> DataFrame:
         .filter("n > 1")
         .drop("n")
     )
+    groups = stash(groups, "page-copies")  # a table, so that both sides of the join are exchanged
     other = F.col("original").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("original"))
     return rows.join(groups, ["digest", "bytes"], "left").withColumn("refers_to", F.when(other, F.col("original")))
 
@@ -52,10 +61,8 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = 1000) -> None
     revisit = F.col("refers_to").isNotNull()
     uri = lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(c.cast("string"), F.lit("")), F.lit(">"))
     url = F.coalesce(F.regexp_replace("url", r"[\x00-\x20\x7f]", "%20"), F.lit("urn:unknown"))
-    http = F.concat(
-        F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "),
-        F.col("bytes").cast("string"), F.lit("\r\n\r\n"),
-    )
+    full, rest = F.floor(F.col("bytes") / WIRE), F.col("bytes") % WIRE
+    framed = F.col("bytes") + full * (len(f"{WIRE:X}") + 4) + F.when(rest > 0, F.length(F.hex(rest)) + 4).otherwise(0) + len(END)
     head = F.concat(
         F.lit("WARC/1.0\r\nWARC-Type: "), F.when(revisit, "revisit").otherwise("response"),
         F.lit("\r\nWARC-Record-ID: "), uri(F.col("page_id")),
@@ -66,13 +73,18 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = 1000) -> None
             F.lit("\r\nWARC-Profile: http://netpreserve.org/warc/1.0/revisit/identical-payload-digest\r\nWARC-Refers-To: "),
             uri(F.col("refers_to")))).otherwise(""),
         F.lit("\r\nContent-Type: application/http; msgtype=response\r\nContent-Length: "),
-        F.when(revisit, F.lit(0)).otherwise(F.col("bytes") + F.octet_length(http)).cast("string"),
-        F.lit("\r\n\r"), F.when(revisit, "").otherwise(F.concat(F.lit("\n"), F.substring_index(http, "\n", 4))),
+        F.when(revisit, F.lit(0)).otherwise(framed + len(HTTP)).cast("string"), F.lit("\r\n\r\n"), F.when(revisit, "").otherwise(HTTP),
+    )
+    # part -1 is the head, the last one the end of body and record; each leaves without its last line break, which the table adds
+    last = F.when(revisit, 0).otherwise(F.ceil(F.col("bytes") / WIRE)).cast("int")
+    parts = rows.withColumns({"head": head, "last": last}).select("*", F.explode(F.sequence(F.lit(-1), "last")).alias("part"))
+    chunk = F.substr(F.col("payload").cast("binary"), F.col("part") * WIRE + 1, F.lit(WIRE))
+    value = (
+        F.when(F.col("part") < 0, F.expr("substring(head, 1, length(head) - 1)"))
+        .when(F.col("part") < F.col("last"), F.concat(F.hex(F.octet_length(chunk)).cast("binary"), F.lit(b"\r\n"), chunk, F.lit(b"\r")).cast("string"))
+        .when(revisit, "\r\n\r").otherwise(END + "\r\n\r")
     )
-    # the last line of the payload ends with the CR of the record's end
-    body = F.concat(F.when(revisit, "").otherwise(F.col("payload")), F.lit("\r\n\r"))
-    lines = F.concat(F.split(head, "\n", -1), F.split(body, "\n", -1))
-    rows.select(F.explode(lines).alias("value")).write.option("lineSep", "\n").option("compression", "gzip").text(folder)
+    parts.select(value.alias("value")).write.option("lineSep", "\n").option("compression", "gzip").text(folder)
 
 
 class _Record:
@@ -85,9 +97,21 @@ class _Record:
         self.left, self.stated = int(header[b"content-length"]), header[b"warc-payload-digest"].removeprefix(b"sha1:").decode()
         self.length = int(header[b"x-payload-length"])
         self.http, self.sha, self.seen, self.chunk_no = self.left > 0, hashlib.sha1(), 0, 0
+        self.coded, self.size = False, 0  # whether the body has the transfer coding; bytes still to come of its chunk
         self.held: list[bytes] = []
         self.held_bytes = 0
 
+    def payload(self, line: memoryview) -> memoryview:
+        """What a line of the body has of the payload."""
+        if not self.coded:
+            return line
+        if not self.size:  # a chunk's size, or the end of a chunk or of the body
+            self.size = int(bytes(line).strip() or b"0", 16)
+            return line[:0]
+        line = line[: self.size]
+        self.size -= len(line)
+        return line
+
     def row(self, last: bool) -> tuple:
         data, n = b"".join(self.held), self.held_bytes
         self.held, self.held_bytes = [], 0
@@ -99,7 +123,7 @@ class _Record:
                 self.length if last else None, self.stated if last else None)
 
 
-def _chunks(lines: Iterator[bytes], chunk_bytes: int, with_data: bool) -> Iterator[tuple]:
+def _chunks(lines: Iterator[bytes], chunk_bytes: int) -> Iterator[tuple]:
     header: dict[bytes, bytes] | None = None
     record: _Record | None = None
     for line in lines:
@@ -116,19 +140,20 @@ def _chunks(lines: Iterator[bytes], chunk_bytes: int, with_data: bool) -> Iterat
                 header[key.lower()] = value.strip()
         elif record.http:
             record.left -= len(line) + 1
+            record.coded |= line.lower() == b"transfer-encoding: chunked\r"
             record.http = line != b"\r"
         else:
             part = memoryview(line + b"\n")[: record.left]
             record.left -= len(part)
+            part = record.payload(part)
             while part:
+                if record.held_bytes >= chunk_bytes:
+                    yield record.row(False)
                 piece, part = part[: chunk_bytes - record.held_bytes], part[chunk_bytes - record.held_bytes :]
                 record.sha.update(piece)
                 record.seen += len(piece)
                 record.held_bytes += len(piece)
-                if with_data:
-                    record.held.append(bytes(piece))
-                if record.held_bytes >= chunk_bytes and (part or record.left):
-                    yield record.row(False)
+                record.held.append(bytes(piece))
         if record is not None and not record.left:
             yield record.row(True)
             record = None
@@ -136,17 +161,16 @@ def _chunks(lines: Iterator[bytes], chunk_bytes: int, with_data: bool) -> Iterat
         raise ValueError("an archive ends inside a record")
 
 
-def read_chunks(spark: SparkSession, folder: str, chunk_bytes: int = 1 << 16, with_data: bool = True) -> DataFrame:
+def read_chunks(spark: SparkSession, folder: str, chunk_bytes: int = 1 << 16) -> DataFrame:
     """The chunked record table of all archives in folder. digest_so_far is the SHA-1 of the payload up to and with the
-    chunk; the last chunk of a record is checked against the header and carries payload_bytes and payload_digest.
-    with_data=False leaves the bytes out, for callers that need digests only."""
+    chunk; the last chunk of a record is checked against the header and carries payload_bytes and payload_digest."""
     text = spark.read.schema("value string").option("lineSep", "\n").text(folder)
 
     def chunks(batches):
-        lines = (line for batch in batches for line in batch.column(0).to_pylist())
+        lines = (line for batch in slices(batches) for line in batch.column(0).to_pylist())
         rows: list[tuple] = []
         held = 0
-        for row in _chunks(lines, chunk_bytes, with_data):
+        for row in _chunks(lines, chunk_bytes):
             rows.append(row)
             held += len(row[5]) + 200
             if held > 8 << 20:

@@ -46,6 +46,15 @@ def test_warc_round_trip(spark):
         assert (r.record_type, r.refers_to) == (("revisit", 2) if page == 1 else ("response", None))
     parts = sorted((r.chunk_no, bytes(r.data)) for r in chunks.filter("page_id = 6").collect())
     assert b"".join(p for _, p in parts).decode() == "é\n" * 90000 and max(len(p) for _, p in parts) <= 1000
+    lines = spark.read.text(folder).select(F.max(F.octet_length("value"))).first()[0]
+    assert lines <= warc.WIRE + 1
+    one_line = new_path(spark, "warc")  # a page without a line break
+    html = "é<p>" * 3_000_000
+    warc.write_archives(spark.createDataFrame([(9, "u", html)], "page_id long, url string, html string"), one_line)
+    assert spark.read.text(one_line).select(F.max(F.octet_length("value"))).first()[0] <= warc.WIRE + 1
+    whole = warc.read_chunks(spark, one_line).orderBy("chunk_no").collect()
+    assert b"".join(bytes(r.data) for r in whole) == html.encode() and {len(r.data) for r in whole[:-1]} == {1 << 16}
+    assert [r.is_last for r in whole] == [False] * (len(whole) - 1) + [True]
     empty = new_path(spark, "warc")
     warc.write_archives(pages.limit(0), empty)
     assert warc.records(warc.read_chunks(spark, empty)).count() == 0
