@@ -51,8 +51,8 @@ def chosen_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
     nodes_n = None
     while True:
         now = jumps[-1]
-        far = now.select("conv", F.col("node").alias("up"), F.col("up").alias("up2"), F.col("depth").alias("depth2"), F.col("score").alias("score2"))
         active = now.filter("up is not null")
+        far = now.select("conv", F.col("node").alias("up"), F.col("up").alias("up2"), F.col("depth").alias("depth2"), F.col("score").alias("score2"))
         moved = active.join(far, ["conv", "up"]).select(
             "conv", "node", F.col("up2").alias("up"), (F.col("depth") + F.col("depth2")).alias("depth"), (F.col("score") + F.col("score2")).alias("score"),
         )
@@ -90,7 +90,7 @@ def chosen_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
 def format_trees(messages: DataFrame, branches: int = 1) -> DataFrame:
     """(conv_id, leaf, rank, formatted, segments array<struct<text, loss>>), a row for each chosen path.
     messages: conv_id, node, parent, role, text, score (null: 0); loss covers the texts of role assistant."""
-    conv = F.coalesce(F.col("conv_id").cast("string"), F.lit("null"))
+    conv = F.coalesce(F.concat(F.lit("="), F.col("conv_id").cast("string")), F.lit(""))  # no id's text is that of a null one
     first = F.min(F.struct(F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"), "parent", "score", "conv_id"))
     rows = stash(messages.groupBy(conv.alias("conv"), "node").agg(first.alias("m")).select("conv", "node", "m.*"), "messages")
     turns = chosen_paths(rows, branches).join(rows, ["conv", "node"])

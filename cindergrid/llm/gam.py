@@ -149,17 +149,20 @@ def _features_of(texts: list[str | None]) -> np.ndarray:
 
 
 def learn(docs: DataFrame, labels: DataFrame, max_labels: int = 20_000, **settings) -> Gam:
-    """Fits on at most max_labels rows of labels (doc_id, label), joined to their texts; the sample is broadcast."""
-    rows = labels.filter("doc_id is not null and label is not null").select("doc_id", F.col("label").cast("int").alias("label"))
-    sample = rows.withColumn("h", F.xxhash64("doc_id")).orderBy("h", "doc_id", "label").limit(max_labels).drop("h")
-    known = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")  # at most max_labels rows of two numbers
+    """Fits on at most max_labels labelled texts: of the labels (doc_id, label) with the smallest hashes of their id,
+    joined to all rows of docs with that id, the first ones by hash, id, label and features. So repeated ids neither
+    lift the bound nor make the choice depend on the order of tasks."""
+    rows = labels.filter("doc_id is not null and label is not null").select(F.col("doc_id").cast("long"), F.col("label").cast("int").alias("label"))
+    sample = rows.withColumn("h", F.xxhash64("doc_id")).orderBy("h", "doc_id", "label").limit(max_labels)
+    known = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(sample), "doc_id")  # at most max_labels rows of two numbers
 
     def made(batches):
         for batch in slices(batches):
             x = _features_of(batch.column(0).to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(list(x), pa.list_(pa.float64()))], ["label", "x"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(list(x), pa.list_(pa.float64()))], ["label", "h", "doc_id", "x"])
 
-    got = known.select("text", "label").mapInArrow(made, "label int, x array<double>").limit(2 * max_labels).toArrow()
+    rows = known.select("text", "label", "h", "doc_id").mapInArrow(made, "label int, h long, doc_id long, x array<double>")
+    got = rows.orderBy("h", "doc_id", "label", "x").limit(max_labels).select("label", "x").toArrow()
     x = np.array(got.column("x").to_pylist(), np.float64).reshape(got.num_rows, len(FEATURES))
     y = np.array(got.column("label").to_pylist(), np.float64)
     order = np.lexsort((*x.T, y))  # rows come in any order; the fit must not depend on it

@@ -9,7 +9,8 @@ shard, each sorted by itself; the exact row counts of the pieces give every row
 
 Law ``bytes``: sizes are near equal. Size: UTF-8 bytes of the text plus 8. Nulls and edges: a null text is empty, a null
 id is hashed like the text ``null``; rows equal in id and text have one key and stay in one shard, in any order; an
-empty table gives no rows; tables with fewer keys than shards leave shards empty. Extra columns stay.
+empty table gives no rows; tables with fewer keys than shards leave shards empty. Extra columns stay; columns of the
+input named size, text_crc32, shard or slot are replaced by the result's.
 """
 
 from __future__ import annotations
@@ -44,6 +45,17 @@ def _cells(edges: list[int]):
     return cell
 
 
+def _looked_up(values: list[int], kind: str):
+    """The column function number of a piece -> its value."""
+    held = np.array(values, np.int64)
+
+    @F.pandas_udf(kind)
+    def pick(piece: pd.Series) -> pd.Series:
+        return pd.Series(held[piece.to_numpy()])
+
+    return pick
+
+
 def _histogram(keys: DataFrame, edges: list[int]) -> dict[int, int]:
     """Bytes in each cell between edges: sums in each task, then over tasks."""
     sorted_edges = np.array(edges, np.int64)
@@ -91,13 +103,14 @@ def splitters(keys: DataFrame, targets: list[float], slack: float, probes: int =
     return [found[i] for i in range(len(targets))]
 
 
-def shard(docs: DataFrame, shards: int = 24, tolerance: float = 0.01, parts: int = 16) -> DataFrame:
-    """docs with size, text_crc32, shard and slot (gapless from 0 in each shard), sorted by key within each piece."""
+def shard(docs: DataFrame, shards: int = 24, tolerance: float = 0.01, parts: int | None = None, part_bytes: int = 1 << 28) -> DataFrame:
+    """docs with size, text_crc32, shard and slot (gapless from 0 in each shard), sorted by key within each piece.
+    A shard has so many pieces that one holds about part_bytes, 16 at least, unless parts says how many."""
     crc = F.crc32(F.coalesce("text", F.lit("")).cast("binary"))
     rows = docs.withColumns({"size": utf8_size(F.col("text")) + 8, "text_crc32": crc, "_key": key_of(F.col("text"), F.col("doc_id"))})
     keys = stash(rows.select(F.col("_key").alias("key"), "size"), "shard-keys")
     total = keys.agg(F.sum("size")).first()[0] or 0
-    pieces = shards * parts
+    pieces = shards * (parts or max(16, -(-total // (shards * part_bytes))))
     cut = splitters(keys, [total * i / shards for i in range(1, shards)], tolerance * total / shards / 2)
     # pieces inside a shard need no exactness: keys are hashed bits, but copies pile up, so they are found by counts too
     loose = splitters(keys, [total * i / pieces for i in range(1, pieces)], 0.25 * total / pieces, probes=16, max_rounds=14)
@@ -111,7 +124,6 @@ def shard(docs: DataFrame, shards: int = 24, tolerance: float = 0.01, parts: int
         shard_of.append(s)
         first.append(at)
         at, last = at + counts.get(p, 0), s
-    pick = lambda values: F.element_at(F.array(*map(F.lit, values)), F.col("_piece") + 1)
     own = Window.partitionBy("_piece").orderBy("_key", "doc_id")
     placed = rows.withColumn("_piece", piece("_key")).withColumn("_row", F.row_number().over(own))
-    return placed.withColumns({"shard": pick(shard_of), "slot": (pick(first) + F.col("_row") - 1).cast("long")}).drop("_key", "_piece", "_row")
+    return placed.withColumns({"shard": _looked_up(shard_of, "int")("_piece"), "slot": _looked_up(first, "long")("_piece") + F.col("_row") - 1}).drop("_key", "_piece", "_row")
