@@ -5,17 +5,18 @@
 2. In each of ``trees`` independent trees, a node picks one coordinate of the signature by a hash of its path (a second
    one in a quarter of cases, so 1 / 0.8 on average), and each class goes to the child named by its own minimum there.
    Nodes with one class end; nodes of at most ``limit`` classes are compared exhaustively; larger ones branch again.
-   What is still larger after ``depth`` levels is compared exhaustively too, by pairs of blocks, so nothing is capped.
+   What is still larger after ``depth`` levels is compared too, in blocks (see ``links_within``), so nothing is capped.
    The classes of nodes that branch again get further trees, until a pair of similarity 0.8 shares no compared node with
    a chance of ``miss`` at most at the deepest level reached (8 trees at level 1, 11 at level 2, 22 at level 6).
 3. Comparing inside a node uses the signatures and keeps pairs whose estimate is 0.62 or more, of which it gives a
    spanning forest. These links join classes to candidate groups. (A pair of similarity 0.8 falls short of that
    estimate with a chance below one in 100,000; that of sharing no compared node comes on top.)
-4. Within each candidate group all pairs are confirmed on the full sets, in blocks, and again a spanning forest of the
-   confirmed links is given. Components of those links are the result.
+4. Within each candidate group links are confirmed on the full sets until every pair of classes either hangs together or
+   was compared itself. Components of those links are the result.
 
-Links and labels are always tables; components are found by contraction rounds over them. Texts are read twice and
-shuffled once; sets are made from texts where they are needed and never shuffled.
+Links and labels are always tables; components are found by contraction rounds over them. A text moves once where its
+group has at most ``limit // 2`` classes, about twice in larger groups of near copies; sets are made from texts where
+they are needed and never shuffled.
 
 Nulls and edges: a null text, or one without words, has an empty set, links with nothing and is its own component;
 repeated rows with one doc_id are one class and all kept; a null doc_id is kept unless a smaller id is its copy;
@@ -29,7 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import ASCII_LOWER, slices, stash
@@ -109,7 +110,7 @@ def _children(path: np.ndarray, rep: np.ndarray, sig: np.ndarray) -> tuple[np.nd
     """One child of each row by a coordinate that its path picks, for a quarter of paths a second one."""
     out_path, out_rep, rows = [], [], np.arange(len(path))
     for turn in (1, 2):
-        pick = _mix(path + np.uint64(turn) * _Q)
+        pick = _mix(path + np.uint64(turn * int(_Q) % (1 << 64)))
         some = rows if turn == 1 else rows[(pick >> np.uint64(40)) % np.uint64(4) == 0]
         k = (pick[some] % np.uint64(K)).astype(np.int64)
         value = sig[some, k].astype(np.uint64)
@@ -136,12 +137,9 @@ def _branch(rows: DataFrame, trees: range | None = None) -> DataFrame:
     return rows.mapInArrow(made, "path long, rep long")
 
 
-def _blocks(rows: DataFrame, key: str, n: str, limit: int) -> DataFrame:
-    """rows once for each pair of blocks of their key that they take part in: (key, _a, _b); one pair up to limit."""
-    many = F.ceil(F.col(n) / F.lit(limit)).cast("int")
-    own = F.pmod(F.xxhash64(F.col(key), F.col("rep")), many).cast("int")
-    rows = rows.withColumn("_n", many).withColumn("_own", own).withColumn("_j", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
-    return rows.withColumn("_a", F.least("_own", "_j")).withColumn("_b", F.greatest("_own", "_j")).drop("_n", "_own", "_j")
+def _block(key: str, n: Column, limit: int) -> Column:
+    """Number of the block of about limit rows that a class has among the n of its group."""
+    return F.pmod(F.xxhash64(F.col(key), F.col("rep")), F.ceil(n / F.lit(limit))).cast("int")
 
 
 def _groups(batches, keys: int) -> Iterator[pa.Table]:
@@ -164,16 +162,17 @@ def _groups(batches, keys: int) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def _forest(n: int, linked) -> Iterator[tuple[int, int]]:
-    """A spanning forest of the graph on 0..n-1 where linked(i) marks the neighbours of i."""
-    label = np.arange(n)
-    for i in range(n):
-        if not (label != label[i]).any():
+def _forest(label: np.ndarray, asked: np.ndarray, linked) -> Iterator[tuple[int, int]]:
+    """Links that join the labels which the graph joins where linked(i) marks the neighbours of i, for the asked i."""
+    label = np.unique(label, return_inverse=True)[1]
+    for i in np.flatnonzero(asked):
+        other = label != label[i]
+        if not other.any():
             return
-        near = np.flatnonzero(linked(i) & (label != label[i]))
+        near = np.flatnonzero(linked(i) & other)
         if len(near):
             for lab, j in zip(*np.unique(label[near], return_index=True)):
-                yield i, int(near[j])
+                yield int(i), int(near[j])
                 label[label == lab] = label[i]
 
 
@@ -182,34 +181,24 @@ def _edges_out(found: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
 
-def _compare_signatures(rows: DataFrame, least: int) -> DataFrame:
-    """Links (a, b) of rows (path, _a, _b, rep, sketch) that come sorted."""
+def _by_sketches(least: int):
+    """Classes are linked when their sketches agree in `least` places."""
 
-    def made(batches):
-        found: list[tuple[int, int]] = []
-        for group in _groups(batches, 3):
-            if group.num_rows > 1:
-                rep = group.column("rep").to_numpy()
-                s = _matrix(group.column("sketch").combine_chunks(), np.uint8)
-                found += [(int(rep[i]), int(rep[j])) for i, j in _forest(len(rep), lambda i: (s == s[i]).sum(axis=1) >= least)]
-            if len(found) > 50_000:
-                yield _edges_out(found)
-                found = []
-        yield _edges_out(found)
+    def linker(data: pa.Array):
+        s = _matrix(data, np.uint8)
+        return lambda i: (s == s[i]).sum(axis=1) >= least
 
-    return rows.mapInArrow(made, "a long, b long")
+    return lambda: linker
 
 
-def _confirm(rows: DataFrame, width: int, percent: int) -> DataFrame:
-    """Links (a, b) of rows (group, _a, _b, rep, text) that come sorted, by the full sets."""
+def _by_sets(width: int, percent: int):
+    """Classes are linked when the full sets of their texts have this similarity."""
 
-    def made(batches):
+    def prepared():
         shingles = Shingles(width)
-        for group in _groups(batches, 3):
-            if group.num_rows < 2:
-                continue
-            rep = group.column("rep").to_numpy()
-            sets = [shingles(t) for t in group.column("text").to_pylist()]
+
+        def linker(data: pa.Array):
+            sets = [shingles(t) for t in data.to_pylist()]
             size = np.array([len(s) for s in sets])
             starts = np.concatenate(([0], size.cumsum()[:-1]))
             index = np.unique(np.concatenate(sets), return_inverse=True)[1]
@@ -222,9 +211,69 @@ def _confirm(rows: DataFrame, width: int, percent: int) -> DataFrame:
                 flags[own] = 0
                 return 100 * both >= percent * (size + size[i] - both)
 
-            yield _edges_out([(int(rep[i]), int(rep[j])) for i, j in _forest(len(rep), linked)])
+            return linked
+
+        return linker
+
+    return prepared
+
 
-    return rows.mapInArrow(made, "a long, b long")
+def _compared(cells: DataFrame, payload: DataFrame, prepared) -> DataFrame:
+    """Links (a, b) found in cells (group, _a, _b, rep, label, asked) with the payload (rep, data) of their classes."""
+
+    def made(batches):
+        linker, found = prepared(), []
+        for group in _groups(batches, 3):
+            label, asked = group.column("label").to_numpy(), group.column("asked").to_numpy()
+            if (label != label[0]).any() and asked.any():
+                rep = group.column("rep").to_numpy()
+                found += [(int(rep[i]), int(rep[j])) for i, j in _forest(label, asked, linker(group.column("data").combine_chunks()))]
+            if len(found) > 50_000:
+                yield _edges_out(found)
+                found = []
+        yield _edges_out(found)
+
+    rows = payload.join(cells, "rep").select("group", "_a", "_b", "rep", "label", "asked", "data")
+    return rows.repartition("group", "_a", "_b").sortWithinPartitions("group", "_a", "_b").mapInArrow(made, "a long, b long")
+
+
+def links_within(members: DataFrame, payload: DataFrame, prepared, limit: int, few: int = 8) -> DataFrame:
+    """Links (a, b) that join just those classes of each group (group, rep, n: its size) which all its pairs join.
+
+    A group of at most limit classes is one cell, where each pair is looked at until all hang together. A larger one is
+    cut into blocks first, so each payload moves once; then a few classes of each part that hangs together meet again, in
+    rounds, as long as the number of parts halves. The rest, all classes outside the largest part, is compared with the
+    whole group: one more move for each class and `limit` such classes. Only these are quadratic."""
+    block = _block("group", F.col("n"), limit)
+    cells = members.select("group", block.alias("_a"), block.alias("_b"), "rep", F.col("rep").alias("label"), F.lit(True).alias("asked"))
+    links = stash(_compared(cells, payload, prepared), "links")
+    big, parts_before = members.filter(F.col("n") > limit).select("group", "rep", "n"), None
+    if not big.head(1):
+        return links
+    big = stash(big, "large-groups")
+    while True:
+        named = big.join(components(links), "rep", "left").select("group", "rep", "n", F.coalesce("label", "rep").alias("label"))
+        named = stash(named, "named")
+        parts = named.groupBy("group", "label").agg(F.count(F.lit(1)).alias("m"))
+        parts = parts.groupBy("group").agg(F.count(F.lit(1)).alias("parts"), F.max(F.struct("m", "label")).alias("top")).filter("parts > 1")
+        parts = stash(parts, "parts")
+        n_parts = parts.agg(F.sum("parts")).first()[0]
+        if not n_parts:
+            return links
+        named = named.join(parts, "group")
+        if parts_before is not None and 2 * n_parts > parts_before:
+            break
+        parts_before = n_parts
+        order = F.row_number().over(Window.partitionBy("group", "label").orderBy(F.xxhash64("rep"), "rep"))
+        block = _block("group", F.col("parts") * few, limit)
+        cells = named.withColumn("_at", order).filter(F.col("_at") <= few)
+        cells = cells.select("group", block.alias("_a"), block.alias("_b"), "rep", "label", F.lit(True).alias("asked"))
+        links = stash(links.unionByName(_compared(cells, payload, prepared)), "links")
+    rest = F.col("n") - F.col("top.m")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.ceil(n / F.lit(limit)).cast("int") - 1))
+    asked = named.filter(F.col("label") != F.col("top.label")).select("group", _block("group", rest, limit).alias("_a"), every(F.col("n")).alias("_b"), "rep", "label", F.lit(True).alias("asked"))
+    others = named.select("group", every(rest).alias("_a"), _block("group", F.col("n"), limit).alias("_b"), "rep", "label", F.lit(False).alias("asked"))
+    return stash(links.unionByName(_compared(asked.unionByName(others), payload, prepared)), "links")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -263,7 +312,7 @@ def _nodes(reps: DataFrame, trees: range, limit: int, depth: int) -> tuple[list[
     nodes, leaves, branched = _branch(reps, trees), [], None
     for level in range(1, depth + 1):
         rows = stash(nodes, "nodes")
-        sizes = rows.groupBy("path").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+        sizes = stash(rows.groupBy("path").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "node-sizes")  # a table: both sides of the join are exchanged
         rows = stash(rows.join(sizes, "path"), "shared-nodes")
         leaves.append(rows.filter(F.col("n") <= limit) if level < depth else rows)
         heavy = rows.filter(F.col("n") > limit)
@@ -291,15 +340,13 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, trees: i
     leaf = leaves[0]
     for more in leaves[1:]:
         leaf = leaf.unionByName(more)
-    leaf = _blocks(leaf, "path", "n", limit).join(_sketches(reps), "rep").select("path", "_a", "_b", "rep", "sketch")
-    leaf = leaf.repartition("path", "_a", "_b").sortWithinPartitions("path", "_a", "_b")
-    candidates = components(_compare_signatures(leaf, int(0.62 * K)))
+    leaf = leaf.select(F.col("path").alias("group"), "rep", "n")
+    candidates = components(links_within(leaf, _sketches(reps), _by_sketches(int(0.62 * K)), limit))
 
-    groups = candidates.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
-    members = stash(_blocks(candidates.join(groups, "label").withColumnRenamed("label", "group"), "group", "n", limit // 2), "members")
-    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text")
-    pairs = texts.join(members, "rep").select("group", "_a", "_b", "rep", "text").repartition("group", "_a", "_b").sortWithinPartitions("group", "_a", "_b")
-    labels = components(_confirm(pairs, width, percent))
+    groups = stash(candidates.groupBy("label").agg(F.count(F.lit(1)).alias("n")), "candidate-groups")
+    members = stash(candidates.join(groups, "label").select(F.col("label").alias("group"), "rep", "n"), "members")
+    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), F.col("text").alias("data"))
+    labels = components(links_within(members, texts, _by_sets(width, percent), limit // 2))
 
     smallest = labels.groupBy("label").agg(F.min("rep").alias("component"))
     linked = labels.join(smallest, "label").select("rep", "component")
@@ -310,15 +357,15 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, trees: i
 
 
 def _sketches(reps: DataFrame) -> DataFrame:
-    """(rep, sketch): the low bytes of the signature, enough for comparing."""
+    """(rep, data): the low bytes of the signature, enough for comparing."""
 
     def made(batches):
         for batch in batches:
             if batch.num_rows:
                 low = _matrix(batch.column(1), np.uint32).astype(np.uint8)
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.tobytes() for x in low], pa.binary())], ["rep", "sketch"])
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.tobytes() for x in low], pa.binary())], ["rep", "data"])
 
-    return reps.mapInArrow(made, "rep long, sketch binary")
+    return reps.mapInArrow(made, "rep long, data binary")
 
 
 def keep_first(docs: DataFrame, **settings) -> DataFrame:
