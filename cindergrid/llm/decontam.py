@@ -7,7 +7,8 @@ the words that lie inside an occurrence of a window (``window`` item words, or a
 automaton's suffix links, the items that have that window.
 
 The items are the stated query set. They are fetched in blocks of at most ``block_words`` words, each of which has its
-own automaton and is broadcast by itself; every text passes through all blocks, so no item is left out.
+own automaton, the only thing that is broadcast, about 600 bytes a word. Texts pass through one block at a time, so
+neither the driver nor a task ever holds more than one, and no item is left out.
 
 Nulls and edges: a null text or item has no words; texts without words have no hits and are clean; items with equal
 texts all count; rows with a repeated doc_id stay separate; repeated item_ids count once. An empty benchmark hits
@@ -16,15 +17,18 @@ nothing. Extra columns stay in ``clean`` and are ignored elsewhere.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
+from fractions import Fraction
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from .common import slices
+from .common import slices, stash
 
 #: Bytes that are no part of a word become spaces, ASCII upper case becomes lower case.
 NORMAL = bytes(
@@ -154,67 +158,107 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def automata(benchmark: DataFrame, window: int = 13, block_words: int = 200_000) -> list[SuffixAutomaton]:
-    """One automaton for each block of at most block_words item words (a longer item is a block of its own)."""
-    found, block, held = [], [], 0
+def automata(benchmark: DataFrame, window: int = 13, block_words: int = 200_000) -> Iterator[SuffixAutomaton]:
+    """One automaton for each block of at most block_words item words (a longer item is a block of its own), one at a
+    time."""
+    block, held = [], 0
     for item_id, text in benchmark.select(F.col("item_id").cast("string"), "text").filter("text is not null").toLocalIterator():
         n = len(words_of(text))
         if block and held + n > block_words:
-            found.append(SuffixAutomaton(block, window))
+            yield SuffixAutomaton(block, window)
             block, held = [], 0
         block.append((item_id, text))
         held += n
-    return [*found, SuffixAutomaton(block, window)] if block else found
+    if block:
+        yield SuffixAutomaton(block, window)
 
 
-class Judge:
-    """Broadcasts the automata, a block each, and judges texts inside the tasks."""
+ITEM_ORDER = str.encode
+HITS = pa.schema([("n_words", pa.int64()), ("spans", pa.list_(pa.list_(pa.int64()))), ("items", pa.list_(pa.string()))])
+HITS_DDL = "n_words long, spans array<array<long>>, items array<string>"
 
-    def __init__(self, docs: DataFrame, blocks: list[SuffixAutomaton], coverage: float):
-        self.blocks = [docs.sparkSession.sparkContext.broadcast(x) for x in blocks]
-        self.coverage = coverage
 
-    def __call__(self, text: str | None) -> tuple[int, list[tuple[int, int]], set, bool]:
-        words, spans, items = words_of(text), [], set()
-        for block in self.blocks:
-            got, marks = block.value.hits(words)
-            spans += got
-            for m in marks:
-                items |= block.value.marks[m]
-        spans = merged(spans)
-        n_hit = sum(b - a for a, b in spans)
-        return len(words), spans, items, n_hit > 0 and n_hit >= self.coverage * len(words)
+def _hits(docs: DataFrame, automaton: SuffixAutomaton | None) -> tuple[DataFrame, Broadcast]:
+    """docs with n_words, spans and items by one automaton, which is broadcast."""
+    shared, at = docs.sparkSession.sparkContext.broadcast(automaton), docs.columns.index("text")
 
+    def found(batches):
+        for batch in slices(batches):
+            rows = []
+            for text in batch.column(at).to_pylist():
+                words, spans, items = words_of(text), [], set()
+                if shared.value is not None:
+                    spans, marks = shared.value.hits(words)
+                    items = {i for m in marks for i in shared.value.marks[m]}
+                rows.append((len(words), [list(x) for x in merged(spans)], sorted(items, key=ITEM_ORDER)))
+            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(c, f.type) for c, f in zip(zip(*rows), HITS))], names=[*batch.schema.names, *HITS.names])
+
+    return docs.mapInArrow(found, StructType([*docs.schema, *StructType.fromDDL(HITS_DDL)])), shared
+
+
+def _over(spans: list, n_words: int, coverage: Fraction) -> bool:
+    n_hit = sum(b - a for a, b in spans)
+    return n_hit > 0 and n_hit * coverage.denominator >= coverage.numerator * n_words
+
+
+def judged(docs: DataFrame, benchmark: DataFrame, window: int = 13, block_words: int = 200_000) -> DataFrame:
+    """docs, with all their columns (text among them), and n_words, spans (array of [begin, end) in words, apart and in
+    order) and items. A benchmark of one block meets the texts in one pass. A larger one takes a pass for each block,
+    over a table of the numbered texts; automata never stand in memory together, and what the passes hit is put together
+    by the texts' numbers."""
+    blocks = automata(benchmark, window, block_words)
+    first, second = next(blocks, None), next(blocks, None)
+    if second is None:
+        return _hits(docs, first)[0]
+    rows = stash(docs.withColumn("_rid", F.monotonically_increasing_id()), "numbered-texts")
+    texts, found = rows.select("_rid", "text"), None
+    for automaton in chain((first, second), blocks):
+        hit, shared = _hits(texts, automaton)
+        hit = stash(hit.filter(F.size("spans") > 0).select("_rid", "spans", "items"), "hits")
+        shared.destroy()
+        found = hit if found is None else found.unionByName(hit)
+    found = found.groupBy("_rid").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("_spans"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("_items"))
+    at = rows.columns.index("text")
+
+    def together(batches):
+        for batch in slices(batches):
+            texts, spans, items = (batch.column(i).to_pylist() for i in (at, -2, -1))
+            rows = [(len(words_of(t)), [list(x) for x in merged([tuple(x) for x in s or ()])], sorted(i or (), key=ITEM_ORDER)) for t, s, i in zip(texts, spans, items)]
+            kept = [i for i, name in enumerate(batch.schema.names) if name not in ("_rid", "_spans", "_items")]
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in kept), *(pa.array(c, f.type) for c, f in zip(zip(*rows), HITS))], names=[*(batch.schema.names[i] for i in kept), *HITS.names])
 
-def spans(docs: DataFrame, benchmark: DataFrame, window: int = 13, coverage: float = 0.05) -> DataFrame:
-    """(doc_id, n_words, n_hit, spans array of [begin, end) in words, items array, contaminated) of docs (doc_id, text)."""
-    judge = Judge(docs, automata(benchmark, window), coverage)
-    schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_hit", pa.int64()), ("spans", pa.list_(pa.list_(pa.int64()))), ("items", pa.list_(pa.string())), ("contaminated", pa.bool_())])
+    joined = rows.join(found, "_rid", "left").select(*rows.columns, "_spans", "_items")
+    return joined.mapInArrow(together, StructType([*docs.schema, *StructType.fromDDL(HITS_DDL)]))
 
-    def judged(batches):
-        for batch in slices(batches):
-            got = [judge(t) for t in batch.column(1).to_pylist()]
-            columns = [batch.column(0), [n for n, *_ in got], [sum(b - a for a, b in s) for _, s, *_ in got], [[list(x) for x in s] for _, s, *_ in got], [sorted(i, key=lambda x: x.encode()) for _, _, i, _ in got], [bool(c) for *_, c in got]]
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(judged, "doc_id long, n_words long, n_hit long, spans array<array<long>>, items array<string>, contaminated boolean")
+def spans(docs: DataFrame, benchmark: DataFrame, window: int = 13, coverage: float = 0.05, block_words: int = 200_000) -> DataFrame:
+    """(doc_id, n_words, n_hit, spans array of [begin, end) in words, items array, contaminated) of docs (doc_id, text)."""
+    limit = Fraction(str(coverage))
+    found = judged(docs.select(F.col("doc_id").cast("long"), "text"), benchmark, window, block_words).drop("text")
+    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s[1] - s[0])
+    found = found.withColumn("n_hit", n_hit)
+    over = (F.col("n_hit") > 0) & (F.col("n_hit") * limit.denominator >= F.col("n_words") * limit.numerator)
+    return found.select("doc_id", "n_words", "n_hit", "spans", "items", over.alias("contaminated"))
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, window: int = 13, coverage: float = 0.05, cut_words: int | None = None) -> DataFrame:
+def clean(docs: DataFrame, benchmark: DataFrame, window: int = 13, coverage: float = 0.05, cut_words: int | None = None, block_words: int = 200_000) -> DataFrame:
     """docs, with all their columns, without the texts over the coverage limit. With cut_words, spans of at least so
     many words are cut from the texts that stay."""
-    judge, at, schema = Judge(docs, automata(benchmark, window), coverage), docs.columns.index("text"), docs.schema
+    limit, schema, at = Fraction(str(coverage)), docs.schema, docs.columns.index("text")
+    names = [f"_{i}" for i in range(len(docs.columns))]  # names of its own may clash with those of the judgement
+    names[at] = "text"
 
     def kept(batches):
         for batch in slices(batches):
-            texts = batch.column(at).to_pylist()
-            got = [judge(t) for t in texts]
+            n_words, spans = batch.column(len(names)).to_pylist(), batch.column(len(names) + 1).to_pylist()
+            columns = batch.columns[: len(names)]
             if cut_words is not None:
-                cut = [without(t, [s for s in x[1] if s[1] - s[0] >= cut_words]) for t, x in zip(texts, got)]
-                batch = batch.set_column(at, batch.schema.field(at), pa.array(cut, batch.schema.field(at).type))
-            yield batch.filter(pa.array([not x[3] for x in got], pa.bool_()))
+                cut = [without(t, [s for s in x if s[1] - s[0] >= cut_words]) for t, x in zip(columns[at].to_pylist(), spans)]
+                columns[at] = pa.array(cut, columns[at].type)
+            stay = [not _over(s, n, limit) for s, n in zip(spans, n_words)]
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names).filter(pa.array(stay, pa.bool_()))
 
-    return docs.mapInArrow(kept, schema)
+    return judged(docs.toDF(*names), benchmark, window, block_words).mapInArrow(kept, schema)
 
 
 def without(text: str | None, gone: list[tuple[int, int]]) -> str | None:
@@ -230,7 +274,3 @@ def without(text: str | None, gone: list[tuple[int, int]]) -> str | None:
         parts.append(raw[at : begins[a]])
         at = ends[b - 1]
     return b"".join([*parts, raw[at:]]).decode("utf-8", "surrogatepass")
-
-
-def digest(items) -> str:
-    return hashlib.sha256(",".join(items).encode()).hexdigest()

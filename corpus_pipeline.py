@@ -27,8 +27,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of which less than a twentieth of the words lie in benchmark windows."""
-    return decontam.clean(docs, table(spark, sf_dir, "benchmark"))
+    """Documents of which less than a twentieth of the words lie in benchmark windows, without the hit runs of 13 words
+    and more that they have."""
+    return decontam.clean(docs, table(spark, sf_dir, "benchmark"), cut_words=13)
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

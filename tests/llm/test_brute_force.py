@@ -202,11 +202,16 @@ def test_spans_are_cut(spark):
 
 def test_automaton_blocks_agree(spark):
     bench = spark.createDataFrame([(i, f"w{i} " * 3 + "common phrase of five words here") for i in range(20)], "item_id long, text string")
-    one, many = decontam.automata(bench), decontam.automata(bench, block_words=15)
+    one, many = list(decontam.automata(bench)), list(decontam.automata(bench, block_words=15))
     assert len(one) == 1 and len(many) > 5
     text = decontam.words_of("w3 w3 w3 common phrase of five words here and w7 w7 w7 common phrase of five words here")
     marks = lambda blocks: {m for b in blocks for k in b.hits(text)[1] for m in b.marks[k]}
     assert marks(one) == marks(many) == {"3", "7"}
+    rows = [*TEXTS, (20, "w3 w3 w3 common phrase of five words here and w7 w7 w7 common"), (20, "w1 " * 3 + "common phrase of five words here"), (21, "filler " * 200_000 + "w2 w2 w2 common phrase of five words here")]
+    d = docs(spark, rows).withColumns({"spans": F.lit(1), "_rid2": F.lit("x")})
+    for f in (decontam.spans, lambda *a, **k: decontam.clean(*a, cut_words=5, **k)):
+        found = [sorted(map(repr, f(d, bench, block_words=n).collect())) for n in (15, 200_000)]
+        assert found[0] == found[1] and len(found[0]) >= len(TEXTS) - 4
 
 
 def test_shards(spark):
@@ -442,12 +447,23 @@ def test_near_duplicates_edges(spark):
     assert kept.columns == docs(spark).columns and kept.filter("doc_id = 2").count() == 0
 
 
+def without_words(text, gone):
+    """text without the words of these spans and what stands between them, by hand."""
+    found = list(re.finditer(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", text))
+    for a, b in reversed(gone):
+        text = text[: found[a].start()] + text[found[b - 1].end() :]
+    return text
+
+
 def test_pipeline(spark):
     pipeline = pytest.importorskip("corpus_pipeline")
     got = {r.doc_id: r for r in pipeline.run(spark, "/root/testdata/sf0.01").collect()}
     table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").toPandas().set_index("doc_id")
     assert 0.6 * len(table) < len(got) < len(table)
-    assert all(zlib.crc32(table.text[i].encode()) == r.decoded_crc32 for i, r in got.items())
+    spans = {r.doc_id: r.spans for r in decontam.spans(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet")).collect()}
+    cut = {i: without_words(table.text[i], [s for s in spans[i] if s[1] - s[0] >= 13]) for i in got}
+    assert any(cut[i] != table.text[i] for i in got)
+    assert all(zlib.crc32(cut[i].encode()) == r.decoded_crc32 for i, r in got.items())
     hits = QUERIES["op4_decontaminate"](spark, "/root/testdata/sf0.01").filter("contaminated").select("doc_id").collect()
     assert hits and not {r.doc_id for r in hits} & set(got)
     sets = {i: shingles(table.text[i], 5) for i in got}
