@@ -6,6 +6,16 @@ ORACLES: dict[str, str] = {
     "op1_warc": """with p as (select page_id, coalesce(html, '') as h from pages), d as (select page_id, cast(strlen(h) as bigint) as payload_bytes, sha1(h) as payload_digest from p),
         g as (select *, max(page_id) over (partition by payload_digest, payload_bytes) as m from d)
         select page_id, payload_bytes, payload_digest, case when payload_bytes >= 1000 and page_id <> m then 'revisit' else 'response' end as record_type, case when payload_bytes >= 1000 and page_id <> m then m end as refers_to from g""",
+    "op3_rules": r"""with t as (select doc_id, coalesce(text, '') as t from documents),
+        p as (select doc_id, t, list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') as w, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as l from t),
+        g as (select doc_id, i, array_to_string(list_slice(w, i, i + 7), ' ') as s from (select doc_id, w, unnest(range(1, len(w) - 6)) as i from p)), k as (select doc_id, i, count(*) over (partition by doc_id, s) as c from g),
+        r as (select doc_id, count(distinct j) as n from (select doc_id, unnest(range(i, i + 8)) as j from k where c > 1) group by 1),
+        c as (select p.doc_id, t, cast(len(w) as bigint) as n_words, cast(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) as bigint) as word_chars, length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) as n_symbols,
+            len(l) as n_lines, cast(len(l) - len(list_distinct(l)) as bigint) as n_dup_lines, coalesce(r.n, 0) as n_repeat_words from p left join r on r.doc_id = p.doc_id),
+        f as (select *, n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed from c)
+        select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not (base_failed or 10 * n_symbols > 3 * n_words or 10 * n_dup_lines > 3 * n_lines or word_chars < 2 * n_words or word_chars > 14 * n_words
+            or 10 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * word_chars or 10 * (length(t) - length(replace(t, '!', ''))) > 3 * n_words
+            or 10 * length(regexp_replace(t, '[^\pL]', '', 'g')) < 6 * word_chars or 10 * length(regexp_replace(t, '[^0-9]', '', 'g')) > 3 * word_chars) as kept from f""",
     "op4_decontaminate": r"""with n as (select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') as w from documents),
         b as (select distinct item_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') as w from benchmark),
         k as (select item_id, w, least(len(w), 13) as n from b where len(w) > 0), v as (select distinct item_id, n, array_to_string(list_slice(w, i, i + n - 1), ' ') as s from (select *, unnest(range(1, len(w) - n + 2)) as i from k)),

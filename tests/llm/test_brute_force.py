@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import unicodedata
 import zlib
 from collections import Counter, defaultdict
 
@@ -138,13 +139,30 @@ def test_held_out_language(spark):
     assert got.agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("double"))).first()[0] > 0.98
 
 
+def rejecting(text, w, symbols, lines):
+    """The rules that reject a text, by hand."""
+    chars, letters = sum(map(len, w)), sum(unicodedata.category(c)[0] == "L" for c in text)
+    found = {
+        "symbols": 10 * symbols > 3 * len(w), "repeated_lines": 10 * (len(lines) - len(set(lines))) > 3 * len(lines), "word_length": chars < 2 * len(w) or chars > 14 * len(w),
+        "shouting": 10 * sum("A" <= c <= "Z" for c in text) > 3 * chars, "exclamations": 10 * text.count("!") > 3 * len(w), "few_letters": 10 * letters < 6 * chars,
+        "digits": 10 * sum("0" <= c <= "9" for c in text) > 3 * chars,
+    }
+    return {k for k, v in found.items() if v}
+
+
 def test_rules(spark):
-    order = quality_rules.plan(docs(spark))
+    words_20 = " ".join(BASE)
+    more = [(20, words_20.upper()), (21, words_20 + " !!!!!!!! !"), (22, " ".join(map(str, range(100, 160)))), (23, " ".join(w * 5 for w in BASE)), (24, words_20 + " %|&" * 3)]
+    more += [(25, "\n".join(BASE) + "\nup\nup\nup" * 4), (26, "Ünï ½ " * 3 + words_20), (27, " ".join("abcdefghijklmnopqrstuvwxyz")), (28, words_20), (28, words_20), (29, "\x1c" + words_20)]
+    more += [(30, " ".join(f"word{i}" for i in range(60_000)))]
+    texts = [*TEXTS, *more]
+    order = quality_rules.plan(docs(spark, texts))
     assert {r["rule"] for r in order} == set(quality_rules.RULES)
-    got = quality_rules.judge(docs(spark), order).collect()
-    assert len(got) == len(TEXTS)
+    assert all(0 <= r["rejected"] <= 1 and r["cost_s"] > 0 for r in order)
+    got = quality_rules.judge(docs(spark, texts), order).collect()
+    assert len(got) == len(texts) and {r.rejected_by for r in got} >= {"base", None, "shouting", "word_length", "exclamations"}
     for r in got:
-        text = next(t for i, t in TEXTS if i == r.doc_id) or ""
+        text = next(t for i, t in texts if i == r.doc_id) or ""
         w = words(text)
         c = Counter(tuple(w[i : i + 8]) for i in range(len(w) - 7))
         again = {j for i in range(len(w) - 7) if c[tuple(w[i : i + 8])] > 1 for j in range(i, i + 8)}
@@ -152,7 +170,9 @@ def test_rules(spark):
         want = (len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(again))
         assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == want
         assert r.base_failed == (want[0] < 20 or 100 * want[4] > 30 * want[0])
-        assert not (r.base_failed and r.kept)
+        by_hand = rejecting(text, w, want[2], lines)
+        assert r.kept == (not r.base_failed and not by_hand)
+        assert r.rejected_by == ("base" if r.base_failed else next((x["rule"] for x in order if x["rule"] in by_hand), None))
     assert quality_rules.judge(docs(spark).limit(0), quality_rules.plan(docs(spark).limit(0))).count() == 0
 
 
