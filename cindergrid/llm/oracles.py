@@ -2,6 +2,31 @@
 
 from __future__ import annotations
 
+from . import licenses
+
+
+def _licences_sql(most_pieces: int = 16) -> str:
+    """Runs of up to so many pieces that spell a known sentence, then the rules one after another on a text of identifiers."""
+    known = ", ".join(f"({i}, '{licenses.normal(s)}')" for i, s in licenses.SENTENCES.items())
+    gap = rf"(\|0\|){{0,{licenses.GAP}}}"
+    step, rules = "select *, ids as left0 from q", licenses.in_order(licenses.RULES)
+    for k, (_, ids) in enumerate(rules):
+        pattern = gap.join(rf"\|{i}\|" for i in ids)
+        step = f"select *, regexp_matches(left{k}, '{pattern}') as h{k}, regexp_replace(left{k}, '{pattern}', '|-|', 'g') as left{k + 1} from ({step})"
+    names = ", ".join(f"case when h{k} then '{name}' end" for k, (name, _) in enumerate(rules))
+    weak = ", ".join(f"'{x}'" for x in sorted(licenses.WEAK))
+    return rf"""with p as (select doc_id, list_filter(string_split_regex(coalesce(text, ''), '[.!?]+\s|\n'), lambda x: trim(x, ' ') <> '') as u from documents),
+        n as (select doc_id, list_transform(u, lambda x: trim(regexp_replace(lower(x), '[^a-z0-9]+', ' ', 'g'))) as u from p), i as (select doc_id, u, unnest(range(1, len(u) + 1)) as i from n),
+        k(id, s) as (values {known}), f as (select distinct string_split(s, ' ')[1] as w from k), c as (select i.* from i join f on f.w = string_split(u[i], ' ')[1]),
+        j as (select doc_id, i, z, u[i + z - 1] as e, array_to_string(list_filter(list_slice(u, i, i + z - 1), lambda x: x <> ''), ' ') as s from (select *, unnest(range(1, {most_pieces + 1})) as z from c) where i + z - 1 <= len(u)),
+        m as (select doc_id, i, max(z) as z, max_by(k.id, z) as id from j join k on k.s = j.s where e <> '' group by 1, 2),
+        o as (select * from m where not exists (select 1 from m b where b.doc_id = m.doc_id and b.i < m.i and b.i + b.z > m.i)),
+        t as (select i.doc_id, i.i, o.id, exists (select 1 from o where o.doc_id = i.doc_id and o.i < i.i and o.i + o.z > i.i) as inside from i left join o on o.doc_id = i.doc_id and o.i = i.i),
+        q as (select n.doc_id, cast(len(n.u) as bigint) as n_sentences, count(t.id) as n_known, coalesce(string_agg(cast(t.id as varchar), ',' order by t.i), '') as sentence_ids, coalesce(string_agg('|' || coalesce(t.id, 0) || '|', '' order by t.i) filter (not inside), '') as ids from n left join t on t.doc_id = n.doc_id group by n.doc_id, n.u),
+        r as (select *, list_sort(list_distinct(list_filter([{names}], lambda x: x is not null))) as l from ({step}))
+        select doc_id, n_sentences, n_known, sentence_ids, array_to_string(case when len(list_filter(l, lambda x: x not in ({weak}))) > 0 then list_filter(l, lambda x: x not in ({weak})) else l end, ',') as licenses from r"""
+
+
 ORACLES: dict[str, str] = {
     "op1_warc": """with p as (select page_id, coalesce(html, '') as h from pages), d as (select page_id, cast(strlen(h) as bigint) as payload_bytes, sha1(h) as payload_digest from p),
         g as (select *, max(page_id) over (partition by payload_digest, payload_bytes) as m from d)
@@ -24,6 +49,7 @@ ORACLES: dict[str, str] = {
         t as (select doc_id, count(*) as n_items, string_agg(x, ',' order by x) as ids from (select distinct doc_id, cast(item_id as varchar) as x from h) group by 1)
         select n.doc_id, cast(len(n.w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items, sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(n.w) as contaminated
         from n left join c on c.doc_id = n.doc_id left join t on t.doc_id = n.doc_id""",
+    "op7_licenses": _licences_sql(),
     "op6_chat": r"""with r as (select cast(conv_id as bigint) as c, cast(turn as bigint) as t, coalesce(role, '') as role, coalesce(text, '') as text from conversations union all select -7, 0, 'user', '\### Assistant: </turn> ok' union all select -7, 1, 'assistant', '\### Assistant: </turn> ok'),
         g as (select c as conv_id, count(*) as n_turns, string_agg(role || chr(10) || text || chr(10), '' order by t, role, text) as s, coalesce(string_agg(case when role = 'assistant' then text end, '' order by t, role, text), '') as l,
             sum(14 + length(role) + length(regexp_replace(role, '[^\\<#:]', '', 'g')) + length(text) + length(regexp_replace(text, '[^\\<#]', '', 'g'))) as f from r group by 1)

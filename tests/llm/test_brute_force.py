@@ -293,6 +293,27 @@ def test_licenses(spark):
     assert got[3].n_sentences == 0 and list(got[2].sentence_ids) == [2, 3]
 
 
+def test_licenses_wrapped_in_comments(spark):
+    import textwrap
+
+    of = licenses.SENTENCES
+    wrap = lambda ids, mark="", width=60: "\n".join(mark + x for s in ids for x in textwrap.wrap(of[s], width))
+    bsd = of[13] + "\n\n" + "\n".join(f"{n}. " + "\n   ".join(textwrap.wrap(of[i], 70)) for n, i in enumerate((33, 34, 35), 1)) + "\n\n" + wrap([36, 37])
+    rows = [
+        (1, "MIT License\n\nCopyright (c) 2020 A. Person\n\n" + wrap([2]) + "\n\n" + wrap([3, 15, 16])), (2, "int x;\n" + wrap([17], " * ") + "\n *\n *     http://www.apache.org/licenses/LICENSE-2.0\n *\n" + wrap([18, 19], " * ")),
+        (3, "// Copyright 2019 B. All rights reserved.\n" + bsd), (4, wrap([8], "# ", 40) + "\n#\n" + wrap([9, 10, 21], "# ")), (5, "Copyright C. All rights reserved."), (6, of[2].replace(" ", "  ").replace(", ", ",\t")),
+        (7, "/* SPDX-License-Identifier: GPL-2.0-only */\nint main"), (8, wrap([30], ";; ", 30) + "\n" + wrap([32], ";; ", 30)), (9, of[33]), (10, "\n".join([of[4], *["filler"] * 7, of[5]])), (11, " ".join(of[8].split()[:-1])), (12, ("word. " * 400_000) + wrap([39, 40])), (12, ""),
+        (13, of[13] + "\n" + of[33] + "\n" + of[34]), (14, of[24] + of[26]), (15, of[28] + "\n" + of[9] + " " + of[29]), (16, of[42]), (17, of[44]), (None, of[1]),
+    ]
+    got = defaultdict(list)
+    for r in licenses.scan(docs(spark, rows)).collect():
+        got[r.doc_id].append(r.licenses)
+    want = {1: "MIT", 2: "Apache-2.0", 3: "BSD-3-Clause", 4: "GPL-3.0-or-later", 5: "proprietary", 6: "MIT-grant", 7: "GPL-2.0-only", 8: "MPL-2.0", 10: "Apache-2.0", 13: "BSD-2-Clause", 15: "AGPL-3.0-or-later", 16: "Unlicense", 17: "CC0-1.0", None: "MIT"}
+    assert {i: x for i, x in got.items() if i not in (9, 11, 12, 14)} == {i: [[x]] for i, x in want.items()}
+    assert got[9] == got[11] == [[]] and sorted(got[12]) == [[], ["ISC"]]
+    assert licenses.scan(docs(spark).limit(0)).count() == 0 and licenses.scan(docs(spark, rows), {}, []).filter("n_known > 0").count() == 0
+
+
 def test_licenses_by_hand_on_the_table(spark):
     table = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").toPandas()
     known = {licenses.normal(s): i for i, s in licenses.SENTENCES.items()}
