@@ -208,7 +208,8 @@ def _scored(docs: DataFrame, keep: list[str], model: Model, hot: int) -> tuple[D
         one = F.array(F.struct(F.lit(-1).alias("lang"), F.lit(1.0).alias("gain")))
         looked_up = items.filter("scores is not null").select("item", F.concat(one, "scores").alias("scores"))
         looked_up = looked_up.unionByName(_backed_off(items.filter("scores is null").select("item"), model))
-        more = rest.join(looked_up, "item").select("_rid", "k", F.explode("scores").alias("s")).groupBy("_rid", "s.lang").agg(F.sum(F.col("k") * F.col("s.gain")).alias("gain"))
+        each = rest.join(looked_up, "item").select("_rid", "k", F.explode("scores").alias("s")).select("_rid", "s.lang", (F.col("k") * F.col("s.gain")).alias("gain"))
+        more = each.repartition("_rid").groupBy("_rid", "lang").agg(F.sum("gain").alias("gain"))  # one exchange serves both sums and the join
         more = more.groupBy("_rid").agg(F.collect_list("lang").alias("_langs"), F.collect_list("gain").alias("_gains"))
         done = done.join(more, "_rid", "left")
     else:
