@@ -26,6 +26,22 @@ def format_stamp(ts: Column) -> Column:
     return F.date_format(ts, "yyyyMMdd'T'HH'Z'")
 
 
+def stamp_of_cycle(cycle: Column, now: Column) -> Column:
+    """The newest stamp of a cycle (hour of the day) that is not after now."""
+    today = F.date_trunc("day", now) + F.make_dt_interval(hours=cycle.cast("int"))
+    return format_stamp(F.when(today > now, today - F.make_dt_interval(days=F.lit(1))).otherwise(today))
+
+
+def valid_header(init: Column, fhour: Column, label: str, zone: str = LOCAL) -> Column:
+    """Label, local and universal time of a frame, as it is shown above it."""
+    valid = init + F.make_dt_interval(hours=fhour.cast("int"))
+    here = local(valid, zone)
+    ahead = (F.unix_timestamp(here) - F.unix_timestamp(valid.cast("timestamp"))) / 3600
+    name = F.when(ahead == -7, "PDT").when(ahead == -8, "PST").otherwise("LT") if zone == LOCAL else F.lit("LT")
+    day = lambda t: F.upper(F.date_format(t, "ddMMMyyyy"))
+    return F.concat(F.lit(label + "  |  "), F.date_format(here, "EEE HH:mm"), name, F.lit(" "), day(here), F.lit("  |  "), F.date_format(valid, "HH:mm"), F.lit("UTC "), day(valid))
+
+
 def block_end(ts: Column, hours: int = 3) -> Column:
     """End of the right-closed block that holds ts."""
     size = hours * 3600

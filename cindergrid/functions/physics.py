@@ -125,6 +125,18 @@ def vertical_velocity(omega: Column, temp_k: Column, pressure_hpa: Column) -> Co
     return F.when(temp_k > 150, -omega / (density * lit(GRAVITY)))
 
 
+def vertical_velocity_cm(omega: Column, temp_k: Column, pressure_hpa: Column) -> Column:
+    """Upward velocity in cm/s; temperatures below 150 K count as 150 K."""
+    density = pressure_hpa * lit(100) / (lit(DRY_AIR) * at_least(temp_k, 150.0))
+    return -omega / at_least(density * lit(GRAVITY), 1e-6) * lit(100)
+
+
+def unit_vector(u: Column, v: Column, least: float = 0.0) -> Column:
+    """struct(u, v, speed): the direction is missing where speed is not above the least."""
+    speed = F.hypot(u, v)
+    return F.struct(F.when(speed > least, u / speed).alias("u"), F.when(speed > least, v / speed).alias("v"), speed.alias("speed"))
+
+
 def convective_gust(c: dict[str, Column]) -> dict[str, Column]:
     """Potential convective gust: gust, potential and trigger of columns regular (km/h), dcape, li, cape, pbl, w850, w700,
     prate, omega700, temp700."""

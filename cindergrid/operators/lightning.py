@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import clock
 from ..functions import physics as P
+from . import grid as G
 
 
 def three_hour_blocks(flashes: DataFrame, expected: int = 18, minutes: float = 10.0) -> DataFrame:
@@ -78,6 +79,12 @@ def potential(c: dict, charge_factor, mid_rh, precip_3h, prate, upward):
     return F.when(((of_li < 0.05) & (of_cape < 0.08)) | (moist < 0.08), 0.0).otherwise(value)
 
 
+def smoothed_potential(grid: DataFrame, keys: list[str], resolution_km: float, value: str = "potential", target_km: float = 1.2) -> DataFrame:
+    """The potential smoothed over a target distance, 0 to 100. Upward motion is smoothed alike, over 1.4 km, beforehand."""
+    got = G.gaussian(grid, keys, value, G.sigma_for(target_km, resolution_km))
+    return got.withColumn(value, P.clip(F.col(value), 0.0, 100.0))
+
+
 # Levels of observed density that are reported.
 LEVELS = (0.05, 0.5, 2.0)
 

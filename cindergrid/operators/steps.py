@@ -43,3 +43,22 @@ def cleaned(fields: DataFrame, value: str = "value", lon: str = "lon") -> DataFr
     """Values beyond 1e20 are missing, and longitudes run from -180 to 180."""
     v, x = F.col(value), F.col(lon)
     return fields.withColumns({value: F.when(F.abs(v) <= 1e20, v), lon: F.when(x > 180, x - 360).otherwise(x)})
+
+
+def hourly_amount(totals: DataFrame, keys: list[str], hour: str = "fhour", value: str = "value") -> DataFrame:
+    """totals (running sums since hour 0) with amount, that of the hour: hour 0 has none, hour 1 its whole total, others the
+    rise since the hour before, at least 0. Where that hour is not there, the amount is missing: gaps are not bridged."""
+    w = Window.partitionBy(*keys).orderBy(hour)
+    rise = F.when(F.lag(hour).over(w) == F.col(hour) - 1, P.at_least(F.col(value) - F.lag(value).over(w), 0.0))
+    return totals.withColumn("amount", F.when(F.col(hour) == 0, F.when(F.col(value).isNotNull(), 0.0)).when(F.col(hour) == 1, F.col(value)).otherwise(rise))
+
+
+def amount_since(totals: DataFrame, keys: list[str], hours: int = 3, hour: str = "fhour", value: str = "value") -> DataFrame:
+    """totals with amount: the rise over so many hours, at least 0; the whole total where that earlier hour is not there."""
+    w = Window.partitionBy(*keys).orderBy(hour).rangeBetween(-hours, -hours)
+    return totals.withColumn("amount", P.at_least(F.col(value) - F.coalesce(F.first(value).over(w), F.lit(0.0)), 0.0))
+
+
+def rises(totals: DataFrame, keys: list[str], order: str, value: str = "value") -> DataFrame:
+    """totals with amount: the difference from the row before, the first row's whole value."""
+    return totals.withColumn("amount", F.col(value) - F.lag(value, 1, 0.0).over(Window.partitionBy(*keys).orderBy(order)))

@@ -28,11 +28,16 @@ def matched(forecasts: list[DataFrame], observed: DataFrame) -> DataFrame:
 
 def metrics(pairs: DataFrame) -> DataFrame:
     """n, exact %, within one %, mean absolute error and bias by model and by (model, lead group), in one pass."""
-    pairs.createOrReplaceTempView("_pairs")
-    return pairs.sparkSession.sql("""
-        select model, coalesce(lead_group, 'all') as lead_group, count(*) as n, 100 * avg(cast(error = 0 as double)) as exact,
-               100 * avg(cast(abs(error) <= 1 as double)) as within_one, avg(abs(error)) as mae, avg(error) as bias
-        from _pairs group by grouping sets ((model), (model, lead_group))""")
+    error = F.col("error")
+    got = pairs.groupingSets([["model"], ["model", "lead_group"]], "model", "lead_group").agg(
+        F.count(F.lit(1)).alias("n"), (100 * F.avg((error == 0).cast("double"))).alias("exact"), (100 * F.avg((F.abs(error) <= 1).cast("double"))).alias("within_one"),
+        F.avg(F.abs(error)).alias("mae"), F.avg(error).alias("bias"))
+    return got.withColumn("lead_group", F.coalesce("lead_group", F.lit("all")))
+
+
+def coverage(pairs: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, first and last day, n, stations) of matched pairs."""
+    return pairs.groupBy(*keys).agg(F.min("fire_date").alias("first"), F.max("fire_date").alias("last"), F.count(F.lit(1)).alias("n"), F.count_distinct("station").alias("stations"))
 
 
 def confusion(pairs: DataFrame, classes: int = 5) -> DataFrame:

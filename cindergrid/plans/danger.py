@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import clock
 from ..functions import physics as P
-from ..operators import moisture, peak
+from ..operators import daily, moisture, peak, steps
 from .standins import duck, view
 
 QUERIES, ORACLES = {}, {}
@@ -98,35 +99,26 @@ select cell, count(*) filter ((ri <= h and h <= st) or (h < 6 and ri <= h + 24 a
 
 def hourly_rain(spark, sf_dir):
     """Hourly and three-hourly amounts from accumulations; hours 1 and 3 are the first, gaps stay missing."""
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("cell").orderBy("hour_no")
-    acc = view(spark, sf_dir, "wx").withColumn("acc", F.sum("precip_mm").over(w.rowsBetween(Window.unboundedPreceding, 0))).filter("hour_no % 13 <> 0")
-    before = acc.select("cell", (F.col("hour_no") + 3).alias("hour_no"), F.col("acc").alias("acc3"))
-    one = F.when(F.col("hour_no") == 1, F.col("acc")).when(F.lag("hour_no").over(w) == F.col("hour_no") - 1, F.greatest(F.col("acc") - F.lag("acc").over(w), F.lit(0.0)))
-    rows = acc.withColumn("one", one).join(before, ["cell", "hour_no"], "left")
-    three = F.greatest(F.col("acc") - F.coalesce("acc3", F.lit(0.0)), F.lit(0.0))
-    return rows.select("cell", "hour_no", r4("one").alias("rain_1h"), (F.floor(three * 1e4 + 0.5) / 1e4).alias("rain_3h"))
+    w = Window.partitionBy("cell").orderBy("hour_no").rowsBetween(Window.unboundedPreceding, 0)
+    acc = view(spark, sf_dir, "wx").select("cell", "hour_no", F.sum("precip_mm").over(w).alias("acc")).filter("hour_no % 13 <> 0")
+    rows = steps.hourly_amount(acc, ["cell"], "hour_no", "acc").withColumnRenamed("amount", "one")
+    rows = steps.amount_since(rows, ["cell"], 3, "hour_no", "acc").withColumnRenamed("amount", "three")
+    rows = steps.rises(rows, ["cell"], "hour_no", "acc")
+    return rows.select("cell", "hour_no", r4("one").alias("rain_1h"), r4("three").alias("rain_3h"), r4("amount").alias("rise"))
 
 
 QUERIES["hourly_rain"] = hourly_rain
 ORACLES["hourly_rain"] = duck("""with a as (select cell, hour_no, sum(precip_mm) over (partition by cell order by hour_no) as acc from ({wx})), b as (select * from a where hour_no % 13 <> 0)
-select b.cell, b.hour_no, floor(case when b.hour_no = 1 then b.acc when p.acc is not null then greatest(b.acc - p.acc, 0) end * 1e4 + 0.5) / 1e4 as rain_1h, floor(greatest(b.acc - coalesce(q.acc, 0), 0) * 1e4 + 0.5) / 1e4 as rain_3h
+select b.cell, b.hour_no, floor(case when b.hour_no = 1 then b.acc when p.acc is not null then greatest(b.acc - p.acc, 0) end * 1e4 + 0.5) / 1e4 as rain_1h, floor(greatest(b.acc - coalesce(q.acc, 0), 0) * 1e4 + 0.5) / 1e4 as rain_3h, floor((b.acc - coalesce(lag(b.acc) over (partition by b.cell order by b.hour_no), 0)) * 1e4 + 0.5) / 1e4 as rise
 from b left join b p on p.cell = b.cell and p.hour_no = b.hour_no - 1 left join b q on q.cell = b.cell and q.hour_no = b.hour_no - 3""")
 
 
 def daily_extremes(spark, sf_dir):
     """Local-day extremes with their hours (earliest on ties), the noon sample and the rain since the last noon."""
-    from pyspark.sql import Window
-
-    rows = view(spark, sf_dir, "wx").withColumn("local_ts", clock.local(F.col("valid_ts"))).withColumn("d", F.to_date("local_ts"))
-    w = Window.partitionBy("cell").orderBy("hour_no")
-    rows = rows.withColumn("acc", F.sum("precip_mm").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    at = lambda v: F.hour(F.max_by("local_ts", F.struct(v, -F.col("hour_no")))).cast("long")
-    noon = F.hour("local_ts") == 12
-    day = rows.groupBy("cell", "d").agg(F.max("temp_c").alias("tmax"), at(F.col("temp_c")).alias("tmax_hour"), F.min("temp_c").alias("tmin"), at(-F.col("temp_c")).alias("tmin_hour"), F.max(F.when(noon, F.col("rh"))).alias("noon_rh"), F.max(F.when(noon, F.col("acc"))).alias("noon_acc"))
-    rain = F.col("noon_acc") - F.lag("noon_acc", 1).over(Window.partitionBy("cell").orderBy("d"))
-    return day.select("cell", F.col("d").cast("string").alias("local_date"), r4("tmax").alias("tmax"), "tmax_hour", r4("tmin").alias("tmin"), "tmin_hour", r4("noon_rh").alias("noon_rh"), (F.floor(F.when(rain.isNotNull(), F.greatest(rain, F.lit(0.0))) * 1e3 + 0.5) / 1e3).alias("rain_24h"))
+    w = Window.partitionBy("cell").orderBy("hour_no").rowsBetween(Window.unboundedPreceding, 0)
+    rows = view(spark, sf_dir, "wx").withColumn("acc", F.sum("precip_mm").over(w))
+    got = daily.extremes(rows, ["cell"], "temp_c").join(daily.noon_samples(rows, ["cell"], ["rh"], "acc"), ["cell", "local_date"])
+    return got.select("cell", F.col("local_date").cast("string").alias("local_date"), r4("top").alias("tmax"), F.col("top_hour").alias("tmax_hour"), r4("low").alias("tmin"), F.col("low_hour").alias("tmin_hour"), r4("rh").alias("noon_rh"), (F.floor(F.col("rain_24h") * 1e3 + 0.5) / 1e3).alias("rain_24h"))
 
 
 QUERIES["daily_extremes"] = daily_extremes
@@ -138,21 +130,15 @@ select x.cell, cast(x.d as varchar) as local_date, floor(tmax * 1e4 + 0.5) / 1e4
 
 
 def season_switch(spark, sf_dir):
-    """Winter or summer by the three-day highest temperature (below 12 or above 24 here), else as before; days since."""
-    from pyspark.sql import Window
-
-    rows = view(spark, sf_dir, "wx").groupBy("cell", F.to_date(clock.local(F.col("valid_ts"))).alias("d")).agg(F.avg("temp_c").alias("t"))
-    w = Window.partitionBy("cell").orderBy("d")
-    top = F.max("t").over(w.rowsBetween(-2, 0))
-    rows = rows.withColumn("trigger", F.when(top < 12, "winter").when(top > 18, "summer"))
-    rows = rows.withColumn("season", F.last("trigger", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    rows = rows.withColumn("onset", ~F.lag("season").over(w).eqNullSafe(F.col("season"))).withColumn("spell", F.sum(F.col("onset").cast("int")).over(w))
-    return rows.select("cell", F.col("d").cast("string").alias("local_date"), "season", F.row_number().over(Window.partitionBy("cell", "spell").orderBy("d")).cast("long").alias("days"))
+    """Seasons of days whose mean temperature is set 8 degrees lower, so that both thresholds are crossed."""
+    days = view(spark, sf_dir, "wx").groupBy("cell", F.to_date(clock.local(F.col("valid_ts"))).alias("d")).agg(F.avg("temp_c").alias("t"), F.sum("precip_mm").alias("p"))
+    got = daily.seasons(days, ["cell"], "d", F.col("t") - 8, F.col("p"))
+    return got.select("cell", F.col("d").cast("string").alias("local_date"), "season", "onset", F.col("days_in").alias("days"), r4("winter_rain").alias("winter_rain"))
 
 
 QUERIES["season_switch"] = season_switch
-ORACLES["season_switch"] = duck("""with w as (select cell, cast(valid_ts - interval 7 hour as date) as d, avg(temp_c) as t from ({wx}) group by 1, 2),
-a as (select *, max(t) over (partition by cell order by d rows between 2 preceding and current row) as top, case when top < 12 then 'winter' when top > 18 then 'summer' end as tr from w),
+ORACLES["season_switch"] = duck("""with w as (select cell, cast(valid_ts - interval 7 hour as date) as d, avg(temp_c) - 8 as t, sum(precip_mm) as p from ({wx}) group by 1, 2),
+a as (select *, max(t) over (partition by cell order by d rows between 2 preceding and current row) as top, case when top < 5 then 'winter' when top > 12 then 'summer' end as tr from w),
 b as (select *, last_value(tr ignore nulls) over (partition by cell order by d) as season from a), c as (select *, lag(season) over (partition by cell order by d) is distinct from season as onset from b),
 e as (select *, sum(cast(onset as int)) over (partition by cell order by d) as spell from c)
-select cell, cast(d as varchar) as local_date, season, row_number() over (partition by cell, spell order by d) as days from e""")
+select cell, cast(d as varchar) as local_date, season, onset, row_number() over (partition by cell, spell order by d) as days, floor(sum(case when season = 'winter' then p else 0 end) over (partition by cell, spell order by d) * 1e4 + 0.5) / 1e4 as winter_rain from e""")

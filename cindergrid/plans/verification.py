@@ -38,7 +38,7 @@ ORACLES["verification_confusion"] = duck("with " + PAIRS + """, s as (select a.r
 QUERIES["latest_forecasts"] = lambda spark, sf_dir: verify.keep_one(pairs(spark, sf_dir), ["model", "station", "fire_date"], ["lead", "id"], last=False).select("model", "station", F.col("fire_date").cast("string").alias("fire_date"), "lead", "id", "error")
 ORACLES["latest_forecasts"] = duck("with " + PAIRS + " select model, station, cast(fire_date as varchar) as fire_date, lead, id, error from p qualify row_number() over (partition by model, station, fire_date order by lead, id) = 1")
 
-QUERIES["verification_coverage"] = lambda spark, sf_dir: pairs(spark, sf_dir).groupBy("model").agg(F.min("fire_date").cast("string").alias("first"), F.max("fire_date").cast("string").alias("last"), F.count(F.lit(1)).alias("n"), F.count_distinct("station").alias("stations"))
+QUERIES["verification_coverage"] = lambda spark, sf_dir: verify.coverage(pairs(spark, sf_dir), ["model"]).select("model", F.col("first").cast("string").alias("first"), F.col("last").cast("string").alias("last"), "n", "stations")
 ORACLES["verification_coverage"] = duck("with " + PAIRS + " select model, cast(min(fire_date) as varchar) as first, cast(max(fire_date) as varchar) as last, count(*) as n, count(distinct station) as stations from p group by model")
 
 

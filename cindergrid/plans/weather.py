@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import physics as P
 from ..operators import grid as G
-from ..operators import lightning, profile
+from ..operators import fields, lightning, profile
 from .standins import duck, view
 
 QUERIES, ORACLES = {}, {}
@@ -69,17 +69,17 @@ ok as (select run from h group by run having count(distinct fhour) = 8 and count
 
 
 def hazard_windows(spark, sf_dir):
-    wx = view(spark, sf_dir, "wx").filter("hour_no <= 49")
-    s = wx.select(F.lit("r").alias("run"), (F.col("hour_no") - 1).alias("fhour"), "cell", F.col("rh").alias("potential"), (F.col("rh") * 0.6).alias("rh"), F.col("precip_mm").alias("precip"), F.col("wind_kmh").alias("gust"), F.col("temp_c").alias("u"), (F.col("temp_c") * 2).alias("v"))
+    wx = view(spark, sf_dir, "wx")  # runs of 49 hours one after another
+    s = wx.select(F.floor((F.col("hour_no") - 1) / 49).alias("run"), ((F.col("hour_no") - 1) % 49).alias("fhour"), "cell", F.col("rh").alias("potential"), (F.col("rh") * 0.6).alias("rh"), F.col("precip_mm").alias("precip"), F.col("wind_kmh").alias("gust"), F.col("temp_c").alias("u"), (F.col("temp_c") * 2).alias("v"))
     hours = s.select("run", "fhour").distinct().filter("fhour % 3 = 0")
-    return lightning.hazard_windows(s, hours).select("fhour", "cell", *[r4(c) for c in ("potential", "dry", "gust", "u", "v")])
+    return lightning.hazard_windows(s, hours).select("run", "fhour", "cell", *[r4(c) for c in ("potential", "dry", "gust", "u", "v")])
 
 
 QUERIES["hazard_windows"] = hazard_windows
-ORACLES["hazard_windows"] = duck("""with s as (select hour_no - 1 as h, cell, rh as potential, rh * 0.6 as rh, precip_mm as precip, wind_kmh as gust, temp_c as u from ({wx}) where hour_no <= 49), p as (select distinct h as fhour from s where h % 3 = 0),
-j as (select fhour, s.* from p join s on s.h between case when fhour = 0 then 0 else greatest(fhour - 2, 0) end and fhour), a as (select fhour, cell, max(potential) as potential, max(potential * least(greatest((55 - rh) / 25, 0), 1)) as d, arg_max(precip, h) as pr, max(gust) as gust from j group by 1, 2),
-w as (select fhour, cell, u from j qualify row_number() over (partition by fhour, cell order by gust desc, h) = 1)
-select a.fhour, a.cell, """ + R4("potential") + ", " + R4("case when potential >= 25 then d * (1 - least(greatest((pr - 0.25) / 2.25, 0), 1)) else 0 end", "dry") + ", " + R4("gust") + ", " + R4("u") + ", " + R4("u * 2", "v") + " from a join w on w.fhour = a.fhour and w.cell = a.cell")
+ORACLES["hazard_windows"] = duck("""with s as (select cast(floor((hour_no - 1) / 49) as bigint) as run, (hour_no - 1) % 49 as h, cell, rh as potential, rh * 0.6 as rh, precip_mm as precip, wind_kmh as gust, temp_c as u from ({wx})), p as (select distinct run, h as fhour from s where h % 3 = 0),
+j as (select fhour, s.* from p join s on s.run = p.run and s.h between case when fhour = 0 then 0 else greatest(fhour - 2, 0) end and fhour), a as (select run, fhour, cell, max(potential) as potential, max(potential * least(greatest((55 - rh) / 25, 0), 1)) as d, arg_max(precip, h) as pr, max(gust) as gust from j group by 1, 2, 3),
+w as (select run, fhour, cell, u from j qualify row_number() over (partition by run, fhour, cell order by gust desc, h) = 1)
+select a.run, a.fhour, a.cell, """ + R4("potential") + ", " + R4("case when potential >= 25 then d * (1 - least(greatest((pr - 0.25) / 2.25, 0), 1)) else 0 end", "dry") + ", " + R4("gust") + ", " + R4("u") + ", " + R4("u * 2", "v") + " from a join w on w.run = a.run and w.fhour = a.fhour and w.cell = a.cell")
 
 
 def column_water(spark, sf_dir):
@@ -108,7 +108,8 @@ select cell, """ + R4("case when c is not null then sqrt(least(greatest((c - 45)
 
 def layer_humidity(spark, sf_dir):
     p = view(spark, sf_dir, "profile")
-    return p.groupBy("cell").agg(F.avg(F.when(F.col("surface_p") >= F.col("p_hpa"), F.col("rh"))).alias("m"), F.count_if(F.col("rh") < 50).alias("n_dry")).select("cell", r4("m", "mean_rh"), "n_dry")
+    dry = p.groupBy("cell").agg(F.count_if(F.col("rh") < 50).alias("n_dry"))
+    return fields.layer_mean(p, ["cell"], "rh").join(dry, "cell").select("cell", r4("mean", "mean_rh"), "n_dry")
 
 
 QUERIES["layer_humidity"] = layer_humidity
@@ -199,7 +200,7 @@ z as (select m.iy, m.ix, 20.0 + size as reg, 30.0 + size * 1.5 as st, coalesce(c
 select iy, ix, """ + R4("case when mask then greatest(reg, case when st / greatest(reg, 1) < 1.5 then st else 0.5 * (reg + st) end) else reg end", "gust") + ", mask from z")
 
 QUERIES["grid_fill_nearest"] = lambda spark, sf_dir: G.fill_nearest(_one(spark, sf_dir), ["f"], "v").select("iy", "ix", "v")
-ORACLES["grid_fill_nearest"] = duck("""with g as ({grid}), k as (select iy as y, ix as x, v as w from g where v is not null), n as (select iy, ix, w from g join k on g.v is null and abs(iy - y) <= 16 and abs(ix - x) <= 16 qualify row_number() over (partition by iy, ix order by (iy - y) * (iy - y) + (ix - x) * (ix - x), y, x) = 1)
+ORACLES["grid_fill_nearest"] = duck("""with g as ({grid}), k as (select iy as y, ix as x, v as w from g where v is not null), n as (select iy, ix, w from g join k on g.v is null qualify row_number() over (partition by iy, ix order by (iy - y) * (iy - y) + (ix - x) * (ix - x), y, x) = 1)
 select g.iy, g.ix, coalesce(g.v, n.w) as v from g left join n on n.iy = g.iy and n.ix = g.ix""")
 QUERIES["grid_crop"] = lambda spark, sf_dir: G.crop(view(spark, sf_dir, "grid"), (F.col("size") == 7) & (F.col("ix") < 30), 2).select("iy", "ix", "v")
 ORACLES["grid_crop"] = duck("with g as ({grid}), b as (select min(iy) - 2 as a, max(iy) + 2 as b, min(ix) - 2 as c, max(ix) + 2 as d from g where size = 7 and ix < 30) select iy, ix, v from g, b where iy between a and b.b and ix between c and d")
@@ -230,16 +231,9 @@ ORACLES["grid_regrid"] = duck("with p as (select c_custkey as id, cast(round_eve
 
 
 def vorticity(spark, sf_dir):
-    """Absolute vorticity (1e-5/s) of a wind made of the grid's fields; edges copy their neighbours."""
-    from pyspark.sql import Window
-
-    g = view(spark, sf_dir, "grid").withColumns({"lat": 40.0 + F.col("iy") * 0.25, "lon": -140.0 + F.col("ix") * 0.25, "u": F.col("size") * 1.0, "w": F.col("terrain") / 100.0})
-    row, col = Window.partitionBy("iy").orderBy("ix"), Window.partitionBy("ix").orderBy("iy")
-    dx = P.EARTH_RADIUS_M * F.cos(F.radians("lat")) * F.radians(F.lead("lon").over(row) - F.lag("lon").over(row))
-    dy = P.EARTH_RADIUS_M * F.radians(F.lead("lat").over(col) - F.lag("lat").over(col))
-    g = g.withColumns({"dv": (F.lead("w").over(row) - F.lag("w").over(row)) / dx, "du": (F.lead("u").over(col) - F.lag("u").over(col)) / dy})
-    fill = lambda c, w: F.coalesce(F.col(c), F.lead(c).over(w), F.lag(c).over(w))
-    return g.select("iy", "ix", r4((fill("dv", row) - fill("du", col) + 2 * P.EARTH_SPIN * F.sin(F.radians("lat"))) * 1e5, "absv"))
+    """Absolute vorticity (1e-5/s) of a wind made of the grid's fields."""
+    g = view(spark, sf_dir, "grid").withColumns({"f": F.lit(1), "lat": 40.0 + F.col("iy") * 0.25, "lon": -140.0 + F.col("ix") * 0.25, "u": F.col("size") * 1.0, "w": F.col("terrain") / 100.0})
+    return fields.absolute_vorticity(g, ["f"], "u", "w").select("iy", "ix", r4(F.col("absv") * 1e5, "absv"))
 
 
 QUERIES["vorticity"] = vorticity
