@@ -7,13 +7,24 @@ from pyspark.sql import functions as F
 
 
 def nearest_cell(stations: DataFrame, cells: DataFrame, reach: float) -> DataFrame:
-    """stations (station, x, y) with the nearest of cells (iy, ix, x, y) within reach, and its distance (ties: smaller iy,
-    then ix). Exact: a cell within reach lies in one of the nine buckets around the station."""
-    b = lambda c: F.floor(F.col(c) / reach)
+    """stations (station, x, y) with the nearest of cells (iy, ix, x, y) at any distance (ties: smaller iy, then ix). A cell
+    within reach lies in one of the nine buckets around the station; stations without one go on with twice the reach, until
+    all that have a place are placed. Without any cell no station is."""
+    todo, found = stations.select("station", "x", "y").filter("x is not null and y is not null"), None
+    some = bool(cells.head(1))
+    while some and (found is None or todo.head(1)):
+        got = _within(todo, cells, reach).persist()
+        found = got if found is None else found.unionByName(got)
+        todo = todo.join(got.select("station"), "station", "left_anti").persist()
+        reach *= 2
+    return found if found is not None else _within(todo, cells, reach)
+
+
+def _within(stations: DataFrame, cells: DataFrame, reach: float) -> DataFrame:
     near = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)]))
     s = stations.select("station", F.col("x").alias("sx"), F.col("y").alias("sy"), near.alias("o"))
     s = s.withColumns({"bx": F.floor(F.col("sx") / reach) + F.col("o.i"), "by": F.floor(F.col("sy") / reach) + F.col("o.j")}).drop("o")
-    c = cells.select("iy", "ix", F.col("x").alias("cx"), F.col("y").alias("cy"), b("x").alias("bx"), b("y").alias("by"))
+    c = cells.select("iy", "ix", F.col("x").alias("cx"), F.col("y").alias("cy"), F.floor(F.col("x") / reach).alias("bx"), F.floor(F.col("y") / reach).alias("by"))
     dx, dy = F.col("sx") - F.col("cx"), F.col("sy") - F.col("cy")
     pairs = s.join(c, ["bx", "by"]).withColumn("d", F.sqrt(dx * dx + dy * dy)).filter(F.col("d") <= reach)
     best = pairs.groupBy("station").agg(F.min(F.struct("d", "iy", "ix")).alias("m"))

@@ -51,3 +51,10 @@ def confusion(pairs: DataFrame, classes: int = 5) -> DataFrame:
 def latest(pairs: DataFrame) -> DataFrame:
     """Of each model, station and day the forecast with the smallest lead."""
     return keep_one(pairs, ["model", "station", "fire_date"], ["lead"], last=False)
+
+
+def sampled(peaks: DataFrame, mapping: DataFrame, keys: list[str]) -> DataFrame:
+    """peaks (keys, iy, ix, ...) at the cells of mapping (station, iy, ix, distance): a row for each station and key. Only
+    mapped cells leave the scan of the grid."""
+    cells = mapping.select("iy", "ix").distinct()
+    return peaks.join(cells, ["iy", "ix"], "left_semi").join(mapping.select("station", "iy", "ix", "distance"), ["iy", "ix"]).select("station", *keys, *[c for c in peaks.columns if c not in {"iy", "ix", *keys}], "distance")

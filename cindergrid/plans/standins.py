@@ -22,14 +22,16 @@ VIEWS = {
             row_number() over (partition by l_orderkey, l_linenumber order by l_partkey, l_suppkey, l_extendedprice) as r from {lineitem}) q where r = 1""",
     "forecast": """select cast(o_custkey as bigint) as station, case when o_orderkey % 2 = 0 then 'continental' else 'west' end as model, cast(o_orderdate as date) as fire_date,
         cast(o_orderkey % 73 as double) as lead, cast(1 + (o_orderkey * 7) % 5 as double) as fclass, cast(o_orderkey as bigint) as id from {orders}""",
-    "observed": """select c_custkey as station, fire_date, cast(1 + (c_custkey + n) % 5 as double) as oclass from {customer}
-        join (select distinct cast(o_orderdate as date) as fire_date, extract(day from o_orderdate) as n from {orders}) d on (c_custkey + n) % 3 <> 0""",
+    "observed": """select distinct cast(o_custkey as bigint) as station, cast(o_orderdate as date) as fire_date, cast(1 + (o_custkey + extract(day from o_orderdate)) % 5 as double) as oclass from {orders}
+        where (o_custkey + extract(day from o_orderdate)) % 3 <> 0""",
     "hotspot": """select cast(event_id * 37 % 3300 - 14100 as double) / 100 as lon, cast(4550 + user_id * 53 % 1500 as double) / 100 as lat,
         cast(case when event_id % 11 = 0 then null else value end as double) as frp, cast(event_id as bigint) as ts from {events}""",
     "flash10": """select cast(user_id % 20 as bigint) as cell, timestamp '2024-01-01 00:00:00' + cast(floor(extract(epoch from ts) / 600) - 2840112 as bigint) * interval '10' minute as ts,
         max(case when event_id % 97 = 0 then null else value / 1000 end) as rate from {events} group by 1, 2""",
     "artifact": """select stamp, product, fhour, max(l_orderkey) as size_bytes, max(l_partkey) as mtime from (
         select *, concat(l_returnflag, l_linestatus) as product, cast(l_linenumber * 3 as bigint) as fhour, cast(cast(l_shipdate as date) as varchar(10)) as stamp from {lineitem}) a group by stamp, product, fhour""",
+    "run_file": """select case when floor(event_id / 4) % 2 = 0 then 'continental' else 'west' end as model, concat('202401', lpad(cast(5 + user_id % 5 as varchar(2)), 2, '0'), 'T', lpad(cast((event_id % 4) * 6 as varchar(2)), 2, '0'), 'Z') as run,
+        cast(floor(value) as bigint) % 17 * 3 as fhour, cast(event_id as bigint) as id, timestamp '2024-01-05 00:00:00' + (user_id % 5) * interval '24' hour + (event_id % 4) * interval '6' hour as init from {events}""",
     "sounding": """select cast(hour_no as bigint) as hour, cell, cast(temp_c * 60 as double) as dcape, cast(2 - rh / 15 as double) as li, cast(temp_c * 70 as double) as pbl,
         cast(wind_kmh / 2 as double) as w850, cast(wind_kmh / 1.5 as double) as w700, cast(1 + cell % 3 as double) as weight, cell % 4 = 0 as coastal,
         case when hour_no % 24 between 8 and 16 then 'day' when hour_no % 24 < 8 then 'morning' else 'other' end as period from ({wx}) w""",

@@ -43,29 +43,29 @@ ORACLES["verification_coverage"] = duck("with " + PAIRS + " select model, cast(m
 
 
 def asof_products(spark, sf_dir):
-    """The newest order of a customer's nation segment placed before each large one, as product and as-of time."""
-    o = view(spark, sf_dir, "orders").select(F.pmod("o_custkey", F.lit(50)).alias("key"), F.col("o_orderdate").alias("init"), F.col("o_orderkey").alias("id"))
-    wanted = o.filter("id % 20 = 0").select(F.col("id").alias("wid"), "key", F.col("init").alias("as_of"))
-    got = asof.newest_before(wanted, o.filter("id % 3 = 1"), ["key"], "as_of", "init", ["id"])
+    """For every order as an as-of time, the newest urgent or high-priority order of its customer group placed before."""
+    o = view(spark, sf_dir, "orders").select(F.pmod("o_custkey", F.lit(50)).alias("key"), F.col("o_orderdate").alias("init"), F.col("o_orderkey").alias("id"), "o_orderpriority")
+    wanted = o.select(F.col("id").alias("wid"), "key", F.col("init").alias("as_of"))
+    got = asof.newest_before(wanted, o.filter("o_orderpriority in ('1-URGENT', '2-HIGH')"), ["key"], "as_of", "init", ["id"])
     return got.select("wid", "key", F.col("found_init").cast("string").alias("found_init"), F.col("found_id").alias("found_id"))
 
 
 QUERIES["asof_products"] = asof_products
-ORACLES["asof_products"] = duck("""with o as (select o_custkey % 50 as key, o_orderdate as init, o_orderkey as id from orders), w as (select id as wid, key, init as as_of from o where id % 20 = 0),
-j as (select w.*, p.init, p.id from w join o p on p.key = w.key and p.init <= w.as_of and p.id % 3 = 1 qualify row_number() over (partition by w.wid order by p.init desc, p.id desc) = 1)
-select w.wid, w.key, cast(j.init as varchar) as found_init, j.id as found_id from w left join j on j.wid = w.wid""")
+ORACLES["asof_products"] = duck("""with o as (select o_custkey % 50 as key, o_orderdate as init, o_orderkey as id, o_orderpriority as p from orders), g as (select key, init, max(id) as id from o where p in ('1-URGENT', '2-HIGH') group by 1, 2)
+select o.id as wid, o.key, cast(g.init as varchar) as found_init, g.id as found_id from o asof left join g on g.key = o.key and g.init <= o.init""")
 
 
 def asof_days_back(spark, sf_dir):
-    o = view(spark, sf_dir, "orders").select(F.pmod("o_custkey", F.lit(200)).alias("key"), F.to_date("o_orderdate").alias("day"), F.col("o_orderkey").alias("n"))
-    wanted = o.filter("n % 10 = 0").select("key", "day", F.lit(10**9).cast("long").alias("as_of")).distinct()
-    got = asof.newest_with_days_back(wanted, o.filter("n % 10 <> 0"), ["key"], "day", "as_of", "n", back=3)
+    """For every customer group and day with orders, the newest filled order of that day, else of up to 3 days before."""
+    o = view(spark, sf_dir, "orders").select(F.pmod("o_custkey", F.lit(200)).alias("key"), F.to_date("o_orderdate").alias("day"), F.col("o_orderkey").alias("n"), "o_orderstatus")
+    wanted = o.select("key", "day", F.lit(10**9).cast("long").alias("as_of")).distinct()
+    got = asof.newest_with_days_back(wanted, o.filter("o_orderstatus = 'F'"), ["key"], "day", "as_of", "n", back=3)
     return got.select("key", F.col("day").cast("string").alias("day"), F.col("found_day").cast("string").alias("found_day"), F.col("found_init").alias("found_n"))
 
 
 QUERIES["asof_days_back"] = asof_days_back
-ORACLES["asof_days_back"] = duck("""with o as (select o_custkey % 200 as key, cast(o_orderdate as date) as day, o_orderkey as n from orders), w as (select distinct key, day from o where n % 10 = 0)
-select w.key, cast(w.day as varchar) as day, cast(p.day as varchar) as found_day, p.n as found_n from w join o p on p.key = w.key and p.day between w.day - 3 and w.day and p.n % 10 <> 0 qualify row_number() over (partition by w.key, w.day order by p.day desc, p.n desc) = 1""")
+ORACLES["asof_days_back"] = duck("""with o as (select o_custkey % 200 as key, cast(o_orderdate as date) as day, o_orderkey as n, o_orderstatus as s from orders), w as (select distinct key, day from o)
+select w.key, cast(w.day as varchar) as day, cast(p.day as varchar) as found_day, p.n as found_n from w join o p on p.key = w.key and p.day between w.day - 3 and w.day and p.s = 'F' qualify row_number() over (partition by w.key, w.day order by p.day desc, p.n desc) = 1""")
 
 
 def previous_states(spark, sf_dir):
@@ -80,17 +80,18 @@ select w.cell, w.hour_no as h, cast(l.lag as bigint) as lag, s.state from w cros
 
 
 def bridge_runs(spark, sf_dir):
-    e = view(spark, sf_dir, "events").select((F.col("user_id") % 20).alias("key"), F.date_trunc("hour", F.col("ts").cast("timestamp")).alias("t"), "event_id")
-    wanted = e.filter("event_id % 50 = 0").select("key", F.col("t").alias("anchor"), (F.col("t") + F.expr("interval 30 hours")).alias("target")).distinct()
-    runs = e.filter("event_id % 9 = 0").select("key", F.col("t").alias("init")).distinct()
+    """For every hour with events of a group as an anchor, the newest hour with a purchase as a run that reaches 30 hours on."""
+    e = view(spark, sf_dir, "events").select((F.col("user_id") % 20).alias("key"), F.date_trunc("hour", F.col("ts").cast("timestamp")).alias("t"), "event_type")
+    wanted = e.select("key", F.col("t").alias("anchor"), (F.col("t") + F.expr("interval 30 hours")).alias("target")).distinct()
+    runs = e.filter("event_type = 'purchase'").select("key", F.col("t").alias("init")).distinct()
     got = asof.bridge_run(wanted, runs, ["key"], "anchor", "target", "init")
     text = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c)
     return got.select("key", text("anchor"), text("bridge"))
 
 
 QUERIES["bridge_runs"] = bridge_runs
-ORACLES["bridge_runs"] = duck("""with e as (select user_id % 20 as key, date_trunc('hour', ts) as t, event_id from events), w as (select distinct key, t as anchor from e where event_id % 50 = 0)
-select w.key, strftime(w.anchor, '%Y-%m-%d %H:%M:%S') as anchor, strftime(max(r.t), '%Y-%m-%d %H:%M:%S') as bridge from w join e r on r.key = w.key and r.event_id % 9 = 0 and r.t <= w.anchor and r.t + interval 48 hour >= w.anchor + interval 30 hour group by 1, 2, w.anchor""")
+ORACLES["bridge_runs"] = duck("""with e as (select user_id % 20 as key, date_trunc('hour', ts) as t, event_type from events), w as (select distinct key, t as anchor from e), r as (select distinct key, t from e where event_type = 'purchase'),
+j as (select w.key, w.anchor, r.t from w asof join r on r.key = w.key and r.t <= w.anchor) select key, strftime(anchor, '%Y-%m-%d %H:%M:%S') as anchor, strftime(t, '%Y-%m-%d %H:%M:%S') as bridge from j where t + interval 48 hour >= anchor + interval 30 hour""")
 
 
 def hotspot_clusters(spark, sf_dir):
@@ -140,7 +141,7 @@ def _albers_sql(k: str, t: str) -> str:
 
 QUERIES["station_cells"] = station_cells
 ORACLES["station_cells"] = duck("""with c0 as (select c_custkey as station, -125.0::double + (c_custkey % 97) / 40.0::double as lon, 49.0::double + (c_custkey % 89) / 40.0::double as lat from customer), g0 as (select iy, ix, -125.0::double + ix * 0.06::double as lon, 49.0::double + iy * 0.055::double as lat from ({grid})),
-c as """ + _albers_sql("station", "c0") + ", g as " + _albers_sql("iy, ix", "g0") + """, j as (select station, iy, ix, sqrt((c.x - g.x) * (c.x - g.x) + (c.y - g.y) * (c.y - g.y)) as d from c join g on abs(c.x - g.x) <= 15000 and abs(c.y - g.y) <= 15000 where d <= 15000 qualify row_number() over (partition by station order by d, iy, ix) = 1)
+c as """ + _albers_sql("station", "c0") + ", g as " + _albers_sql("iy, ix", "g0") + """, j as (select station, iy, ix, sqrt((c.x - g.x) * (c.x - g.x) + (c.y - g.y) * (c.y - g.y)) as d from c cross join g qualify row_number() over (partition by station order by d, iy, ix) = 1)
 select station, iy, ix, floor(d / 10 + 0.5) / 100 as km from j""")
 
 
