@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import clock
+from ..functions import physics as P
 
 # Packing of fields as 16-bit integers.
 FILL, TOP = -32768, 32767
@@ -22,7 +23,7 @@ def profile_fields(levels: tuple[int, ...] = PROFILE_LEVELS, packing: dict[str,
 def packed(value: Column, offset: float, scale: float) -> Column:
     """value as an integer of (value - offset) / scale, half to even, at most TOP on either side; FILL where it is missing."""
     steps = F.rint((value - F.lit(offset)) / F.lit(scale))
-    return F.coalesce(F.greatest(F.least(steps, F.lit(float(TOP))), F.lit(float(-TOP))).cast("int"), F.lit(FILL))
+    return F.coalesce(P.clip(steps, float(-TOP), float(TOP)).cast("int"), F.lit(FILL))
 
 
 def unpacked(value: Column, offset: float, scale: float) -> Column:
