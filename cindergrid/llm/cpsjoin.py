@@ -4,8 +4,9 @@
    smallest doc_id stands for it. A class has a signature of 128 minwise values.
 2. In each of ``trees`` independent trees, a node picks one coordinate of the signature by a hash of its path (a second
    one in a quarter of cases, so 1 / 0.8 on average), and each class goes to the child named by its own minimum there.
-   Nodes with one class end; nodes of at most ``limit`` classes are compared exhaustively; larger ones branch again.
-   What is still larger after ``depth`` levels is compared too, in blocks (see ``links_within``), so nothing is capped.
+   Nodes with one class end; nodes of at most ``limit`` classes are compared exhaustively, and so are larger ones whose
+   classes hang together but for at most ``limit`` (near copies; see ``links_within``, linear); others branch again.
+   What still branches after ``depth`` levels is compared in blocks, so nothing is capped.
    The classes of nodes that branch again get further trees, until a pair of similarity 0.8 shares no compared node with
    a chance of ``miss`` at most at the deepest level reached (8 trees at level 1, 11 at level 2, 22 at level 6).
 3. Comparing inside a node uses the signatures and keeps pairs whose estimate is 0.62 or more, of which it gives a
@@ -26,6 +27,7 @@ an empty table gives no rows. Extra columns stay in ``keep_first`` and are ignor
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +44,7 @@ _FLIP = _RNG.integers(0, 1 << 32, K, dtype=np.uint32)
 _P = np.uint64(0x9E3779B97F4A7C15)
 _Q = np.uint64(0xBF58476D1CE4E5B9)
 MEMO = 150_000
+FEW = 4
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -162,23 +165,20 @@ def _groups(batches, keys: int) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def _forest(label: np.ndarray, asked: np.ndarray, linked) -> Iterator[tuple[int, int]]:
-    """Links that join the labels which the graph joins where linked(i) marks the neighbours of i, for the asked i."""
-    label = np.unique(label, return_inverse=True)[1]
+def _forest(label: np.ndarray, asked: np.ndarray, linked) -> tuple[list[tuple[int, int]], np.ndarray]:
+    """Links that join the labels which the graph joins where linked(i) marks the neighbours of i, for the asked i; and
+    the labels then, the smallest of those that were joined."""
+    label, found = label.copy(), []
     for i in np.flatnonzero(asked):
         other = label != label[i]
         if not other.any():
-            return
+            break
         near = np.flatnonzero(linked(i) & other)
         if len(near):
             for lab, j in zip(*np.unique(label[near], return_index=True)):
-                yield int(i), int(near[j])
-                label[label == lab] = label[i]
-
-
-def _edges_out(found: list[tuple[int, int]]) -> pa.RecordBatch:
-    a, b = (np.array(x, np.int64) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 2
-    return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+                found.append((int(i), int(near[j])))
+                label[(label == lab) | (label == label[i])] = min(lab, label[i])
+    return found, label
 
 
 def _by_sketches(least: int):
@@ -218,62 +218,81 @@ def _by_sets(width: int, percent: int):
     return prepared
 
 
-def _compared(cells: DataFrame, payload: DataFrame, prepared) -> DataFrame:
-    """Links (a, b) found in cells (group, _a, _b, rep, label, asked) with the payload (rep, data) of their classes."""
+FOUND = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("group", pa.int64()), ("label", pa.int64())])
+
+
+def _compared(cells: DataFrame, prepared, limit: int, few: int = FEW) -> DataFrame:
+    """Links (a, b) found in cells (group, _a, _b, rep, label, asked, n, data); and of groups of more than limit classes (n)
+    a few classes a of each part that hangs together in a cell, with b null, their group and the part's label."""
 
     def made(batches):
         linker, found = prepared(), []
         for group in _groups(batches, 3):
-            label, asked = group.column("label").to_numpy(), group.column("asked").to_numpy()
+            label, asked, n = (group.column(c).to_numpy() for c in ("label", "asked", "n"))
+            rep, pairs = group.column("rep").to_numpy(), []
             if (label != label[0]).any() and asked.any():
-                rep = group.column("rep").to_numpy()
-                found += [(int(rep[i]), int(rep[j])) for i, j in _forest(label, asked, linker(group.column("data").combine_chunks()))]
+                pairs, label = _forest(label, asked, linker(group.column("data").combine_chunks()))
+                found += [(int(rep[i]), int(rep[j]), None, None) for i, j in pairs]
+            if n[0] > limit:
+                key, order = group.column("group")[0].as_py(), np.lexsort((rep, label))
+                begins = np.concatenate(([True], label[order][1:] != label[order][:-1]))
+                nth = np.arange(len(order)) - np.maximum.accumulate(np.where(begins, np.arange(len(order)), 0))
+                found += [(int(rep[i]), None, key, int(label[i])) for i in order[nth < few]]
             if len(found) > 50_000:
-                yield _edges_out(found)
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*found), FOUND)], schema=FOUND)
                 found = []
-        yield _edges_out(found)
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*found), FOUND)], schema=FOUND)
 
-    rows = payload.join(cells, "rep").select("group", "_a", "_b", "rep", "label", "asked", "data")
-    return rows.repartition("group", "_a", "_b").sortWithinPartitions("group", "_a", "_b").mapInArrow(made, "a long, b long")
+    rows = cells.select("group", "_a", "_b", "rep", "label", "asked", "n", "data")
+    return rows.repartition("group", "_a", "_b").sortWithinPartitions("group", "_a", "_b").mapInArrow(made, "a long, b long, group long, label long")
 
 
-def links_within(members: DataFrame, payload: DataFrame, prepared, limit: int, few: int = 8) -> DataFrame:
-    """Links (a, b) that join just those classes of each group (group, rep, n: its size) which all its pairs join.
+def links_within(members: DataFrame, payload: DataFrame, prepared, limit: int, leave: bool = False) -> tuple[DataFrame, DataFrame | None]:
+    """Links (a, b) that join just those classes of each group (group, rep, n: its size) which all its pairs join, by the
+    payload (rep, data) of the classes.
 
     A group of at most limit classes is one cell, where each pair is looked at until all hang together. A larger one is
     cut into blocks first, so each payload moves once; then a few classes of each part that hangs together meet again, in
-    rounds, as long as the number of parts halves. The rest, all classes outside the largest part, is compared with the
-    whole group: one more move for each class and `limit` such classes. Only these are quadratic."""
+    rounds, while the parts halve. The rest, all classes outside the largest part, is compared with the whole group: one
+    more move for each class and `limit` such classes. With leave, groups with a larger rest are not compared with it but
+    given back as (group, rep), None without any; else they are, and only that is quadratic."""
     block = _block("group", F.col("n"), limit)
-    cells = members.select("group", block.alias("_a"), block.alias("_b"), "rep", F.col("rep").alias("label"), F.lit(True).alias("asked"))
-    links = stash(_compared(cells, payload, prepared), "links")
-    big, parts_before = members.filter(F.col("n") > limit).select("group", "rep", "n"), None
+    first = payload.join(members, "rep").withColumns({"_a": block, "_b": block, "label": F.col("rep"), "asked": F.lit(True)})
+    got = stash(_compared(first, prepared, limit), "compared")
+    links, parts = got.filter("b is not null").select("a", "b"), got.filter("b is null").select("group", F.col("a").alias("rep"), "label")
+    big = members.filter(F.col("n") > limit).select("group", "rep", "n")
     if not big.head(1):
-        return links
-    big = stash(big, "large-groups")
+        return links, None
+    big = stash(payload.join(big, "rep"), "large-groups")
+    before = None
     while True:
-        named = big.join(components(links), "rep", "left").select("group", "rep", "n", F.coalesce("label", "rep").alias("label"))
-        named = stash(named, "named")
-        parts = named.groupBy("group", "label").agg(F.count(F.lit(1)).alias("m"))
-        parts = parts.groupBy("group").agg(F.count(F.lit(1)).alias("parts"), F.max(F.struct("m", "label")).alias("top")).filter("parts > 1")
-        parts = stash(parts, "parts")
-        n_parts = parts.agg(F.sum("parts")).first()[0]
-        if not n_parts:
-            return links
-        named = named.join(parts, "group")
-        if parts_before is not None and 2 * n_parts > parts_before:
+        open_ = stash(parts.groupBy("group").agg(F.count(F.lit(1)).alias("m"), F.count_distinct("label").alias("k")).filter("k > 1"), "open-groups")
+        total = open_.agg(F.sum("k").alias("k"), F.max("m").alias("m")).first()
+        if not total.k or before is not None and 2 * total.k > before:
+            break
+        before = total.k
+        block = _block("group", F.col("m"), limit)
+        again = big.join(parts.join(open_, "group").select("group", "rep", "label", block.alias("_a"), block.alias("_b")), ["group", "rep"])
+        got = stash(_compared(again.withColumn("asked", F.lit(True)), prepared, limit), "compared")
+        links, parts = links.unionByName(got.filter("b is not null").select("a", "b")), got.filter("b is null").select("group", F.col("a").alias("rep"), "label")
+        if total.m <= limit:
             break
-        parts_before = n_parts
-        order = F.row_number().over(Window.partitionBy("group", "label").orderBy(F.xxhash64("rep"), "rep"))
-        block = _block("group", F.col("parts") * few, limit)
-        cells = named.withColumn("_at", order).filter(F.col("_at") <= few)
-        cells = cells.select("group", block.alias("_a"), block.alias("_b"), "rep", "label", F.lit(True).alias("asked"))
-        links = stash(links.unionByName(_compared(cells, payload, prepared)), "links")
-    rest = F.col("n") - F.col("top.m")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.ceil(n / F.lit(limit)).cast("int") - 1))
-    asked = named.filter(F.col("label") != F.col("top.label")).select("group", _block("group", rest, limit).alias("_a"), every(F.col("n")).alias("_b"), "rep", "label", F.lit(True).alias("asked"))
-    others = named.select("group", every(rest).alias("_a"), _block("group", F.col("n"), limit).alias("_b"), "rep", "label", F.lit(False).alias("asked"))
-    return stash(links.unionByName(_compared(asked.unionByName(others), payload, prepared)), "links")
+    named = stash(big.drop("data").join(components(links), "rep", "left").select("group", "rep", "n", F.coalesce("label", "rep").alias("label")), "named")
+    tops = named.groupBy("group", "label").agg(F.count(F.lit(1)).alias("m")).groupBy("group").agg(F.max(F.struct("m", "label")).alias("top"))
+    named = stash(named.join(tops, "group").withColumn("rest", F.col("n") - F.col("top.m")).filter("rest > 0"), "rests")
+    exact, left = named, None
+    if leave:
+        left = named.filter(F.col("rest") > limit).select("group", "rep")
+        left = left if left.head(1) else None
+        exact = named.filter(F.col("rest") <= limit)
+    if exact.head(1):
+        every = lambda n: F.explode(F.sequence(F.lit(0), F.ceil(n / F.lit(limit)).cast("int") - 1))
+        asked = exact.filter(F.col("label") != F.col("top.label")).select("group", _block("group", F.col("rest"), limit).alias("_a"), every(F.col("n")).alias("_b"), "rep", "label", F.lit(True).alias("asked"))
+        others = exact.select("group", every(F.col("rest")).alias("_a"), _block("group", F.col("n"), limit).alias("_b"), "rep", "label", F.lit(False).alias("asked"))
+        got = stash(_compared(big.join(asked.unionByName(others), ["group", "rep"]), prepared, limit), "compared")
+        links = links.unionByName(got.filter("b is not null").select("a", "b"))
+    return links, left
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -306,22 +325,28 @@ def trees_needed(level: int, miss: float, similarity: float = 0.8) -> int:
     return int(np.ceil(np.log(miss) / np.log(apart)))
 
 
-def _nodes(reps: DataFrame, trees: range, limit: int, depth: int) -> tuple[list[DataFrame], DataFrame | None, int]:
-    """(path, rep, n) of the nodes of these trees that are compared, the classes of nodes that branched at the first
-    level (None without any), and the deepest level."""
-    nodes, leaves, branched = _branch(reps, trees), [], None
+def _search(reps: DataFrame, trees: range, limit: int, depth: int, least: int) -> tuple[list[DataFrame], DataFrame | None, int]:
+    """Candidate links of these trees, the classes of nodes that branched at the first level (None without any), and the
+    deepest level. Nodes over the limit whose classes hang together, but for at most limit of them, are done with in
+    linear time; the others branch."""
+    nodes, leaves, links, branched, sketches = _branch(reps, trees), [], [], None, _sketches(reps)
     for level in range(1, depth + 1):
         rows = stash(nodes, "nodes")
         sizes = stash(rows.groupBy("path").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "node-sizes")  # a table: both sides of the join are exchanged
-        rows = stash(rows.join(sizes, "path"), "shared-nodes")
-        leaves.append(rows.filter(F.col("n") <= limit) if level < depth else rows)
+        rows = stash(rows.join(sizes, "path").select(F.col("path").alias("group"), "rep", "n"), "shared-nodes")
+        leaves.append(rows.filter(F.col("n") <= limit))
         heavy = rows.filter(F.col("n") > limit)
-        if level == depth or not heavy.head(1):
-            return leaves, branched, level
+        if not sizes.filter(F.col("n") > limit).head(1):
+            break
+        found, left = links_within(heavy, sketches, _by_sketches(least), limit, leave=level < depth)
+        links.append(found)
+        if left is None:
+            break
         if level == 1:
-            branched = heavy.select("rep").distinct()
-        nodes = _branch(heavy.join(reps, "rep").select("path", "rep", "signature"))
-    return leaves, branched, depth
+            branched = left.select("rep").distinct()
+        nodes = _branch(left.withColumnRenamed("group", "path").join(reps, "rep").select("path", "rep", "signature"))
+    leaf = reduce(DataFrame.unionByName, leaves)
+    return [links_within(leaf, sketches, _by_sketches(least), limit)[0], *links], branched, level
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, trees: int = 8, limit: int = 512, depth: int = 6, miss: float = 1e-5) -> DataFrame:
@@ -329,24 +354,20 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, trees: i
     profile = stash(profiles(docs, width), "profiles")
     some = profile.filter("n_shingles > 0 and doc_id is not null")
     classes = stash(some.groupBy("set_key").agg(F.min(F.struct("doc_id", "signature")).alias("m")).select("set_key", F.col("m.doc_id").alias("rep"), "m.signature"), "classes")
-    reps = classes.select("rep", "signature")
+    reps, least = classes.select("rep", "signature"), int(0.62 * K)
 
-    leaves, crowded, deepest = _nodes(reps, range(trees), limit, depth)
+    links, crowded, deepest = _search(reps, range(trees), limit, depth, least)
     grown = trees
     while crowded is not None and (needed := trees_needed(deepest, miss)) > grown:
         again = stash(reps.join(crowded, "rep", "left_semi"), "crowded")
-        more, _, level = _nodes(again, range(grown, needed), limit, depth)
-        leaves, grown, deepest = leaves + more, needed, max(deepest, level)
-    leaf = leaves[0]
-    for more in leaves[1:]:
-        leaf = leaf.unionByName(more)
-    leaf = leaf.select(F.col("path").alias("group"), "rep", "n")
-    candidates = components(links_within(leaf, _sketches(reps), _by_sketches(int(0.62 * K)), limit))
+        more, _, level = _search(again, range(grown, needed), limit, depth, least)
+        links, grown, deepest = links + more, needed, max(deepest, level)
+    candidates = stash(components(reduce(DataFrame.unionByName, links)), "candidates")
 
     groups = stash(candidates.groupBy("label").agg(F.count(F.lit(1)).alias("n")), "candidate-groups")
     members = stash(candidates.join(groups, "label").select(F.col("label").alias("group"), "rep", "n"), "members")
     texts = docs.select(F.col("doc_id").cast("long").alias("rep"), F.col("text").alias("data"))
-    labels = components(links_within(members, texts, _by_sets(width, percent), limit // 2))
+    labels = components(links_within(members, texts, _by_sets(width, percent), limit // 2)[0])
 
     smallest = labels.groupBy("label").agg(F.min("rep").alias("component"))
     linked = labels.join(smallest, "label").select("rep", "component")
