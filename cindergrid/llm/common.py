@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,10 +48,12 @@ def utf8_size(col: Column) -> Column:
 
 
 def slices(batches, rows: int = 1000):
-    """Arrow batches cut to at most so many rows, so that a task holds few texts as Python objects at once."""
+    """Arrow batches cut to at most so many rows, so that a task holds few texts as Python objects at once. At the end
+    Arrow gives back what it keeps for later, since a worker lives on for tasks of other kinds."""
     for batch in batches:
         for a in range(0, batch.num_rows, rows):
             yield batch.slice(a, rows)
+    pa.default_memory_pool().release_unused()
 
 
 def bind(value: Column, body) -> Column:

@@ -35,7 +35,7 @@ from .common import slices, stash
 NUMBERS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
 WORD, NO_NUMBER = re.compile(r"[^\W\d_]+"), re.compile(rf"[^{NUMBERS}]+")
 ORDERS = (4, 3, 2, 1)
-FLUSH, HOT = 200_000, 2_000_000
+FLUSH, HOT = 100_000, 800_000
 HALF = float(np.log(0.5))
 
 

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from .common import slices
 
 MARK = "▁"
-MEMO = 300_000
+MEMO = 200_000
 #: No piece; a character without a piece; the beginning.
 NONE, UNKNOWN, START = -1, -2, -3
 
