@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -32,7 +34,8 @@ def candidates(spark: SparkSession, random_samples: int = 6000, seed: int = 2026
         values = F.posexplode(F.array(*map(P.lit, RANGES[name]))).alias("pos", "val")
         more = spark.range(1).select(values).select((F.col("pos") + seq).cast("long").alias("seq"), F.concat(F.lit(f"one_at_a_time_{name}_"), F.col("val").cast("string")).alias("label"), *[F.col("val").alias(k) if k == name else P.lit(v).alias(k) for k, v in BASELINE.items()])
         seq, all_ = seq + len(RANGES[name]), all_.unionByName(more)
-    pick = lambda i, k: F.element_at(F.array(*map(P.lit, RANGES[k])), (F.pmod(F.xxhash64(F.col("id"), F.lit(i), F.lit(seed)), F.lit(len(RANGES[k]))) + 1).cast("int")).alias(k)
+    drawn = lambda i, n: (F.conv(F.substring(F.md5(F.concat_ws("-", F.lit(str(seed)), F.col("id").cast("string"), F.lit(str(i)))), 1, 8), 16, 10).cast("long") % n + 1).cast("int")
+    pick = lambda i, k: F.element_at(F.array(*map(P.lit, RANGES[k])), drawn(i, len(RANGES[k]))).alias(k)
     rnd = spark.range(random_samples).select((F.col("id") + seq).alias("seq"), F.concat(F.lit("random_"), F.lpad(F.col("id").cast("string"), 5, "0")).alias("label"), *[pick(i, k) for i, k in enumerate(NAMES)])
     rnd = rnd.withColumn("li_gate", F.least(F.col("li_gate"), F.col("li_start") + 0.75))
     w = Window.partitionBy(*NAMES).orderBy("seq")
@@ -51,37 +54,56 @@ def penalty(value: Column, low: float, high: float, scale: float) -> Column:
     return F.when(value.isNull(), 999.0).when(value.between(low, high), 0.0).when(value < low, below * below).otherwise(above * above)
 
 
+# Weight, bounds without penalty and scale of each part of the score.
+PENALTIES = {
+    "max60": (3.5, 0.035, 0.16, 0.04), "mean60": (2.5, 0.006, 0.045, 0.02), "max90": (5.0, 0.001, 0.035, 0.012), "mean90": (3.0, 0.00005, 0.006, 0.004), "p995": (2.5, 62.0, 92.0, 16.0), "top": (2.0, 82.0, 125.0, 25.0),
+    "coast60": (2.0, 0.0, 0.18, 0.12), "ratio": (1.5, 0.0, 0.75, 0.5), "dcape_strong": (1.5, 450.0, 1400.0, 250.0), "li_strong": (1.5, -8.0, -1.2, 1.0), "pbl_strong": (1.0, 700.0, 3200.0, 500.0),
+}
+#: Widths of the bins that quantiles are told from: a quantile is the middle of its bin, at most half a width off.
+WIDTHS = {"gust": 0.25, "dcape": 5.0, "li": 0.05, "pbl": 10.0}
+
+
 def score(params: DataFrame, fields: DataFrame) -> DataFrame:
     """(seq, label, metrics, score) of every parameter set over fields (hour, cell, dcape, li, pbl, w850, w700, weight,
-    coastal, period). Parameters are a table of thousands at most and are broadcast; the work grows with the fields."""
+    coastal, period). Parameters are a table of thousands at most and are broadcast; the work grows with the fields. Every
+    pass is a sum in each task before its shuffle: counts by bin, weights by hour."""
     good = F.col("dcape").isNotNull() & F.col("li").isNotNull() & F.col("pbl").isNotNull() & F.col("w850").isNotNull() & F.col("w700").isNotNull()
     sets = params.agg(F.collect_list(F.struct("seq", *NAMES)).alias("sets"))  # thousands of rows of ten numbers
     rows = fields.filter(good).withColumn("one", F.lit(1)).join(F.broadcast(sets.withColumn("one", F.lit(1))), "one").withColumn("p", F.explode("sets")).drop("sets", "one")
     gust = P.multiplicative_gust({k: F.col(k) for k in ("dcape", "li", "pbl", "w850", "w700")}, {k: F.col(f"p.{k}") for k in NAMES})
-    rows = rows.select(F.col("p.seq").alias("seq"), "hour", "period", "weight", "coastal", "dcape", "li", "pbl", gust.alias("gust"))
-    w60, w90 = F.when(F.col("gust") >= 60, F.col("weight")).otherwise(0.0), F.when(F.col("gust") >= 90, F.col("weight")).otherwise(0.0)
-    strong = F.col("gust") >= 60
-    hours = rows.groupBy("seq", "hour", "period").agg((F.sum(w60) / F.sum("weight")).alias("f60"), (F.sum(w90) / F.sum("weight")).alias("f90"))
-    over_time = hours.groupBy("seq").agg(
-        F.max("f60").alias("max60"), F.avg("f60").alias("mean60"), F.max("f90").alias("max90"), F.avg("f90").alias("mean90"),
-        F.max_by("hour", F.struct("f60", -F.col("hour"))).alias("hour60"), F.avg(F.when(F.col("period") == "day", F.col("f60"))).alias("day60"), F.avg(F.when(F.col("period") == "morning", F.col("f60"))).alias("morning60"),
-    )
-    over_cells = rows.groupBy("seq").agg(
-        F.percentile("gust", F.lit(0.99)).alias("p99"), F.percentile("gust", F.lit(0.995)).alias("p995"), F.max("gust").alias("top"),
-        F.coalesce(F.try_divide(F.sum(F.when(F.col("coastal"), w60)), F.sum(w60)), F.lit(0.0)).alias("coast60"),
-        *[F.median(F.when(strong, F.col(c))).alias(f"{c}_strong") for c in ("dcape", "li", "pbl")],
-    )
-    m = over_time.join(over_cells, "seq").withColumn("ratio", F.coalesce(F.try_divide(F.col("morning60"), F.col("day60")), F.lit(0.0)))
-    c = F.col
-    total = (
-        3.5 * penalty(c("max60"), 0.035, 0.16, 0.04) + 2.5 * penalty(c("mean60"), 0.006, 0.045, 0.02) + 5.0 * penalty(c("max90"), 0.001, 0.035, 0.012)
-        + 3.0 * penalty(c("mean90"), 0.00005, 0.006, 0.004) + 2.5 * penalty(c("p995"), 62.0, 92.0, 16.0) + 2.0 * penalty(c("top"), 82.0, 125.0, 25.0)
-        + 2.0 * penalty(c("coast60"), 0.0, 0.18, 0.12) + 1.5 * penalty(c("ratio"), 0.0, 0.75, 0.5) + 1.5 * penalty(c("dcape_strong"), 450.0, 1400.0, 250.0)
-        + 1.5 * penalty(c("li_strong"), -8.0, -1.2, 1.0) + 1.0 * penalty(c("pbl_strong"), 700.0, 3200.0, 500.0)
+    rows = rows.select(F.col("p.seq").alias("seq"), "hour", "period", "weight", "coastal", "dcape", "li", "pbl", gust.alias("gust")).filter("gust is not null")
+    strong = rows.filter("gust >= 60")
+    bin_of = lambda k: F.floor(F.col(k) / WIDTHS[k])
+    counts = rows.groupBy("seq", F.lit("gust").alias("kind"), bin_of("gust").alias("bin")).agg(F.count(F.lit(1)).alias("n"), F.max("gust").alias("top"))
+    kinds = F.inline(F.array(*[F.struct(F.lit(k).alias("kind"), bin_of(k).alias("bin")) for k in ("dcape", "li", "pbl")]))
+    of_strong = strong.select("seq", kinds).groupBy("seq", "kind", "bin").agg(F.count(F.lit(1)).alias("n"))
+    w = Window.partitionBy("seq", "kind")
+    binned = counts.unionByName(of_strong, allowMissingColumns=True).withColumns({"_c": F.sum("n").over(w.orderBy("bin")), "_t": F.sum("n").over(w)})
+    at = lambda kind, q, name: (F.min(F.when((F.col("kind") == kind) & (F.col("_c") >= F.ceil(F.col("_t") * q)), F.col("bin"))) * WIDTHS[kind] + WIDTHS[kind] / 2).alias(name)
+    quantiles = binned.groupBy("seq").agg(at("gust", 0.99, "p99"), at("gust", 0.995, "p995"), F.max("top").alias("top"), *[at(k, 0.5, f"{k}_strong") for k in ("dcape", "li", "pbl")])
+
+    hours = fields.filter(good).groupBy("hour", "period").agg(F.sum("weight").alias("all"))  # of the fields alone: hours are few
+    over = strong.groupBy("seq", "hour", "period").agg(F.sum("weight").alias("w60"), F.sum(F.when(F.col("gust") >= 90, F.col("weight")).otherwise(0.0)).alias("w90"), F.sum(F.when(F.col("coastal"), F.col("weight")).otherwise(0.0)).alias("c60"))
+    over = over.join(hours, ["hour", "period"]).withColumns({"f60": F.col("w60") / F.col("all"), "f90": F.col("w90") / F.col("all")})
+    when = lambda p: F.sum(F.when(F.col("period") == p, F.col("f60")).otherwise(0.0))
+    over = over.groupBy("seq").agg(
+        F.max("f60").alias("max60"), F.sum("f60").alias("s60"), F.max("f90").alias("max90"), F.sum("f90").alias("s90"), F.max_by("hour", F.struct("f60", -F.col("hour"))).alias("hour60"),
+        when("day").alias("day60"), when("morning").alias("morning60"), F.sum("w60").alias("w60"), F.sum("c60").alias("c60"))
+    n = hours.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("period") == "day").alias("n_day"), F.count_if(F.col("period") == "morning").alias("n_morning"), F.min("hour").alias("first_hour"))
+    m = params.select("seq").join(over, "seq", "left").join(F.broadcast(n)).join(quantiles, "seq", "left")  # n is one row
+    zero = lambda c: F.coalesce(c, F.lit(0.0))
+    share = lambda a, b: zero(F.try_divide(F.col(a), F.col(b)))
+    m = m.select(
+        "seq", zero(F.col("max60")).alias("max60"), share("s60", "n").alias("mean60"), zero(F.col("max90")).alias("max90"), share("s90", "n").alias("mean90"), F.coalesce("hour60", "first_hour").alias("hour60"),
+        zero(F.try_divide(share("morning60", "n_morning"), share("day60", "n_day"))).alias("ratio"), share("c60", "w60").alias("coast60"), "p99", "p995", "top", "dcape_strong", "li_strong", "pbl_strong",
     )
+    total = reduce(lambda a, b: a + b, [weight * penalty(F.col(k), low, high, scale) for k, (weight, low, high, scale) in PENALTIES.items()])
     return params.join(m, "seq").withColumn("score", total)
 
 
 def ranked(scored: DataFrame) -> DataFrame:
-    """With rank by score (ties by seq); a table of thousands, sorted once."""
-    return scored.withColumn("rank", F.row_number().over(Window.orderBy("score", "seq")))
+    """With rank by score (ties by seq), the baseline's rank, and whether a set is the best of those that vary its one
+    parameter; a table of thousands, sorted once."""
+    rows = scored.withColumn("rank", F.row_number().over(Window.orderBy("score", "seq")))
+    own = F.row_number().over(Window.partitionBy("varied").orderBy("rank"))
+    return rows.withColumns({"baseline_rank": F.max(F.when(F.col("seq") == 0, F.col("rank"))).over(Window.partitionBy()), "best_of_varied": F.col("varied").isNotNull() & (own == 1)})

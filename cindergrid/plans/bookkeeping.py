@@ -139,27 +139,34 @@ METRICS = ("max60", "mean60", "max90", "mean90", "p99", "p995", "top", "coast60"
 
 
 def sweep_scores(spark, sf_dir):
-    params = sweep.varied(sweep.candidates(spark, random_samples=0))
+    """Every parameter set: the baseline, one parameter at a time, and 6,000 random ones."""
+    params = sweep.varied(sweep.candidates(spark))
     got = sweep.ranked(sweep.score(params, view(spark, sf_dir, "sounding")))
-    return got.select("seq", "label", F.col("n_varied").cast("long").alias("n_varied"), "varied", "hour60", *[(F.floor(F.col(c) * 1e4 + 0.5) / 1e4).alias(c) for c in METRICS])
+    return got.select("seq", "label", F.col("n_varied").cast("long").alias("n_varied"), "varied", "hour60", *[(F.floor(F.col(c) * 1e4 + 0.5) / 1e4).alias(c) for c in METRICS], "best_of_varied")
 
 
-def _sweep_sql() -> str:
-    rows, seen = [], set()
-    for seq, (label, values) in enumerate([("baseline", dict(sweep.BASELINE)), *((f"one_at_a_time_{k}_{v}", {**sweep.BASELINE, k: v}) for k in sweep.NAMES for v in sweep.RANGES[k])]):
-        if tuple(values.values()) not in seen:
-            seen.add(tuple(values.values()))
-            off = [k for k in sweep.NAMES if abs(values[k] - sweep.BASELINE[k]) > 1e-6]
-            rows.append(f"({seq}, '{label}', {len(off)}, {repr(off[0]) if len(off) == 1 else 'null'}, {', '.join(f'{v!r}::double' for v in values.values())})")
+def _sweep_sql(random_samples: int = 6000, seed: int = 20260629) -> str:
+    sets = [("baseline", dict(sweep.BASELINE)), *((f"one_at_a_time_{k}_{v}", {**sweep.BASELINE, k: v}) for k in sweep.NAMES for v in sweep.RANGES[k])]
+    rows = ", ".join(f"({seq}, '{label}', {', '.join(f'{v!r}::double' for v in values.values())})" for seq, (label, values) in enumerate(sets))
+    pick = lambda i, k: f"[{', '.join(f'{v!r}::double' for v in sweep.RANGES[k])}][cast(('0x' || substr(md5('{seed}-' || i || '-{i}'), 1, 8))::ubigint % {len(sweep.RANGES[k])} as bigint) + 1] as {k}"
+    off = {k: f"abs({k} - {v!r}::double) > 1e-6" for k, v in sweep.BASELINE.items()}
     pen = lambda x, a, b, s: f"case when {x} is null then 999 when {x} between {a} and {b} then 0 when {x} < {a} then pow(({a} - {x}) / {s}::double, 2) else pow(({x} - {b}) / {s}::double, 2) end"
-    score = " + ".join(f"{w} * {pen(*x)}" for w, *x in [(3.5, "max60", 0.035, 0.16, 0.04), (2.5, "mean60", 0.006, 0.045, 0.02), (5.0, "max90", 0.001, 0.035, 0.012), (3.0, "mean90", 0.00005, 0.006, 0.004), (2.5, "p995", 62, 92, 16), (2.0, "top", 82, 125, 25), (2.0, "coast60", 0, 0.18, 0.12), (1.5, "ratio", 0, 0.75, 0.5), (1.5, "dcape_strong", 450, 1400, 250), (1.5, "li_strong", -8, -1.2, 1), (1.0, "pbl_strong", 700, 3200, 500)])
-    return f"""with p(seq, label, n_varied, varied, {', '.join(sweep.NAMES)}) as (values {', '.join(rows)}), s as ({{sounding}}),
-    r as (select seq, hour, period, weight, coastal, dcape, li, pbl, 3.6 * least(greatest((li_start - li) / li_span, 0), 1) * least(greatest((pbl - pbl_base_m) / pbl_span_m, 0), 1) * (dcape_coeff * sqrt(greatest(2 * dcape, 0)) + greatest(w850_coeff * w850, w700_coeff * w700)) as g0, case when dcape >= dcape_min and li <= li_gate then g0 end as gust from s, p),
-    h as (select seq, hour, period, sum(case when gust >= 60 then weight else 0 end) / sum(weight) as f60, sum(case when gust >= 90 then weight else 0 end) / sum(weight) as f90 from r group by 1, 2, 3),
-    t as (select seq, max(f60) as max60, avg(f60) as mean60, max(f90) as max90, avg(f90) as mean90, avg(case when period = 'day' then f60 end) as day60, avg(case when period = 'morning' then f60 end) as mor60 from h group by 1), k as (select seq, hour as hour60 from h qualify row_number() over (partition by seq order by f60 desc, hour) = 1),
-    c as (select seq, quantile_cont(gust, 0.99) as p99, quantile_cont(gust, 0.995) as p995, max(gust) as top, coalesce(sum(case when coastal and gust >= 60 then weight else 0 end) / nullif(sum(case when gust >= 60 then weight else 0 end), 0), 0) as coast60, median(case when gust >= 60 then dcape end) as dcape_strong, median(case when gust >= 60 then li end) as li_strong, median(case when gust >= 60 then pbl end) as pbl_strong from r group by 1),
-    m as (select p.seq, label, n_varied, varied, hour60, t.*, c.*, coalesce(mor60 / nullif(day60, 0), 0) as ratio from p join t on t.seq = p.seq join c on c.seq = p.seq join k on k.seq = p.seq), z as (select *, {score} as score from m)
-    select cast(seq as bigint) as seq, label, cast(n_varied as bigint) as n_varied, varied, hour60, {', '.join(f'floor({x} * 1e4 + 0.5) / 1e4 as {x}' for x in METRICS)} from z"""
+    score = " + ".join(f"{w} * {pen(k, *x)}" for k, (w, *x) in sweep.PENALTIES.items())
+    at = lambda kind, q, name: f"min(case when kind = '{kind}' and c >= ceil(t * {q}::double) then bin end) * {sweep.WIDTHS[kind]}::double + {sweep.WIDTHS[kind] / 2} as {name}"
+    bins = lambda k, of: f"select seq, '{k}' as kind, cast(floor({k} / {sweep.WIDTHS[k]}::double) as bigint) as bin, count(*) as n, max(gust) as top from {of} group by 1, 2, 3"
+    names = ", ".join(sweep.NAMES)
+    return f"""with a(seq, label, {names}) as (values {rows}), b0 as (select {len(sets)} + i as seq, 'random_' || lpad(cast(i as varchar), 5, '0') as label, {', '.join(pick(i, k) for i, k in enumerate(sweep.NAMES))} from (select range as i from range({random_samples}))),
+    b as (select seq, label, {', '.join('least(li_gate, li_start + 0.75) as li_gate' if k == 'li_gate' else k for k in sweep.NAMES)} from b0), u as (select * from (select * from a union all select * from b) x qualify row_number() over (partition by {names} order by seq) = 1),
+    p as (select *, {' + '.join(f'cast({c} as int)' for c in off.values())} as n_varied, case when n_varied = 1 then case {' '.join(f"when {c} then '{k}'" for k, c in off.items())} end end as varied from u), s as ({{sounding}}),
+    r as (select seq, hour, period, weight, coastal, dcape, li, pbl, 3.6 * least(greatest((li_start - li) / li_span, 0), 1) * least(greatest((pbl - pbl_base_m) / pbl_span_m, 0), 1) * (dcape_coeff * sqrt(greatest(2 * dcape, 0)) + greatest(w850_coeff * w850, w700_coeff * w700)) as gust from s, p where dcape >= dcape_min and li <= li_gate),
+    g as (select * from r where gust >= 60), h as (select hour, period, sum(weight) as al from s group by 1, 2), o0 as (select seq, hour, period, sum(weight) as w60, sum(case when gust >= 90 then weight else 0 end) as w90, sum(case when coastal then weight else 0 end) as c60 from g group by 1, 2, 3),
+    o1 as (select o0.*, w60 / al as f60, w90 / al as f90 from o0 join h on h.hour = o0.hour and h.period = o0.period), o as (select seq, max(f60) as max60, sum(f60) as s60, max(f90) as max90, sum(f90) as s90, sum(case when period = 'day' then f60 else 0 end) as d60, sum(case when period = 'morning' then f60 else 0 end) as m60, sum(w60) as w60, sum(c60) as c60 from o1 group by 1),
+    k as (select seq, hour as hour60 from o1 qualify row_number() over (partition by seq order by f60 desc, hour) = 1), n as (select count(*) as n, count(*) filter (period = 'day') as nd, count(*) filter (period = 'morning') as nm, min(hour) as h0 from h),
+    q0 as ({bins('gust', 'r')} union all {bins('dcape', 'g')} union all {bins('li', 'g')} union all {bins('pbl', 'g')}), q1 as (select *, sum(n) over (partition by seq, kind order by bin) as c, sum(n) over (partition by seq, kind) as t from q0),
+    q as (select seq, {at('gust', 0.99, 'p99')}, {at('gust', 0.995, 'p995')}, max(case when kind = 'gust' then top end) as top, {at('dcape', 0.5, 'dcape_strong')}, {at('li', 0.5, 'li_strong')}, {at('pbl', 0.5, 'pbl_strong')} from q1 group by 1),
+    m as (select p.seq, label, n_varied, varied, coalesce(hour60, h0) as hour60, coalesce(max60, 0) as max60, coalesce(s60 / n, 0) as mean60, coalesce(max90, 0) as max90, coalesce(s90 / n, 0) as mean90, coalesce(coalesce(m60 / nullif(nm, 0), 0) / nullif(coalesce(d60 / nullif(nd, 0), 0), 0), 0) as ratio, coalesce(c60 / nullif(w60, 0), 0) as coast60, p99, p995, top, dcape_strong, li_strong, pbl_strong
+        from p left join o on o.seq = p.seq left join k on k.seq = p.seq left join q on q.seq = p.seq, n), z as (select *, {score} as score from m)
+    select cast(seq as bigint) as seq, label, cast(n_varied as bigint) as n_varied, varied, hour60, {', '.join(f'floor({x} * 1e4 + 0.5) / 1e4 as {x}' for x in METRICS)}, varied is not null and row_number() over (partition by varied order by score, seq) = 1 as best_of_varied from z"""
 
 
 QUERIES["sweep_scores"] = sweep_scores
