@@ -14,9 +14,11 @@ ASCII_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share; a new local one only where the session names none (tests)."""
+    """The folder that all executors share. A local session that names none gets a new one; elsewhere that is an error."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.conf.get("spark.master", "local").startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="spark-shared-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
