@@ -131,3 +131,60 @@ QUERIES["precip_steps"] = precip_steps
 ORACLES["precip_steps"] = duck("""with p as (select cell, level * 3 as h, case when cell % 9 <> 0 then rh - 35 end as v, case level % 3 when 0 then null when 1 then 0 else case when cell % 2 = 0 then 0 else level * 3 - 3 end end as a from ({profile}) x),
 j as (select c.*, q.h is not null as prev, q.v as pv, q.a as pa from p c left join p q on q.cell = c.cell and q.h = c.h - 3)
 select cell, h as fhour, floor((case when v is null then null when prev and (a is null or pa is not null and h - a > 3 and pa = a or pa is null and a = 0 and h > 3) then case when pv is not null then greatest(v - pv, 0) end else greatest(v, 0) end) * 1e4 + 0.5) / 1e4 as precip from j""")
+
+
+def waiting_blocks(spark, sf_dir):
+    """Hours as parts of three-hour blocks that come in any order, in several batches."""
+    wx = view(spark, sf_dir, "wx").select("cell", F.col("valid_ts").cast("timestamp").alias("ts"), F.when(F.col("hour_no") % 10 != 0, F.col("precip_mm")).alias("rate"))
+    source, out = store.new_path(spark, "flashes"), store.new_path(spark, "blocks")
+    wx.repartition(3, F.xxhash64("cell", "ts")).write.parquet(source)
+    stream = spark.readStream.schema(wx.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    blocks.waiting_blocks(stream, out, store.new_path(spark, "stream"), expected=3).awaitTermination()
+    return spark.read.parquet(out).select(F.date_format("block_end", "yyyy-MM-dd HH:mm:ss").alias("block_end"), "cell", r4("total"))
+
+
+QUERIES["waiting_blocks"] = waiting_blocks
+ORACLES["waiting_blocks"] = duck("""with f as (select cell, to_timestamp(ceil(epoch(valid_ts) / 10800) * 10800) at time zone 'UTC' as b, case when hour_no % 10 <> 0 then precip_mm end as rate from ({wx}))
+select strftime(b, '%Y-%m-%d %H:%M:%S') as block_end, cell, floor(sum(case when rate > 0 then rate * 10 else 0 end) * 1e4 + 0.5) / 1e4 as total from f group by b, cell having count(rate) = 3""")
+
+
+def partition_checks(spark, sf_dir):
+    """Checks of the archive of hours after it was written in two parts and read back."""
+    rows = view(spark, sf_dir, "lineitem").select((F.col("l_linenumber") * 3).alias("fhour"), F.col("l_orderkey").alias("cell"), F.col("l_suppkey").alias("s"), F.when(F.col("l_quantity") < 48, F.col("l_quantity").cast("long")).alias("value"))
+    path = store.new_path(spark, "archive")
+    for part in ("fhour <= 9", "fhour > 9"):
+        store.write_hours(rows.filter(part), path, ["fhour"])
+    return store.partition_checks(spark.read.parquet(path), ["fhour"], "value", ["cell", "s", "value"])
+
+
+QUERIES["partition_checks"] = partition_checks
+ORACLES["partition_checks"] = """with r as (select cast(l_linenumber * 3 as integer) as fhour, case when l_quantity < 48 then cast(l_quantity as bigint) end as v, concat_ws(',', l_orderkey, l_suppkey, coalesce(cast(v as varchar), '-')) as line from lineitem)
+select fhour, count(*) as cells, count(v) as valid, count(*) filter (v <> 0) as nonzero, min(v) as low, max(v) as top, cast(sum(('0x' || substr(md5(line), 1, 8))::ubigint) as bigint) as checksum from r group by 1"""
+
+
+def stored_states(spark, sf_dir):
+    """States of two runs over the grid and one over a part of it, stored and loaded for the grid and an anchor."""
+    g = view(spark, sf_dir, "grid").select("iy", "ix", F.col("terrain").alias("state"))
+    run = lambda name, day, d: d.select(F.lit("west").alias("model"), F.lit(name).alias("run"), F.lit(6).alias("fhour"), F.lit(day).cast("date").alias("anchor"), "iy", "ix", "state")
+    path = store.new_path(spark, "states")
+    for name, day, d in (("20260701T00Z", "2026-06-30", g), ("20260701T06Z", "2026-07-01", g), ("20260701T12Z", "2026-07-01", g.filter("ix < 40"))):
+        store.save_states(run(name, day, d), path)
+    got = store.load_states(spark, path, g, anchor=F.lit("2026-07-01").cast("date"))
+    return got.select("run", F.col("anchor").cast("string").alias("anchor"), "iy", "ix", r4("state"))
+
+
+QUERIES["stored_states"] = stored_states
+ORACLES["stored_states"] = duck("select '20260701T06Z' as run, '2026-07-01' as anchor, iy, ix, floor(terrain * 1e4 + 0.5) / 1e4 as state from ({grid})")
+
+
+def baseline_archive(spark, sf_dir):
+    """Half points of three hours of the grid, stored with the formula and one fingerprint for all, as they share a grid."""
+    g = view(spark, sf_dir, "grid").select(F.lit("r").alias("run"), F.explode(F.array(*map(F.lit, (3, 6, 9)))).alias("fhour"), "iy", "ix", (40.0 + F.col("iy")).alias("lat"), (-140.0 + F.col("ix")).alias("lon"), (F.col("v") / 20).alias("potential"))
+    path = store.new_path(spark, "baseline")
+    store.save_baseline(g, path, "v3")
+    back = spark.read.parquet(path)
+    return back.groupBy("run", "fhour", "formula").agg(F.count_distinct("grid").alias("grids"), F.count("potential").alias("valid"), F.sum("potential").alias("total"))
+
+
+QUERIES["baseline_archive"] = baseline_archive
+ORACLES["baseline_archive"] = duck("select 'r' as run, k.h as fhour, 'v3' as formula, 1 as grids, count(v) as valid, sum(round_even(least(greatest(v / 20, 0), 100) * 2, 0) / 2) as total from ({grid}) g, (values (3), (6), (9)) k(h) group by 1, 2")

@@ -5,13 +5,20 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that the session names for all executors, or in a new local one where it names none."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-shared-", dir="/tmp")
+    """A new path in the folder that the session names for all executors. A local session that names none gets a new folder,
+    once; on a cluster it is an error, since executors do not share local folders."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.conf.get("spark.master", "local").startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="spark-shared-", dir="/tmp")
+        spark.conf.set("spark.checkpoint.dir", folder)
     return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
@@ -36,6 +43,59 @@ def hour_stats(df: DataFrame, by: list[str], value: str, low: float, high: float
         F.count(F.lit(1)).alias("cells"), F.count(v).alias("valid"), F.count_if(v != 0).alias("nonzero"), F.max(v).alias("top"), F.count_if((v < low) | (v > high)).alias("clipped"))
 
 
+def partition_checks(df: DataFrame, by: list[str], value: str, fields: list[str]) -> DataFrame:
+    """(by, cells, valid, nonzero, low, top, checksum) of each partition. The checksum is a sum of row digests over fields,
+    so the order of rows and files does not matter and tasks sum first."""
+    line = F.md5(F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in fields]))
+    v = F.col(value)
+    return df.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("cells"), F.count(v).alias("valid"), F.count_if(v != 0).alias("nonzero"), F.min(v).alias("low"), F.max(v).alias("top"),
+        F.sum(F.conv(F.substring(line, 1, 8), 16, 10).cast("long")).alias("checksum"))
+
+
+def append_checked(df: DataFrame, path: str, by: list[str], grid: list[str]) -> None:
+    """Adds hours to the archive at path, if they have its columns, its types and its grid (the cells by grid columns);
+    otherwise an error, and nothing is written. The first ones make the archive."""
+    spark = df.sparkSession
+    try:
+        have = spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        have = None
+    if have is not None:
+        check_schema(df, path)
+        of = lambda d: grid_fingerprint(d.select(*grid).distinct(), [], grid, []).first().fingerprint
+        if of(df) != of(have):
+            raise ValueError("the archive has another grid, so its version must change")
+    write_hours(df, path, by)
+
+
+def save_states(states: DataFrame, path: str, version: int = 1) -> None:
+    """States (model, run, fhour, anchor, iy, ix, state) of model hours, to be handed over to later runs."""
+    write_hours(states.withColumn("version", F.lit(version)), path, ["model", "run", "fhour"])
+
+
+def load_states(spark: SparkSession, path: str, grid: DataFrame, version: int = 1, anchor: Column | None = None) -> DataFrame:
+    """The stored states of this version (and anchor) of hours that have just the cells of grid (iy, ix)."""
+    rows = spark.read.parquet(path).filter(F.col("version") == version)
+    if anchor is not None:
+        rows = rows.filter(F.col("anchor") == anchor)
+    keys = ["model", "run", "fhour"]
+    known = rows.join(grid.select("iy", "ix", F.lit(1).alias("_g")), ["iy", "ix"], "left").groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.count("_g").alias("_k"))
+    size = grid.agg(F.count(F.lit(1)).alias("_size"))
+    fit = known.join(F.broadcast(size)).filter("_n = _size and _k = _size")  # one row
+    return rows.join(fit.select(*keys), keys, "left_semi").drop("version")
+
+
+def save_baseline(hours: DataFrame, path: str, formula: str) -> None:
+    """Potentials (run, fhour, iy, ix, lat, lon, potential) in half points, with the formula's version and the fingerprint of
+    each hour's grid."""
+    prints = grid_fingerprint(hours, ["run", "fhour"], ["iy", "ix"], ["lat", "lon"])
+    rows = hours.select("run", "fhour", "iy", "ix", half_points(F.col("potential")).alias("potential")).withColumn("formula", F.lit(formula))
+    write_hours(rows.join(prints.withColumnRenamed("fingerprint", "grid"), ["run", "fhour"]), path, ["run", "fhour"])
+
+
 def with_complete(stats: DataFrame, run: list[str], hour: str, expected: list[int]) -> DataFrame:
     """stats with whether the run has exactly the expected hours."""
     runs = stats.groupBy(*run).agg(F.sort_array(F.collect_set(hour)).alias("_h"))
@@ -54,7 +114,7 @@ def grid_fingerprint(cells: DataFrame, by: list[str], order: list[str], fields:
     task holds a whole grid's text."""
     line = F.sha2(F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in [*order, *fields]]), 256)
     joined = lambda c: F.sha2(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(*(order if c == "_l" else order[:1]), c))), lambda x: x[c]), ""), 256)
-    blocks = cells.withColumn("_l", line).groupBy(*by, order[0]).agg(joined("_l").alias("_b"))
+    blocks = cells.withColumn("_l", line).groupBy(*by, order[0]).agg(joined("_l").alias("_b"))  # by may be empty: one grid
     return blocks.groupBy(*by).agg(joined("_b").alias("fingerprint"))
 
 

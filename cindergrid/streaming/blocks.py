@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions import clock
+
 
 def block_sums(flashes: DataFrame, delay: str = "3 hours", minutes: float = 10.0) -> DataFrame:
     """(block_end, cell, total, n): a stream of (cell, ts, rate) summed by right-closed blocks, each emitted once the
@@ -25,3 +27,16 @@ def route_blocks(flashes: DataFrame, path: str, checkpoint: str, expected: int =
         named.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     return block_sums(flashes, delay).writeStream.outputMode("append").option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(write).start()
+
+
+def waiting_blocks(flashes: DataFrame, path: str, checkpoint: str, expected: int = 18, minutes: float = 10.0) -> StreamingQuery:
+    """Writes (block_end, cell, total) in the batch that makes a block whole. Blocks that lack rows wait for them without an
+    end, and nothing that comes late is lost; the state, a row a cell and block, is the price of that. A batch that is run
+    again replaces its own folder."""
+    rate = F.col("rate")
+    sums = flashes.groupBy(clock.block_end(F.col("ts")).alias("block_end"), "cell").agg(F.sum(F.when(rate > 0, rate * minutes).otherwise(0.0)).alias("total"), F.count(rate).alias("n"))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.filter(F.col("n") == expected).drop("n").write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    return sums.writeStream.outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(write).start()
