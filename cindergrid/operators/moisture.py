@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import fold
 from ..functions import physics as P
 
 STATE = ("mcffmc", "mcdmc", "mcdc", "rain_total_mm", "canopy_drying_hours")
@@ -96,15 +97,12 @@ def next_state(s: Column, w: Column) -> Column:
 
 def evolve(hours: DataFrame, keys: list[str], order: str, start: Column | None = None) -> DataFrame:
     """Each hour of hours (keys, order, temp_c, rh, wind_kmh, precip_mm, daylight) with its state and the six codes.
-    One shuffle by keys; a cell's hours of a run (49 at most in production) form one array."""
+    One shuffle by keys; a cell's hours (49 of a run, or a whole history) form one array, whose states are gathered in chunks."""
     inputs = ["temp_c", "rh", "wind_kmh", "precip_mm", "daylight"]
     rows = hours.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(order, *inputs))).alias("h"))
-    first = F.struct((start if start is not None else start_state()).alias("s"), F.array().cast(f"array<struct<{','.join(k + ':double' for k in STATE)}>>").alias("all"))
-
-    def step(acc: Column, w: Column) -> Column:
-        return F.element_at(F.transform(F.array(next_state(acc["s"], w)), lambda s: F.struct(s.alias("s"), F.concat(acc["all"], F.array(s)).alias("all"))), 1)
-
-    rows = rows.select(*keys, F.inline(F.arrays_zip(F.col("h"), F.aggregate("h", first, step)["all"].alias("s"))))
+    kind = f"struct<{','.join(k + ':double' for k in STATE)}>"
+    after = fold.states(F.col("h"), start if start is not None else start_state(), next_state, kind)
+    rows = rows.select(*keys, F.inline(F.arrays_zip(F.col("h"), after.alias("s"))))
     rows = rows.select(*keys, "h.*", "s.*")
     rows = rows.withColumns({"ffmc": P.ffmc_code(F.col("mcffmc")), "dmc": P.dmc_code(F.col("mcdmc")), "dc": P.dc_code(F.col("mcdc"))})
     good = F.col("mcffmc").isNotNull()

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import fold
 from ..functions import physics as P
 from .moisture import bind
 
@@ -109,13 +110,9 @@ def daily_codes(days: DataFrame, keys: list[str], order: str, first: Column | No
     the severity. One shuffle by keys; a cell's days of a season form one array. The start may be a column of keys."""
     inputs = ["temp", "rh", "wind", "rain", "month", "onset", "winter_rain"]
     rows = days.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(order, *inputs))).alias("h"))
-    kind = f"array<struct<{','.join(k + ':double' for k in CODES)}>>"
-    zero = F.struct((start() if first is None else first).alias("s"), F.array().cast(kind).alias("all"))
-
-    def step(acc: Column, w: Column) -> Column:
-        return F.element_at(F.transform(F.array(next_day(acc["s"], w)), lambda s: F.struct(s.alias("s"), F.concat(acc["all"], F.array(s)).alias("all"))), 1)
-
-    rows = rows.select(*keys, F.inline(F.arrays_zip("h", F.aggregate("h", zero, step)["all"].alias("s")))).select(*keys, "h.*", "s.*")
+    kind = f"struct<{','.join(k + ':double' for k in CODES)}>"
+    after = fold.states(F.col("h"), start() if first is None else first, next_day, kind)
+    rows = rows.select(*keys, F.inline(F.arrays_zip("h", after.alias("s")))).select(*keys, "h.*", "s.*")
     return with_indices(rows)
 
 
@@ -154,18 +151,18 @@ def hourly_fine_fuel(hours: DataFrame, keys: list[str], order: str, first: Colum
     """Each hour (keys, order, temp, rh, wind, rain) with moisture (after the hour's rain) and the fine-fuel code f."""
     rows = hours.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(order, "temp", "rh", "wind", "rain"))).alias("h"))
     pair = lambda m, f: F.struct(m.cast("double").alias("moisture"), f.cast("double").alias("f"))
-    zero = F.struct((n(START["f"]) if first is None else first).alias("f"), F.array().cast("array<struct<moisture:double,f:double>>").alias("all"))
 
-    def step(acc: Column, w: Column) -> Column:
+    def step(s: Column, w: Column) -> Column:
         def after(v: dict[str, Column]) -> Column:
             m = dried(v["wet"], w["temp"], w["rh"], w["wind"], daily=False)
             code = bind({"f": n(59.5) * (n(250) - m) / (n(147.27723) + m)}, lambda x: F.when(x["f"] < 0, n(1)).otherwise(x["f"]))
             return pair(v["wet"], code)
 
-        one = bind({"wet": wetted(moisture_147(acc["f"]), w["rain"])}, after)
-        return F.element_at(F.transform(F.array(one), lambda s: F.struct(s["f"].alias("f"), F.concat(acc["all"], F.array(s)).alias("all"))), 1)
+        return bind({"wet": wetted(moisture_147(s["f"]), w["rain"])}, after)
 
-    return rows.select(*keys, F.inline(F.arrays_zip("h", F.aggregate("h", zero, step)["all"].alias("s")))).select(*keys, "h.*", "s.*")
+    start_pair = pair(F.lit(None), n(START["f"]) if first is None else first)
+    states = fold.states(F.col("h"), start_pair, step, "struct<moisture:double,f:double>")
+    return rows.select(*keys, F.inline(F.arrays_zip("h", states.alias("s")))).select(*keys, "h.*", "s.*")
 
 
 def carried_over(wanted: DataFrame, stored: DataFrame, keys: list[str], day: str, required: bool = False) -> DataFrame:

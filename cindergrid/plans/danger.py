@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import clock
 from ..functions import physics as P
-from ..operators import daily, moisture, peak, steps
+from ..operators import daily, evolution, moisture, peak, steps
 from .standins import duck, view
 
 QUERIES, ORACLES = {}, {}
@@ -84,6 +84,17 @@ ORACLES["peak_danger"] = duck("with recursive " + FWI_SQL + ", " + PEAK_SQL + f"
     cast(1 + cast(fwi >= 6 as int) + cast(fwi >= 16 as int) + cast(fwi >= 23 as int) + cast(fwi >= 30 as int) as bigint) as adjective from p""")
 
 
+def _whole_run(spark, sf_dir):
+    wx = view(spark, sf_dir, "wx").select("cell", F.lit("20260701T11Z").alias("run"), F.col("hour_no").alias("fhour"), "temp_c", "rh", "wind_kmh", "precip_mm", "daylight")
+    return moisture.evolve(wx, ["cell", "run"], "fhour").withColumn("init", F.lit("2026-07-01 11:00:00").cast("timestamp"))
+
+
+QUERIES["run_frames"] = lambda spark, sf_dir: evolution.frames(_whole_run(spark, sf_dir), [3, 6, 24, 48]).select("cell", "fhour", *[(F.floor(F.col(c) * 1e3 + 0.5) / 1e3).alias(c) for c in ("ffmc", "dmc", "dc", "fwi")])
+ORACLES["run_frames"] = duck("with recursive " + FWI_SQL + " select cell, hour_no as fhour, " + ", ".join(f"floor({c} * 1e3 + 0.5) / 1e3 as {c}" for c in ("ffmc", "dmc", "dc", "fwi")) + " from codes where hour_no in (3, 6, 24, 48)")
+QUERIES["run_peaks"] = lambda spark, sf_dir: evolution.peaks(_whole_run(spark, sf_dir)).select("cell", "run", F.col("fire_date").cast("string").alias("fire_date"), r4("fwi").alias("fwi"), r4("bui").alias("bui"), F.col("peak_hour").cast("long").alias("peak_hour"))
+ORACLES["run_peaks"] = duck("with recursive " + FWI_SQL + ", " + PEAK_SQL + "select cell, '20260701T11Z' as run, cast(fire_date as varchar) as fire_date, floor(fwi * 1e4 + 0.5) / 1e4 as fwi, floor(bui * 1e4 + 0.5) / 1e4 as bui, cast(peak_hour as bigint) as peak_hour from p")
+
+
 def daylight_hours(spark, sf_dir):
     rows = view(spark, sf_dir, "wx").withColumns({"lat": 48.5 + F.pmod("cell", F.lit(12)), "lon": -124.0 + F.pmod("cell", F.lit(9))})
     return rows.groupBy("cell").agg(F.count_if(clock.daylight(F.col("valid_ts"), F.col("lat"), F.col("lon"))).alias("light"), F.count(F.lit(1)).alias("hours"))
