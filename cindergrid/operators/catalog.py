@@ -23,7 +23,7 @@ def ready_hours(requirements: DataFrame, listing: DataFrame) -> DataFrame:
     """(run, fhour) whose every requirement (fhour, need_hour, field) is listed: relational division by counts."""
     need = requirements.groupBy("fhour").agg(F.count(F.lit(1)).alias("need"))
     have = requirements.join(listing.select("run", F.col("fhour").alias("need_hour"), "field").distinct(), ["need_hour", "field"])
-    return have.groupBy("run", "fhour").agg(F.count(F.lit(1)).alias("have")).join(F.broadcast(need), "fhour").filter("have = need").select("run", "fhour")
+    return have.groupBy("run", "fhour").agg(F.count(F.lit(1)).alias("have")).join(need, "fhour").filter("have = need").select("run", "fhour")
 
 
 def manifest(frames: DataFrame, wanted: int, share: float = 0.6) -> DataFrame:
@@ -53,9 +53,9 @@ def changed(current: DataFrame, stored: DataFrame, key: str, fields: list[str])
 
 
 def upsert(stored: DataFrame, incoming: DataFrame, key: str, order: str) -> DataFrame:
-    """The newest row of each key of both."""
+    """The newest row of each key of both; of equally new ones, the one whose digest is largest, so runs agree."""
     both = stored.unionByName(incoming)
-    return both.groupBy(key).agg(F.max_by(F.struct(*both.columns), order).alias("m")).select("m.*")
+    return both.groupBy(key).agg(F.max_by(F.struct(*both.columns), F.struct(order, F.xxhash64(*both.columns))).alias("m")).select("m.*")
 
 
 def retained(rows: DataFrame, now: Column, days: dict[str, int], product: str = "product", init: str = "init", default: int = 7) -> DataFrame:

@@ -2,30 +2,41 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+STATE = "seen array<string>, told array<long>"
+
+
+def _fold(needs: dict[int, frozenset[str]]):
+    def step(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        seen, told = (set(x) for x in state.get) if state.exists else (set(), set())
+        for part in parts:
+            seen.update(f"{hour}/{field}" for hour, field in zip(part.fhour, part.field))
+        now = sorted(hour for hour, need in needs.items() if hour not in told and need <= seen)
+        state.update((sorted(seen), sorted(told.union(now))))
+        yield pd.DataFrame({"run": [key[0]] * len(now), "fhour": pd.Series(now, dtype="int64")})
+
+    return step
 
-from ..operators import catalog
 
-BUCKETS = 16
+def ready_stream(listing: DataFrame, requirements: DataFrame) -> DataFrame:
+    """(run, fhour), each once, from a stream of listed fields (run, fhour, field): in the batch that completes the hour's
+    requirements (fhour, need_hour, field). These are a product's own list, tens of fields for each of its hours, and are
+    fetched. The state of a run is what it has listed and told, so a batch looks at nothing but itself."""
+    needs: dict[int, set[str]] = defaultdict(set)
+    for r in requirements.select("fhour", "need_hour", "field").distinct().toLocalIterator():
+        needs[r.fhour].add(f"{r.need_hour}/{r.field}")
+    keyed = listing.selectExpr("run", "cast(fhour as long) fhour", "field").groupBy("run")
+    return keyed.applyInPandasWithState(_fold({k: frozenset(v) for k, v in needs.items()}), "run string, fhour long", STATE, "append", GroupStateTimeout.NoTimeout)
 
 
 def write_ready(listing: DataFrame, requirements: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Writes each (run, fhour) once, in the batch that completes its requirements (fhour, need_hour, field). listing has
-    (run, fhour, field). Seen rows are kept in buckets of runs, so that a batch reads only those that it holds; a batch that
-    is run again replaces its own folders and looks only at earlier ones."""
-    spark = listing.sparkSession
-    seen, done = f"{path}/seen", f"{path}/ready"
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        held = batch.withColumn("bucket", F.pmod(F.xxhash64("run"), F.lit(BUCKETS)))
-        held.select("run", "fhour", "field", "bucket").distinct().repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{seen}/batch={batch_id}")
-        rows = spark.read.schema("run string, fhour long, field string, batch long, bucket long").parquet(seen).filter(F.col("batch") <= batch_id)
-        now = catalog.ready_hours(requirements, rows.join(held.select("run", "bucket").distinct(), ["run", "bucket"], "left_semi"))
-        if batch_id > 0:
-            before = spark.read.schema("run string, fhour long, batch long").parquet(done).filter(F.col("batch") < batch_id)
-            now = now.join(before.select("run", "fhour"), ["run", "fhour"], "left_anti")
-        now.select("run", F.col("fhour").cast("long").alias("fhour")).write.mode("overwrite").parquet(f"{done}/batch={batch_id}")
-
-    return listing.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(write).start()
+    """Writes the ready hours of the stream as a table at path/ready."""
+    stream = ready_stream(listing, requirements).writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+    return stream.trigger(availableNow=True).format("parquet").start(f"{path}/ready")
