@@ -2,13 +2,13 @@
 
 1. Each document's distinct word shingles become 64-bit hashes; equal sets (a 128-bit digest) form one class, whose
    smallest doc_id stands for it. A class has a signature of 128 minwise values.
-2. In each of ``trees`` independent trees, a node picks one coordinate of the signature by a hash of its path (a second
-   one in a quarter of cases, so 1 / 0.8 on average), and each class goes to the child named by its own minimum there.
-   Nodes with one class end; nodes of at most ``limit`` classes are compared exhaustively, and so are larger ones whose
-   classes hang together but for at most ``limit`` (near copies; see ``links_within``, linear); others branch again.
-   What still branches after ``depth`` levels is compared in blocks, so nothing is capped.
-   The classes of nodes that branch again get further trees, until a pair of similarity 0.8 shares no compared node with
-   a chance of ``miss`` at most at the deepest level reached (8 trees at level 1, 11 at level 2, 22 at level 6).
+2. In each of ``trees`` independent trees, a node picks coordinates of the signature by a hash of its path (the root one,
+   others two), and each class goes to the children named by its own minimum there. Nodes with one class end; nodes of at
+   most ``limit`` classes are compared exhaustively; larger ones branch again. At the first level those whose classes hang
+   together but for at most ``limit`` (near copies; see ``links_within``) are done with in linear time instead.
+   What still branches after ``depth`` levels is compared in blocks, so nothing is capped. A pair of similarity 0.8 meets in
+   no node of a tree with a chance of 0.2 at level 1 and below 0.25 at any level, so 9 trees miss it with one below 4 in a
+   million, however deep they go.
 3. Comparing inside a node uses the signatures and keeps pairs whose estimate is 0.62 or more, of which it gives a
    spanning forest. These links join classes to candidate groups. (A pair of similarity 0.8 falls short of that
    estimate with a chance below one in 100,000; that of sharing no compared node comes on top.)
@@ -16,7 +16,7 @@
    was compared itself. Components of those links are the result.
 
 Links and labels are always tables; components are found by contraction rounds over them. A text moves once where its
-group has at most ``limit // 2`` classes, about twice in larger groups of near copies; sets are made from texts where
+group has at most ``limit // 4`` classes, about twice in larger groups of near copies; sets are made from texts where
 they are needed and never shuffled.
 
 Nulls and edges: a null text, or one without words, has an empty set, links with nothing and is its own component;
@@ -109,21 +109,20 @@ def _matrix(column: pa.Array, dtype) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), dtype).reshape(len(column), -1)
 
 
-def _children(path: np.ndarray, rep: np.ndarray, sig: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """One child of each row by a coordinate that its path picks, for a quarter of paths a second one."""
-    out_path, out_rep, rows = [], [], np.arange(len(path))
-    for turn in (1, 2):
+def _children(path: np.ndarray, rep: np.ndarray, sig: np.ndarray, picks: int) -> tuple[np.ndarray, np.ndarray]:
+    """The children of each row by so many coordinates that its path picks."""
+    out = []
+    for turn in range(1, picks + 1):
         pick = _mix(path + np.uint64(turn * int(_Q) % (1 << 64)))
-        some = rows if turn == 1 else rows[(pick >> np.uint64(40)) % np.uint64(4) == 0]
-        k = (pick[some] % np.uint64(K)).astype(np.int64)
-        value = sig[some, k].astype(np.uint64)
-        out_path.append(_mix(path[some] * _P + (k.astype(np.uint64) << np.uint64(33)) + value))
-        out_rep.append(rep[some])
-    return np.concatenate(out_path), np.concatenate(out_rep)
+        k = (pick % np.uint64(K)).astype(np.int64)
+        value = sig[np.arange(len(path)), k].astype(np.uint64)
+        out.append(_mix(path * _P + (k.astype(np.uint64) << np.uint64(33)) + value))
+    return np.concatenate(out), np.tile(rep, picks)
 
 
 def _branch(rows: DataFrame, trees: range | None = None) -> DataFrame:
-    """(path, rep) of the children of rows (path, rep, signature), or of the roots of these trees for rows (rep, signature)."""
+    """(path, rep) of the children, by two coordinates, of rows (path, rep, signature), or of the roots of these trees, by
+    one, for rows (rep, signature)."""
 
     def made(batches):
         for batch in slices(batches, 2000):
@@ -134,7 +133,7 @@ def _branch(rows: DataFrame, trees: range | None = None) -> DataFrame:
             else:
                 starts = [np.full(len(rep), t * 1_000_003 + 17, np.uint64) for t in trees]
             for start in starts:
-                path, own = _children(start, rep, sig)
+                path, own = _children(start, rep, sig, 2 if trees is None else 1)
                 yield pa.RecordBatch.from_arrays([pa.array(path.view(np.int64)), pa.array(own)], ["path", "rep"])
 
     return rows.mapInArrow(made, "path long, rep long")
@@ -218,26 +217,27 @@ def _by_sets(width: int, percent: int):
     return prepared
 
 
-FOUND = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("group", pa.int64()), ("label", pa.int64())])
+FOUND = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("group", pa.int64()), ("label", pa.int64()), ("few", pa.bool_())])
 
 
-def _compared(cells: DataFrame, prepared, limit: int, few: int = FEW) -> DataFrame:
-    """Links (a, b) found in cells (group, _a, _b, rep, label, asked, n, data); and of groups of more than limit classes (n)
-    a few classes a of each part that hangs together in a cell, with b null, their group and the part's label."""
+def _compared(cells: DataFrame, prepared, limit: int, named: bool = True, few: int = FEW) -> DataFrame:
+    """Links (a, b) found in cells (group, _a, _b, rep, label, asked, n, data). With named, also, for groups of more than
+    limit classes (n), each class a with b null, its group, the part (label) that it hangs together with in the cell, and
+    whether it is one of a few of that part."""
 
     def made(batches):
         linker, found = prepared(), []
         for group in _groups(batches, 3):
             label, asked, n = (group.column(c).to_numpy() for c in ("label", "asked", "n"))
-            rep, pairs = group.column("rep").to_numpy(), []
+            rep = group.column("rep").to_numpy()
             if (label != label[0]).any() and asked.any():
                 pairs, label = _forest(label, asked, linker(group.column("data").combine_chunks()))
-                found += [(int(rep[i]), int(rep[j]), None, None) for i, j in pairs]
-            if n[0] > limit:
+                found += [(int(rep[i]), int(rep[j]), None, None, None) for i, j in pairs]
+            if named and n[0] > limit:
                 key, order = group.column("group")[0].as_py(), np.lexsort((rep, label))
                 begins = np.concatenate(([True], label[order][1:] != label[order][:-1]))
                 nth = np.arange(len(order)) - np.maximum.accumulate(np.where(begins, np.arange(len(order)), 0))
-                found += [(int(rep[i]), None, key, int(label[i])) for i in order[nth < few]]
+                found += [(int(rep[i]), None, key, int(label[i]), bool(k < few)) for i, k in zip(order, nth)]
             if len(found) > 50_000:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*found), FOUND)], schema=FOUND)
                 found = []
@@ -245,7 +245,7 @@ def _compared(cells: DataFrame, prepared, limit: int, few: int = FEW) -> DataFra
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*found), FOUND)], schema=FOUND)
 
     rows = cells.select("group", "_a", "_b", "rep", "label", "asked", "n", "data")
-    return rows.repartition("group", "_a", "_b").sortWithinPartitions("group", "_a", "_b").mapInArrow(made, "a long, b long, group long, label long")
+    return rows.repartition("group", "_a", "_b").sortWithinPartitions("group", "_a", "_b").mapInArrow(made, "a long, b long, group long, label long, few boolean")
 
 
 def links_within(members: DataFrame, payload: DataFrame, prepared, limit: int, leave: bool = False) -> tuple[DataFrame, DataFrame | None]:
@@ -260,27 +260,31 @@ def links_within(members: DataFrame, payload: DataFrame, prepared, limit: int, l
     block = _block("group", F.col("n"), limit)
     first = payload.join(members, "rep").withColumns({"_a": block, "_b": block, "label": F.col("rep"), "asked": F.lit(True)})
     got = stash(_compared(first, prepared, limit), "compared")
-    links, parts = got.filter("b is not null").select("a", "b"), got.filter("b is null").select("group", F.col("a").alias("rep"), "label")
+    links, named = got.filter("b is not null").select("a", "b"), got.filter("b is null").select("group", F.col("a").alias("rep"), "label", "few")
     big = members.filter(F.col("n") > limit).select("group", "rep", "n")
-    if not big.head(1):
+    if not named.head(1):
         return links, None
     big = stash(payload.join(big, "rep"), "large-groups")
     before = None
     while True:
-        open_ = stash(parts.groupBy("group").agg(F.count(F.lit(1)).alias("m"), F.count_distinct("label").alias("k")).filter("k > 1"), "open-groups")
+        open_ = stash(named.filter("few").groupBy("group").agg(F.count(F.lit(1)).alias("m"), F.count_distinct("label").alias("k")).filter("k > 1"), "open-groups")
         total = open_.agg(F.sum("k").alias("k"), F.max("m").alias("m")).first()
         if not total.k or before is not None and 2 * total.k > before:
             break
         before = total.k
-        block = _block("group", F.col("m"), limit)
-        again = big.join(parts.join(open_, "group").select("group", "rep", "label", block.alias("_a"), block.alias("_b")), ["group", "rep"])
+        part = F.pmod(F.xxhash64("group", "label"), F.ceil(F.col("m") / F.lit(limit))).cast("int")  # a part's few stay together
+        again = big.join(named.filter("few").join(open_, "group").select("group", "rep", "label", part.alias("_a"), part.alias("_b")), ["group", "rep"])
         got = stash(_compared(again.withColumn("asked", F.lit(True)), prepared, limit), "compared")
-        links, parts = links.unionByName(got.filter("b is not null").select("a", "b")), got.filter("b is null").select("group", F.col("a").alias("rep"), "label")
+        links = links.unionByName(got.filter("b is not null").select("a", "b"))
+        step = got.filter("b is null").select("group", F.col("a").alias("rep"), F.col("label").alias("to"), F.col("few").alias("still"))
+        moved = named.filter("few").join(step, ["group", "rep"]).select("group", "label", "to").distinct()
+        renamed = named.join(moved, ["group", "label"], "left").join(step.select("group", "rep", "still"), ["group", "rep"], "left")
+        named = stash(renamed.select("group", "rep", F.coalesce("to", "label").alias("label"), F.coalesce("still", F.lit(False)).alias("few")), "named")
         if total.m <= limit:
             break
-    named = stash(big.drop("data").join(components(links), "rep", "left").select("group", "rep", "n", F.coalesce("label", "rep").alias("label")), "named")
-    tops = named.groupBy("group", "label").agg(F.count(F.lit(1)).alias("m")).groupBy("group").agg(F.max(F.struct("m", "label")).alias("top"))
-    named = stash(named.join(tops, "group").withColumn("rest", F.col("n") - F.col("top.m")).filter("rest > 0"), "rests")
+    tops = named.groupBy("group", "label").agg(F.count(F.lit(1)).alias("m")).groupBy("group").agg(F.max(F.struct("m", "label")).alias("top"), F.sum("m").alias("n"))
+    named = named.join(tops.filter("n > top.m"), "group").withColumn("rest", F.col("n") - F.col("top.m"))
+    named = stash(named.select("group", "rep", "label", "top", "rest", "n"), "rests")
     exact, left = named, None
     if leave:
         left = named.filter(F.col("rest") > limit).select("group", "rep")
@@ -290,8 +294,7 @@ def links_within(members: DataFrame, payload: DataFrame, prepared, limit: int, l
         every = lambda n: F.explode(F.sequence(F.lit(0), F.ceil(n / F.lit(limit)).cast("int") - 1))
         asked = exact.filter(F.col("label") != F.col("top.label")).select("group", _block("group", F.col("rest"), limit).alias("_a"), every(F.col("n")).alias("_b"), "rep", "label", F.lit(True).alias("asked"))
         others = exact.select("group", every(F.col("rest")).alias("_a"), _block("group", F.col("n"), limit).alias("_b"), "rep", "label", F.lit(False).alias("asked"))
-        got = stash(_compared(big.join(asked.unionByName(others), ["group", "rep"]), prepared, limit), "compared")
-        links = links.unionByName(got.filter("b is not null").select("a", "b"))
+        links = links.unionByName(stash(_compared(big.join(asked.unionByName(others), ["group", "rep"]), prepared, limit, named=False).select("a", "b"), "compared"))
     return links, left
 
 
@@ -316,58 +319,55 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def trees_needed(level: int, miss: float, similarity: float = 0.8) -> int:
-    """Trees after which a pair of this similarity has met in no node of this level with a chance of miss at most. A root
-    is taken to have one coordinate; below it a node has one, in a quarter of cases two."""
+def chance_apart(level: int, similarity: float = 0.8) -> float:
+    """That a pair of this similarity meets in no node of this level of a tree: the root picks one coordinate, others two.
+    It grows with the level, but for 0.8 never beyond 1/4."""
     apart = 1 - similarity
     for _ in range(level - 1):
-        apart = 1 - similarity + similarity * (0.75 * apart + 0.25 * apart * apart)
-    return int(np.ceil(np.log(miss) / np.log(apart)))
+        apart = 1 - similarity + similarity * apart * apart
+    return apart
 
 
-def _search(reps: DataFrame, trees: range, limit: int, depth: int, least: int) -> tuple[list[DataFrame], DataFrame | None, int]:
-    """Candidate links of these trees, the classes of nodes that branched at the first level (None without any), and the
-    deepest level. Nodes over the limit whose classes hang together, but for at most limit of them, are done with in
+def _search(reps: DataFrame, trees: range, limit: int, depth: int, least: int) -> tuple[list[DataFrame], int]:
+    """Candidate links of these trees, and the deepest level. Nodes over the limit whose classes hang together, but for at most limit of them, are done with in
     linear time; the others branch."""
-    nodes, leaves, links, branched, sketches = _branch(reps, trees), [], [], None, _sketches(reps)
+    nodes, leaves, links, sketches = _branch(reps, trees), [], [], _sketches(reps)
     for level in range(1, depth + 1):
         rows = stash(nodes, "nodes")
         sizes = stash(rows.groupBy("path").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "node-sizes")  # a table: both sides of the join are exchanged
         rows = stash(rows.join(sizes, "path").select(F.col("path").alias("group"), "rep", "n"), "shared-nodes")
-        leaves.append(rows.filter(F.col("n") <= limit))
-        heavy = rows.filter(F.col("n") > limit)
-        if not sizes.filter(F.col("n") > limit).head(1):
-            break
-        found, left = links_within(heavy, sketches, _by_sketches(least), limit, leave=level < depth)
-        links.append(found)
-        if left is None:
+        if level == depth or not sizes.filter(F.col("n") > limit).head(1):
+            leaves.append(rows)
             break
-        if level == 1:
-            branched = left.select("rep").distinct()
-        nodes = _branch(left.withColumnRenamed("group", "path").join(reps, "rep").select("path", "rep", "signature"))
-    leaf = reduce(DataFrame.unionByName, leaves)
-    return [links_within(leaf, sketches, _by_sketches(least), limit)[0], *links], branched, level
-
-
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, trees: int = 8, limit: int = 512, depth: int = 6, miss: float = 1e-5) -> DataFrame:
+        leaves.append(rows.filter(F.col("n") <= limit))
+        left = rows.filter(F.col("n") > limit)
+        if level == 1:  # near copies stay together whatever the path, so the first level finds them
+            found, left = links_within(left, sketches, _by_sketches(least), limit, leave=True)
+            links.append(found)
+            if left is None:
+                break
+        nodes = _branch(left.select(F.col("group").alias("path"), "rep").join(reps, "rep").select("path", "rep", "signature"))
+    own, many = _block("group", F.col("n"), limit), F.ceil(F.col("n") / F.lit(limit)).cast("int")
+    cells = reduce(DataFrame.unionByName, leaves).withColumns({"_own": own, "_j": F.explode(F.sequence(F.lit(0), many - 1))})  # once, up to limit
+    cells = cells.select("group", F.least("_own", "_j").alias("_a"), F.greatest("_own", "_j").alias("_b"), "rep", F.col("rep").alias("label"), F.lit(True).alias("asked"), "n")
+    found = _compared(sketches.join(cells, "rep"), _by_sketches(least), limit, named=False)
+    return [stash(found.select("a", "b"), "compared"), *links], level
+
+
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, trees: int = 9, limit: int = 1024, depth: int = 4) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row of docs (doc_id, text)."""
     profile = stash(profiles(docs, width), "profiles")
     some = profile.filter("n_shingles > 0 and doc_id is not null")
     classes = stash(some.groupBy("set_key").agg(F.min(F.struct("doc_id", "signature")).alias("m")).select("set_key", F.col("m.doc_id").alias("rep"), "m.signature"), "classes")
     reps, least = classes.select("rep", "signature"), int(0.62 * K)
 
-    links, crowded, deepest = _search(reps, range(trees), limit, depth, least)
-    grown = trees
-    while crowded is not None and (needed := trees_needed(deepest, miss)) > grown:
-        again = stash(reps.join(crowded, "rep", "left_semi"), "crowded")
-        more, _, level = _search(again, range(grown, needed), limit, depth, least)
-        links, grown, deepest = links + more, needed, max(deepest, level)
+    links, _ = _search(reps, range(trees), limit, depth, least)
     candidates = stash(components(reduce(DataFrame.unionByName, links)), "candidates")
 
     groups = stash(candidates.groupBy("label").agg(F.count(F.lit(1)).alias("n")), "candidate-groups")
     members = stash(candidates.join(groups, "label").select(F.col("label").alias("group"), "rep", "n"), "members")
     texts = docs.select(F.col("doc_id").cast("long").alias("rep"), F.col("text").alias("data"))
-    labels = components(links_within(members, texts, _by_sets(width, percent), limit // 2)[0])
+    labels = components(links_within(members, texts, _by_sets(width, percent), max(2, limit // 4))[0])
 
     smallest = labels.groupBy("label").agg(F.min("rep").alias("component"))
     linked = labels.join(smallest, "label").select("rep", "component")

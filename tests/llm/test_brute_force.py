@@ -441,23 +441,16 @@ def test_near_duplicates(spark, settings):
 
 
 @pytest.mark.parametrize("common", [120, 60])
-def test_trees_follow_the_depth(spark, common):
-    """A passage that makes estimates hang together is done in linear time; one that does not makes nodes branch, and then
-    the classes of such nodes get more trees."""
-    assert [cpsjoin.trees_needed(level, 1e-5) for level in (1, 2, 6)] == [8, 11, 22]
+def test_trees_keep_pairs_together_at_any_depth(spark, common):
+    """A passage that makes estimates hang together is done in linear time; one that does not makes nodes branch, by two
+    coordinates each, so that the chance to miss a pair stays below 1 in 100,000 at any depth."""
+    assert all(cpsjoin.chance_apart(level) ** 9 < 1e-5 for level in (1, 2, 6, 50)) and cpsjoin.chance_apart(50) <= 0.25
     shared = " ".join(f"s{i}" for i in range(common))
     rows = [(i, shared + " " + " ".join(f"u{i}x{j}" for j in range(40))) for i in range(600)]
     rows += [(1000 + i, t.rsplit(" ", 4)[0] + f" v{i} v v v") for i, (_, t) in enumerate(rows[:40])]
     reps = spark.createDataFrame([(i, bytearray(cpsjoin.signature(cpsjoin.Shingles(4)(t)).tobytes())) for i, t in rows], "rep long, signature binary")
-    _, crowded, deepest = cpsjoin._search(reps, range(8), 64, 4, 79)
-    assert (crowded is None and deepest == 1) if common == 120 else (crowded.count() > 600 and deepest == 4)
-    grown, real = [], cpsjoin._branch
-    try:
-        cpsjoin._branch = lambda d, trees=None: (grown.extend(trees or ()), real(d, trees))[1]
-        got = {r.doc_id: r.component_id for r in cpsjoin.near_duplicates(docs(spark, rows), width=4, limit=64, depth=4).collect()}
-    finally:
-        cpsjoin._branch = real
-    assert grown == list(range(8 if common == 120 else cpsjoin.trees_needed(4, 1e-5)))
+    assert cpsjoin._search(reps, range(9), 64, 4, 79)[1] == (1 if common == 120 else 4)
+    got = {r.doc_id: r.component_id for r in cpsjoin.near_duplicates(docs(spark, rows), width=4, limit=64, depth=4).collect()}
     assert got == components({i: shingles(t, 4) for i, t in rows})
 
 
