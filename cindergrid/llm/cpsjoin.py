@@ -329,8 +329,8 @@ def chance_apart(level: int, similarity: float = 0.8) -> float:
 
 
 def _search(reps: DataFrame, trees: range, limit: int, depth: int, least: int) -> tuple[list[DataFrame], int]:
-    """Candidate links of these trees, and the deepest level. Nodes over the limit whose classes hang together, but for at most limit of them, are done with in
-    linear time; the others branch."""
+    """Candidate links of these trees, and the deepest level. Nodes over the limit whose classes hang together, but for at
+    most limit of them, are done with in linear time at the first level; the others branch."""
     nodes, leaves, links, sketches = _branch(reps, trees), [], [], _sketches(reps)
     for level in range(1, depth + 1):
         rows = stash(nodes, "nodes")
