@@ -463,7 +463,7 @@ def test_large_groups_move_texts_twice(spark):
     rows = [(i, " ".join([*base[:97], f"a{i}", f"b{i}", f"c{i}"])) for i in range(3000)] + [(3000 + i, change(5)) for i in range(10)]
     moved, real = [], cpsjoin._compared
     try:
-        cpsjoin._compared = lambda cells, *a: (moved.append(cells.count()), real(cells, *a))[1]
+        cpsjoin._compared = lambda cells, *a, **k: (moved.append(cells.count()), real(cells, *a, **k))[1]
         texts = spark.createDataFrame(rows, "rep long, data string")
         members = texts.select(F.lit(1).cast("long").alias("group"), "rep", F.lit(len(rows)).cast("long").alias("n"))
         found, left = cpsjoin.links_within(members, texts, cpsjoin._by_sets(4, 80), 100, leave=True)
