@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, cpsjoin, decontam, gam, langid, licenses, quality_rules, sharding, spm, warc
+from . import chat, cpsjoin, decontam, gam, langid, licenses, quality_rules, sharding, spm, warc, whitening
 from .common import id_remainder, new_path, table
 
 PIECES = os.environ.get("PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
@@ -96,4 +96,9 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cpsjoin.near_duplicates(table(spark, sf_dir, "documents"), width=4)
 
 
-QUERIES = {f.__name__: f for f in (op1_warc, op2_language, op3_rules, op4_decontaminate, op5_shards, op6_chat, op7_licenses, op8_quality, op9_pieces, op10_near_duplicates)}
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return found.withColumn("deviation", F.col("deviation").try_cast("long"))  # null beyond 64 bits
+
+
+QUERIES = {f.__name__: f for f in (op1_warc, op2_language, op3_rules, op4_decontaminate, op5_shards, op6_chat, op7_licenses, op8_quality, op9_pieces, op10_near_duplicates, op12_whitening)}
