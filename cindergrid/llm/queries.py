@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, cpsjoin, decontam, gam, langid, licenses, quality_rules, sharding, spm, warc, whitening
+from . import alignment, chat, cpsjoin, decontam, gam, langid, licenses, quality_rules, sharding, spm, warc, whitening
 from .common import id_remainder, new_path, table
 
-PIECES = os.environ.get("PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
+#: Vocabularies of the queries that take one; each is a parameter of its query.
+PIECES = "/opt/tokenizers/piece_bpe_32k.model"
+BYTES = "/opt/tokenizers/byte_bpe_50k.json"
 
 
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,9 +82,9 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (id_remainder("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
-def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+def op9_pieces(spark: SparkSession, sf_dir: str, piece_file: str = PIECES) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    back = spm.round_trip(docs, PIECES)
+    back = spm.round_trip(docs, piece_file)
     ids = F.array_join(F.transform("ids", lambda i: i.cast("string")), ",")
     return back.select(
         "doc_id", F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_ids"), F.sha2(ids.cast("binary"), 256).alias("ids_sha256"),
@@ -101,4 +101,8 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("deviation", F.col("deviation").try_cast("long"))  # null beyond 64 bits
 
 
-QUERIES = {f.__name__: f for f in (op1_warc, op2_language, op3_rules, op4_decontaminate, op5_shards, op6_chat, op7_licenses, op8_quality, op9_pieces, op10_near_duplicates, op12_whitening)}
+def op13_alignment(spark: SparkSession, sf_dir: str, byte_file: str = BYTES, piece_file: str = PIECES) -> DataFrame:
+    return alignment.linked(table(spark, sf_dir, "documents"), byte_file, piece_file)
+
+
+QUERIES = {f.__name__: f for f in (op1_warc, op2_language, op3_rules, op4_decontaminate, op5_shards, op6_chat, op7_licenses, op8_quality, op9_pieces, op10_near_duplicates, op12_whitening, op13_alignment)}
