@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import alignment, chat, cpsjoin, decontam, gam, langid, licenses, quality_rules, sharding, spm, warc, whitening
+from . import alignment, chat, cpsjoin, decontam, flatgraph, gam, langid, licenses, quality_rules, sharding, spm, warc, whitening
 from .common import id_remainder, new_path, table
 
 #: Vocabularies of the queries that take one; each is a parameter of its query.
@@ -96,6 +96,10 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cpsjoin.near_duplicates(table(spark, sf_dir, "documents"), width=4)
 
 
+def op11_embedding_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flatgraph.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = whitening.whiten(table(spark, sf_dir, "embeddings"))
     return found.withColumn("deviation", F.col("deviation").try_cast("long"))  # null beyond 64 bits
@@ -105,4 +109,4 @@ def op13_alignment(spark: SparkSession, sf_dir: str, byte_file: str = BYTES, pie
     return alignment.linked(table(spark, sf_dir, "documents"), byte_file, piece_file)
 
 
-QUERIES = {f.__name__: f for f in (op1_warc, op2_language, op3_rules, op4_decontaminate, op5_shards, op6_chat, op7_licenses, op8_quality, op9_pieces, op10_near_duplicates, op12_whitening, op13_alignment)}
+QUERIES = {f.__name__: f for f in (op1_warc, op2_language, op3_rules, op4_decontaminate, op5_shards, op6_chat, op7_licenses, op8_quality, op9_pieces, op10_near_duplicates, op11_embedding_duplicates, op12_whitening, op13_alignment)}

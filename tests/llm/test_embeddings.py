@@ -5,7 +5,7 @@ import math
 import numpy as np
 import pytest
 
-from cindergrid.llm import whitening
+from cindergrid.llm import flatgraph, whitening
 from cindergrid.llm.common import table
 from cindergrid.llm.queries import QUERIES
 
@@ -68,3 +68,74 @@ def test_whitening_beyond_64_bits(spark):
     xs = [[int(64 * c) + 1_000_000 for c in v] for _, v in rows]
     got = {r.vec_id: int(r.deviation) for r in whitening.whiten(frame(spark, rows)).collect()}
     assert [got[i] for i in (1, 2, 3)] == exact_deviation(xs)
+
+
+def brute_links(rows, similarity=0.95):
+    """{position: (n_links, component)} by comparing all pairs."""
+    size = max((len(v) for _, v in rows if v is not None), default=0)
+    ok = [k for k, (_, v) in enumerate(rows) if v is not None and len(v) == size and all(x is not None and math.isfinite(x) for x in v) and any(v)]
+    out = {k: (0, rows[k][0]) for k in range(len(rows))}
+    if ok:
+        u = np.array([rows[k][1] for k in ok], np.float32).astype(float)
+        u /= np.linalg.norm(u, axis=1)[:, None]
+        near = u @ u.T >= similarity
+        label = np.arange(len(ok))
+        while True:
+            new = np.where(near, label[None, :], len(ok)).min(axis=1)
+            if (new == label).all():
+                break
+            label = new
+        for i, k in enumerate(ok):
+            ids = [rows[ok[j]][0] for j in range(len(ok)) if label[j] == label[i] and rows[ok[j]][0] is not None]
+            out[k] = (int(near[i].sum()) - 1, min(ids, default=None))
+    return sorted(((i, *out[k], i == out[k][1]) for k, (i, _) in enumerate(rows)), key=str)
+
+
+def linked(df):
+    return sorted(((r.vec_id, r.n_links, r.component_id, r.kept) for r in df.collect()), key=str)
+
+
+def noisy(rng, centre, n, size):
+    return [centre + rng.normal(size=len(centre)) * size / math.sqrt(len(centre)) for _ in range(n)]
+
+
+def test_embedding_duplicates_with_faults_and_copies(spark):
+    rng = np.random.default_rng(5)
+    base = rng.normal(size=(60, 16))
+    near = [v for c in base[:12] for v in noisy(rng, c / np.linalg.norm(c), 6, 0.25)]  # about the link's angle apart
+    rows = [(i, v) for i, v in enumerate([*base, *near])]
+    rows += [(200, base[0]), (201, base[0]), (201, base[0]), (None, base[0]), (None, base[20] * -1), (202, None), (203, [0.0] * 16), (204, [None] + [1.0] * 15), (205, [float("nan")] + [1.0] * 15), (206, [float("inf")] * 16), (207, [1.0] * 3), (208, [])]
+    want = brute_links(rows)
+    assert linked(flatgraph.near_duplicates(frame(spark, rows))) == want
+    assert sum(r[1] for r in want) > 100
+    for few in ([], [(1, None)], [(1, [1, 0]), (2, [1, 0.1])]):
+        assert linked(flatgraph.near_duplicates(frame(spark, few))) == brute_links(few)
+
+
+def test_embedding_duplicates_of_large_groups(spark):
+    """Groups far over a shard's limit, one of them wider than a bead, which is compared in blocks."""
+    rng = np.random.default_rng(6)
+    centres = [c / np.linalg.norm(c) for c in rng.normal(size=(3, 24))]
+    vectors = noisy(rng, centres[0], 300, 0.1) + noisy(rng, centres[1], 200, 0.2) + noisy(rng, centres[2], 150, 0.25) + [centres[0]] * 50 + list(rng.normal(size=(300, 24)))
+    rows = list(enumerate(vectors))
+    got = flatgraph.near_duplicates(frame(spark, rows), limit=128).cache()
+    assert linked(got) == brute_links(rows) and got.first().recall == 1
+
+
+def test_embedding_duplicates_of_a_table(spark):
+    rows = [(r.vec_id, r.embedding) for r in table(spark, SF, "embeddings").collect()]
+    assert linked(QUERIES["op11_embedding_duplicates"](spark, SF)) == brute_links(rows)
+
+
+def test_range_search_finds_what_is_in_range():
+    rng = np.random.default_rng(7)
+    v = np.array([*rng.normal(size=(400, 12)), *noisy(rng, rng.normal(size=12), 200, 0.6)])
+    v /= np.linalg.norm(v, axis=1)[:, None]
+    lists = flatgraph._pruned(v)
+    links = np.full((len(v), max(map(len, lists))), -1)
+    for k, x in enumerate(lists):
+        links[k, : len(x)] = x
+    a, b = flatgraph.range_search(v, np.zeros(len(v)), links, math.acos(0.95), np.arange(len(v)))
+    near = v @ v.T >= 0.95
+    np.fill_diagonal(near, False)
+    assert len(a) >= 0.99 * near.sum() > 1000 and near[a, b].all()
