@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -119,29 +121,64 @@ def downslope_gust(grid: DataFrame, keys: list[str], spacing: float, radius_km:
     return g.withColumns({"slope_index": across, "mask": mask, "gust": F.when(mask, F.greatest("regular", candidate)).otherwise(F.col("regular"))}).drop("_over")
 
 
-def fill_nearest(grid: DataFrame, keys: list[str], value: str, first_radius: int = 4) -> DataFrame:
-    """Missing cells take the value of the nearest cell that has one (ties: smaller iy, then ix). Buckets of growing
-    size make it an equi-join; a cell found within a bucket's side is settled, the rest go on until none is left. Only
-    the known cells with an unknown one beside them can be nearest. A grid (keys) without any known cell stays missing."""
-    known = grid.filter(F.col(value).isNotNull()).select(*keys, "iy", "ix", F.col(value).alias("_v"))
-    beside = F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in ((-1, 0), (1, 0), (0, -1), (0, 1))]))
-    around = known.select(*keys, "iy", "ix", beside.alias("_o")).select(*keys, (F.col("iy") + F.col("_o.a")).alias("iy"), (F.col("ix") + F.col("_o.b")).alias("ix"))
-    inner = around.groupBy(*keys, "iy", "ix").agg(F.count(F.lit(1)).alias("_n")).filter("_n >= 4").drop("_n")
-    edge = known.join(inner, [*keys, "iy", "ix"], "left_anti").persist()
-    todo = grid.filter(F.col(value).isNull()).select(*keys, "iy", "ix")
-    todo = (todo.join(known.select(*keys).distinct(), keys, "left_semi") if keys else todo if known.head(1) else todo.limit(0)).persist()
-    found, side = None, first_radius
-    while found is None or todo.head(1):
-        cells = edge.select(*keys, F.floor(F.col("iy") / side).alias("_by"), F.floor(F.col("ix") / side).alias("_bx"), F.col("iy").alias("_y"), F.col("ix").alias("_x"), "_v")
-        near = todo.select("*", F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in (-1, 0, 1) for b in (-1, 0, 1)])).alias("_o"))
-        near = near.withColumns({"_by": F.floor(F.col("iy") / side) + F.col("_o.a"), "_bx": F.floor(F.col("ix") / side) + F.col("_o.b")}).drop("_o")
-        d2 = (F.col("iy") - F.col("_y")) * (F.col("iy") - F.col("_y")) + (F.col("ix") - F.col("_x")) * (F.col("ix") - F.col("_x"))
-        got = near.join(cells, [*keys, "_by", "_bx"]).withColumn("_d2", d2).filter(F.col("_d2") <= side * side)
-        got = got.groupBy(*keys, "iy", "ix").agg(F.min_by("_v", F.struct("_d2", "_y", "_x")).alias("_v")).persist()
-        found = got if found is None else found.unionByName(got)
-        todo = todo.join(got.select(*keys, "iy", "ix"), [*keys, "iy", "ix"], "left_anti").persist()
-        side *= 4
-    return grid.join(found, [*keys, "iy", "ix"], "left").withColumn(value, F.coalesce(F.col(value), F.col("_v"))).drop("_v")
+def fill_nearest(grid: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """Missing cells take the value of the nearest cell that has one (ties: smaller iy, then ix). A distance transform in two
+    passes, linear in the raster: windows find the nearest known cell of each column for every line that lacks values, then
+    each such line, by itself, finds its cells' columns (see ``lines``). The table may leave cells out. A grid (keys) without
+    any known cell stays missing."""
+    plain = grid.withColumn("_k", F.lit(0))  # a key where there is none
+    keys, known = [*keys, "_k"], F.col(value).isNotNull()
+    have = plain.filter(known).select(*keys, "iy", "ix", F.struct(F.col("iy").alias("y"), F.col(value).alias("v")).alias("_at"))
+    todo = plain.filter(~known).select(*keys, "iy", "ix")
+    every = todo.select(*keys, "iy").distinct().join(have.select(*keys, "ix").distinct(), keys)  # cells of the raster
+    both = have.withColumn("_ask", F.lit(False)).unionByName(every.withColumn("_ask", F.lit(True)), allowMissingColumns=True)
+    up, down = Window.partitionBy(*keys, "ix").orderBy("iy", "_ask"), Window.partitionBy(*keys, "ix").orderBy(F.desc("iy"), "_ask")
+    near = both.withColumn("_a", F.last("_at", ignorenulls=True).over(up)).withColumn("_b", F.last("_at", ignorenulls=True).over(down)).filter("_ask")
+    above = F.coalesce(F.col("iy") - F.col("_a.y") <= F.col("_b.y") - F.col("iy"), F.col("_b").isNull())
+    columns = near.select(*keys, "iy", "ix", F.inline(F.array(F.when(above, F.col("_a")).otherwise(F.col("_b")))))
+    kind = {f.name: f.dataType.simpleString() for f in have.select(*keys, "iy", "ix", F.col("_at.v").alias("v")).schema}
+    rows = columns.unionByName(todo.join(have.select(*keys).distinct(), keys, "left_semi"), allowMissingColumns=True)
+    found = rows.groupBy(*keys, "iy").applyInArrow(_line(keys), ", ".join(f"`{c}` {kind[c]}" for c in [*keys, "iy", "ix", "v"]))
+    return plain.join(found.withColumnRenamed("v", "_v"), [*keys, "iy", "ix"], "left").withColumn(value, F.coalesce(F.col(value), F.col("_v"))).select(*grid.columns)
+
+
+def _line(keys: list[str]):
+    """Of a line's columns (ix, y, v: the nearest known cell of each) and missing cells (y null): the cells with their v."""
+
+    def made(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks().sort_by("ix")
+        y = table.column("y")
+        ask = y.is_null().to_numpy()
+        x, cells, columns = table.column("ix").to_numpy(), np.flatnonzero(ask), np.flatnonzero(~ask)
+        y = y.take(pa.array(columns)).to_numpy()
+        order = np.lexsort((x[columns], y))
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        at = lines(x[cells], x[columns], (y - table.column("iy")[0].as_py()) ** 2 * len(order) + rank)
+        return table.select([*keys, "iy", "ix"]).take(pa.array(cells)).append_column("v", table.column("v").take(pa.array(columns[at])))
+
+    return made
+
+
+def lines(x: np.ndarray, at: np.ndarray, height: np.ndarray) -> np.ndarray:
+    """For each x the index i with the least (x - at[i])^2 * n + height[i], for n sorted at with heights that rank ties apart.
+    The index grows with x, so every other x is bounded by its neighbours: log(n) rounds, each linear."""
+    n, m = len(at), len(x)
+    best = np.zeros(m, np.int64)
+    step = 1 << max(0, m - 1).bit_length()
+    while step:
+        mine = np.arange(step - 1, m, 2 * step)  # those between mine are done, or come later
+        low = np.where(mine >= step, best[np.maximum(mine - step, 0)], 0)
+        high = np.where(mine + step < m, best[np.minimum(mine + step, m - 1)], n - 1)
+        size = high - low + 1
+        begin = np.cumsum(size) - size
+        i = np.repeat(low - begin, size) + np.arange(size.sum())
+        cost = (np.repeat(x[mine], size) - at[i]) ** 2 * n + height[i]
+        least = np.repeat(np.minimum.reduceat(cost, begin), size) if len(mine) else cost
+        hit = np.flatnonzero(cost == least)
+        best[mine] = i[hit]
+        step //= 2
+    return best
 
 
 def regrid_nearest(points: DataFrame, raster: DataFrame, x0: float, y0: float, dx: float, dy: float) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import clock
@@ -10,13 +10,20 @@ from ..functions import physics as P
 from . import grid as G
 
 
-def three_hour_blocks(flashes: DataFrame, expected: int = 18, minutes: float = 10.0) -> DataFrame:
-    """(block_end, cell, density): sums of rate * minutes over right-closed blocks; missing unless all are there and
-    valid. Negative rates are valid zeros."""
-    rate = F.col("rate")
-    rows = flashes.groupBy(clock.block_end(F.col("ts")).alias("block_end"), "cell").agg(
-        F.sum(F.when(rate > 0, rate * minutes).otherwise(0.0)).alias("total"), F.count(rate).alias("n"))
-    return rows.select("block_end", "cell", F.when(F.col("n") == expected, F.col("total")).alias("density"))
+def slot(ts: Column, step_minutes: int) -> Column:
+    """Number, from 1, of the step of its three-hour block that a time falls into; a time on a boundary ends the step."""
+    start = F.unix_timestamp(clock.block_end(ts)) - 10800
+    return F.ceil((F.unix_timestamp(ts.cast("timestamp")) - start) / (60 * step_minutes)).cast("int")
+
+
+def three_hour_blocks(flashes: DataFrame, step_minutes: int = 10) -> DataFrame:
+    """(block_end, cell, density) of the right-closed blocks of (cell, ts, rate): the sum of rate * step_minutes over the
+    block's steps. Missing unless every step of the block is there, each once however often it is told, and has a valid
+    rate. Negative rates are valid zeros; of repeats of a step the largest valid rate counts."""
+    rate = F.when(~F.isnan("rate") & (F.abs("rate") != float("inf")), F.col("rate"))
+    steps = flashes.groupBy(clock.block_end(F.col("ts")).alias("block_end"), "cell", slot(F.col("ts"), step_minutes).alias("_step")).agg(F.max(rate).alias("rate"))
+    rows = steps.groupBy("block_end", "cell").agg(F.sum(F.greatest("rate", F.lit(0.0)) * step_minutes).alias("total"), F.count("rate").alias("n"))
+    return rows.select("block_end", "cell", F.when(F.col("n") == 180 // step_minutes, F.col("total")).alias("density"))
 
 
 def window_total(blocks: DataFrame, start, end) -> DataFrame:

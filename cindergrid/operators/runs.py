@@ -139,14 +139,41 @@ def fire_layer(snapshot: DataFrame, frames: DataFrame, stored: DataFrame, now: C
     return rows.join(F.broadcast(state))  # one row
 
 
-def publishable(ready: DataFrame, cooldown_minutes: int, deadline: str = "deadline") -> DataFrame:
-    """(run, at, hours): when a run's ready hours (run, fhour, at, deadline) are published: the first at once, later ones
-    together once cooldown_minutes have passed since the first, second, ... such interval began, and at the deadline what
-    is left. Intervals are counted from the run's first ready hour, so it is one window and one sum a run."""
-    w = Window.partitionBy("run")
-    first = F.min("at").over(w)
-    gap = 60 * cooldown_minutes
-    slot = F.ceil((F.unix_timestamp("at") - F.unix_timestamp(first)) / gap)
-    due = F.timestamp_seconds(F.unix_timestamp(first) + slot * gap)
-    at = F.when(F.col("at") > F.col(deadline), F.lit(None)).otherwise(F.least(due, F.col(deadline)))
-    return ready.withColumn("_due", at).filter("_due is not null").groupBy("run", F.col("_due").alias("at")).agg(F.sort_array(F.collect_set("fhour")).alias("hours"))
+def publishable(ready: DataFrame, cooldown_minutes: int, deadline: str = "deadline", expected: int | None = None) -> DataFrame:
+    """(run, at, hours, reason): when a run's ready hours (run, fhour, at, deadline) are published. An hour that becomes ready
+    goes out at once if nothing was published in the last cooldown_minutes (open), or if the run then has all its expected
+    hours (complete); otherwise together with what waits, when the cooldown since the last publish is over (timer) or at
+    the deadline, whichever is first. Hours that are ready after the deadline go out as late. A run's hours, as many as its
+    product has, are folded in one row; the same rule over a stream is in streaming/publishing.py."""
+    gap, need = 60 * cooldown_minutes, -1 if expected is None else expected
+    first = ready.groupBy("run", "fhour").agg(F.unix_timestamp(F.min("at")).alias("t"), F.unix_timestamp(F.max(deadline)).alias("end"))
+    times = first.groupBy("run", "t").agg(F.collect_list(F.col("fhour").cast("long")).alias("fhours"), F.max("end").alias("end"))
+    runs = times.groupBy("run").agg(F.sort_array(F.collect_list(F.struct("t", "fhours"))).alias("hours"), F.max("end").alias("end"))
+    out = lambda at, hours, reason: F.transform(hours, lambda h: F.struct(at.alias("at"), h.alias("fhour"), reason.alias("reason")))
+    none = F.array().cast("array<long>")
+    start = F.struct(F.lit(None).cast("long").alias("last"), none.alias("waiting"), F.lit(0).alias("n"), F.array().cast("array<struct<at:bigint,fhour:bigint,reason:string>>").alias("out"))
+    due_of = lambda last: F.least(last + gap, F.col("end"))
+    why = lambda last: F.when(last + gap <= F.col("end"), F.lit("timer")).otherwise(F.lit("deadline"))
+
+    def settled(acc: Column, now: Column) -> Column:
+        """The state once what was due before now has gone out."""
+        over = (F.size(acc["waiting"]) > 0) & (due_of(acc["last"]) < now)
+        gone = F.concat(acc["out"], out(due_of(acc["last"]), acc["waiting"], why(acc["last"])))
+        return F.struct(F.when(over, due_of(acc["last"])).otherwise(acc["last"]).alias("last"), F.when(over, none).otherwise(acc["waiting"]).alias("waiting"), acc["n"].alias("n"), F.when(over, gone).otherwise(acc["out"]).alias("out"))
+
+    def arrived(acc: Column, h: Column) -> Column:
+        late = h["t"] > F.col("end")
+        n = acc["n"] + F.when(late, 0).otherwise(F.size(h["fhours"]))
+        free = acc["last"].isNull() | (h["t"] - acc["last"] >= gap)
+        now = ~late & (free | (n == need))
+        all_ = F.concat(acc["waiting"], h["fhours"])
+        reason = F.when(late, F.lit("late")).when(n == need, F.lit("complete")).otherwise(F.lit("open"))
+        gone = F.concat(acc["out"], out(h["t"], F.when(late, h["fhours"]).otherwise(all_), reason))
+        return F.struct(
+            F.when(now, h["t"]).otherwise(acc["last"]).alias("last"), F.when(now, none).when(late, acc["waiting"]).otherwise(all_).alias("waiting"),
+            n.alias("n"), F.when(now | late, gone).otherwise(acc["out"]).alias("out"))
+
+    step = lambda acc, h: F.element_at(F.transform(F.array(settled(acc, h["t"])), lambda s: arrived(s, h)), 1)
+    ended = F.aggregate("hours", start, step, lambda acc: settled(acc, F.lit(1 << 60))["out"])
+    rows = runs.select("run", F.inline(ended))
+    return rows.groupBy("run", F.timestamp_seconds("at").alias("at"), "reason").agg(F.sort_array(F.collect_list("fhour")).alias("hours"))

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -59,46 +62,198 @@ PENALTIES = {
     "max60": (3.5, 0.035, 0.16, 0.04), "mean60": (2.5, 0.006, 0.045, 0.02), "max90": (5.0, 0.001, 0.035, 0.012), "mean90": (3.0, 0.00005, 0.006, 0.004), "p995": (2.5, 62.0, 92.0, 16.0), "top": (2.0, 82.0, 125.0, 25.0),
     "coast60": (2.0, 0.0, 0.18, 0.12), "ratio": (1.5, 0.0, 0.75, 0.5), "dcape_strong": (1.5, 450.0, 1400.0, 250.0), "li_strong": (1.5, -8.0, -1.2, 1.0), "pbl_strong": (1.0, 700.0, 3200.0, 500.0),
 }
-#: Widths of the bins that quantiles are told from: a quantile is the middle of its bin, at most half a width off.
-WIDTHS = {"gust": 0.25, "dcape": 5.0, "li": 0.05, "pbl": 10.0}
+#: Bins of the first pass: gusts of this width in km/h, the last one open; other fields by this many of their own quantiles.
+WIDTH, GUSTS, OTHERS = 0.25, 1024, 64
+#: Sets in one matrix of counts, and the quantiles that are told, by what they are of.
+BLOCK = 64
+QUANTILES = (("gust", 0.99, "p99"), ("gust", 0.995, "p995"), ("dcape", 0.5, "dcape_strong"), ("li", 0.5, "li_strong"), ("pbl", 0.5, "pbl_strong"))
+KINDS = ("gust", "dcape", "li", "pbl")
+INPUTS = ("dcape", "li", "pbl", "w850", "w700")
+
+
+def gusts(c: dict[str, np.ndarray], sets: np.ndarray):
+    """For each set (a row of NAMES) the places of the rows that pass its gates, and their gusts. Factors that sets share
+    are worked out once."""
+    at = {k: i for i, k in enumerate(NAMES)}
+    down, memo = np.sqrt(np.maximum(2 * c["dcape"], 0)), {}
+
+    def once(key, make):
+        if key not in memo:
+            memo[key] = make()
+        return memo[key]
+
+    for p in sets:
+        v = {k: p[i] for k, i in at.items()}
+        momentum = once(("m", v["w850_coeff"], v["w700_coeff"]), lambda v=v: np.maximum(v["w850_coeff"] * c["w850"], v["w700_coeff"] * c["w700"]))
+        of_li = once(("l", v["li_start"], v["li_span"]), lambda v=v: 3.6 * np.clip((v["li_start"] - c["li"]) / v["li_span"], 0, 1))
+        of_pbl = once(("p", v["pbl_base_m"], v["pbl_span_m"]), lambda v=v: np.clip((c["pbl"] - v["pbl_base_m"]) / v["pbl_span_m"], 0, 1))
+        open_ = once(("g", v["dcape_min"], v["li_gate"]), lambda v=v: np.flatnonzero((c["dcape"] >= v["dcape_min"]) & (c["li"] <= v["li_gate"])))
+        yield open_, (of_li[open_] * of_pbl[open_]) * (v["dcape_coeff"] * down[open_] + momentum[open_])
+
+
+def _columns(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
+    return {k: batch.column(k).to_numpy(zero_copy_only=False) for k in batch.schema.names}
+
+
+def _bin(gust: np.ndarray) -> np.ndarray:
+    return np.minimum((gust / WIDTH).astype(np.int64), GUSTS - 1)
+
+
+def _totals(rows: DataFrame, seqs: np.ndarray, sets: np.ndarray, cuts: dict[str, np.ndarray], n_hours: int) -> DataFrame:
+    """(block, counts): of each block of sets one matrix over all rows: counts by bin of gusts and, of strong ones, of the
+    other fields; weights by hour over 60, over 90, and over 60 at the coast; the greatest gust. Tasks add up in memory,
+    and so do those that a block's matrices meet in, one after another."""
+    width = GUSTS + 3 * OTHERS + 3 * n_hours + 1
+
+    def told(total):
+        blocks = range(0, len(sets), BLOCK)
+        yield pa.RecordBatch.from_arrays([pa.array([b // BLOCK for b in blocks], pa.int64()), pa.array([total[b : b + BLOCK].tobytes() for b in blocks], pa.binary())], ["block", "counts"])
+
+    def made(batches):
+        total, some = np.zeros((len(sets), width)), False
+        for batch in batches:
+            c, some = _columns(batch), True
+            others = [GUSTS + i * OTHERS + np.searchsorted(cuts[k], c[k], side="right") for i, k in enumerate(KINDS[1:])]
+            hour = GUSTS + 3 * OTHERS + c["h"].astype(np.int64)
+            for row, (at, gust) in zip(total, gusts(c, sets)):
+                if not len(at):
+                    continue
+                row[:GUSTS] += np.bincount(_bin(gust), minlength=GUSTS)
+                row[-1] = max(row[-1], gust.max() + 1)  # 0: no gust at all
+                strong = gust >= 60
+                if strong.any():
+                    hit, over = at[strong], gust[strong] >= 90
+                    for o in others:
+                        row += np.bincount(o[hit], minlength=width)
+                    w = c["weight"][hit]
+                    row += np.bincount(hour[hit], w, width) + np.bincount(hour[hit] + n_hours, w * over, width) + np.bincount(hour[hit] + 2 * n_hours, w * c["coastal"][hit], width)
+        if some:
+            yield from told(total)
+
+    def added(batches):
+        total, last = None, None
+        for batch in batches:
+            for block, counts in zip(batch.column(0).to_pylist(), batch.column(1)):
+                one = np.frombuffer(counts.as_buffer()).reshape(-1, width)
+                if block != last:
+                    if last is not None:
+                        yield pa.RecordBatch.from_arrays([pa.array([last]), pa.array([total.tobytes()], pa.binary())], ["block", "counts"])
+                    total, last = np.zeros_like(one), block
+                top = np.maximum(total[:, -1], one[:, -1])
+                total = total + one
+                total[:, -1] = top
+        if last is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([last]), pa.array([total.tobytes()], pa.binary())], ["block", "counts"])
+
+    parts = rows.mapInArrow(made, "block long, counts binary")
+    return parts.repartition("block").sortWithinPartitions("block").mapInArrow(added, "block long, counts binary")
+
+
+def _values_at(rows: DataFrame, seqs: np.ndarray, sets: np.ndarray, cuts: dict[str, np.ndarray], wanted: list[tuple]) -> dict[tuple, float]:
+    """{(place of the set, kind, bin, nth): value} of wanted: the nth smallest value of a bin, from those bins alone."""
+    need: dict[int, dict[int, list[int]]] = {}
+    for k, kind, bin_, _ in wanted:
+        own = need.setdefault(k, {}).setdefault(KINDS.index(kind), [])
+        if bin_ not in own:
+            own.append(bin_)
+
+    def made(batches):
+        for batch in batches:
+            c = _columns(batch)
+            bins = [None, *(np.searchsorted(cuts[k], c[k], side="right") for k in KINDS[1:])]
+            for k, (at, gust) in enumerate(gusts(c, sets)):
+                strong, found = None, []
+                for kind, own in need.get(k, {}).items():
+                    if kind == 0:
+                        values, place = gust, _bin(gust)
+                    else:
+                        strong = at[gust >= 60] if strong is None else strong
+                        values, place = c[KINDS[kind]][strong], bins[kind][strong]
+                    found += [(kind, b, values[place == b]) for b in own]
+                for kind, b, values in found:
+                    if len(values):
+                        values, n = np.unique(values, return_counts=True)
+                        m = len(values)
+                        yield pa.RecordBatch.from_arrays([pa.array(np.full(m, k)), pa.array(np.full(m, kind)), pa.array(np.full(m, b)), pa.array(values), pa.array(n)], ["k", "kind", "bin", "value", "n"])
+
+    got = rows.mapInArrow(made, "k long, kind long, bin long, value double, n long").groupBy("k", "kind", "bin", "value").agg(F.sum("n").alias("n"))
+    own = Window.partitionBy("k", "kind", "bin").orderBy("value")
+    asked = rows.sparkSession.createDataFrame([(k, KINDS.index(kind), b, nth) for k, kind, b, nth in wanted], "k long, kind long, bin long, nth long")
+    ranked_ = got.withColumn("to", F.sum("n").over(own))
+    hit = ranked_.join(F.broadcast(asked), ["k", "kind", "bin"]).filter("nth < to and nth >= to - n")  # asked: a few rows a set
+    return {(r.k, KINDS[r.kind], r.bin, r.nth): r.value for r in hit.select("k", "kind", "bin", "nth", "value").collect()}
 
 
 def score(params: DataFrame, fields: DataFrame) -> DataFrame:
     """(seq, label, metrics, score) of every parameter set over fields (hour, cell, dcape, li, pbl, w850, w700, weight,
-    coastal, period). Parameters are a table of thousands at most and are broadcast; the work grows with the fields. Every
-    pass is a sum in each task before its shuffle: counts by bin, weights by hour."""
-    good = F.col("dcape").isNotNull() & F.col("li").isNotNull() & F.col("pbl").isNotNull() & F.col("w850").isNotNull() & F.col("w700").isNotNull()
-    sets = params.agg(F.collect_list(F.struct("seq", *NAMES)).alias("sets"))  # thousands of rows of ten numbers
-    rows = fields.filter(good).withColumn("one", F.lit(1)).join(F.broadcast(sets.withColumn("one", F.lit(1))), "one").withColumn("p", F.explode("sets")).drop("sets", "one")
-    gust = P.multiplicative_gust({k: F.col(k) for k in ("dcape", "li", "pbl", "w850", "w700")}, {k: F.col(f"p.{k}") for k in NAMES})
-    rows = rows.select(F.col("p.seq").alias("seq"), "hour", "period", "weight", "coastal", "dcape", "li", "pbl", gust.alias("gust")).filter("gust is not null")
-    strong = rows.filter("gust >= 60")
-    bin_of = lambda k: F.floor(F.col(k) / WIDTHS[k])
-    counts = rows.groupBy("seq", F.lit("gust").alias("kind"), bin_of("gust").alias("bin")).agg(F.count(F.lit(1)).alias("n"), F.max("gust").alias("top"))
-    kinds = F.inline(F.array(*[F.struct(F.lit(k).alias("kind"), bin_of(k).alias("bin")) for k in ("dcape", "li", "pbl")]))
-    of_strong = strong.select("seq", kinds).groupBy("seq", "kind", "bin").agg(F.count(F.lit(1)).alias("n"))
-    w = Window.partitionBy("seq", "kind")
-    binned = counts.unionByName(of_strong, allowMissingColumns=True).withColumns({"_c": F.sum("n").over(w.orderBy("bin")), "_t": F.sum("n").over(w)})
-    at = lambda kind, q, name: (F.min(F.when((F.col("kind") == kind) & (F.col("_c") >= F.ceil(F.col("_t") * q)), F.col("bin"))) * WIDTHS[kind] + WIDTHS[kind] / 2).alias(name)
-    quantiles = binned.groupBy("seq").agg(at("gust", 0.99, "p99"), at("gust", 0.995, "p995"), F.max("top").alias("top"), *[at(k, 0.5, f"{k}_strong") for k in ("dcape", "li", "pbl")])
-
-    hours = fields.filter(good).groupBy("hour", "period").agg(F.sum("weight").alias("all"))  # of the fields alone: hours are few
-    over = strong.groupBy("seq", "hour", "period").agg(F.sum("weight").alias("w60"), F.sum(F.when(F.col("gust") >= 90, F.col("weight")).otherwise(0.0)).alias("w90"), F.sum(F.when(F.col("coastal"), F.col("weight")).otherwise(0.0)).alias("c60"))
-    over = over.join(hours, ["hour", "period"]).withColumns({"f60": F.col("w60") / F.col("all"), "f90": F.col("w90") / F.col("all")})
-    when = lambda p: F.sum(F.when(F.col("period") == p, F.col("f60")).otherwise(0.0))
-    over = over.groupBy("seq").agg(
-        F.max("f60").alias("max60"), F.sum("f60").alias("s60"), F.max("f90").alias("max90"), F.sum("f90").alias("s90"), F.max_by("hour", F.struct("f60", -F.col("hour"))).alias("hour60"),
-        when("day").alias("day60"), when("morning").alias("morning60"), F.sum("w60").alias("w60"), F.sum("c60").alias("c60"))
-    n = hours.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("period") == "day").alias("n_day"), F.count_if(F.col("period") == "morning").alias("n_morning"), F.min("hour").alias("first_hour"))
-    m = params.select("seq").join(over, "seq", "left").join(F.broadcast(n)).join(quantiles, "seq", "left")  # n is one row
-    zero = lambda c: F.coalesce(c, F.lit(0.0))
-    share = lambda a, b: zero(F.try_divide(F.col(a), F.col(b)))
-    m = m.select(
-        "seq", zero(F.col("max60")).alias("max60"), share("s60", "n").alias("mean60"), zero(F.col("max90")).alias("max90"), share("s90", "n").alias("mean90"), F.coalesce("hour60", "first_hour").alias("hour60"),
-        zero(F.try_divide(share("morning60", "n_morning"), share("day60", "n_day"))).alias("ratio"), share("c60", "w60").alias("coast60"), "p99", "p995", "top", "dcape_strong", "li_strong", "pbl_strong",
-    )
-    total = reduce(lambda a, b: a + b, [weight * penalty(F.col(k), low, high, scale) for k, (weight, low, high, scale) in PENALTIES.items()])
-    return params.join(m, "seq").withColumn("score", total)
+    coastal, period). Sets and hours are few (at most 100,000 and 10,000, else an error) and go to the tasks, which work on
+    blocks of fields in vectors and send one matrix for each block of sets. Quantiles are exact, between neighbours by
+    share: a second pass looks up their values in the bins that hold them."""
+    spark = params.sparkSession
+    given = params.select("seq", *NAMES).orderBy("seq").limit(100_001).collect()
+    hours = fields.filter(" and ".join(f"{k} is not null" for k in INPUTS)).groupBy("hour", "period").agg(F.sum("weight").alias("all")).orderBy("hour", "period").limit(10_001).collect()
+    if len(given) > 100_000 or len(hours) > 10_000:
+        raise ValueError("a sweep takes at most 100,000 sets and 10,000 hours")
+    seqs, sets = np.array([r.seq for r in given], np.int64), np.array([[float(r[k]) for k in NAMES] for r in given]).reshape(len(given), len(NAMES))
+    index = spark.createDataFrame([(r.hour, r.period, i) for i, r in enumerate(hours)], fields.select("hour", "period", F.lit(0).cast("long").alias("h")).schema)
+    good = fields.filter(" and ".join(f"{k} is not null" for k in INPUTS)).join(F.broadcast(index), (fields["hour"] == index["hour"]) & fields["period"].eqNullSafe(index["period"]))
+    rows = good.select("h", *[F.col(k).cast("double") for k in INPUTS], F.coalesce(F.col("weight").cast("double"), F.lit(0.0)).alias("weight"), F.coalesce("coastal", F.lit(False)).cast("double").alias("coastal"))
+    quantiles = rows.agg(*[F.percentile_approx(k, [i / OTHERS for i in range(1, OTHERS)]).alias(k) for k in KINDS[1:]]).first()
+    cuts = {k: np.unique(np.array(quantiles[k] or [], float)) for k in KINDS[1:]}
+    span = [(r.hour, r.period, float(r["all"] or 0)) for r in hours]
+    found = _totals(rows, seqs, sets, cuts, len(hours)).mapInArrow(_metrics(span), METRIC_ROW).collect()  # a few numbers a set
+    wanted = sorted({(r.k, p.kind, *end) for r in found for p in r.places for end in ((p.low, p.nth_low), (p.high, p.nth_high))})
+    value = _values_at(rows, seqs, sets, cuts, wanted) if wanted else {}
+    measured = {r.k: r for r in found}
+    out = []
+    for k, seq in enumerate(seqs):
+        r = measured.get(k)
+        q = {p.name: value[k, p.kind, p.low, p.nth_low] * (1 - p.part) + value[k, p.kind, p.high, p.nth_high] * p.part for p in (r.places if r else [])}
+        out.append((int(seq), *([r[c] for c in PLAIN] if r else [0.0] * 6 + [None]), span[r.hour if r else 0][0] if span else None, *(q.get(name) for _, _, name in QUANTILES)))
+    names = [f"{c} double" for c in PLAIN] + [f"hour60 {fields.schema['hour'].dataType.simpleString()}"] + [f"{name} double" for _, _, name in QUANTILES]
+    weighed = reduce(lambda a, b: a + b, [weight * penalty(F.col(k), low, high, scale) for k, (weight, low, high, scale) in PENALTIES.items()])
+    return params.join(spark.createDataFrame(out, "seq long, " + ", ".join(names)), "seq").withColumn("score", weighed)
+
+
+PLAIN = ("max60", "mean60", "max90", "mean90", "ratio", "coast60", "top")
+METRIC_ROW = f"k long, {', '.join(c + ' double' for c in PLAIN)}, hour long, places array<struct<name:string,kind:string,part:double,low:long,nth_low:long,high:long,nth_high:long>>"
+
+
+def _metrics(hours: list[tuple]):
+    """Of blocks of counts: each set's metrics, the number of its worst hour, and where its quantiles lie: a bin and a rank
+    in it, of both neighbours."""
+    period, all_ = np.array([p for _, p, _ in hours], object), np.array([x for *_, x in hours])
+    begin = {"gust": (0, GUSTS)} | {k: (GUSTS + i * OTHERS, OTHERS) for i, k in enumerate(KINDS[1:])}
+    share = lambda a, b: float(a / b) if b else 0.0
+
+    def one(k: int, row: np.ndarray) -> dict:
+        w60, w90, c60 = row[GUSTS + 3 * OTHERS : -1].reshape(3, len(hours))
+        f60, f90 = (np.divide(w, all_, out=np.zeros(len(hours)), where=all_ != 0) for w in (w60, w90))
+        mean = lambda f, some: share(f[some].sum(), some.sum())
+        m = {"k": k, "max60": float(f60.max(initial=0)), "mean60": share(f60.sum(), len(hours)), "max90": float(f90.max(initial=0)), "mean90": share(f90.sum(), len(hours))}
+        m |= {"ratio": share(mean(f60, period == "morning"), mean(f60, period == "day")), "coast60": share(c60.sum(), w60.sum()), "top": float(row[-1] - 1) if row[-1] else None}
+        m |= {"hour": int(f60.argmax()) if len(hours) else 0, "places": []}
+        for kind, q, name in QUANTILES:
+            first, n = begin[kind]
+            counts = row[first : first + n].astype(np.int64)
+            sums = np.cumsum(counts)
+            if sums[-1]:
+                at = q * (int(sums[-1]) - 1)
+                (b, i), (c, j) = ((int(b), int(r - (sums[b] - counts[b]))) for r in (math.floor(at), math.ceil(at)) for b in [np.searchsorted(sums, r, side="right")])
+                m["places"].append({"name": name, "kind": kind, "part": at - math.floor(at), "low": b, "nth_low": i, "high": c, "nth_high": j})
+        return m
+
+    width = GUSTS + 3 * OTHERS + 3 * len(hours) + 1
+
+    def made(batches):
+        for batch in batches:
+            for block, counts in zip(batch.column(0).to_pylist(), batch.column(1)):
+                rows = [one(block * BLOCK + i, row) for i, row in enumerate(np.frombuffer(counts.as_buffer()).reshape(-1, width))]
+                place = pa.struct([("name", pa.string()), ("kind", pa.string()), ("part", pa.float64()), *((c, pa.int64()) for c in ("low", "nth_low", "high", "nth_high"))])
+                kinds = [("k", pa.int64()), *((c, pa.float64()) for c in PLAIN), ("hour", pa.int64()), ("places", pa.list_(place))]
+                yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], kind) for c, kind in kinds], [c for c, _ in kinds])
+
+    return made
 
 
 def ranked(scored: DataFrame) -> DataFrame:

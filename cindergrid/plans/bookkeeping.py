@@ -152,8 +152,6 @@ def _sweep_sql(random_samples: int = 6000, seed: int = 20260629) -> str:
     off = {k: f"abs({k} - {v!r}::double) > 1e-6" for k, v in sweep.BASELINE.items()}
     pen = lambda x, a, b, s: f"case when {x} is null then 999 when {x} between {a} and {b} then 0 when {x} < {a} then pow(({a} - {x}) / {s}::double, 2) else pow(({x} - {b}) / {s}::double, 2) end"
     score = " + ".join(f"{w} * {pen(k, *x)}" for k, (w, *x) in sweep.PENALTIES.items())
-    at = lambda kind, q, name: f"min(case when kind = '{kind}' and c >= ceil(t * {q}::double) then bin end) * {sweep.WIDTHS[kind]}::double + {sweep.WIDTHS[kind] / 2} as {name}"
-    bins = lambda k, of: f"select seq, '{k}' as kind, cast(floor({k} / {sweep.WIDTHS[k]}::double) as bigint) as bin, count(*) as n, max(gust) as top from {of} group by 1, 2, 3"
     names = ", ".join(sweep.NAMES)
     return f"""with a(seq, label, {names}) as (values {rows}), b0 as (select {len(sets)} + i as seq, 'random_' || lpad(cast(i as varchar), 5, '0') as label, {', '.join(pick(i, k) for i, k in enumerate(sweep.NAMES))} from (select range as i from range({random_samples}))),
     b as (select seq, label, {', '.join('least(li_gate, li_start + 0.75) as li_gate' if k == 'li_gate' else k for k in sweep.NAMES)} from b0), u as (select * from (select * from a union all select * from b) x qualify row_number() over (partition by {names} order by seq) = 1),
@@ -162,8 +160,7 @@ def _sweep_sql(random_samples: int = 6000, seed: int = 20260629) -> str:
     g as (select * from r where gust >= 60), h as (select hour, period, sum(weight) as al from s group by 1, 2), o0 as (select seq, hour, period, sum(weight) as w60, sum(case when gust >= 90 then weight else 0 end) as w90, sum(case when coastal then weight else 0 end) as c60 from g group by 1, 2, 3),
     o1 as (select o0.*, w60 / al as f60, w90 / al as f90 from o0 join h on h.hour = o0.hour and h.period = o0.period), o as (select seq, max(f60) as max60, sum(f60) as s60, max(f90) as max90, sum(f90) as s90, sum(case when period = 'day' then f60 else 0 end) as d60, sum(case when period = 'morning' then f60 else 0 end) as m60, sum(w60) as w60, sum(c60) as c60 from o1 group by 1),
     k as (select seq, hour as hour60 from o1 qualify row_number() over (partition by seq order by f60 desc, hour) = 1), n as (select count(*) as n, count(*) filter (period = 'day') as nd, count(*) filter (period = 'morning') as nm, min(hour) as h0 from h),
-    q0 as ({bins('gust', 'r')} union all {bins('dcape', 'g')} union all {bins('li', 'g')} union all {bins('pbl', 'g')}), q1 as (select *, sum(n) over (partition by seq, kind order by bin) as c, sum(n) over (partition by seq, kind) as t from q0),
-    q as (select seq, {at('gust', 0.99, 'p99')}, {at('gust', 0.995, 'p995')}, max(case when kind = 'gust' then top end) as top, {at('dcape', 0.5, 'dcape_strong')}, {at('li', 0.5, 'li_strong')}, {at('pbl', 0.5, 'pbl_strong')} from q1 group by 1),
+    q1 as (select seq, quantile_cont(gust, 0.99) as p99, quantile_cont(gust, 0.995) as p995, max(gust) as top from r group by 1), q2 as (select seq, quantile_cont(dcape, 0.5) as dcape_strong, quantile_cont(li, 0.5) as li_strong, quantile_cont(pbl, 0.5) as pbl_strong from g group by 1), q as (select * from q1 left join q2 using (seq)),
     m as (select p.seq, label, n_varied, varied, coalesce(hour60, h0) as hour60, coalesce(max60, 0) as max60, coalesce(s60 / n, 0) as mean60, coalesce(max90, 0) as max90, coalesce(s90 / n, 0) as mean90, coalesce(coalesce(m60 / nullif(nm, 0), 0) / nullif(coalesce(d60 / nullif(nd, 0), 0), 0), 0) as ratio, coalesce(c60 / nullif(w60, 0), 0) as coast60, p99, p995, top, dcape_strong, li_strong, pbl_strong
         from p left join o on o.seq = p.seq left join k on k.seq = p.seq left join q on q.seq = p.seq, n), z as (select *, {score} as score from m)
     select cast(seq as bigint) as seq, label, cast(n_varied as bigint) as n_varied, varied, hour60, {', '.join(f'floor({x} * 1e4 + 0.5) / 1e4 as {x}' for x in METRICS)}, varied is not null and row_number() over (partition by varied order by score, seq) = 1 as best_of_varied from z"""

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from ..functions import clock
 from ..functions import physics as P
-from ..operators import daily, evolution, moisture, peak, steps
+from ..operators import daily, evolution, moisture, peak, rounds, steps
+from ..sources import store
+from ..streaming import moisture as codes
 from .standins import duck, view
 
 QUERIES, ORACLES = {}, {}
@@ -54,6 +56,32 @@ QUERIES["fwi_hourly"] = fwi_hourly
 ORACLES["fwi_hourly"] = duck("with recursive " + FWI_SQL + " select cell, hour_no, " + ", ".join(f"floor({c} * 1e3 + 0.5) / 1e3 as {c}" for c in ("ffmc", "dmc", "dc", "isi", "bui", "fwi")) + " from codes")
 
 
+def _codes(rows):
+    hour = ((F.unix_timestamp("valid_ts") - 1782907200) / 3600 + 1).cast("long")
+    return rows.select("cell", hour.alias("hour_no"), *[(F.floor(F.col(c) * 1e3 + 0.5) / 1e3).alias(c) for c in ("ffmc", "dmc", "dc", "isi", "bui", "fwi")])
+
+
+def fwi_segments(spark, sf_dir):
+    """The fold in rounds of 48 hours, each from the states that the one before left."""
+    return _codes(rounds.evolve(view(spark, sf_dir, "wx"), ["cell"], "valid_ts", size=48))
+
+
+def streamed_codes(spark, sf_dir):
+    """The fold over a stream of three batches, the last after a restart."""
+    wx = view(spark, sf_dir, "wx").withColumn("valid_ts", F.col("valid_ts").cast("timestamp"))
+    source, out, checkpoint = (store.new_path(spark, x) for x in ("hours", "evolved", "stream"))
+    for k, part in enumerate(("hour_no <= 20", "hour_no between 21 and 50", "hour_no > 50")):
+        wx.filter(part).coalesce(1).write.parquet(f"{source}/part={k}")
+        if k:
+            stream = spark.readStream.schema(wx.schema).option("maxFilesPerTrigger", 1).parquet(f"{source}/part=*")
+            codes.write_evolved(stream.drop("hour_no"), ["cell"], "valid_ts", out, checkpoint).awaitTermination()
+    return _codes(spark.read.parquet(f"{out}/hours"))
+
+
+QUERIES["fwi_segments"], QUERIES["streamed_codes"] = fwi_segments, streamed_codes
+ORACLES["fwi_segments"] = ORACLES["streamed_codes"] = ORACLES["fwi_hourly"]
+
+
 def peak_danger(spark, sf_dir):
     days = peak.peak_days(fwi_hours(spark, sf_dir), ["cell"])
     region = (F.pmod("cell", F.lit(3)) + 1).cast("int")

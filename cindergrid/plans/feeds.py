@@ -8,6 +8,7 @@ from ..operators import fires, lightning, steps
 from ..sources import feeds, store
 from ..streaming import blocks
 from .standins import duck, view
+from .weather import BLOCKS, STEPS
 
 QUERIES, ORACLES = {}, {}
 r4 = lambda c, a=None: (F.floor((F.col(c) if isinstance(c, str) else c) * 1e4 + 0.5) / 1e4).alias(a or c)
@@ -97,26 +98,28 @@ select *, list_sort(list(fhour) over (partition by run)) = [3, 6, 9, 12, 15, 18,
 
 
 def streamed_blocks(spark, sf_dir):
-    source, out = store.new_path(spark, "flashes"), store.new_path(spark, "blocks")
-    view(spark, sf_dir, "flash10").write.parquet(source)
-    stream = spark.readStream.schema(spark.read.parquet(source).schema).parquet(source)
-    blocks.route_blocks(stream, out, store.new_path(spark, "stream"), expected=3).awaitTermination()
-    return spark.read.parquet(out).select(F.date_format("block_end", "yyyy-MM-dd HH:mm:ss").alias("block_end"), "cell", r4("total"), "n", "state")
+    """Blocks of a stream in several batches: whole ones as they were told, the others from the stream's state."""
+    source, out, checkpoint = (store.new_path(spark, x) for x in ("flashes", "blocks", "stream"))
+    view(spark, sf_dir, "flash10").repartition(3, F.xxhash64("cell", "ts")).write.parquet(source)
+    stream = spark.readStream.schema(spark.read.parquet(source).schema).option("maxFilesPerTrigger", 1).parquet(source)
+    blocks.waiting_blocks(stream, out, checkpoint, step_minutes=60).awaitTermination()
+    whole = spark.read.parquet(out).withColumns({"n": F.lit(3).cast("long"), "state": F.lit("whole")})
+    open_ = blocks.open_blocks(spark, checkpoint, step_minutes=60).withColumn("state", F.lit("partial"))
+    return whole.unionByName(open_).select(F.date_format("block_end", "yyyy-MM-dd HH:mm:ss").alias("block_end"), "cell", r4("total"), "n", "state")
 
 
 QUERIES["streamed_blocks"] = streamed_blocks
-ORACLES["streamed_blocks"] = duck("""with f as (select * from ({flash10}) x), b as (select timestamp '2024-01-01 00:00:00' + cast(ceil((epoch(ts) - 1704067200) / 10800) as bigint) * interval 3 hour as block_end, cell,
-sum(case when rate > 0 then rate * 10 else 0 end) as total, count(rate) as n from f group by 1, 2)
-select strftime(block_end, '%Y-%m-%d %H:%M:%S') as block_end, cell, floor(total * 1e4 + 0.5) / 1e4 as total, n, case when n = 3 then 'whole' else 'partial' end as state from b where block_end < (select max(ts) from f) - interval 3 hour""")
+ORACLES["streamed_blocks"] = duck("""with b as (select block_end, cell, count(*) as n, count(rate) as valid, sum(greatest(coalesce(rate, 0), 0) * 60) as total from """ + STEPS + """ group by 1, 2)
+select strftime(block_end, '%Y-%m-%d %H:%M:%S') as block_end, cell, case when n < 3 or valid = 3 then floor(total * 1e4 + 0.5) / 1e4 end as total, n, case when n = 3 then 'whole' else 'partial' end as state from b""")
 
 
 def flash_exceedance(spark, sf_dir):
-    b = lightning.three_hour_blocks(view(spark, sf_dir, "flash10"), expected=3)
+    b = lightning.three_hour_blocks(view(spark, sf_dir, "flash10"), step_minutes=60)
     return lightning.exceedance(b).select(F.date_format("block_end", "yyyy-MM-dd HH:mm:ss").alias("block_end"), "level", "cells")
 
 
 QUERIES["flash_exceedance"] = flash_exceedance
-ORACLES["flash_exceedance"] = duck("""with b as (select timestamp '2024-01-01 00:00:00' + cast(ceil((epoch(ts) - 1704067200) / 10800) as bigint) * interval 3 hour as block_end, cell, case when count(rate) = 3 then sum(case when rate > 0 then rate * 10 else 0 end) end as density from ({flash10}) group by 1, 2)
+ORACLES["flash_exceedance"] = duck("with " + BLOCKS + """
 select strftime(block_end, '%Y-%m-%d %H:%M:%S') as block_end, cast(level as double) as level, count(*) as cells from b, (values (0.05), (0.5), (2.0)) l(level) where density >= level group by 1, 2""")
 
 
@@ -134,18 +137,20 @@ select cell, h as fhour, floor((case when v is null then null when prev and (a i
 
 
 def waiting_blocks(spark, sf_dir):
-    """Hours as parts of three-hour blocks that come in any order, in several batches."""
-    wx = view(spark, sf_dir, "wx").select("cell", F.col("valid_ts").cast("timestamp").alias("ts"), F.when(F.col("hour_no") % 10 != 0, F.col("precip_mm")).alias("rate"))
+    """Hours as parts of three-hour blocks that come in any order, in several batches; every fifth is told twice. An hour
+    without a rate has arrived, and its block's total is missing."""
+    wx = view(spark, sf_dir, "wx").select("cell", F.col("valid_ts").cast("timestamp").alias("ts"), F.when(F.col("hour_no") % 10 != 0, F.col("precip_mm")).alias("rate"), "hour_no")
+    again = wx.filter("hour_no % 5 = 0")
     source, out = store.new_path(spark, "flashes"), store.new_path(spark, "blocks")
-    wx.repartition(3, F.xxhash64("cell", "ts")).write.parquet(source)
-    stream = spark.readStream.schema(wx.schema).option("maxFilesPerTrigger", 1).parquet(source)
-    blocks.waiting_blocks(stream, out, store.new_path(spark, "stream"), expected=3).awaitTermination()
+    wx.withColumn("k", F.lit(0)).unionByName(again.withColumn("k", F.lit(1))).repartition(3, F.xxhash64("cell", "ts", "k")).select("cell", "ts", "rate").write.parquet(source)
+    stream = spark.readStream.schema("cell long, ts timestamp, rate double").option("maxFilesPerTrigger", 1).parquet(source)
+    blocks.waiting_blocks(stream, out, store.new_path(spark, "stream"), step_minutes=60).awaitTermination()
     return spark.read.parquet(out).select(F.date_format("block_end", "yyyy-MM-dd HH:mm:ss").alias("block_end"), "cell", r4("total"))
 
 
 QUERIES["waiting_blocks"] = waiting_blocks
-ORACLES["waiting_blocks"] = duck("""with f as (select cell, to_timestamp(ceil(epoch(valid_ts) / 10800) * 10800) at time zone 'UTC' as b, case when hour_no % 10 <> 0 then precip_mm end as rate from ({wx}))
-select strftime(b, '%Y-%m-%d %H:%M:%S') as block_end, cell, floor(sum(case when rate > 0 then rate * 10 else 0 end) * 1e4 + 0.5) / 1e4 as total from f group by b, cell having count(rate) = 3""")
+ORACLES["waiting_blocks"] = duck("""with f as (select cell, valid_ts, to_timestamp(ceil(epoch(valid_ts) / 10800) * 10800) at time zone 'UTC' as b, case when hour_no % 10 <> 0 then precip_mm end as rate from ({wx}))
+select strftime(b, '%Y-%m-%d %H:%M:%S') as block_end, cell, case when count(rate) = 3 then floor(sum(greatest(rate, 0)) * 60 * 1e4 + 0.5) / 1e4 end as total from f group by b, cell having count(distinct valid_ts) = 3""")
 
 
 def partition_checks(spark, sf_dir):

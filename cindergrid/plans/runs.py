@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from ..functions import clock
 from ..operators import archive, asof, catalog, lightning, runs, spatial, verify
+from ..sources import store
+from ..streaming import publishing
 from .standins import duck, view
 
 QUERIES, ORACLES = {}, {}
@@ -129,16 +131,52 @@ QUERIES["anchor_days"] = anchor_days
 ORACLES["anchor_days"] = duck("""with r as (select distinct model, run, init, cast(init - interval 8 hour as date) as d from ({run_file})) select model, run, cast(d - k.range::int as varchar) as anchor from r, range(4) k where d - k.range::int + interval 20 hour <= init""")
 
 
-def published_hours(spark, sf_dir):
-    """When the hours of runs are published: half an hour apart, until 12 hours after the run began."""
+def _ready_hours(spark, sf_dir):
+    """Each run's hours with the time, in minutes after its start, when they are ready."""
     f = view(spark, sf_dir, "run_file").groupBy(F.concat_ws("/", "model", "run").alias("run"), "fhour").agg(F.min("init").alias("init"), F.min("id").alias("id"))
-    f = f.select("run", "fhour", (F.col("init") + F.make_dt_interval(mins=(F.col("id") % 900).cast("int"))).alias("at"), (F.col("init") + F.make_dt_interval(hours=F.lit(12))).alias("deadline"))
-    return runs.publishable(f, 30).select("run", text("at", "published"), F.array_join(F.transform("hours", lambda h: h.cast("string")), ",").alias("hours"))
+    return f.select("run", "fhour", (F.col("init") + F.make_dt_interval(mins=(F.col("id") % 900).cast("int"))).alias("at"), (F.col("init") + F.make_dt_interval(hours=F.lit(12))).alias("deadline"))
+
 
+def _published(df):
+    return df.select("run", text("at", "published"), F.array_join(F.transform("hours", lambda h: h.cast("string")), ",").alias("hours"), "reason")
 
-QUERIES["published_hours"] = published_hours
-ORACLES["published_hours"] = duck("""with f as (select model || '/' || run as run, fhour, min(init) as init, min(id) % 900 as m from ({run_file}) group by 1, 2), g as (select *, min(m) over (partition by run) as m0 from f), h as (select run, fhour, init + least(m0 + cast(ceil((m - m0) / 30.0::double) as bigint) * 30, 720) * interval 1 minute as due from g where m <= 720)
-select run, """ + SAY("due", "published") + ", string_agg(cast(fhour as varchar), ',' order by fhour) as hours from h group by run, due")
+
+def published_hours(spark, sf_dir):
+    """When the hours of runs are published: half an hour apart, until 12 hours after the run began."""
+    return _published(runs.publishable(_ready_hours(spark, sf_dir), 30, expected=17))
+
+
+def streamed_publishing(spark, sf_dir):
+    """The same from a stream: the hours in the order in which they are ready, in four batches, with a restart after the second
+    and a tick of the clock at the end."""
+    ready, last = _ready_hours(spark, sf_dir), F.col("at") + F.expr("interval 2 days")
+    source, out, checkpoint = (store.new_path(spark, x) for x in ("ready", "published", "stream"))
+    kind = "run string, fhour long, at timestamp, deadline timestamp"
+    cuts = ready.select(F.percentile_approx(F.unix_timestamp("at"), [0.25, 0.5, 0.75])).first()[0] or [0, 0, 0]
+    edges = [-1, *cuts, 1 << 60]
+    for k in range(4):
+        t = F.unix_timestamp("at")
+        rows = ready.filter((t > edges[k]) & (t <= edges[k + 1]))
+        if k == 3:
+            rows = rows.unionByName(ready.groupBy().agg(F.max("at").alias("at"), F.max("deadline").alias("deadline")).select(F.lit("").alias("run"), F.lit(None).cast("long").alias("fhour"), last.alias("at"), "deadline").filter("at is not null"))
+        rows.selectExpr("run", "cast(fhour as long) fhour", "cast(at as timestamp) at", "cast(deadline as timestamp) deadline").coalesce(1).write.parquet(f"{source}/part={k}")
+        if k in (1, 3):
+            stream = spark.readStream.schema(kind).option("maxFilesPerTrigger", 1).parquet(f"{source}/part=*")
+            publishing.write_published(stream, 30, out, checkpoint, expected=17).awaitTermination()
+    return _published(spark.read.parquet(out))
+
+
+QUERIES["published_hours"], QUERIES["streamed_publishing"] = published_hours, streamed_publishing
+# A run's times one after another. last: of the last publish; due: when what waits goes out.
+ORACLES["published_hours"] = ORACLES["streamed_publishing"] = duck("""with recursive f as (select model || '/' || run as run, fhour, min(init) as init, min(id) % 900 as m from ({run_file}) group by 1, 2),
+g as (select run, m, min(init) as init, list(fhour) as hs, count(*) as c from f group by 1, 2), a as (select *, row_number() over (partition by run order by m) as i, m > 720 as late, sum(c) over (partition by run order by m) = 17 and m <= 720 as whole from g),
+r as (select a.*, case when not late then m end as last, cast(null as bigint) as due, m as out, case when late then 'late' when whole then 'complete' else 'open' end as reason from a where i = 1 union all
+    select q.* exclude (l, d, free), case when not late and (free or whole) then m else l end, case when late then d when not free and not whole then least(l + 30, 720) end, case when late or free or whole then m else least(l + 30, 720) end,
+        case when late then 'late' when whole then 'complete' when free then 'open' when l + 30 <= 720 then 'timer' else 'deadline' end
+    from (select *, l is null or m - l >= 30 as free from (select a.*, case when r.due < a.m then r.due else r.last end as l, case when r.due < a.m then null else r.due end as d from r join a on a.run = r.run and a.i = r.i + 1)) q),
+x as (select w.run, w.i, min(b.i) as bi from r w join r b on b.run = w.run and b.i > w.i and b.m <= w.out and b.reason in ('open', 'complete') where w.reason in ('timer', 'deadline') group by 1, 2),
+o as (select w.run, w.init, unnest(w.hs) as fhour, coalesce(b.m, w.out) as moment, coalesce(b.reason, w.reason) as reason from r w left join x on x.run = w.run and x.i = w.i left join r b on b.run = x.run and b.i = x.bi)
+select run, """ + SAY("init + moment * interval 1 minute", "published") + ", string_agg(cast(fhour as varchar), ',' order by fhour) as hours, reason from o group by run, init, moment, reason")
 
 
 def peak_samples(spark, sf_dir):
@@ -172,7 +210,7 @@ def archive_state(spark, sf_dir):
     f = view(spark, sf_dir, "run_file")
     hours = f.groupBy("model", "run", "fhour").agg(F.sum("id").alias("bytes"))
     whole = f.groupBy("run").agg((F.count_distinct("fhour") == 17).alias("complete"))
-    b = lightning.three_hour_blocks(view(spark, sf_dir, "flash10"), expected=3).groupBy("block_end").agg(F.count(F.lit(1)).alias("bytes"))
+    b = lightning.three_hour_blocks(view(spark, sf_dir, "flash10"), step_minutes=60).groupBy("block_end").agg(F.count(F.lit(1)).alias("bytes"))
     got = archive.status(spark, b, whole, hours.filter("model = 'west'"), hours.filter("model <> 'west'"))
     return got.select(*[text(c) if c == "latest_observation_block" else F.col(c) for c in got.columns])
 

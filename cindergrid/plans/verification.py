@@ -56,16 +56,17 @@ select o.id as wid, o.key, cast(g.init as varchar) as found_init, g.id as found_
 
 
 def asof_days_back(spark, sf_dir):
-    """For every customer group and day with orders, the newest filled order of that day, else of up to 3 days before."""
+    """For every customer group and day with orders, the newest filled order of that day, else of up to 3 days before, not
+    after the day's last order."""
     o = view(spark, sf_dir, "orders").select(F.pmod("o_custkey", F.lit(200)).alias("key"), F.to_date("o_orderdate").alias("day"), F.col("o_orderkey").alias("n"), "o_orderstatus")
-    wanted = o.select("key", "day", F.lit(10**9).cast("long").alias("as_of")).distinct()
+    wanted = o.groupBy("key", "day").agg(F.max("n").alias("as_of"))
     got = asof.newest_with_days_back(wanted, o.filter("o_orderstatus = 'F'"), ["key"], "day", "as_of", "n", back=3)
     return got.select("key", F.col("day").cast("string").alias("day"), F.col("found_day").cast("string").alias("found_day"), F.col("found_init").alias("found_n"))
 
 
 QUERIES["asof_days_back"] = asof_days_back
-ORACLES["asof_days_back"] = duck("""with o as (select o_custkey % 200 as key, cast(o_orderdate as date) as day, o_orderkey as n, o_orderstatus as s from orders), w as (select distinct key, day from o)
-select w.key, cast(w.day as varchar) as day, cast(p.day as varchar) as found_day, p.n as found_n from w join o p on p.key = w.key and p.day between w.day - 3 and w.day and p.s = 'F' qualify row_number() over (partition by w.key, w.day order by p.day desc, p.n desc) = 1""")
+ORACLES["asof_days_back"] = duck("""with o as (select o_custkey % 200 as key, cast(o_orderdate as date) as day, o_orderkey as n, o_orderstatus as s from orders), w as (select key, day, max(n) as as_of from o group by 1, 2)
+select w.key, cast(w.day as varchar) as day, cast(p.day as varchar) as found_day, p.n as found_n from w join o p on p.key = w.key and p.day between w.day - 3 and w.day and p.n <= w.as_of and p.s = 'F' qualify row_number() over (partition by w.key, w.day order by p.day desc, p.n desc) = 1""")
 
 
 def previous_states(spark, sf_dir):
