@@ -356,6 +356,11 @@ def _search(reps: DataFrame, trees: range, limit: int, depth: int, least: int) -
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, trees: int = 9, limit: int = 1024, depth: int = 4) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row of docs (doc_id, text)."""
+    return _by_row(docs, width, percent, trees, limit, depth).drop("set_key")
+
+
+def _by_row(docs: DataFrame, width: int = 5, percent: int = 80, trees: int = 9, limit: int = 1024, depth: int = 4) -> DataFrame:
+    """(doc_id, n_shingles, set_key, component_id, kept) of every row of docs."""
     profile = stash(profiles(docs, width), "profiles")
     some = profile.filter("n_shingles > 0 and doc_id is not null")
     classes = stash(some.groupBy("set_key").agg(F.min(F.struct("doc_id", "signature")).alias("m")).select("set_key", F.col("m.doc_id").alias("rep"), "m.signature"), "classes")
@@ -374,7 +379,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, trees: i
     of_class = classes.select("set_key", "rep").join(linked, "rep", "left").select("set_key", F.coalesce("component", "rep").alias("component"))
     found = profile.select("doc_id", "n_shingles", "set_key").join(of_class, "set_key", "left")
     component = F.coalesce("component", "doc_id")
-    return found.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    return found.select("doc_id", "n_shingles", "set_key", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
 def _sketches(reps: DataFrame) -> DataFrame:
@@ -390,7 +395,15 @@ def _sketches(reps: DataFrame) -> DataFrame:
 
 
 def keep_first(docs: DataFrame, **settings) -> DataFrame:
-    """The rows of docs, with all their columns, of one document of each group: that with the smallest doc_id."""
-    kept = near_duplicates(docs, **settings).filter("kept").select("doc_id").distinct()
-    key = lambda c: F.coalesce(c.cast("long").cast("string"), F.lit("null"))
-    return docs.join(kept.select(key(F.col("doc_id")).alias("_kept")), key(docs["doc_id"]) == F.col("_kept"), "left_semi")
+    """The rows of docs, with all their columns, of one document of each group: that with the smallest doc_id. A row without
+    an id goes if its own set of shingles is linked with a document that has one."""
+    rows = stash(_by_row(docs, **settings), "by-row")
+    names = iter(x for n in range(len(docs.columns) + 2) if (x := f"_kept{n}") not in docs.columns)
+    id_, text = next(names), next(names)
+    kept = rows.filter("kept and doc_id is not null").select(F.col("doc_id").alias(id_)).distinct()
+    named = docs.filter(F.col("doc_id").isNotNull())
+    first = named.join(kept, named["doc_id"].cast("long") == kept[id_], "left_semi")
+    nameless = docs.filter(F.col("doc_id").isNull())
+    gone = rows.filter("doc_id is null and not kept").select("set_key").distinct()
+    texts = profiles(nameless.select(F.xxhash64("text").alias("doc_id"), "text"), settings.get("width", 5)).join(gone, "set_key").select(F.col("doc_id").alias(text)).distinct()
+    return first.unionByName(nameless.join(texts, F.xxhash64(nameless["text"]) == texts[text], "left_anti"))

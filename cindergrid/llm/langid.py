@@ -244,6 +244,7 @@ def predict(docs: DataFrame, model: Model, hot: int = HOT) -> DataFrame:
 
 def keep_known(docs: DataFrame, model: Model, min_score: float = 0.5, hot: int = HOT) -> DataFrame:
     """The rows of docs, with all their columns, whose language is predicted with min_score at least."""
-    rows, told = _scored(docs, docs.columns, model, hot)
+    plain = docs.toDF(*[c if c == "text" else f"c{i}" for i, c in enumerate(docs.columns)])  # none is named as what is added
+    rows, told = _scored(plain, plain.columns, model, hot)
     good = told.filter((F.col("lang_pred") != "und") & (F.col("score") >= min_score)).select("_rid")
-    return rows.select("_rid", *docs.columns).join(good, "_rid", "left_semi").select(*docs.columns)
+    return rows.select("_rid", *plain.columns).join(good, "_rid", "left_semi").select(*plain.columns).toDF(*docs.columns)

@@ -3,7 +3,7 @@
 Writing: a page becomes one WARC/1.0 record whose HTTP body has the chunked transfer coding, WIRE bytes a chunk, so no
 line of an archive is longer than that, whatever the page is like. Head, chunks and end of a record leave as rows of a
 text table with the line separator ``\\n``, and each gzip part file is a valid ``.warc.gz``. Beyond the cell that the
-row of pages is anyway, one chunk is in memory. Reading: gzip files are not split, so a task sees the lines of a file in
+row of pages is anyway, a batch of lines is in memory, and each byte of it is copied once. Reading: gzip files are not split, so a task sees the lines of a file in
 order; a record streams through as rows (record identifier, chunk number), each with the digest so far, and never stands
 in memory as a whole. Bodies without the transfer coding are read too, line by line.
 
@@ -75,16 +75,29 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = 1000) -> None
         F.lit("\r\nContent-Type: application/http; msgtype=response\r\nContent-Length: "),
         F.when(revisit, F.lit(0)).otherwise(framed + len(HTTP)).cast("string"), F.lit("\r\n\r\n"), F.when(revisit, "").otherwise(HTTP),
     )
-    # part -1 is the head, the last one the end of body and record; each leaves without its last line break, which the table adds
-    last = F.when(revisit, 0).otherwise(F.ceil(F.col("bytes") / WIRE)).cast("int")
-    parts = rows.withColumns({"head": head, "last": last}).select("*", F.explode(F.sequence(F.lit(-1), "last")).alias("part"))
-    chunk = F.substr(F.col("payload").cast("binary"), F.col("part") * WIRE + 1, F.lit(WIRE))
-    value = (
-        F.when(F.col("part") < 0, F.expr("substring(head, 1, length(head) - 1)"))
-        .when(F.col("part") < F.col("last"), F.concat(F.hex(F.octet_length(chunk)).cast("binary"), F.lit(b"\r\n"), chunk, F.lit(b"\r")).cast("string"))
-        .when(revisit, "\r\n\r").otherwise(END + "\r\n\r")
-    )
-    parts.select(value.alias("value")).write.option("lineSep", "\n").option("compression", "gzip").text(folder)
+    found = rows.select(head.alias("head"), F.when(~revisit, F.col("payload")).alias("payload"), revisit.alias("revisit")).mapInArrow(_lines, "value binary")
+    found.select(F.col("value").cast("string")).write.option("lineSep", "\n").option("compression", "gzip").text(folder)
+
+
+def _lines(batches, held_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """The lines of each record, without their last line break, which the table adds: its head, the chunks of its body, cut
+    off a view of the page's cell one after another, and the end. So a page is read once, and a batch of lines is held."""
+    out, size = [], 0
+    for batch in slices(batches):
+        for head, payload, revisit in zip(*(batch.column(c) for c in ("head", "payload", "revisit"))):
+            out.append(head.as_py().encode()[:-1])
+            body = memoryview(payload.as_buffer()) if payload.is_valid else memoryview(b"")
+            for a in range(0, len(body), WIRE):
+                chunk = body[a : a + WIRE]
+                out.append(b"%X\r\n%b\r" % (len(chunk), chunk))
+                size += len(chunk)
+                if size >= held_bytes:
+                    yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["value"])
+                    out, size = [], 0
+            out.append(b"\r\n\r" if revisit.as_py() else END.encode() + b"\r\n\r")
+            size += len(out[-1])
+    if out:
+        yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["value"])
 
 
 class _Record:

@@ -507,3 +507,40 @@ def test_pipeline(spark):
     assert hits and not {r.doc_id for r in hits} & set(got)
     sets = {i: shingles(table.text[i], 5) for i in got}
     assert all(i == c for i, c in components(dict(list(sets.items())[:250])).items())
+
+
+def test_keep_known_and_keep_first_with_clashing_columns(spark):
+    extra = ["_rid", "_n", "_sum", "_items", "_ks", "_kept", "_kept0", "set_key", "label", "rep"]
+    rows = [(i, t, *["x"] * len(extra)) for i, t in TEXTS]
+    frame = spark.createDataFrame(rows, f"doc_id long, text string, {', '.join(f'{c} string' for c in extra)}")
+    model = langid.learn(docs(spark))
+    known = langid.keep_known(frame, model, min_score=0.0)
+    assert known.columns == frame.columns and 0 < known.count() < len(rows)
+    first = cpsjoin.keep_first(frame)
+    assert first.columns == frame.columns
+    assert sorted((r.doc_id for r in first.collect()), key=str) == sorted((i for i, t in TEXTS if i not in (2, 8)), key=str)
+
+
+def test_rows_without_an_id_go_by_their_own_text(spark):
+    copy, alone = " ".join(BASE), "an altogether different text that nobody else has written down so far today"
+    frame = docs(spark, [(5, copy), (None, copy), (None, alone), (None, copy.upper()), (None, None), (None, ""), (9, copy)])
+    got = cpsjoin.keep_first(frame).collect()
+    assert sorted((r.doc_id, r.text) for r in got if r.doc_id) == [(5, copy)]
+    assert sorted(map(str, (r.text for r in got if r.doc_id is None))) == sorted(["None", "", alone])
+
+
+def test_warc_writer_is_linear(spark):
+    """A cell of 200 MB; and twice the page takes about twice the time."""
+    import time
+
+    def written(mb):
+        folder, began = new_path(spark, "warc"), time.perf_counter()
+        warc.write_archives(spark.range(1).selectExpr("id as page_id", "'u' as url", f"repeat('<p>0123456789abc', {mb * 65536}) as html"), folder)
+        return folder, time.perf_counter() - began
+
+    written(1)
+    (_, small), (_, large) = written(16), written(32)
+    assert large < 3.5 * small + 1
+    folder, _ = written(200)
+    got = warc.records(warc.read_chunks(spark, folder)).first()
+    assert (got.payload_bytes, got.payload_digest) == (200 << 20, hashlib.sha1(b"<p>0123456789abc" * (200 * 65536)).hexdigest())
