@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import physics as P
+from ..sources import store
 
 # The baseline and the ranges of the nine parameters.
 BASELINE = {"dcape_coeff": 0.52, "w850_coeff": 0.65, "w700_coeff": 0.50, "li_start": 1.0, "li_span": 5.0, "li_gate": 0.0, "pbl_base_m": 300.0, "pbl_span_m": 1200.0, "dcape_min": 250.0}
@@ -91,15 +92,45 @@ def gusts(c: dict[str, np.ndarray], sets: np.ndarray):
         yield open_, (of_li[open_] * of_pbl[open_]) * (v["dcape_coeff"] * down[open_] + momentum[open_])
 
 
-def _columns(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
-    return {k: batch.column(k).to_numpy(zero_copy_only=False) for k in batch.schema.names}
+def _columns(batches, rows: int = 1 << 16):
+    """Columns of so many rows at a time, or a little more."""
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.num_rows
+        if n >= rows:
+            yield {k: np.concatenate([b.column(k).to_numpy(zero_copy_only=False) for b in held]) for k in batch.schema.names}
+            held, n = [], 0
+    if n:
+        yield {k: np.concatenate([b.column(k).to_numpy(zero_copy_only=False) for b in held]) for k in held[0].schema.names}
 
 
 def _bin(gust: np.ndarray) -> np.ndarray:
     return np.minimum((gust / WIDTH).astype(np.int64), GUSTS - 1)
 
 
-def _totals(rows: DataFrame, seqs: np.ndarray, sets: np.ndarray, cuts: dict[str, np.ndarray], n_hours: int) -> DataFrame:
+def _added(parts: DataFrame, width: int) -> DataFrame:
+    """The sums of each block's matrices, of their last column the greatest, one after another as a task reads them."""
+
+    def made(batches):
+        total, last = None, None
+        for batch in batches:
+            for block, counts in zip(batch.column(0).to_pylist(), batch.column(1)):
+                one = np.frombuffer(counts.as_buffer()).reshape(-1, width)
+                if block != last:
+                    if last is not None:
+                        yield pa.RecordBatch.from_arrays([pa.array([last]), pa.array([total.tobytes()], pa.binary())], ["block", "counts"])
+                    total, last = np.zeros_like(one), block
+                top = np.maximum(total[:, -1], one[:, -1])
+                total = total + one
+                total[:, -1] = top
+        if last is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([last]), pa.array([total.tobytes()], pa.binary())], ["block", "counts"])
+
+    return parts.repartition("block").sortWithinPartitions("block").mapInArrow(made, "block long, counts binary")
+
+
+def _totals(rows: DataFrame, sets: np.ndarray, cuts: dict[str, np.ndarray], n_hours: int) -> DataFrame:
     """(block, counts): of each block of sets one matrix over all rows: counts by bin of gusts and, of strong ones, of the
     other fields; weights by hour over 60, over 90, and over 60 at the coast; the greatest gust. Tasks add up in memory,
     and so do those that a block's matrices meet in, one after another."""
@@ -111,8 +142,8 @@ def _totals(rows: DataFrame, seqs: np.ndarray, sets: np.ndarray, cuts: dict[str,
 
     def made(batches):
         total, some = np.zeros((len(sets), width)), False
-        for batch in batches:
-            c, some = _columns(batch), True
+        for c in _columns(batches):
+            some = True
             others = [GUSTS + i * OTHERS + np.searchsorted(cuts[k], c[k], side="right") for i, k in enumerate(KINDS[1:])]
             hour = GUSTS + 3 * OTHERS + c["h"].astype(np.int64)
             for row, (at, gust) in zip(total, gusts(c, sets)):
@@ -130,58 +161,95 @@ def _totals(rows: DataFrame, seqs: np.ndarray, sets: np.ndarray, cuts: dict[str,
         if some:
             yield from told(total)
 
-    def added(batches):
-        total, last = None, None
+    return _added(rows.mapInArrow(made, "block long, counts binary"), width)
+
+
+class _Bins:
+    """The bins that hold quantiles, as slots: by place of the set and kind, with bounds to part each into PARTS."""
+
+    def __init__(self, wanted: list[tuple], cuts: dict[str, np.ndarray], ends: dict[str, tuple]):
+        self.slots = {key: i for i, key in enumerate(sorted({w[:3] for w in wanted}))}
+        self.of: dict[int, list[tuple]] = {}
+        for (k, kind, bin_), i in self.slots.items():
+            if kind == "gust":
+                low, high = bin_ * WIDTH, (bin_ + 1) * WIDTH
+            else:
+                edges = [ends[kind][0], *cuts[kind], ends[kind][1]]
+                low, high = edges[bin_], edges[bin_ + 1]
+            self.of.setdefault(k, []).append((KINDS.index(kind), bin_, i, low, PARTS / (high - low) if high > low else 0.0))
+        self.cuts = cuts
+
+    def found(self, c: dict[str, np.ndarray], sets: np.ndarray):
+        """(slot, values in it, parts of the slot that they lie in) of a block of rows. A part grows with the value."""
+        bins = [None, *(np.searchsorted(self.cuts[k], c[k], side="right") for k in KINDS[1:])]
+        for k, (at, gust) in enumerate(gusts(c, sets)):
+            strong, places = None, None
+            for kind, bin_, slot, low, scale in self.of.get(k, ()):
+                if kind == 0:
+                    places = _bin(gust) if places is None else places
+                    values = gust[places == bin_]
+                else:
+                    strong = at[gust >= 60] if strong is None else strong
+                    values = c[KINDS[kind]][strong[bins[kind][strong] == bin_]]
+                if len(values):
+                    yield slot, values, np.clip((values - low) * scale, 0, PARTS - 1).astype(np.int64)
+
+
+PARTS = 64
+
+
+def _values_at(rows: DataFrame, sets: np.ndarray, cuts: dict[str, np.ndarray], ends: dict[str, tuple], wanted: list[tuple]) -> dict[tuple, float]:
+    """{(place of the set, kind, bin, nth): value} of wanted: the nth smallest value of a bin. A pass counts the parts of
+    these bins, and another fetches the values of the parts that are asked for, a few each."""
+    bins, many = _Bins(wanted, cuts, ends), 1024
+    asked: dict[int, list[int]] = {}
+    for *key, nth in wanted:
+        asked.setdefault(bins.slots[tuple(key)], []).append(nth)
+
+    def counted(batches):
+        total = np.zeros((len(bins.slots), PARTS + 1))
+        for c in _columns(batches):
+            for slot, _, part in bins.found(c, sets):
+                total[slot, :PARTS] += np.bincount(part, minlength=PARTS)
+        blocks = range(0, len(total), many)
+        yield pa.RecordBatch.from_arrays([pa.array([b // many for b in blocks], pa.int64()), pa.array([total[b : b + many].tobytes() for b in blocks], pa.binary())], ["block", "counts"])
+
+    def placed(batches):
         for batch in batches:
+            out = []
             for block, counts in zip(batch.column(0).to_pylist(), batch.column(1)):
-                one = np.frombuffer(counts.as_buffer()).reshape(-1, width)
-                if block != last:
-                    if last is not None:
-                        yield pa.RecordBatch.from_arrays([pa.array([last]), pa.array([total.tobytes()], pa.binary())], ["block", "counts"])
-                    total, last = np.zeros_like(one), block
-                top = np.maximum(total[:, -1], one[:, -1])
-                total = total + one
-                total[:, -1] = top
-        if last is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([last]), pa.array([total.tobytes()], pa.binary())], ["block", "counts"])
-
-    parts = rows.mapInArrow(made, "block long, counts binary")
-    return parts.repartition("block").sortWithinPartitions("block").mapInArrow(added, "block long, counts binary")
-
-
-def _values_at(rows: DataFrame, seqs: np.ndarray, sets: np.ndarray, cuts: dict[str, np.ndarray], wanted: list[tuple]) -> dict[tuple, float]:
-    """{(place of the set, kind, bin, nth): value} of wanted: the nth smallest value of a bin, from those bins alone."""
-    need: dict[int, dict[int, list[int]]] = {}
-    for k, kind, bin_, _ in wanted:
-        own = need.setdefault(k, {}).setdefault(KINDS.index(kind), [])
-        if bin_ not in own:
-            own.append(bin_)
-
-    def made(batches):
-        for batch in batches:
-            c = _columns(batch)
-            bins = [None, *(np.searchsorted(cuts[k], c[k], side="right") for k in KINDS[1:])]
-            for k, (at, gust) in enumerate(gusts(c, sets)):
-                strong, found = None, []
-                for kind, own in need.get(k, {}).items():
-                    if kind == 0:
-                        values, place = gust, _bin(gust)
-                    else:
-                        strong = at[gust >= 60] if strong is None else strong
-                        values, place = c[KINDS[kind]][strong], bins[kind][strong]
-                    found += [(kind, b, values[place == b]) for b in own]
-                for kind, b, values in found:
-                    if len(values):
-                        values, n = np.unique(values, return_counts=True)
-                        m = len(values)
-                        yield pa.RecordBatch.from_arrays([pa.array(np.full(m, k)), pa.array(np.full(m, kind)), pa.array(np.full(m, b)), pa.array(values), pa.array(n)], ["k", "kind", "bin", "value", "n"])
-
-    got = rows.mapInArrow(made, "k long, kind long, bin long, value double, n long").groupBy("k", "kind", "bin", "value").agg(F.sum("n").alias("n"))
-    own = Window.partitionBy("k", "kind", "bin").orderBy("value")
-    asked = rows.sparkSession.createDataFrame([(k, KINDS.index(kind), b, nth) for k, kind, b, nth in wanted], "k long, kind long, bin long, nth long")
-    ranked_ = got.withColumn("to", F.sum("n").over(own))
-    hit = ranked_.join(F.broadcast(asked), ["k", "kind", "bin"]).filter("nth < to and nth >= to - n")  # asked: a few rows a set
-    return {(r.k, KINDS[r.kind], r.bin, r.nth): r.value for r in hit.select("k", "kind", "bin", "nth", "value").collect()}
+                for i, row in enumerate(np.frombuffer(counts.as_buffer()).reshape(-1, PARTS + 1)[:, :PARTS].astype(np.int64), block * many):
+                    sums = np.cumsum(row)
+                    for nth in asked.get(i, ()):
+                        part = int(np.searchsorted(sums, nth, side="right"))
+                        out.append((i, nth, part, nth - int(sums[part] - row[part])))
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out)] if out else [pa.array([], pa.int64())] * 4, ["slot", "nth", "part", "rank"])
+
+    where = _added(rows.mapInArrow(counted, "block long, counts binary"), PARTS + 1).mapInArrow(placed, "slot long, nth long, part long, rank long").collect()  # a few rows a set
+    parts: dict[int, list[int]] = {}
+    for r in where:
+        parts.setdefault(r.slot, []).append(r.part)
+
+    def fetched(batches):
+        out, size = [], 0
+        for c in _columns(batches):
+            for slot, values, part in bins.found(c, sets):
+                for p in set(parts.get(slot, ())):
+                    own, n = np.unique(values[part == p], return_counts=True)
+                    out.append((np.full(len(own), slot), np.full(len(own), p), own, n))
+                    size += len(own)
+                if size > 100_000:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out)], ["slot", "part", "value", "n"])
+                    out, size = [], 0
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out)], ["slot", "part", "value", "n"])
+
+    got = rows.mapInArrow(fetched, "slot long, part long, value double, n long").groupBy("slot", "part", "value").agg(F.sum("n").alias("n"))
+    ranked_ = got.withColumn("to", F.sum("n").over(Window.partitionBy("slot", "part").orderBy("value")))
+    ranks = rows.sparkSession.createDataFrame([tuple(r) for r in where], "slot long, nth long, part long, rank long")
+    hit = ranked_.join(F.broadcast(ranks), ["slot", "part"]).filter("rank < to and rank >= to - n").select("slot", "nth", "value").collect()  # ranks: a few a set
+    keys = {i: key for key, i in bins.slots.items()}
+    return {(*keys[r.slot], r.nth): r.value for r in hit}
 
 
 def score(params: DataFrame, fields: DataFrame) -> DataFrame:
@@ -191,19 +259,25 @@ def score(params: DataFrame, fields: DataFrame) -> DataFrame:
     share: a second pass looks up their values in the bins that hold them."""
     spark = params.sparkSession
     given = params.select("seq", *NAMES).orderBy("seq").limit(100_001).collect()
-    hours = fields.filter(" and ".join(f"{k} is not null" for k in INPUTS)).groupBy("hour", "period").agg(F.sum("weight").alias("all")).orderBy("hour", "period").limit(10_001).collect()
+    path = store.new_path(spark, "sweep-fields")
+    weights = [F.coalesce(F.col("weight").cast("double"), F.lit(0.0)).alias("weight"), F.coalesce("coastal", F.lit(False)).cast("double").alias("coastal")]
+    fields.filter(" and ".join(f"{k} is not null" for k in INPUTS)).select("hour", "period", *[F.col(k).cast("double") for k in INPUTS], *weights).write.parquet(path)
+    good, cores = spark.read.parquet(path), spark.sparkContext.defaultParallelism
+    hours = good.groupBy("hour", "period").agg(F.sum("weight").alias("all")).orderBy("hour", "period").limit(10_001).collect()
     if len(given) > 100_000 or len(hours) > 10_000:
         raise ValueError("a sweep takes at most 100,000 sets and 10,000 hours")
     seqs, sets = np.array([r.seq for r in given], np.int64), np.array([[float(r[k]) for k in NAMES] for r in given]).reshape(len(given), len(NAMES))
-    index = spark.createDataFrame([(r.hour, r.period, i) for i, r in enumerate(hours)], fields.select("hour", "period", F.lit(0).cast("long").alias("h")).schema)
-    good = fields.filter(" and ".join(f"{k} is not null" for k in INPUTS)).join(F.broadcast(index), (fields["hour"] == index["hour"]) & fields["period"].eqNullSafe(index["period"]))
-    rows = good.select("h", *[F.col(k).cast("double") for k in INPUTS], F.coalesce(F.col("weight").cast("double"), F.lit(0.0)).alias("weight"), F.coalesce("coastal", F.lit(False)).cast("double").alias("coastal"))
-    quantiles = rows.agg(*[F.percentile_approx(k, [i / OTHERS for i in range(1, OTHERS)]).alias(k) for k in KINDS[1:]]).first()
+    split = good.rdd.getNumPartitions() < cores  # fields are few bytes for the work that all sets make of them
+    index = spark.createDataFrame([(r.hour, r.period, i) for i, r in enumerate(hours)], good.select("hour", "period", F.lit(0).cast("long").alias("h")).schema)
+    rows = (good.repartition(cores) if split else good).join(F.broadcast(index.withColumnsRenamed({"hour": "_h", "period": "_p"})), F.col("hour").eqNullSafe(F.col("_h")) & F.col("period").eqNullSafe(F.col("_p"))).select("h", *INPUTS, "weight", "coastal")
+    edges = [F.percentile_approx(k, [i / OTHERS for i in range(1, OTHERS)]).alias(k) for k in KINDS[1:]]
+    quantiles = good.agg(*edges, *[f(k).alias(f"{k}_{e}") for k in KINDS[1:] for e, f in (("low", F.min), ("high", F.max))]).first()
     cuts = {k: np.unique(np.array(quantiles[k] or [], float)) for k in KINDS[1:]}
+    ends = {k: (quantiles[f"{k}_low"], quantiles[f"{k}_high"]) for k in KINDS[1:]}
     span = [(r.hour, r.period, float(r["all"] or 0)) for r in hours]
-    found = _totals(rows, seqs, sets, cuts, len(hours)).mapInArrow(_metrics(span), METRIC_ROW).collect()  # a few numbers a set
+    found = _totals(rows, sets, cuts, len(hours)).mapInArrow(_metrics(span), METRIC_ROW).collect()  # a few numbers a set
     wanted = sorted({(r.k, p.kind, *end) for r in found for p in r.places for end in ((p.low, p.nth_low), (p.high, p.nth_high))})
-    value = _values_at(rows, seqs, sets, cuts, wanted) if wanted else {}
+    value = _values_at(rows, sets, cuts, ends, wanted) if wanted else {}
     measured = {r.k: r for r in found}
     out = []
     for k, seq in enumerate(seqs):
