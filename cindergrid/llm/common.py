@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,8 +26,32 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+_made: list[list[str]] = []
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    for paths in _made:
+        paths.append(path)
+    return path
+
+
+@contextmanager
+def scratch() -> Iterator[list[str]]:
+    """The paths that are handed out inside, to be dropped by the caller once nothing reads them any more."""
+    paths: list[str] = []
+    _made.append(paths)
+    try:
+        yield paths
+    finally:
+        _made.remove(paths)
+
+
+def drop(spark: SparkSession, paths: list[str]) -> None:
+    """Deletes these tables of the shared folder."""
+    for path in paths:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def stash(df: DataFrame, name: str) -> DataFrame:
