@@ -20,6 +20,57 @@ def profile_fields(levels: tuple[int, ...] = PROFILE_LEVELS, packing: dict[str,
     return {f"{name}_{level}": p for level in levels for name, p in (PROFILE_PACKING if packing is None else packing).items()}
 
 
+# The archive's other fields, as name, variable, level, unit, offset, scale; those of several levels by rule.
+WINDS, LIFTS = (850, 700, 500, 250), (1000, 850, 700, 500, 250)
+SINGLE = (
+    ("cape", "CAPE", "Sfc", "J kg-1", 0.0, 1.0), ("mu_li", "MU-VT-LI", "ISBL_0500", "K", 0.0, 0.05), ("lifted_index", "LFTX", "ISBL_0500", "K", 0.0, 0.05),
+    ("surface_pressure", "PRES", "Sfc", "Pa", 100000.0, 10.0), ("mslp", "PRMSL", "MSL", "Pa", 100000.0, 10.0), ("tmp_2m", "TMP", "AGL-2m", "K", 273.15, 0.05), ("dpt_2m", "DPT", "AGL-2m", "K", 273.15, 0.05),
+    ("ugrd_10m", "UGRD", "AGL-10m", "m s-1", 0.0, 0.1), ("vgrd_10m", "VGRD", "AGL-10m", "m s-1", 0.0, 0.1), ("pbl_height", "HPBL", "Sfc", "m", 0.0, 1.0), ("storm_relative_helicity", "HLCY", "Sfc", "m2 s-2", 0.0, 0.1),
+    ("precip_rate", "PRATE", "Sfc", "kg m-2 s-1", 0.0, 2.0e-6), ("precip_accum", "APCP", "Sfc", "kg m-2", 0.0, 0.05), ("column_cloud_water", "CWAT", "EATM", "kg m-2", 0.0, 0.01),
+    ("total_cloud_cover", "TCDC", "Sfc", "%", 0.0, 0.01), ("height_500", "HGT", "ISBL_0500", "gpm", 5500.0, 0.5), ("absolute_vorticity_500", "ABSV", "ISBL_0500", "s-1", 0.0, 1.0e-6),
+)
+NOT_AT_START = ("precip_rate", "precip_accum")
+
+
+def dimension(spark: SparkSession) -> DataFrame:
+    """The archive's fields, a row each: field, variable, level, unit, offset, scale, at_start (whether hour 0 has it)."""
+    units = {"tmp": ("TMP", "K"), "spfh": ("SPFH", "kg kg-1")}
+    rows = [(name, *_of_level(name, units), offset, scale) for name, (offset, scale) in profile_fields().items()]
+    rows += [(f"{v.lower()}_{level}", v, f"ISBL_{level:04d}", "m s-1", 0.0, 0.1) for v in ("UGRD", "VGRD") for level in WINDS]
+    rows += [(f"vvel_{level}", "VVEL", f"ISBL_{level:04d}", "Pa s-1", 0.0, 0.01) for level in LIFTS]
+    rows += list(SINGLE)
+    return spark.createDataFrame([(*r, r[0] not in NOT_AT_START) for r in rows], "field string, variable string, level string, unit string, offset double, scale double, at_start boolean")
+
+
+def _of_level(name: str, units: dict[str, tuple[str, str]]) -> tuple[str, str, str]:
+    kind, _, level = name.rpartition("_")
+    return units[kind][0], f"ISBL_{int(level):04d}", units[kind][1]
+
+
+def pack_long(fields: DataFrame, dim: DataFrame) -> DataFrame:
+    """fields (..., field, value) with packed and clipped (whether packing cuts the value) by the dimension; a field that
+    the dimension has not is an error."""
+    rows = fields.join(F.broadcast(dim.select("field", "offset", "scale")), "field", "left")  # tens of rows
+    steps = F.rint((F.col("value") - F.col("offset")) / F.col("scale"))
+    known = F.when(F.col("scale").isNull(), F.raise_error(F.concat(F.lit("no field of the archive is named "), F.col("field"))).cast("int"))
+    whole = F.coalesce(known, P.clip(steps, float(-TOP), float(TOP)).cast("int"), F.lit(FILL))
+    return rows.withColumns({"packed": whole, "clipped": F.coalesce(F.abs(steps) > TOP, F.lit(False))}).drop("offset", "scale")
+
+
+def unpack_long(fields: DataFrame, dim: DataFrame) -> DataFrame:
+    """fields (..., field, packed) with value."""
+    rows = fields.join(F.broadcast(dim.select("field", "offset", "scale")), "field")
+    return rows.withColumn("value", F.when(F.col("packed") != FILL, F.col("packed") * F.col("scale") + F.col("offset"))).drop("offset", "scale")
+
+
+def missing_names(fields: DataFrame, keys: list[str], dim: DataFrame) -> DataFrame:
+    """(keys, missing): of each hour (keys, fhour among them) with any field, the sorted names that it should have and has not."""
+    names = [(r.field, r.at_start) for r in dim.select("field", "at_start").collect()]  # tens of rows
+    must = field_names(sorted(n for n, _ in names), F.col("fhour"), [n for n, first in names if not first])
+    have = fields.groupBy(*keys).agg(F.collect_set("field").alias("_have"))
+    return have.select(*keys, F.sort_array(F.array_except(must, "_have")).alias("missing"))
+
+
 def packed(value: Column, offset: float, scale: float) -> Column:
     """value as an integer of (value - offset) / scale, half to even, at most TOP on either side; FILL where it is missing."""
     steps = F.rint((value - F.lit(offset)) / F.lit(scale))

@@ -21,8 +21,9 @@ def in_rounds(rows: DataFrame, keys: list[str], order: str, fold: Fold, start: C
     spark = rows.sparkSession
     cut, done, handed = (store.new_path(spark, x) for x in ("segments", "folded", "states"))
     nth = F.row_number().over(Window.partitionBy(*keys).orderBy(order))
-    rows.withColumn("_segment", F.floor((nth - 1) / size)).write.partitionBy("_segment").parquet(cut)
-    segments = spark.read.parquet(cut)
+    numbered = rows.withColumn("_segment", F.floor((nth - 1) / size).cast("long"))
+    numbered.write.partitionBy("_segment").parquet(cut)
+    segments = spark.read.schema(numbered.schema).parquet(cut)
     last = segments.agg(F.max("_segment")).first()[0]
     if last is None:
         return fold(rows.withColumn("_start", start), [*keys, "_start"], order, F.col("_start")).drop("_start")

@@ -35,7 +35,7 @@ def _borders(edges: DataFrame, side: float) -> DataFrame:
     """edges with the cells (j, i) of a square raster that they pass through."""
     low, high = F.least("y1", "y2"), F.greatest("y1", "y2")
     band = lambda c: F.floor(c / side).cast("long")
-    x_at = lambda y: F.when(F.col("y1") == F.col("y2"), F.col("x1")).otherwise(F.col("x1") + (y - F.col("y1")) * (F.col("x2") - F.col("x1")) / (F.col("y2") - F.col("y1")))
+    x_at = lambda y: F.when(F.col("y1") == F.col("y2"), F.col("x1")).otherwise(F.col("x1") + F.try_divide((y - F.col("y1")) * (F.col("x2") - F.col("x1")), F.col("y2") - F.col("y1")))
     bands = edges.withColumn("j", F.explode(F.sequence(band(low), band(high))))
     a, b = x_at(F.greatest(low, F.col("j") * side)), x_at(F.least(high, (F.col("j") + 1) * side))
     flat, slack = F.col("y1") == F.col("y2"), 1e-9 * side
@@ -52,7 +52,7 @@ def cover(edges: DataFrame, side: float) -> tuple[DataFrame, DataFrame]:
     low, high = F.least("y1", "y2"), F.greatest("y1", "y2")
     lines = F.sequence(F.ceil(low / side).cast("long"), F.ceil(high / side).cast("long") - 1)  # those with low <= y < high
     crossed = edges.filter(F.ceil(low / side) < F.ceil(high / side)).withColumn("j", F.explode(lines))
-    at = F.col("x1") + (F.col("j") * side - F.col("y1")) * (F.col("x2") - F.col("x1")) / (F.col("y2") - F.col("y1"))
+    at = F.col("x1") + F.try_divide((F.col("j") * side - F.col("y1")) * (F.col("x2") - F.col("x1")), F.col("y2") - F.col("y1"))
     counts = crossed.select("polygon", "j", F.ceil(at / side).cast("long").alias("i")).groupBy("polygon", "j", "i").agg(F.count(F.lit(1)).alias("n"))
     line = Window.partitionBy("polygon", "j").orderBy("i")
     runs = counts.select("polygon", "j", "i", F.sum("n").over(line).alias("n"), F.lead("i").over(line).alias("end")).filter("n % 2 = 1 and end > i")
@@ -73,13 +73,13 @@ def in_polygons(points: DataFrame, edges: DataFrame, side: float = 1.0) -> DataF
     near = points.select("id", "x", "y", place("y").alias("j"), place("x").alias("i")).join(cells, ["j", "i"])
     inside = near.filter("not border").select("id", "polygon")
     x0, y0 = F.col("i") * side, F.col("j") * side
-    right = ((F.col("y1") > F.col("y")) != (F.col("y2") > F.col("y"))) & (lambda at: (at <= F.col("x")) & (at > x0))(F.col("x1") + (F.col("y") - F.col("y1")) * (F.col("x2") - F.col("x1")) / (F.col("y2") - F.col("y1")))
-    slope = (F.col("y2") - F.col("y1")) / (F.col("x2") - F.col("x1"))
+    right = ((F.col("y1") > F.col("y")) != (F.col("y2") > F.col("y"))) & (lambda at: (at <= F.col("x")) & (at > x0))(F.col("x1") + F.try_divide((F.col("y") - F.col("y1")) * (F.col("x2") - F.col("x1")), F.col("y2") - F.col("y1")))
+    slope = F.try_divide(F.col("y2") - F.col("y1"), F.col("x2") - F.col("x1"))
     at = F.col("y1") + (x0 - F.col("x1")) * slope
     under = lambda y: (at < y) | ((at == y) & (slope <= 0))
     up = ((F.col("x1") > x0) != (F.col("x2") > x0)) & (under(F.col("y")) != under(y0))
     crossed = F.when(right, 1).otherwise(0) + F.when(up, 1).otherwise(0)
-    tested = near.filter("border").join(parts, ["polygon", "j", "i"]).groupBy("id", "polygon", "x", "y").agg((F.sum(crossed) + F.max(F.col("odd").cast("int"))).alias("n"))
+    tested = near.filter("border").join(parts, ["polygon", "j", "i"]).groupBy("id", "polygon", "x", "y").agg((F.coalesce(F.sum(crossed), F.lit(0)) + F.max(F.col("odd").cast("int"))).alias("n"))
     return inside.unionByName(tested.filter("n % 2 = 1").select("id", "polygon")).distinct()
 
 

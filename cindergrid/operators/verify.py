@@ -58,3 +58,9 @@ def sampled(peaks: DataFrame, mapping: DataFrame, keys: list[str]) -> DataFrame:
     mapped cells leave the scan of the grid."""
     cells = mapping.select("iy", "ix").distinct()
     return peaks.join(cells, ["iy", "ix"], "left_semi").join(mapping.select("station", "iy", "ix", "distance"), ["iy", "ix"]).select("station", *keys, *[c for c in peaks.columns if c not in {"iy", "ix", *keys}], "distance")
+
+
+def kept_samples(samples: DataFrame, reach_km: float = 15.0) -> DataFrame:
+    """The samples (fclass, distance, lead, ...) that count as forecasts: with a class, from a cell within reach, and not
+    made after the day's target."""
+    return samples.filter((F.col("fclass").isNotNull()) & (F.col("distance") <= reach_km) & (F.col("lead") >= 0))

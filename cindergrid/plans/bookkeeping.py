@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import clock
 from ..operators import catalog, sweep, usage
+from ..sources import store
 from .standins import duck, view
 
 QUERIES, ORACLES = {}, {}
@@ -145,7 +146,21 @@ def sweep_scores(spark, sf_dir):
     return got.select("seq", "label", F.col("n_varied").cast("long").alias("n_varied"), "varied", "hour60", *[(F.floor(F.col(c) * 1e4 + 0.5) / 1e4).alias(c) for c in METRICS], "best_of_varied")
 
 
-def _sweep_sql(random_samples: int = 6000, seed: int = 20260629) -> str:
+REPORT = "rank long, seq long, label string, n_varied long, varied string, value double, score double"
+
+
+def sweep_reports(spark, sf_dir):
+    """The three reports of a sweep, written from one scored table and read back, with the baseline's rank."""
+    path = store.new_path(spark, "sweep")
+    got = sweep.ranked(sweep.score(sweep.varied(sweep.candidates(spark)), view(spark, sf_dir, "sounding")))
+    value = F.coalesce(*[F.when(F.col("varied") == k, F.col(k)) for k in sweep.NAMES])
+    store.write_sweep_reports(got.select(F.col("rank").cast("long").alias("rank"), "seq", "label", F.col("n_varied").cast("long").alias("n_varied"), "varied", value.alias("value"), (F.floor(F.col("score") * 1e4 + 0.5) / 1e4).alias("score")), path)
+    parts = [spark.read.schema(REPORT).option("header", True).csv(f"{path}/{name}").withColumn("report", F.lit(name)) for name in ("full", "top", "one_at_a_time")]
+    rows = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return rows.groupBy("report").agg(F.count(F.lit(1)).alias("n"), F.max(F.when(F.col("label") == "baseline", F.col("rank"))).alias("baseline_rank"), F.min_by("label", "rank").alias("best"), F.count_distinct("varied", "value").alias("values"), F.max("rank").alias("last"))
+
+
+def _sweep_sql(random_samples: int = 6000, seed: int = 20260629, reports: bool = False) -> str:
     sets = [("baseline", dict(sweep.BASELINE)), *((f"one_at_a_time_{k}_{v}", {**sweep.BASELINE, k: v}) for k in sweep.NAMES for v in sweep.RANGES[k])]
     rows = ", ".join(f"({seq}, '{label}', {', '.join(f'{v!r}::double' for v in values.values())})" for seq, (label, values) in enumerate(sets))
     pick = lambda i, k: f"[{', '.join(f'{v!r}::double' for v in sweep.RANGES[k])}][cast(('0x' || substr(md5('{seed}-' || i || '-{i}'), 1, 8))::ubigint % {len(sweep.RANGES[k])} as bigint) + 1] as {k}"
@@ -153,6 +168,12 @@ def _sweep_sql(random_samples: int = 6000, seed: int = 20260629) -> str:
     pen = lambda x, a, b, s: f"case when {x} is null then 999 when {x} between {a} and {b} then 0 when {x} < {a} then pow(({a} - {x}) / {s}::double, 2) else pow(({x} - {b}) / {s}::double, 2) end"
     score = " + ".join(f"{w} * {pen(k, *x)}" for k, (w, *x) in sweep.PENALTIES.items())
     names = ", ".join(sweep.NAMES)
+    last = f"""select cast(seq as bigint) as seq, label, cast(n_varied as bigint) as n_varied, varied, hour60, {', '.join(f'floor({x} * 1e4 + 0.5) / 1e4 as {x}' for x in METRICS)}, varied is not null and row_number() over (partition by varied order by score, seq) = 1 as best_of_varied from z"""
+    if reports:
+        of = "case varied " + " ".join(f"when '{k}' then p.{k}" for k in sweep.NAMES) + " end"
+        last = f""", k9 as (select z.seq, z.label, z.n_varied, z.varied, {of.replace('varied', 'z.varied', 1)} as value, row_number() over (order by z.score, z.seq) as rank from z join p on p.seq = z.seq),
+        r9 as (select 'full' as report, * from k9 union all select 'top', * from k9 where rank <= 50 union all select 'one_at_a_time', * from k9 where n_varied = 1)
+        select report, count(*) as n, max(case when label = 'baseline' then rank end) as baseline_rank, min_by(label, rank) as best, count(distinct case when varied is not null and value is not null then varied || '/' || value end) as values, max(rank) as last from r9 group by 1"""
     return f"""with a(seq, label, {names}) as (values {rows}), b0 as (select {len(sets)} + i as seq, 'random_' || lpad(cast(i as varchar), 5, '0') as label, {', '.join(pick(i, k) for i, k in enumerate(sweep.NAMES))} from (select range as i from range({random_samples}))),
     b as (select seq, label, {', '.join('least(li_gate, li_start + 0.75) as li_gate' if k == 'li_gate' else k for k in sweep.NAMES)} from b0), u as (select * from (select * from a union all select * from b) x qualify row_number() over (partition by {names} order by seq) = 1),
     p as (select *, {' + '.join(f'cast({c} as int)' for c in off.values())} as n_varied, case when n_varied = 1 then case {' '.join(f"when {c} then '{k}'" for k, c in off.items())} end end as varied from u), s as ({{sounding}}),
@@ -163,8 +184,10 @@ def _sweep_sql(random_samples: int = 6000, seed: int = 20260629) -> str:
     q1 as (select seq, quantile_cont(gust, 0.99) as p99, quantile_cont(gust, 0.995) as p995, max(gust) as top from r group by 1), q2 as (select seq, quantile_cont(dcape, 0.5) as dcape_strong, quantile_cont(li, 0.5) as li_strong, quantile_cont(pbl, 0.5) as pbl_strong from g group by 1), q as (select * from q1 left join q2 using (seq)),
     m as (select p.seq, label, n_varied, varied, coalesce(hour60, h0) as hour60, coalesce(max60, 0) as max60, coalesce(s60 / n, 0) as mean60, coalesce(max90, 0) as max90, coalesce(s90 / n, 0) as mean90, coalesce(coalesce(m60 / nullif(nm, 0), 0) / nullif(coalesce(d60 / nullif(nd, 0), 0), 0), 0) as ratio, coalesce(c60 / nullif(w60, 0), 0) as coast60, p99, p995, top, dcape_strong, li_strong, pbl_strong
         from p left join o on o.seq = p.seq left join k on k.seq = p.seq left join q on q.seq = p.seq, n), z as (select *, {score} as score from m)
-    select cast(seq as bigint) as seq, label, cast(n_varied as bigint) as n_varied, varied, hour60, {', '.join(f'floor({x} * 1e4 + 0.5) / 1e4 as {x}' for x in METRICS)}, varied is not null and row_number() over (partition by varied order by score, seq) = 1 as best_of_varied from z"""
+    {last}"""
 
 
 QUERIES["sweep_scores"] = sweep_scores
 ORACLES["sweep_scores"] = duck(_sweep_sql())
+QUERIES["sweep_reports"] = sweep_reports
+ORACLES["sweep_reports"] = duck(_sweep_sql(reports=True))

@@ -24,7 +24,7 @@ GUSTS = "g as (select cell, hour_no - 1 as fhour, case when hour_no % 11 <> 0 th
 QUERIES["all_cause_gusts"] = lambda spark, sf_dir: _gusts(spark, sf_dir).select("cell", "fhour", r4("synoptic"), r4("triggered"), r4("gust"))
 ORACLES["all_cause_gusts"] = duck("with " + GUSTS + " select cell, fhour, " + ", ".join((R4("synoptic"), R4("triggered"), R4("case when fhour = 0 then regular else greatest(synoptic, triggered) end", "gust"))) + " from g")
 QUERIES["gust_branch_shares"] = lambda spark, sf_dir: fields.branch_shares(_gusts(spark, sf_dir), ["fhour"]).select("fhour", r4("downslope_share"), r4("triggered_share"))
-ORACLES["gust_branch_shares"] = duck("with " + GUSTS + " select fhour, " + R4("100.0 * count(*) filter (downslope > regular + 5) / greatest(1, count(regular))", "downslope_share") + ", " + R4("100.0 * count(*) filter (triggered > synoptic + 5) / greatest(1, count(regular))", "triggered_share") + " from g group by 1")
+ORACLES["gust_branch_shares"] = duck("with " + GUSTS + " select fhour, " + R4("100.0 * count(*) filter (downslope > regular + 5) / greatest(1, count(regular))", "downslope_share") + ", " + R4("100.0 * count(*) filter (triggered > synoptic + 5) / greatest(1, count(regular))", "triggered_share") + " from g where fhour <> 0 group by 1")
 
 
 def column_transport(spark, sf_dir):

@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from ..functions import clock, geo
 from ..operators import catalog, evolution, moisture, steps, synoptic
-from ..sources import feeds, store
-from ..streaming import notices, peaks, readiness
+from ..sources import feeds, manifest, store
+from ..streaming import notices, peaks, rasters, readiness
 from . import bookkeeping, danger
 from .standins import duck, view
 
@@ -259,3 +259,54 @@ def upserted(spark, sf_dir):
 
 QUERIES["upserted"] = upserted
 ORACLES["upserted"] = 'select o_custkey as key, o_orderkey as "at", o_orderstatus as status from orders qualify row_number() over (partition by o_custkey order by o_orderkey desc) = 1'
+
+
+def guarded_archive(spark, sf_dir):
+    """The seven hours of lines appended one after another, each twice; between them appends of another schema and of another
+    grid, which are refused; then all that readers see, with the version that brought each hour."""
+    rows = view(spark, sf_dir, "lineitem").select((F.col("l_linenumber") * 3).cast("long").alias("fhour"), F.pmod("l_orderkey", F.lit(50)).cast("long").alias("cell"), F.col("l_quantity").alias("value"))
+    full = rows.select("cell").distinct()
+    path = store.new_path(spark, "guarded")
+    for k in range(1, 8):
+        hour = full.withColumn("fhour", F.lit(3 * k).cast("long")).join(rows.filter(F.col("fhour") == 3 * k), ["fhour", "cell"], "left").groupBy("fhour", "cell").agg(F.sum("value").alias("value"))
+        for again in (False, True):
+            manifest.append(hour, path, ["fhour"], ["cell"], f"hour-{3 * k}")
+        for wrong in (hour.withColumn("more", F.lit(1)), hour.withColumn("cell", F.col("cell") + 1)):
+            try:
+                manifest.append(wrong, path, ["fhour"], ["cell"], f"wrong-{k}")
+            except ValueError:
+                continue
+            raise AssertionError("an append of another kind went through")
+    return manifest.read(spark, path).groupBy("fhour").agg(F.count(F.lit(1)).alias("cells"), F.sum("value").cast("double").alias("total")).withColumn("version", (F.col("fhour") / 3).cast("long"))
+
+
+QUERIES["guarded_archive"] = guarded_archive
+ORACLES["guarded_archive"] = """with c as (select distinct l_orderkey % 50 as cell from lineitem), h as (select range * 3 as fhour from range(1, 8)), v as (select l_linenumber * 3 as fhour, l_orderkey % 50 as cell, sum(l_quantity) as value from lineitem group by 1, 2)
+select h.fhour, count(*) as cells, cast(sum(v.value) as double) as total, cast(h.fhour / 3 as bigint) as version from h cross join c left join v on v.fhour = h.fhour and v.cell = c.cell group by h.fhour"""
+
+
+def lightning_rasters(spark, sf_dir):
+    """The grid's values as ten-minute rasters, one for each of its part sizes, written as files of text and read as a stream in
+    several batches; some are cut off, one has no time in its name, and one is delivered in two folders."""
+    g = view(spark, sf_dir, "grid").select("iy", "ix", F.coalesce(F.col("v") / 1000, F.lit(-999.0)).alias("v"))
+    span = g.agg(F.max("iy").alias("y"), F.max("ix").alias("x")).first()
+    ny, nx = (span.y or 0) + 1, (span.x or 0) + 1
+    every = g.join(spark.range(1, 13).select(F.col("id").alias("k")))
+    lines = every.groupBy("k", "iy").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ix", (F.col("v") * F.col("k")).cast("string").alias("s")))), lambda x: x["s"]), " ").alias("line"), F.count(F.lit(1)).alias("n"))
+    whole = lines.filter(F.col("n") == nx).filter(~((F.col("k") == 7) & (F.col("iy") == 0)))
+    head = F.concat(F.lit(f"ncols {nx}\nnrows {ny}\nNODATA_value -999\n"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("iy", "line"))), lambda x: x["line"]), "\n"))
+    name = F.when(F.col("k") == 9, "none_flash.asc").otherwise(F.concat(F.lit("20260708T"), F.lpad(F.col("k").cast("string"), 2, "0"), F.lit("10Z_flash.asc")))
+    texts = whole.groupBy("k").agg(head.alias("value")).withColumn("day", F.explode(F.when(F.col("k") == 3, F.array(F.lit("a"), F.lit("b"))).otherwise(F.array(F.lit("a")))))
+    folder, out = store.new_path(spark, "rasters"), store.new_path(spark, "flashes")
+    texts.select("value", "day", name.alias("name")).write.partitionBy("day", "name").text(folder)
+    rasters.write_rasters(rasters.files(spark, folder, "*.txt", per_trigger=5), out, store.new_path(spark, "stream"), (ny, nx), level=2).awaitTermination()
+    good = spark.read.parquet(f"{out}/rows").groupBy(F.date_format("valid_ts", "yyyy-MM-dd HH:mm:ss").alias("valid_ts")).agg(F.count(F.lit(1)).alias("cells"), F.count("flash_rate").alias("valid"), r4(F.sum("flash_rate"), "total"))
+    bad = spark.read.parquet(f"{out}/faults").select("name").withColumns({"cells": F.lit(0).cast("long"), "valid": F.lit(0).cast("long"), "total": F.lit(None).cast("double")})
+    return good.unionByName(bad.withColumnRenamed("name", "valid_ts"))
+
+
+QUERIES["lightning_rasters"] = lightning_rasters
+# A grid whose last line is short is faulty in every file, since a line is missing.
+ORACLES["lightning_rasters"] = duck("""with g as ({grid}), s as (select max(iy) + 1 as ny, max(ix) + 1 as nx from g), w as (select iy from g, s group by iy, nx having count(*) = nx), ok as (select count(*) = min(ny) as ok from w, s),
+k as (select range as k from range(1, 13)), n as (select k, case when k = 9 then 'none_flash.asc' else '20260708T' || lpad(cast(k as varchar), 2, '0') || '10Z_flash.asc' end as name, k not in (7, 9) and ok as good from k, ok)
+select case when good then '2026-07-08 ' || lpad(cast(k as varchar), 2, '0') || ':10:00' else name end as valid_ts, cast(case when good then count(*) else 0 end as bigint) as cells, cast(case when good then count(v) else 0 end as bigint) as valid, case when good then floor(sum(v / 1000 * k) * 1e4 + 0.5) / 1e4 end as total from n, g group by k, name, good""")

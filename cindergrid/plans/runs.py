@@ -109,8 +109,8 @@ ORACLES["dated_files"] = duck("""with o as (select o_orderkey, cast(o_orderdate
 
 
 def fire_layer(spark, sf_dir):
-    """The layer of one user's events as the snapshot; products and digests from the line items."""
-    e = view(spark, sf_dir, "events").filter("user_id = 1").select(F.lit("primary").alias("source"), F.lit("2024-01-31 20:00:00").cast("timestamp").alias("retrieved_at"), F.lit(False).alias("live"))
+    """The layer of all events as the snapshot; products and digests from the line items."""
+    e = view(spark, sf_dir, "events").select(F.lit("primary").alias("source"), F.lit("2024-01-31 20:00:00").cast("timestamp").alias("retrieved_at"), F.lit(False).alias("live"))
     sha = lambda df: df.groupBy("product").agg(F.sha2(F.max("size_bytes").cast("string"), 256).alias("sha"))
     a = view(spark, sf_dir, "artifact")
     got = runs.fire_layer(e, sha(a), sha(a.filter("fhour > 6 and product <> 'AF'")), F.lit("2024-01-31 23:00:00").cast("timestamp"))
@@ -119,7 +119,7 @@ def fire_layer(spark, sf_dir):
 
 QUERIES["fire_layer"] = fire_layer
 ORACLES["fire_layer"] = duck("""with a as (select product, sha256(cast(max(size_bytes) as varchar)) as version, sha256(cast(max(case when fhour > 6 and product <> 'AF' then size_bytes end) as varchar)) as old from ({artifact}) group by 1)
-select product, n > 0 as available, case when n > 0 then 'primary' end as source, case when n > 0 then '2024-01-31 20:00:00' end as observed_at, n > 0 as cached, n > 0 as stale, n as observations, version, old is distinct from version as changed from a, (select count(*) as n from events where user_id = 1)""")
+select product, n > 0 as available, case when n > 0 then 'primary' end as source, case when n > 0 then '2024-01-31 20:00:00' end as observed_at, n > 0 as cached, n > 0 as stale, n as observations, version, old is distinct from version as changed from a, (select count(*) as n from events)""")
 
 
 def anchor_days(spark, sf_dir):
@@ -241,8 +241,44 @@ ORACLES["clipped_fields"] = duck(" union all ".join(f"select level, '{c}' as fie
 def field_table(spark, sf_dir):
     """The long table of profile fields as a wide one, a column for each level."""
     long = view(spark, sf_dir, "profile").select((F.col("cell") % 4).alias("run"), "cell", F.concat(F.lit("tmp_"), F.col("level").cast("string")).alias("field"), F.col("temp").alias("value"))
-    return archive.wide(long, ["run", "cell"], [f"tmp_{k}" for k in range(1, 6)])
+    return archive.wide(long, ["run", "cell"], [f"tmp_{k}" for k in range(1, 8)])
 
 
 QUERIES["field_table"] = field_table
-ORACLES["field_table"] = duck("select cell % 4 as run, cell, " + ", ".join(f"max(case when level = {k} then temp end) as tmp_{k}" for k in range(1, 6)) + " from ({profile}) where level <= 5 group by 1, 2")
+ORACLES["field_table"] = duck("select cell % 4 as run, cell, " + ", ".join(f"max(case when level = {k} then temp end) as tmp_{k}" for k in range(1, 8)) + " from ({profile}) group by 1, 2")
+
+
+def kept_samples(spark, sf_dir):
+    """Forecasts with a distance of their station's cell that count."""
+    f = view(spark, sf_dir, "forecast").withColumns({"distance": F.col("station") % 31 * 1.0, "lead": F.col("lead") - 3, "fclass": F.when(F.col("id") % 13 != 0, F.col("fclass"))})
+    return verify.kept_samples(f).groupBy("model").agg(F.count(F.lit(1)).alias("n"), F.max("distance").alias("farthest"), F.min("lead").alias("least_lead"))
+
+
+QUERIES["kept_samples"] = kept_samples
+ORACLES["kept_samples"] = duck("select model, count(*) as n, max(station % 31 * 1.0) as farthest, min(lead - 3) as least_lead from ({forecast}) where id % 13 <> 0 and station % 31 <= 15 and lead >= 3 group by 1")
+
+
+def _profile_names(spark, sf_dir):
+    """Temperature and humidity of each profile as fields of hours 0, 3 and 6, its levels named as the archive's first ones."""
+    p = view(spark, sf_dir, "profile").filter(F.col("level") <= len(archive.PROFILE_LEVELS))
+    level = F.element_at(F.array(*map(F.lit, archive.PROFILE_LEVELS)), F.col("level").cast("int")).cast("string")
+    both = F.inline(F.array(F.struct(F.concat(F.lit("tmp_"), level).alias("field"), F.col("temp").alias("value")), F.struct(F.concat(F.lit("spfh_"), level).alias("field"), (F.col("rh") / 100).alias("value"))))
+    return p.select((F.col("cell") % 3 * 3).alias("fhour"), "cell", both)
+
+
+def dimension_packing(spark, sf_dir):
+    """Fields of hours packed and unpacked by the dimension of all fields, counted by field; and what each hour lacks."""
+    long, dim = _profile_names(spark, sf_dir), archive.dimension(spark)
+    back = archive.unpack_long(archive.pack_long(long, dim).drop("value"), dim)
+    counts = back.groupBy("fhour", "field").agg(F.count("value").alias("valid"), F.count_if("clipped").alias("clipped"), (F.floor(F.max("value") * 1e4 + 0.5) / 1e4).alias("top"))
+    lacks = archive.missing_names(long, ["fhour"], dim).select("fhour", F.size("missing").cast("long").alias("n_missing"), F.element_at("missing", 1).alias("first_missing"))
+    return counts.join(lacks, "fhour")
+
+
+QUERIES["dimension_packing"] = dimension_packing
+_LEVELS = str(list(archive.PROFILE_LEVELS))
+_ALL = [f"{k}_{x}" for x in archive.PROFILE_LEVELS for k in ("tmp", "spfh")] + [f"{k}_{x}" for k in ("ugrd", "vgrd") for x in archive.WINDS] + [f"vvel_{x}" for x in archive.LIFTS] + [r[0] for r in archive.SINGLE]
+ORACLES["dimension_packing"] = duck(f"""with p as (select cell % 3 * 3 as fhour, {_LEVELS}[level] as lev, temp, rh / 100 as q from ({{profile}}) where level <= {len(archive.PROFILE_LEVELS)}), l as (select fhour, 'tmp_' || lev as field, temp as value, 273.15::double as o, 0.05::double as s from p union all select fhour, 'spfh_' || lev, q, 0::double, 1.0e-5::double from p),
+k as (select *, round_even((value - o) / s, 0) as st from l), u as (select *, case when value is not null then greatest(least(st, 32767), -32767) * s + o end as back from k), c as (select fhour, field, count(back) as valid, count(*) filter (abs(st) > 32767) as clipped, floor(max(back) * 1e4 + 0.5) / 1e4 as top from u group by 1, 2),
+d as (select unnest({_ALL}) as name), h as (select distinct fhour from l), m as (select h.fhour, count(*) as n_missing, min(name) as first_missing from h cross join d where not exists (select 1 from l where l.fhour = h.fhour and l.field = d.name) and not (h.fhour = 0 and name in ('precip_rate', 'precip_accum')) group by 1)
+select c.*, n_missing, first_missing from c join m on m.fhour = c.fhour""")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import physics as P
 from ..operators import grid as G
-from ..operators import fields, lightning, profile
+from ..operators import fields, gusts, lightning, profile
 from .standins import duck, view
 
 QUERIES, ORACLES = {}, {}
@@ -270,3 +270,40 @@ def lightning_potential(spark, sf_dir):
 QUERIES["lightning_potential"] = lightning_potential
 ORACLES["lightning_potential"] = duck(f"""with a as (select cell, hour_no, {_rmp('temp_c', 5, 30)} as cf, least(greatest((1 - (4 - rh / 10)) / 6.0::double, 0), 1) as lf, {_rmp('rh * 20', 75, 800)} as kf, lf * (0.8 + 0.2 * kf) as i0, least(greatest(i0, 0), 1) as ins, least(greatest(cf * (0.85 + 0.15 * {_rmp('rh', 35, 75)}), 0), 1) as mo,
     greatest({_rmp('precip_mm', 0.05, 1.5)}, {_rmp('precip_mm / 3', 0.02, 0.8)}) as sg, greatest(sg, {_rmp('temp_c / 600', 0.005, 0.05)} * cf) as tr from ({{wx}})) select cell, hour_no, {R4('case when (lf < 0.05 and kf < 0.08) or mo < 0.08 then 0 else 100 * ins * mo * sqrt(least(greatest(tr, 0), 1)) end', 'potential')} from a""")
+
+
+def whole_gusts(spark, sf_dir):
+    """Two hours of the grid with profiles of five levels and a convective gust on every fourth row and column: the whole chain."""
+    s, k = F.col("size"), F.col("k")
+    g = view(spark, sf_dir, "grid").drop("v").withColumn("fhour", F.explode(F.array(F.lit(0), F.lit(3))))
+    u, v = F.when(s % 2 == 0, 8.0).otherwise(-6.0), F.when(s % 3 == 0, 5.0).otherwise(-7.0)
+    cells = g.select("fhour", "iy", "ix", "terrain", F.when(s % 11 != 0, 20.0 + s).alias("regular"), (30.0 + s * 1.5).alias("strongest"), F.lit(288.0).alias("surface_t"), (u / 2).alias("u10"), (v / 2).alias("v10"))
+    many = g.withColumn("k", F.explode(F.sequence(F.lit(1).cast("long"), F.lit(5).cast("long"))))
+    levels = many.select("fhour", "iy", "ix", k.alias("level"), (F.col("terrain") + 120.0 * k + s).alias("height"), (288.0 + F.when((s % 3 != 0) & (k <= 3), 1.5 * k).otherwise(-1.0 * k)).alias("temp"), (u * (1 + 0.2 * k)).alias("u"), (v * (1 + 0.1 * k)).alias("v"))
+    coarse = G.thin(g, 4).select("fhour", "iy", "ix", F.when(s % 5 != 0, 20.0 + s + s / 3 - 5).alias("convective"))
+    got = gusts.whole(cells, levels, coarse, ["fhour"], 2500.0, 4)
+    shares = fields.branch_shares(got, ["fhour"])
+    return got.join(shares, "fhour", "left").select("fhour", "iy", "ix", r4("downslope"), r4("increment"), r4("gust"), r4("downslope_share"), r4("triggered_share"))
+
+
+QUERIES["whole_gusts"] = whole_gusts
+ORACLES["whole_gusts"] = duck("with recursive " + PEAKS + """, s as (select iy, ix, size, terrain, case when size % 11 <> 0 then 20.0 + size end as reg, 30.0 + size * 1.5 as st, case when size % 2 = 0 then 8.0 else -6.0 end as u, case when size % 3 = 0 then 5.0 else -7.0 end as v, gx, gy, is_peak from g),
+r1 as (select *, max(terrain) over (partition by ix order by iy rows between 4 preceding and 4 following) as m from s), r as (select *, greatest(10.0, max(m) over (partition by iy order by ix rows between 4 preceding and 4 following) - terrain) as t from r1),
+p as (select r.*, k.range as k, case when k.range = 0 then 10.0 else 120.0 * k.range + size end as z, case when k.range = 0 then u / 2 else u * (1 + 0.2::double * k.range) end as uk, case when k.range = 0 then v / 2 else v * (1 + 0.1::double * k.range) end as vk, 288.0 + case when size % 3 <> 0 and k.range <= 3 then 1.5 * k.range else -1.0 * k.range end as tk from r, range(6) k),
+q as (select *, lag(z) over w as z0, lag(uk) over w as u0, lag(vk) over w as v0, max(z) over (partition by iy, ix) as zt from p window w as (partition by iy, ix order by k)),
+wind as (select iy, ix, max(u0 + (t - z0) / (z - z0) * (uk - u0)) filter (t >= z0 and t <= z) as ur, max(v0 + (t - z0) / (z - z0) * (vk - v0)) filter (t >= z0 and t <= z) as vr, max(uk) filter (k = 5) as ut, max(vk) filter (k = 5) as vt from q group by 1, 2),
+f as (select iy, ix, cast(0 as bigint) as k, 2.0::double as h, 288.0::double as t, 0.0::double as dep, 0.0::double as best, cast(null as double) as top, cast(null as double) as tt from s union all
+    select iy, ix, k, case when ok then z else h end, case when ok then tk else t0 end, dep2, case when b then dep2 else best end, case when b then z else top end, case when b then tk else tt end from (
+        select p.iy, p.ix, p.k, p.z, p.tk, f.h, f.t as t0, f.best, f.top, f.tt, p.z - f.h >= 20 and p.z <= 3000 as ok, case when ok and p.tk > f.t then f.dep + p.z - f.h else 0 end as dep2, ok and p.tk > f.t and dep2 > f.best as b from f join p on p.iy = f.iy and p.ix = f.ix and p.k = f.k + 1)),
+i as (select iy, ix, case when best >= 100 and top > 2 then (tt - 288) / (top - 2) end as lapse, best >= 100 as inverted from f where k = 5),
+""" + smooth_sql([1 / 9] * 5).replace("({grid})", "i").replace("coalesce(v, 0)", "coalesce(lapse, 0)").replace("v is not null", "lapse is not null") + """,
+m1 as (select s.iy, s.ix, max(cast(is_peak and inverted as int)) over (partition by s.ix order by s.iy rows between 4 preceding and 4 following) as o from s join i on i.iy = s.iy and i.ix = s.ix), m as (select iy, ix, max(o) over (partition by iy order by ix rows between 4 preceding and 4 following) as o2 from m1),
+d as (select s.*, coalesce(coalesce(ur, ut) * gx + coalesce(vr, vt) * gy < -0.1 and sqrt(gx * gx + gy * gy) >= 0.01 and case when c.w > 1e-12 then c.x / c.w end >= -0.006 and o2 = 1, false) as mask, case when mask then greatest(reg, case when st / greatest(reg, 1) < 1.5 then st else 0.5 * (reg + st) end) else reg end as down
+    from s join wind on wind.iy = s.iy and wind.ix = s.ix join c on c.iy = s.iy and c.ix = s.ix join m on m.iy = s.iy and m.ix = s.ix),
+e as (select max(iy) as y1, max(ix) as x1 from s), th as (select iy, ix, greatest(case when size % 5 <> 0 then 20.0 + size + size / 3 - 5 end - reg, case when size % 5 <> 0 and reg is not null then 0 end) as inc from s, e where (iy % 4 = 0 or iy = y1) and (ix % 4 = 0 or ix = x1) and size % 5 <> 0 and reg is not null),
+y as (select s.iy, s.ix, (s.iy // 4) * 4 as a0, least(a0 + 4, y1) as a1, case when a1 > a0 then (s.iy - a0) / (a1 - a0) else 0 end as wa, (s.ix // 4) * 4 as b0, least(b0 + 4, x1) as b1, case when b1 > b0 then (s.ix - b0) / (b1 - b0) else 0 end as wb from s, e),
+cw as (select iy, ix, a0 as cy, b0 as cx, (1 - wa) * (1 - wb) as w from y union all select iy, ix, a0, b1, (1 - wa) * wb from y union all select iy, ix, a1, b0, wa * (1 - wb) from y union all select iy, ix, a1, b1, wa * wb from y),
+up as (select cw.iy, cw.ix, sum(w * inc) / sum(w) as inc from cw join th on th.iy = cw.cy and th.ix = cw.cx where w > 0 group by 1, 2 having sum(w) > 0.2),
+o as (select 3 as fhour, d.iy, d.ix, reg, down, inc, greatest(reg, down) as syn, case when reg is not null then reg + greatest(coalesce(inc, 0), 0) end as tri from d left join up on up.iy = d.iy and up.ix = d.ix),
+n as (select 100.0 * count(*) filter (down > reg + 5) / greatest(1, count(reg)) as ds, 100.0 * count(*) filter (tri > syn + 5) / greatest(1, count(reg)) as ts from o)
+select cast(0 as int) as fhour, iy, ix, cast(null as double) as downslope, cast(null as double) as increment, """ + R4("reg", "gust") + ", cast(null as double) as downslope_share, cast(null as double) as triggered_share from s union all select fhour, iy, ix, " + ", ".join((R4("down", "downslope"), R4("inc", "increment"), R4("greatest(syn, tri)", "gust"), R4("ds", "downslope_share"), R4("ts", "triggered_share"))) + " from o, n")

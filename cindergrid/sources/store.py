@@ -5,7 +5,6 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,24 +52,6 @@ def partition_checks(df: DataFrame, by: list[str], value: str, fields: list[str]
         F.sum(F.conv(F.substring(line, 1, 8), 16, 10).cast("long")).alias("checksum"))
 
 
-def append_checked(df: DataFrame, path: str, by: list[str], grid: list[str]) -> None:
-    """Adds hours to the archive at path, if they have its columns, its types and its grid (the cells by grid columns);
-    otherwise an error, and nothing is written. The first ones make the archive."""
-    spark = df.sparkSession
-    try:
-        have = spark.read.parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        have = None
-    if have is not None:
-        check_schema(df, path)
-        of = lambda d: grid_fingerprint(d.select(*grid).distinct(), [], grid, []).first().fingerprint
-        if of(df) != of(have):
-            raise ValueError("the archive has another grid, so its version must change")
-    write_hours(df, path, by)
-
-
 def save_states(states: DataFrame, path: str, version: int = 1) -> None:
     """States (model, run, fhour, anchor, iy, ix, state) of model hours, to be handed over to later runs."""
     write_hours(states.withColumn("version", F.lit(version)), path, ["model", "run", "fhour"])
@@ -139,3 +120,15 @@ def write_report(df: DataFrame, path: str, order: list[Column], limit: int | Non
     """One sorted table of text with a header; limit is that of a report."""
     rows = df.orderBy(*order)
     (rows if limit is None else rows.limit(limit)).write.mode("overwrite").option("header", True).csv(path)
+
+
+def write_sweep_reports(scored: DataFrame, path: str, top: int = 50) -> None:
+    """Of one ranked sweep (rank, label, varied, n_varied, score, ...): the full table by rank (path/full), its top (path/top)
+    and the sets that vary one parameter, by parameter and value (path/one_at_a_time). A sweep is thousands of rows; it is
+    stored once, and the reports read it."""
+    spark, table = scored.sparkSession, f"{path}/scored"
+    scored.write.mode("overwrite").parquet(table)
+    rows = spark.read.parquet(table)
+    write_report(rows, f"{path}/full", [F.asc("rank")])
+    write_report(rows, f"{path}/top", [F.asc("rank")], top)
+    write_report(rows.filter("n_varied = 1"), f"{path}/one_at_a_time", [F.asc("varied"), F.asc("value"), F.asc("rank")])

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cindergrid.llm import cpsjoin, decontam, gam, langid, spm
-from cindergrid.llm.common import id_remainder, stash, table
+from cindergrid.llm.common import drop, id_remainder, scratch, stash, table
 from cindergrid.llm.queries import PIECES
 
 
@@ -51,7 +51,11 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The last stage's table. What a stage wrote on its way, and what it read, goes once its own table stands."""
+    docs, before = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES:
-        docs = stash(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        with scratch() as made:
+            docs = stash(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        drop(spark, before + made[:-1])
+        before = made[-1:]
     return docs

@@ -7,8 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from cindergrid.operators import behaviour, catalog, evolution, moisture, seasonal, synoptic
-from cindergrid.sources import store
-from cindergrid.streaming import notices
+from cindergrid.sources import manifest, store
+from cindergrid.streaming import notices, rasters
 
 
 def test_a_state_cannot_go_backwards_or_beyond_the_run(spark):
@@ -111,3 +111,78 @@ def test_level_ground_spread_of_one_fuel(spark):
     ros = 110 * (1 - math.exp(-0.0282 * isi)) ** 1.5 * math.exp(50 * math.log(0.7) * (1 / 60 - 1 / 64))
     assert got["C2"].isi == pytest.approx(isi) and got["C2"].ros == pytest.approx(ros)
     assert (got["rock"].ros, got["rock"].hfi) == (0, 0)
+
+
+def test_guarded_appends(spark, tmp_path):
+    path, base = str(tmp_path / "archive"), spark.range(20).selectExpr("cast(3 as long) fhour", "id cell", "cast(id as double) value")
+    assert manifest.newest(spark, path) is None
+    assert manifest.append(base, path, ["fhour"], ["cell"], "a") == 1
+    assert manifest.append(base, path, ["fhour"], ["cell"], "a") == 1  # run again: not added again
+    for wrong, what in ((base.withColumn("more", F.lit(1)), "schema"), (base.filter("cell > 3"), "grid")):
+        with pytest.raises(ValueError, match=what):
+            manifest.append(wrong, path, ["fhour"], ["cell"], "b")
+    assert manifest.read(spark, path).count() == 20 and not (tmp_path / "archive/data/b").exists()
+    base.withColumn("fhour", F.lit(6).cast("long")).write.parquet(f"{path}/data/half")  # what a failed writer left is never seen
+    assert manifest.read(spark, path).agg(F.max("fhour")).first()[0] == 3
+    assert manifest.append(base.withColumn("fhour", F.lit(6).cast("long")), path, ["fhour"], ["cell"], "c") == 2
+    assert sorted((r.fhour, r["count"]) for r in manifest.read(spark, path).groupBy("fhour").count().collect()) == [(3, 20), (6, 20)]
+    assert manifest.read(spark, path, version=1).count() == 20
+
+
+def test_of_two_first_writers_one_is_held_against_the_other(spark, tmp_path, monkeypatch):
+    path, base = str(tmp_path / "archive"), spark.range(5).selectExpr("cast(3 as long) fhour", "id cell", "cast(id as double) value")
+    claim, rivals = manifest._claim, [("same", base.withColumn("fhour", F.lit(6).cast("long"))), ("other", base.filter("cell > 1"))]
+
+    def between(*args):
+        """Another writer comes in just before the first claim."""
+        monkeypatch.setattr(manifest, "_claim", claim)
+        manifest.append(rival, path, ["fhour"], ["cell"], token)
+        return claim(*args)
+
+    token, rival = rivals[0]
+    monkeypatch.setattr(manifest, "_claim", between)
+    assert manifest.append(base, path, ["fhour"], ["cell"], "mine") == 2
+    assert manifest.read(spark, path).count() == 10
+    path, (token, rival) = str(tmp_path / "second"), rivals[1]
+    monkeypatch.setattr(manifest, "_claim", between)
+    with pytest.raises(ValueError, match="grid"):
+        manifest.append(base, path, ["fhour"], ["cell"], "mine")
+    assert manifest.read(spark, path).count() == 3
+
+
+def test_a_manifest_in_the_making_is_waited_for(spark, tmp_path, monkeypatch):
+    path, base = str(tmp_path / "archive"), spark.range(5).selectExpr("cast(3 as long) fhour", "id cell")
+    manifest.append(base, path, ["fhour"], ["cell"], "a")
+    (tmp_path / "archive/manifest/00000002").write_text("")
+    assert manifest.read(spark, path).count() == 5
+    monkeypatch.setattr(manifest, "ABANDONED", 0.0)  # its writer has died
+    assert manifest.append(base, path, ["fhour"], ["cell"], "b") == 2
+    assert manifest.read(spark, path).count() == 10
+
+
+def test_rasters_come_once_and_faulty_ones_are_listed(spark, tmp_path):
+    src, out, checkpoint = tmp_path / "src", str(tmp_path / "out"), str(tmp_path / "checkpoint")
+    grid = lambda rows: "ncols 3\nnrows 2\nNODATA_value -999\n" + "\n".join(rows)
+
+    def put(name, text):
+        (src / name).parent.mkdir(parents=True, exist_ok=True)
+        (src / name).write_bytes(text if isinstance(text, bytes) else text.encode())
+
+    def run():
+        rasters.write_rasters(rasters.files(spark, str(src), per_trigger=2), out, checkpoint, (2, 3)).awaitTermination()
+        rows = sorted((r.valid_ts.strftime("%H%M"), r.iy, r.ix, r.flash_rate) for r in spark.read.parquet(f"{out}/rows").collect())
+        return rows, sorted((r.name, r.fault) for r in spark.read.parquet(f"{out}/faults").collect())
+
+    put("d1/20260708T1210Z_x.asc", grid(["1 2 -999", "nan 0 0.5"]))
+    put("d1/none_x.asc", grid(["1 2 3", "4 5 6"]))
+    put("d1/20260708T1220Z_x.asc", grid(["1 2 3"]))
+    put("d1/20260708T1230Z_x.asc", grid(["1 2 3", "4 x 6"]))
+    put("d1/20260708T1240Z_x.asc", b"\xff\xfe\x00")
+    first = [("1210", 0, 0, 1.0), ("1210", 0, 1, 2.0), ("1210", 0, 2, None), ("1210", 1, 0, None), ("1210", 1, 1, 0.0), ("1210", 1, 2, 0.5)]
+    rows, faults = run()
+    assert sorted(rows, key=str) == sorted(first, key=str)
+    assert [n for n, _ in faults] == ["20260708T1220Z_x.asc", "20260708T1230Z_x.asc", "20260708T1240Z_x.asc", "none_x.asc"] and all(f for _, f in faults)
+    put("d2/20260708T1210Z_x.asc", grid(["9 9 9", "9 9 9"]))  # the same name from another folder, after a restart
+    put("d2/20260708T1250Z_x.asc", grid(["1 1 1", "1 1 1"]))
+    rows, faults = run()
+    assert sorted(rows, key=str) == sorted([*first, *(("1250", y, x, 1.0) for y in range(2) for x in range(3))], key=str) and len(faults) == 4
