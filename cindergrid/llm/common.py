@@ -44,7 +44,7 @@ def scratch() -> Iterator[list[str]]:
     try:
         yield paths
     finally:
-        _made.remove(paths)
+        _made[:] = [x for x in _made if x is not paths]
 
 
 def drop(spark: SparkSession, paths: list[str]) -> None:
