@@ -98,9 +98,10 @@ select *, list_sort(list(fhour) over (partition by run)) = [3, 6, 9, 12, 15, 18,
 
 
 def streamed_blocks(spark, sf_dir):
-    """Blocks of a stream in several batches: whole ones as they were told, the others from the stream's state."""
+    """Blocks of a stream in several batches: whole ones as they were told, the others from the stream's state. Repeats of
+    an hour come in one batch, since what comes after a block was told changes nothing."""
     source, out, checkpoint = (store.new_path(spark, x) for x in ("flashes", "blocks", "stream"))
-    view(spark, sf_dir, "flash10").repartition(3, F.xxhash64("cell", "ts")).write.parquet(source)
+    view(spark, sf_dir, "flash10").repartition(3, F.xxhash64("cell", lightning.slot(F.col("ts"), 60))).write.parquet(source)
     stream = spark.readStream.schema(spark.read.parquet(source).schema).option("maxFilesPerTrigger", 1).parquet(source)
     blocks.waiting_blocks(stream, out, checkpoint, step_minutes=60).awaitTermination()
     whole = spark.read.parquet(out).withColumns({"n": F.lit(3).cast("long"), "state": F.lit("whole")})

@@ -301,7 +301,7 @@ m1 as (select s.iy, s.ix, max(cast(is_peak and inverted as int)) over (partition
 d as (select s.*, coalesce(coalesce(ur, ut) * gx + coalesce(vr, vt) * gy < -0.1 and sqrt(gx * gx + gy * gy) >= 0.01 and case when c.w > 1e-12 then c.x / c.w end >= -0.006 and o2 = 1, false) as mask, case when mask then greatest(reg, case when st / greatest(reg, 1) < 1.5 then st else 0.5 * (reg + st) end) else reg end as down
     from s join wind on wind.iy = s.iy and wind.ix = s.ix join c on c.iy = s.iy and c.ix = s.ix join m on m.iy = s.iy and m.ix = s.ix),
 e as (select max(iy) as y1, max(ix) as x1 from s), th as (select iy, ix, greatest(case when size % 5 <> 0 then 20.0 + size + size / 3 - 5 end - reg, case when size % 5 <> 0 and reg is not null then 0 end) as inc from s, e where (iy % 4 = 0 or iy = y1) and (ix % 4 = 0 or ix = x1) and size % 5 <> 0 and reg is not null),
-y as (select s.iy, s.ix, (s.iy // 4) * 4 as a0, least(a0 + 4, y1) as a1, case when a1 > a0 then (s.iy - a0) / (a1 - a0) else 0 end as wa, (s.ix // 4) * 4 as b0, least(b0 + 4, x1) as b1, case when b1 > b0 then (s.ix - b0) / (b1 - b0) else 0 end as wb from s, e),
+y as (select s.iy, s.ix, cast(floor(s.iy / 4.0) as bigint) * 4 as a0, least(a0 + 4, y1) as a1, case when a1 > a0 then (s.iy - a0) / (a1 - a0) else 0 end as wa, cast(floor(s.ix / 4.0) as bigint) * 4 as b0, least(b0 + 4, x1) as b1, case when b1 > b0 then (s.ix - b0) / (b1 - b0) else 0 end as wb from s, e),
 cw as (select iy, ix, a0 as cy, b0 as cx, (1 - wa) * (1 - wb) as w from y union all select iy, ix, a0, b1, (1 - wa) * wb from y union all select iy, ix, a1, b0, wa * (1 - wb) from y union all select iy, ix, a1, b1, wa * wb from y),
 up as (select cw.iy, cw.ix, sum(w * inc) / sum(w) as inc from cw join th on th.iy = cw.cy and th.ix = cw.cx where w > 0 group by 1, 2 having sum(w) > 0.2),
 o as (select 3 as fhour, d.iy, d.ix, reg, down, inc, greatest(reg, down) as syn, case when reg is not null then reg + greatest(coalesce(inc, 0), 0) end as tri from d left join up on up.iy = d.iy and up.ix = d.ix),
