@@ -39,9 +39,8 @@ def all_cause_gust(rows: DataFrame) -> DataFrame:
 
 
 def branch_shares(gusts: DataFrame, keys: list[str], material: float = 5.0) -> DataFrame:
-    """(keys, downslope_share, triggered_share): per cent of the cells with a regular gust that a branch raises by more. Hour
-    0 has no branches, and no shares."""
-    gusts = gusts.filter("fhour <> 0")
+    """(keys, downslope_share, triggered_share): per cent of the cells with a regular gust that a branch raises by more. All
+    rows count with the branches that they have; which hours have any is for what makes them."""
     n = F.greatest(F.lit(1), F.count("regular"))
     share = lambda c: 100.0 * F.count_if(c) / n
     return gusts.groupBy(*keys).agg(
