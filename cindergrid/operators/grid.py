@@ -13,6 +13,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+LINES = (("ix", "iy"), ("iy", "ix"))  # of a separable pass: the key of a line, and what runs along it
+
 
 def crop(grid: DataFrame, inside: Column, pad: int = 8) -> DataFrame:
     """The index box around the cells where inside holds, widened by pad; an empty box is an error."""
@@ -42,8 +44,8 @@ def sigma_for(target_km: float, resolution_km: float, minimum: float = 0.55) ->
 def _pass(df: DataFrame, keys: list[str], line: str, along: str, r: int, weights: list[float], columns: list[str]) -> DataFrame:
     """Weighted sums over along-r..along+r of each line; beyond an end its last value counts."""
     lane = Window.partitionBy(*keys, line).orderBy(along)
-    whole = Window.partitionBy(*keys, line)
-    ends = {f"_{c}{e}": f(c, along).over(whole) for c in columns for e, f in (("0", F.min_by), ("1", F.max_by))}
+    whole = lane.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    ends = {f"_{c}{e}": f(c).over(whole) for c in columns for e, f in (("0", F.first), ("1", F.last))}
     df = df.withColumns(ends)
 
     def total(c: str) -> Column:
@@ -57,13 +59,17 @@ def _pass(df: DataFrame, keys: list[str], line: str, along: str, r: int, weights
 
 
 def _normalised(grid: DataFrame, keys: list[str], value: str, r: int, weights: list[float]) -> DataFrame:
-    good = F.col(value).isNotNull()
-    df = grid.withColumns({"_v": F.when(good, F.col(value)).otherwise(0.0).cast("double"), "_w": good.cast("double")})
-    df = _pass(df, keys, "ix", "iy", r, weights, ["_v", "_w"])
-    df = _pass(df, keys, "iy", "ix", r, weights, ["_v", "_w"])
+    df = grid.withColumns(_weighed(value))
+    for line, along in LINES:
+        df = _pass(df, keys, line, along, r, weights, ["_v", "_w"])
     return df.withColumn(value, F.when(F.col("_w") > 1e-12, F.col("_v") / F.col("_w"))).drop("_v", "_w")
 
 
+def _weighed(value: str) -> dict[str, Column]:
+    good = F.col(value).isNotNull()
+    return {"_v": F.when(good, F.col(value)).otherwise(0.0).cast("double"), "_w": good.cast("double")}
+
+
 def gaussian(grid: DataFrame, keys: list[str], value: str, sigma: float) -> DataFrame:
     """Missing values weigh nothing and are filled where any weight reaches; the kernel ends at four sigma."""
     r = int(4 * sigma + 0.5)
@@ -79,28 +85,29 @@ def box_mean(grid: DataFrame, keys: list[str], value: str, size: int) -> DataFra
 
 
 def moving_max(grid: DataFrame, keys: list[str], value: str, size: int) -> DataFrame:
-    r = size // 2
-    for line, along in (("ix", "iy"), ("iy", "ix")):
-        w = Window.partitionBy(*keys, line).orderBy(along).rowsBetween(-r, r)
-        grid = grid.withColumn(value, F.max(value).over(w))
+    for line, along in LINES:
+        grid = grid.withColumn(value, _line_max(keys, line, along, value, size))
     return grid
 
 
+def _line_max(keys: list[str], line: str, along: str, value: str, size: int) -> Column:
+    return F.max(value).over(Window.partitionBy(*keys, line).orderBy(along).rowsBetween(-(size // 2), size // 2))
+
+
 def gradient(grid: DataFrame, keys: list[str], value: str, out: str, along: str, spacing: float = 1.0) -> DataFrame:
     """Central differences along iy or ix, one-sided at the ends."""
     w = Window.partitionBy(*keys, "ix" if along == "iy" else "iy").orderBy(along)
     before, after = F.lag(value).over(w), F.lead(value).over(w)
-    n = F.count(F.lit(1)).over(Window.partitionBy(*keys, "ix" if along == "iy" else "iy"))
-    row = F.row_number().over(w)
+    begins, ends = F.lag(F.lit(1)).over(w).isNull(), F.lead(F.lit(1)).over(w).isNull()
     inside = (after - before) / (2.0 * spacing)
-    return grid.withColumn(out, F.when(row == 1, (after - F.col(value)) / spacing).when(row == n, (F.col(value) - before) / spacing).otherwise(inside))
+    return grid.withColumn(out, F.when(begins, (after - F.col(value)) / spacing).when(ends, (F.col(value) - before) / spacing).otherwise(inside))
 
 
 def peaks(grid: DataFrame, keys: list[str], terrain: str, spacing: float) -> DataFrame:
-    """With slope_x, slope_y and is_peak (Hessian test of a local maximum)."""
-    g = gradient(gradient(grid, keys, terrain, "slope_y", "iy", spacing), keys, terrain, "slope_x", "ix", spacing)
-    g = gradient(g, keys, "slope_y", "_dyy", "iy", spacing)
-    g = gradient(gradient(g, keys, "slope_x", "_dxx", "ix", spacing), keys, "slope_x", "_dxy", "iy", spacing)
+    """With slope_x, slope_y and is_peak (Hessian test of a local maximum). Three shuffles: what goes along the same lines is together."""
+    g = gradient(gradient(grid, keys, terrain, "slope_y", "iy", spacing), keys, "slope_y", "_dyy", "iy", spacing)
+    g = gradient(gradient(g, keys, terrain, "slope_x", "ix", spacing), keys, "slope_x", "_dxx", "ix", spacing)
+    g = gradient(g, keys, "slope_x", "_dxy", "iy", spacing)
     det = F.col("_dxx") * F.col("_dyy") - F.col("_dxy") * F.col("_dxy")
     return g.withColumn("is_peak", F.coalesce((det > 0) & (F.col("_dxx") < 0) & (F.col("_dyy") < 0), F.lit(False))).drop("_dyy", "_dxx", "_dxy")
 
@@ -110,9 +117,11 @@ def downslope_gust(grid: DataFrame, keys: list[str], spacing: float, radius_km:
     slope downwards in stable air with an inversion near a peak."""
     size = 2 * max(1, math.ceil(radius_km * 1000 / spacing)) + 1
     g = peaks(grid, keys, "terrain", spacing)
-    g = g.withColumn("_over", (F.col("is_peak") & F.coalesce("inverted", F.lit(False))).cast("int"))
-    g = moving_max(g, keys, "_over", size)
-    g = box_mean(g, keys, "lapse", size)
+    g = g.withColumns({"_over": (F.col("is_peak") & F.coalesce("inverted", F.lit(False))).cast("int"), **_weighed("lapse")})
+    for line, along in LINES:  # a moving maximum and a box mean, a shuffle for both
+        g = g.withColumn("_over", _line_max(keys, line, along, "_over", size))
+        g = _pass(g, keys, line, along, size // 2, [1 / size] * (size // 2 + 1), ["_v", "_w"])
+    g = g.withColumn("lapse", F.when(F.col("_w") > 1e-12, F.col("_v") / F.col("_w"))).drop("_v", "_w")
     across = F.col("u") * F.col("slope_x") + F.col("v") * F.col("slope_y")
     steep = F.sqrt(F.col("slope_x") * F.col("slope_x") + F.col("slope_y") * F.col("slope_y"))
     mask = F.coalesce((across < -0.1) & (steep >= 0.01) & (F.col("lapse") >= -0.006) & (F.col("_over") == 1), F.lit(False))

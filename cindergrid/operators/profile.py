@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import physics as P
 
 
-def _folded(levels: DataFrame, keys: list[str], order: Column, fields: list[str], extra: list[Column]) -> DataFrame:
+def folded(levels: DataFrame, keys: list[str], order: Column, fields: list[str], extra: list[Column]) -> DataFrame:
     item = F.struct(order.alias("_o"), *fields)
     return levels.groupBy(*keys).agg(F.sort_array(F.collect_list(item)).alias("p"), *extra)
 
@@ -16,25 +16,35 @@ def _folded(levels: DataFrame, keys: list[str], order: Column, fields: list[str]
 def at_height(levels: DataFrame, keys: list[str], target: str) -> DataFrame:
     """(keys, value): linear interpolation of (level, height, value) to target; layers of a metre or less and missing
     points are passed over, and above the top its value holds."""
-    rows = _folded(levels, keys, F.col("level"), ["height", "value"], [F.max(target).alias("t")])
-    first = F.struct(F.get("p", 0)["height"].alias("h"), F.get("p", 0)["value"].alias("v"), F.lit(None).cast("double").alias("r"))
+    rows = folded(levels, keys, F.col("level"), ["height", "value"], [F.max(target).alias("t")])
+    return with_height(rows, "p", "t", "value").select(*keys, "value")
+
+
+def with_height(rows: DataFrame, points: str, target: str, out: str) -> DataFrame:
+    """rows with out, their sorted array of points (height, value) interpolated as in ``at_height``."""
+    first = F.struct(F.get(points, 0)["height"].alias("h"), F.get(points, 0)["value"].alias("v"), F.lit(None).cast("double").alias("r"))
 
     def step(a: Column, x: Column) -> Column:
-        t, depth = F.col("t"), x["height"] - a["h"]
+        t, depth = F.col(target), x["height"] - a["h"]
         good = a["r"].isNull() & (depth > 1) & a["v"].isNotNull() & x["value"].isNotNull() & (t >= a["h"]) & (t <= x["height"])
         usable = x["height"].isNotNull() & x["value"].isNotNull() & (x["height"] > a["h"])
         r = F.when(good, a["v"] + F.try_divide(t - a["h"], depth) * (x["value"] - a["v"])).otherwise(a["r"])
         return F.struct(F.when(usable, x["height"]).otherwise(a["h"]).alias("h"), F.when(usable, x["value"]).otherwise(a["v"]).alias("v"), r.alias("r"))
 
-    done = rows.withColumn("a", F.aggregate(F.slice("p", 2, 1000), first, step))
-    return done.select(*keys, F.coalesce("a.r", F.when(F.col("t") >= F.col("a.h"), F.col("a.v"))).alias("value"))
+    done = rows.withColumn("_a", F.aggregate(F.slice(points, 2, 1000), first, step))
+    return done.withColumn(out, F.coalesce("_a.r", F.when(F.col(target) >= F.col("_a.h"), F.col("_a.v")))).drop("_a")
 
 
 def inversions(levels: DataFrame, keys: list[str], surface: str, top_m: float = 3000.0, least_m: float = 100.0) -> DataFrame:
     """(keys, lapse, inverted): the deepest inversion of (level, height, temp) over the surface temperature."""
-    rows = _folded(levels, keys, F.col("level"), ["height", "temp"], [F.max(surface).alias("s")])
+    rows = folded(levels, keys, F.col("level"), ["height", "temp"], [F.max(surface).alias("s")])
+    return with_inversion(rows, "p", "s", top_m, least_m).select(*keys, "lapse", "inverted")
+
+
+def with_inversion(rows: DataFrame, points: str, surface: str, top_m: float = 3000.0, least_m: float = 100.0) -> DataFrame:
+    """rows with lapse and inverted, of their sorted array of points (height, temp); both missing where there is none."""
     n, none = P.lit, F.lit(None).cast("double")
-    first = F.struct(n(2).alias("h"), F.col("s").cast("double").alias("t"), n(0).alias("depth"), n(0).alias("best"), none.alias("top"), none.alias("top_t"))
+    first = F.struct(n(2).alias("h"), F.col(surface).cast("double").alias("t"), n(0).alias("depth"), n(0).alias("best"), none.alias("top"), none.alias("top_t"))
 
     def step(a: Column, x: Column) -> Column:
         layer = x["height"] - a["h"]
@@ -48,9 +58,9 @@ def inversions(levels: DataFrame, keys: list[str], surface: str, top_m: float =
             pick(better, x["height"], a["top"]).alias("top"), pick(better, x["temp"], a["top_t"]).alias("top_t"),
         )
 
-    done = rows.withColumn("a", F.aggregate("p", first, step))
-    inverted = F.col("a.best") >= least_m
-    return done.select(*keys, F.when(inverted & (F.col("a.top") > 2), (F.col("a.top_t") - F.col("s")) / (F.col("a.top") - 2)).alias("lapse"), inverted.alias("inverted"))
+    done = rows.withColumn("_a", F.aggregate(points, first, step))
+    inverted = F.col("_a.best") >= least_m
+    return done.withColumns({"lapse": F.when(inverted & (F.col("_a.top") > 2), (F.col("_a.top_t") - F.col(surface)) / (F.col("_a.top") - 2)), "inverted": inverted}).drop("_a")
 
 
 def column_water(levels: DataFrame, keys: list[str], surface_pa: str) -> DataFrame:

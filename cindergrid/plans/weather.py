@@ -287,8 +287,8 @@ def whole_gusts(spark, sf_dir):
     levels = many.select("fhour", "iy", "ix", k.alias("level"), (F.col("terrain") + 120.0 * k + s).alias("height"), (288.0 + F.when((s % 3 != 0) & (k <= 3), 1.5 * k).otherwise(-1.0 * k)).alias("temp"), (u * (1 + 0.2 * k)).alias("u"), (v * (1 + 0.1 * k)).alias("v"))
     coarse = G.thin(g, 4).select("fhour", "iy", "ix", F.when(s % 5 != 0, 20.0 + s + s / 3 - 5).alias("convective"))
     got = gusts.whole(cells, levels, coarse, ["fhour"], 2500.0, 4)
-    shares = fields.branch_shares(got.filter("fhour <> 0"), ["fhour"])  # no branches are made at hour 0
-    return got.join(shares, "fhour", "left").select("fhour", "iy", "ix", r4("downslope"), r4("increment"), r4("gust"), r4("downslope_share"), r4("triggered_share"))
+    shares = fields.branch_shares(got.filter("fhour <> 0"), ["fhour"])  # no branches are made at hour 0; a row an hour
+    return got.join(F.broadcast(shares), "fhour", "left").select("fhour", "iy", "ix", r4("downslope"), r4("increment"), r4("gust"), r4("downslope_share"), r4("triggered_share"))
 
 
 QUERIES["whole_gusts"] = whole_gusts
